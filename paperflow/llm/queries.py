@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, token_counts
+from . import bpe, langid, minhash, token_counts
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,10 +32,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), model, spans=False)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
