@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, token_counts
-from .common import table
+from . import bpe, langid, minhash, quality, token_counts
+from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -23,6 +23,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = stored(quality.with_statistics(docs, drop_text=True), "statistics")
+    model = quality.train(quality.training_rows(known, table(spark, sf_dir, "labels")))
+    return quality.scored(known, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_quality": op5_quality,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
