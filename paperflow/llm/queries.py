@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, quality, token_counts
+from . import bpe, decontam, langid, minhash, quality, token_counts
 from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(known, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item found in it."""
+    found = decontam.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.distance", F.col("hit.start").alias("hit_start"), F.col("hit.end").alias("hit_end"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
