@@ -28,9 +28,12 @@ def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id; of repeated rows one stays."""
-    dropped = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates, that of the smallest id; of rows repeated exactly one stays."""
+    ids = minhash.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
+    named = stored(ids.agg(F.bool_or(~F.col("kept")).alias("goes"), F.count("*").alias("n")).where("goes or n > 1"), "named")
+    once = docs.join(named, "doc_id", "left_anti")
+    repeated = docs.join(named.where("not goes"), "doc_id", "left_semi").dropDuplicates()
+    return once.unionByName(repeated).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
