@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, minhash, quality, token_counts, warc
+from . import bpe, decontam, hosts, langid, minhash, quality, token_counts, warc
 from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judged(table(spark, sf_dir, "pages").select("page_id", "url"), hosts.outcomes_of(table(spark, sf_dir, "labels")))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -63,8 +67,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
+    "op8_hosts": op8_hosts,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_hosts": hosts.oracle()}
