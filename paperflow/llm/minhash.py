@@ -10,8 +10,8 @@ bands.
 Equal sets are one class before anything is paired. In each band's bucket the
 members are compared with its hub, the member with the fullest buckets, which in
 a group of edited copies is the text they come from. What is linked then needs
-no further comparison; only members of a bucket that are still apart are paired
-off. Links are confirmed on the full sets.
+no further comparison; only those that are still apart meet, block by block. Links
+are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,6 +34,8 @@ WIDTH, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 192, 6
 #: Low bytes of so many signature values, for an estimate of a pair's similarity; 0.5 is more than 5 deviations below 0.75.
 SKETCH, LEAST = 96, 0.5
+#: Members of a family that meet in one task, on either side.
+BLOCK = 256
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = (_rng.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -77,6 +80,14 @@ def buckets(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return mixed(keys).view(np.int64)
 
 
+def similar(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether 100 * intersection >= 75 * union, of full sets."""
+    if 100 * min(len(one), len(other)) < PERCENT * max(len(one), len(other)):
+        return False
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * common >= PERCENT * (len(one) + len(other) - common)
+
+
 def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
     """(id, n_shingles, content, bands, sketch) of each row; content tells equal sets."""
 
@@ -124,9 +135,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for x, y in zip(column(batch, "text_a"), column(batch, "text_b")):
                 if x != last[0]:
                     last = x, shingles(x)
-                one, other = last[1], shingles(y)
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(one) + len(other) - common))
+                keep.append(similar(last[1], shingles(y)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # rows come sorted by the hub, so its set is made once for a run of pairs
@@ -135,6 +144,51 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between members of one family (id, component, main) that are in different components.
+
+    A family is the largest component of some bucket, main, and all that share
+    such a bucket with it. Its members are dealt into blocks, and every block of
+    those outside main meets every block: a task holds two blocks, and only
+    links leave it.
+    """
+    outside = F.col("component") != F.col("main")
+    blocks = lambda c: F.ceil(F.count_if(c) / BLOCK)
+    sizes = members.groupBy("main").agg(blocks(outside).alias("nx"), blocks(~outside).alias("ny"))
+    deal = F.pmod(F.xxhash64("id"), F.when(outside, F.col("nx")).otherwise(F.col("ny")))
+    dealt = members.join(sizes, "main").withColumn("block", F.when(outside, deal).otherwise(F.col("nx") + deal))
+    # every pair of blocks i <= j of which i is outside main
+    low = F.transform(F.sequence(F.lit(0), F.least(F.col("block"), F.col("nx") - 1)), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
+    high = F.when(F.col("block") + 1 < F.col("nx") + F.col("ny"), F.transform(F.sequence(F.col("block") + 1, F.col("nx") + F.col("ny") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))))
+    cells = dealt.withColumn("cell", F.explode(F.when(outside & high.isNotNull(), F.concat(low, high)).otherwise(low))).select("main", "cell.i", "cell.j", "block", "id", "component")
+    whole = cells.join(nodes.groupBy("id").agg(F.min("sketch").alias("sketch"), F.count("*").alias("texts")), "id").join(texts, "id")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+        one, two = frame[frame["block"] == i], frame[frame["block"] == j]
+        sketch = [np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, SKETCH) for x in (one, two)]
+        component = [x["component"].to_numpy() for x in (one, two)]
+        # an id with several texts has the sketch of one of them
+        many = [x["texts"].to_numpy() > 1 for x in (one, two)]
+        ids, words = [x["id"].to_numpy() for x in (one, two)], [x["text"].to_list() for x in (one, two)]
+        known: dict[tuple[int, int], np.ndarray] = {}
+        found = []
+
+        def values(side: int, k: int) -> np.ndarray:
+            if (side, k) not in known:
+                known[side, k] = shingles(words[side][k])
+            return known[side, k]
+
+        for x in range(len(one)):
+            likely_ = ((sketch[1] == sketch[0][x]).mean(1) >= LEAST) | many[1] | many[0][x]
+            for y in np.flatnonzero(likely_ & (component[1] != component[0][x])).tolist():
+                if (i < j or ids[0][x] < ids[1][y]) and similar(values(0, x), values(1, y)):
+                    found.append((min(ids[0][x], ids[1][y]), max(ids[0][x], ids[1][y])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return whole.groupBy("main", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of `df`.
 
@@ -170,11 +224,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     state = stored(shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "state")
     parts = state.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     apart = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1").select("bucket", F.col("most.component").alias("main"))
-    split = stored(state.join(apart, "bucket"), "apart")
-    small = split.where("component <> main").select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-    other = split.select("bucket", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
-    rest = small.join(other, "bucket").where("cx <> cy and (cy = main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(confirmed(likely(stored(rest, "rest"), nodes), texts), "links")
+    more = stored(leftovers(state.join(apart, "bucket").select("id", "component", "main").distinct(), nodes, texts), "links")
     if not more.isEmpty():
         found = components(links.union(more))
 
