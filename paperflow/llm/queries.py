@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, hosts, langid, minhash, quality, token_counts, warc
+from . import audio, bpe, decontam, hosts, langid, minhash, quality, token_counts, warc
 from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op3_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector is played as a melody; excerpts of every twentieth one are searched for among all."""
+    return audio.matched(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = stored(quality.with_statistics(docs, drop_text=True), "statistics")
@@ -64,6 +69,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
+    "op3_audio": op3_audio,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
