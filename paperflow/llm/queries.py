@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, decontam, hosts, langid, minhash, quality, token_counts, warc
+from . import audio, bpe, decontam, hosts, langid, minhash, pseudo_likelihood, quality, token_counts, warc
 from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op3_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.matched(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = stored(quality.with_statistics(docs, drop_text=True), "statistics")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op3_audio": op3_audio,
+    "op4_pseudo_likelihood": op4_pseudo_likelihood,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
