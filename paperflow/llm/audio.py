@@ -30,7 +30,7 @@ REACH = max(f[3] for f in FILTERS)
 #: Steps between the four levels of a filter.
 STEP = 0.12
 GRAY = np.array([0, 1, 3, 2], np.uint32)
-#: Recordings are linked if at their best offset at least LEAST integers are equal and at most MOST_ERRORS of the bits differ.
+#: Recordings are linked if at their best offset at least LEAST pairs of integers are equal and at most MOST_ERRORS of the bits differ.
 LEAST, MOST_ERRORS = 3, 0.25
 QUERY_EVERY = 20
 
@@ -136,9 +136,11 @@ def content(prints: Column) -> Column:
 
 
 def alignments(clips: DataFrame, whole: DataFrame) -> DataFrame:
-    """(clip, recording, offset, equal, bit_errors) at each pair's best offset, for pairs with LEAST equal integers there; (id, prints) on either side."""
-    place = lambda df, name: df.select(F.col("id").alias(name), F.posexplode("prints").alias(f"{name}_at", "value"))
-    met = place(clips, "clip").join(place(whole, "recording"), "value")
+    """(clip, recording, offset, equal, bit_errors) at each pair's best offset, for pairs with LEAST equal integers there; (id, prints) on either side. An integer counts with the one REACH frames later."""
+    # two integers that share no frame: both are rarely equal by chance, so what meets grows with the input only
+    two = F.zip_with("prints", F.slice("prints", REACH + 1, F.size("prints")), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
+    place = lambda df, name: df.select(F.col("id").alias(name), F.posexplode(two).alias(f"{name}_at", "pair")).where("pair.second is not null").select(name, f"{name}_at", "pair.*")
+    met = place(clips, "clip").join(place(whole, "recording"), ["first", "second"])
     offset = (F.col("recording_at") - F.col("clip_at")).alias("offset")
     peaks = met.groupBy("clip", "recording", offset).agg(F.count("*").alias("equal")).where(F.col("equal") >= LEAST)
     best = peaks.groupBy("clip", "recording").agg(F.max_by(F.struct("offset", "equal"), F.struct("equal", -F.abs("offset"), "offset")).alias("best")).select("clip", "recording", "best.*")
