@@ -37,8 +37,8 @@ SHARE = 0.01
 PENALTY = 12.0
 #: A language's counts are gathered by the driver, 0.5 MB each; more distinct values than this are an error in the column.
 MOST_LANGUAGES = 500
-#: Letters of texts that are labelled at once.
-GROUP = 12_000_000
+#: Letters of texts whose words step through the path together, and of those that are scored at once.
+GROUP, PART = 6_000_000, 750_000
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 UNKNOWN = "und"
 
@@ -103,7 +103,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", alpha: float =
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = column(batch, "text"), column(batch, "lang")
-            for s in slices([len(x) for x in texts], GROUP // 4):
+            for s in slices([len(x) for x in texts], PART):
                 w = words(texts[s])
                 names = sorted(set(langs[s]))
                 of_text = np.array([names.index(x) for x in langs[s]], np.int64)
@@ -181,7 +181,7 @@ def label(model: Model, texts: list[str | None], spans: bool, penalty: float) ->
         return [(UNKNOWN, 0.0, [])] * len(plain)
     parts = []
     at = 0
-    for s in slices([len(x) for x in plain], GROUP // 4):
+    for s in slices([len(x) for x in plain], PART):
         w = words(plain[s])
         parts.append((w.text + at, w.start, w.end, w.letters, scores(model, w), model.writes[w.script].any(1)))
         at += s.stop - s.start
