@@ -115,8 +115,12 @@ def harmonize_term(term: Column, labels: Mapping[str, Sequence[str]]) -> Column:
 
 def harmonize_terms(terms: Column, *maps: Mapping[str, Sequence[str]]) -> Column:
     """Distinct sorted labels of a list of terms; the maps are applied one after another."""
+
+    def through(labels: Mapping[str, Sequence[str]]):
+        return lambda t: harmonize_term(t, labels)
+
     for labels in maps:
-        terms = F.array_distinct(F.transform(terms, lambda t, m=labels: harmonize_term(t, m)))
+        terms = F.array_distinct(F.transform(terms, through(labels)))
     return F.array_sort(terms)
 
 
