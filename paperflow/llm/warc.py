@@ -116,16 +116,18 @@ def whole_records(spark: SparkSession, path: str) -> DataFrame:
     places, rows = segments(spark, path)
     good = stored(chained(places).withColumn("good", F.lit(True)), "chain")
     marked = places.where("at >= 0").join(good, ["file", "at"], "left")
-    owner = F.last(F.when(F.col("good"), F.col("at")), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    owned = marked.select("file", "block", "seq", "at", owner.alias("record"), (F.col("good") & (F.col("next") - F.col("at") == F.col("width"))).alias("alone")).where("record is not null")
-    owned = stored(owned, "owners")
+    owner = F.last(F.when(F.col("good"), F.struct(F.col("at").alias("record"), F.col("next").alias("end"))), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
+    owned = marked.select("file", "block", "seq", "at", owner.alias("owner"), (F.col("good") & (F.col("next") - F.col("at") == F.col("width"))).alias("alone")).select("file", "block", "seq", "at", "owner.*", "alone")
+    owned = stored(owned.where("record is not null and at < end"), "owners")
     keys = ["file", "block", "seq"]
     single = rows.select(*keys, "raw").join(owned.where("alone"), keys).select("file", F.col("record").alias("at"), "raw")
     parts = rows.select(*keys, "raw").join(owned.where("alone is null or not alone"), keys)
     magic = F.lit(MAGIC).cast("binary")
     together = F.sort_array(F.collect_list(F.struct("at", "raw")))
     joined = F.aggregate(F.slice(together, 2, 1_000_000_000), together[0]["raw"], lambda a, x: F.concat(a, magic, x["raw"]))
-    return single.unionByName(parts.groupBy("file", "record").agg(joined.alias("raw")).select("file", F.col("record").alias("at"), "raw"))
+    # the closing blank lines of a file's last record may be missing, nothing else
+    whole = F.octet_length("raw") + len(MAGIC) + len(END) >= F.col("end") - F.col("record")
+    return single.unionByName(parts.groupBy("file", "record", "end").agg(joined.alias("raw")).where(whole).select("file", F.col("record").alias("at"), "raw"))
 
 
 def field(head: bytes, name: str) -> str | None:
