@@ -20,9 +20,10 @@ def components(edges: DataFrame) -> DataFrame:
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("component").alias("lower"))
-        lowered = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "lower").alias("component"))
-        above = lowered.select(F.col("node").alias("component"), F.col("component").alias("jump"))
-        new = stored(lowered.join(above, "component", "left").select("node", "old", F.coalesce(F.least("component", "jump"), "component").alias("component")), "labels")
+        lowered = stored(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "lower").alias("component")), "labels")
+        # only labels in use that are themselves labelled lower: few, so that a component of very many nodes need not be shuffled to them
+        above = lowered.select("component").distinct().join(lowered.select(F.col("node").alias("component"), F.col("component").alias("jump")), "component").where("jump < component")
+        new = stored(lowered.join(above, "component", "left").select("node", "old", F.coalesce("jump", "component").alias("component")), "labels")
         if new.where("old <> component").isEmpty():
             return new.select("node", "component")
         labels = new.select("node", "component")
