@@ -64,8 +64,9 @@ def fragments(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def tag_detail(text: Column, vocabulary: Vocabulary) -> Column:
-    """Label to matched fragments, for labels that match."""
-    pairs = [c for label, ps in vocabulary.items() if ps for c in (F.lit(label), fragments(text, ps))]
+    """Label to matched fragments, for labels that match; texts without any match of a label are scanned for it once."""
+    found = lambda ps: F.when(matches(text, ps), fragments(text, ps)).otherwise(F.array().cast("array<string>"))
+    pairs = [c for label, ps in vocabulary.items() if ps for c in (F.lit(label), found(ps))]
     return F.map_filter(F.create_map(*pairs), lambda _, v: F.size(v) > 0)
 
 
