@@ -64,6 +64,14 @@ def centroids(vectors: DataFrame, label: str, vector: str = "embedding") -> Data
     return means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("centroid"))
 
 
+def centroid_table(found: DataFrame, label: str, most: int = 1000) -> dict[str, list[float]]:
+    """Centroids by label on the driver; more labels than `most` are an error, since each becomes part of a plan."""
+    rows = found.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} labels in column {label}")
+    return {str(r[label]): list(r["centroid"]) for r in rows}
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -44,6 +44,6 @@ def annotate(papers: DataFrame, attempts: DataFrame, existing: DataFrame, annota
 def similarity_graph(rows: DataFrame, papers: DataFrame, key: str, labels: Column, relevant: float = vectors.RELEVANT, uncertain: float = vectors.UNCERTAIN, least: float = graph.LEAST) -> tuple[DataFrame, DataFrame]:
     """(classified papers, edges): centroids of labelled vectors, the nearest of each vector, and the graph of neighbours."""
     labelled = rows.withColumn("_label", labels).where("_label is not null")
-    main = {r["_label"]: list(r["centroid"]) for r in vectors.centroids(labelled, "_label").limit(1000).toLocalIterator()}
+    main = vectors.centroid_table(vectors.centroids(labelled, "_label"), "_label")
     classified = vectors.classify_by_centroid(rows.select(key, "embedding"), main, {}, relevant, uncertain)
     return papers.join(classified.drop("embedding"), key, "left"), graph.similarity_edges(rows, key, least=least)

@@ -161,9 +161,9 @@ def centroids(spark, d):
 def tables(spark, d):
     """Centroids of all labels, and for label 0 those of its halves; few, so they go into the plan."""
     rows = spark.read.parquet(f"{d}/embeddings.parquet")
-    main = {str(r["label"]): list(r["centroid"]) for r in vectors.centroids(rows, "label").limit(100).toLocalIterator()}
+    main = vectors.centroid_table(vectors.centroids(rows, "label"), "label")
     own = rows.where("label = 0").withColumn("half", F.when(C("vec_id") % 2 == 0, "even").otherwise("odd"))
-    return main, {"0": {r["half"]: list(r["centroid"]) for r in vectors.centroids(own, "half").limit(100).toLocalIterator()}}
+    return main, {"0": vectors.centroid_table(vectors.centroids(own, "half"), "half")}
 
 
 MEANS = f"WITH e AS ({VECTORS}), m AS (SELECT label, list(value ORDER BY place) AS c FROM (SELECT label, place, avg(value) AS value FROM (SELECT label, unnest(range(64)) AS place, unnest(v) AS value FROM e) GROUP BY 1, 2) GROUP BY 1), h AS (SELECT half, list(value ORDER BY place) AS c FROM (SELECT half, place, avg(value) AS value FROM (SELECT CASE WHEN vec_id % 2 = 0 THEN 'even' ELSE 'odd' END AS half, unnest(range(64)) AS place, unnest(v) AS value FROM e WHERE label = 0) GROUP BY 1, 2) GROUP BY 1)"
