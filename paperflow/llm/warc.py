@@ -112,22 +112,27 @@ def chained(places: DataFrame) -> DataFrame:
 
 
 def whole_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, raw): the bytes of every verified record, its magic line left out."""
+    """(raw): the bytes of every verified record, its magic line left out.
+
+    Nearly every record is one segment, which stays where it is. The others
+    (parts of payloads with a magic line in them, and what no chain reaches) are
+    listed, and only these are joined to their bytes.
+    """
     places, rows = segments(spark, path)
     good = stored(chained(places).withColumn("good", F.lit(True)), "chain")
-    marked = places.where("at >= 0").join(good, ["file", "at"], "left")
+    marked = places.join(good, ["file", "at"], "left")
     owner = F.last(F.when(F.col("good"), F.struct(F.col("at").alias("record"), F.col("next").alias("end"))), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    owned = marked.select("file", "block", "seq", "at", owner.alias("owner"), (F.col("good") & (F.col("next") - F.col("at") == F.col("width"))).alias("alone")).select("file", "block", "seq", "at", "owner.*", "alone")
-    owned = stored(owned.where("record is not null and at < end"), "owners")
+    alone = F.coalesce(F.col("good") & (F.col("next") - F.col("at") == F.col("width")), F.lit(False))
+    others = stored(marked.select("file", "block", "seq", "at", owner.alias("owner"), alone.alias("alone")).where("not alone").select("file", "block", "seq", "at", "owner.*"), "others")
     keys = ["file", "block", "seq"]
-    single = rows.select(*keys, "raw").join(owned.where("alone"), keys).select("file", F.col("record").alias("at"), "raw")
-    parts = rows.select(*keys, "raw").join(owned.where("alone is null or not alone"), keys)
+    single = rows.select(*keys, "raw").join(others.select(*keys), keys, "left_anti").select("raw")
+    parts = rows.select(*keys, "raw").join(others.where("record is not null and at < end"), keys)
     magic = F.lit(MAGIC).cast("binary")
     together = F.sort_array(F.collect_list(F.struct("at", "raw")))
     joined = F.aggregate(F.slice(together, 2, 1_000_000_000), together[0]["raw"], lambda a, x: F.concat(a, magic, x["raw"]))
     # the closing blank lines of a file's last record may be missing, nothing else
     whole = F.octet_length("raw") + len(MAGIC) + len(END) >= F.col("end") - F.col("record")
-    return single.unionByName(parts.groupBy("file", "record", "end").agg(joined.alias("raw")).where(whole).select("file", F.col("record").alias("at"), "raw"))
+    return single.unionByName(parts.groupBy("file", "record", "end").agg(joined.alias("raw")).where(whole).select("raw"))
 
 
 def field(head: bytes, name: str) -> str | None:
@@ -170,7 +175,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
             arrays = [pa.array([r[0][n] for r in rows], kinds[x.split()[1]]) for n, x in zip(names, RECORD.split(", "))]
             yield pa.RecordBatch.from_arrays([*arrays, *([pa.array([r[1] for r in rows], pa.binary())] if payload else [])], names=[*names, *(["payload"] if payload else [])])
 
-    return whole_records(spark, path).select("raw").mapInArrow(run, schema)
+    return whole_records(spark, path).mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
