@@ -36,7 +36,7 @@ _WORD = re.compile(r"\w+|[^\w\s]+")
 
 def word_ids(text: str | None) -> np.ndarray:
     found = _WORD.findall((text or "").lower())
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in found), np.uint64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     return (hashes % np.uint64(IDS)).astype(np.int32)
 
 
@@ -82,13 +82,16 @@ def classes(counts: np.ndarray) -> Vocabulary:
     return Vocabulary(kind.astype(np.int16), np.log(smooth / total[kind]).astype(np.float32))
 
 
-def windows(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The inputs on both sides of each word; INPUTS beyond a document's ends."""
+def windows(words: np.ndarray, sizes: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """The inputs on both sides of each word, or of those at some places; INPUTS beyond a document's ends."""
     inputs = words % INPUTS
     end = np.repeat(np.cumsum(sizes), sizes)
     begin = end - np.repeat(sizes, sizes)
-    at = np.arange(len(words))
-    out = np.full((len(words), 2 * SIDE), INPUTS, np.int64)
+    if at is None:
+        at = np.arange(len(words))
+    else:
+        begin, end = begin[at], end[at]
+    out = np.full((len(at), 2 * SIDE), INPUTS, np.int64)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         there = at + d
         ok = (there >= begin) & (there < end)
@@ -142,12 +145,11 @@ def trained(rows: DataFrame, vocabulary: Vocabulary, start: dict[str, np.ndarray
                 words = np.concatenate(part)
                 if not len(words):
                     continue
-                context = windows(words, np.array([len(x) for x in part]))
                 chosen = np.flatnonzero(rng.random(len(words)) < MASKED)
                 rng.shuffle(chosen)
+                context, kind = windows(words, np.array([len(x) for x in part]), chosen), vocabulary.kind[words[chosen]].astype(np.int64)
                 for a in range(0, len(chosen), BATCH):
-                    at = chosen[a : a + BATCH]
-                    learn(net, context[at], vocabulary.kind[words[at]].astype(np.int64), memory)
+                    learn(net, context[a : a + BATCH], kind[a : a + BATCH], memory)
                 seen += len(chosen)
         if seen:
             for n in names:
