@@ -57,7 +57,7 @@ def parse_sections(text: Column) -> dict[str, Column]:
     out = {}
     for name, (own, after) in HEADERS.items():
         stop = "|".join([x for x in (after, *END) if x])
-        # possessive alternatives and a plain end keep the search linear in long texts
+        # the text grows letter by letter until a header follows, so the search is linear in long texts
         pattern = rf"(?is)(?:^|\n)(?:{own})[ \t]*\n(.*?)(?=\n(?:{stop})|\z)"
         found = strip(F.regexp_extract(plain, pattern, 1))
         out[name] = F.when(word_count(found) >= MIN_WORDS, found)
