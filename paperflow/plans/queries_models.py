@@ -94,7 +94,7 @@ def annotate_with(spark, d):
 
 
 #: Full texts with header lines around one-line sections of the documents' own words.
-FULL = r"""SELECT doc_id AS seq, trim(regexp_replace(substring(text, 1, 2500), '[\s0-9]+', ' '{g})) AS body, trim(regexp_replace(substring(text, 2501, 9000), '[\s0-9]+', ' '{g})) AS rest FROM {{documents}}"""
+FULL = r"""SELECT doc_id AS seq, trim(regexp_replace(substring(text, 1, CAST(floor(length(text) / 2) AS INT)), '[\s0-9]+', ' '{g})) AS body, trim(regexp_replace(substring(text, CAST(floor(length(text) / 2) AS INT) + 1), '[\s0-9]+', ' '{g})) AS rest FROM {{documents}}"""
 FULL_SPARK, FULL_SQL = FULL.replace("{g}", "").replace("{{", "{").replace("}}", "}"), FULL.replace("{g}", ", 'g'").replace("{{documents}}", "documents")
 
 
@@ -113,7 +113,7 @@ def parse_sections(spark, d):
     return full(spark, d, ("INTRODUCTION", "Methods", "CONCLUSION")).select("seq", *[found[n].alias(n) for n in ("introduction", "methods", "conclusion")])
 
 
-@query("extract_sections_windowed", f"WITH f AS ({FULL_SQL}) SELECT seq, {enough('body')} AS introduction, {enough('trim(substring(rest, 1, 7000))')} AS results_discussion, NULL::VARCHAR AS conclusion FROM f")
+@query("extract_sections_windowed", f"WITH f AS ({FULL_SQL}) SELECT seq, {enough('trim(substring(body, 1, 7000))')} AS introduction, {enough('trim(substring(rest, 1, 7000))')} AS results_discussion, NULL::VARCHAR AS conclusion FROM f")
 def extract_sections_windowed(spark, d):
     return sections.extract_sections_windowed(full(spark, d, ("1. Introduction.", "Results", "Conclusion")), "seq", "text").select("seq", "introduction", "results_discussion", "conclusion")
 
