@@ -14,7 +14,7 @@ import regex
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WORD_END = "</w>"
 #: Pre-tokens whose symbols are kept; beyond it the cache is emptied, so that a worker's memory is bounded.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 100_000
 
 _ASCII = re.compile("|".join([*CONTRACTIONS, r"[a-z]+", r"[0-9]", r"[^ \t-\ra-z0-9]+"]))
 _UNICODE = regex.compile("|".join([*CONTRACTIONS, r"\p{L}+", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}]+"]))

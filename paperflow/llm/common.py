@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of text per Arrow batch. Texts run to tens of kilobytes, so the default of 10,000 rows can take a worker's memory.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def bounded_batches(spark: SparkSession) -> None:

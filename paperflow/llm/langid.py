@@ -38,7 +38,7 @@ PENALTY = 12.0
 #: A language's counts are gathered by the driver, 0.5 MB each; more distinct values than this are an error in the column.
 MOST_LANGUAGES = 500
 #: Letters of texts whose words step through the path together, and of those that are scored at once.
-GROUP, PART = 6_000_000, 750_000
+GROUP, PART = 4_000_000, 400_000
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 UNKNOWN = "und"
 
