@@ -2,9 +2,10 @@
 
 A recording's frames are reduced to 12 pitch classes. Sixteen filters compare
 sums of rectangles of that image, each looked up in its integral image, and give
-two bits each: a 32-bit integer for each frame. Two recordings are aligned at
-the offset at which most of their integers are equal, and compared there by the
-bits in which they differ.
+two bits each: a 32-bit integer for each frame. Recordings are compared by the
+bits in which they differ at an offset. Offsets to compare at are looked up by
+signs only, the steadier of each filter's bits: a clip is looked up from several
+places between two frames, and with its least certain signs either way.
 """
 
 from __future__ import annotations
@@ -30,8 +31,14 @@ REACH = max(f[3] for f in FILTERS)
 #: Steps between the four levels of a filter.
 STEP = 0.12
 GRAY = np.array([0, 1, 3, 2], np.uint32)
-#: Recordings are linked if at their best offset at least LEAST pairs of integers are equal and at most MOST_ERRORS of the bits differ.
+#: Recordings are linked if at their best offset at most MOST_ERRORS of the bits differ; one that covers less than half a clip needs LEAST equal pairs of integers as well.
 LEAST, MOST_ERRORS = 3, 0.25
+#: A clip need not begin on a frame of the recording: it is looked up from these samples on.
+SHIFTS = tuple(range(0, HOP, HOP // 4))
+#: Of the signs of a key, this many of the least certain ones are tried either way.
+UNSURE = 3
+#: The bits of an integer that hold the signs.
+SIGNS = 0xAAAAAAAA
 QUERY_EVERY = 20
 
 
@@ -56,11 +63,12 @@ def chroma(samples: np.ndarray) -> np.ndarray:
     return np.where(length > 1e-3, out / np.maximum(length, 1e-3), 0)
 
 
-def fingerprint(image: np.ndarray) -> np.ndarray:
-    """A packed integer for each frame that has REACH frames from it on."""
-    n = len(image) - REACH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint32)
+def ratios(image: np.ndarray) -> np.ndarray:
+    """The filters' values for each frame that has REACH frames from it on."""
+    n = max(0, len(image) - REACH + 1)
+    out = np.zeros((n, len(FILTERS)))
+    if not n:
+        return out
     whole = np.zeros((len(image) + 1, 13))
     whole[1:, 1:] = image.cumsum(0).cumsum(1)
     at = np.arange(n)
@@ -68,7 +76,6 @@ def fingerprint(image: np.ndarray) -> np.ndarray:
     def area(t0: int, t1: int, y0: int, y1: int) -> np.ndarray:
         return whole[at + t1, y1] - whole[at + t0, y1] - whole[at + t1, y0] + whole[at + t0, y0]
 
-    out = np.zeros(n, np.uint32)
     for k, (kind, y, h, w) in enumerate(FILTERS):
         total, t, p = area(0, w, y, y + h), w // 2, h // 2
         if kind == 0:
@@ -89,11 +96,42 @@ def fingerprint(image: np.ndarray) -> np.ndarray:
         else:
             one = area(w // 3, w - w // 3, y, y + h)
             other = total - one
-        ratio = np.log((1 + one) / (1 + other))
-        out |= GRAY[np.digitize(ratio, (-STEP, 0, STEP))] << np.uint32(2 * k)
+        out[:, k] = np.log((1 + one) / (1 + other))
+    return out
+
+
+def packed(values: np.ndarray) -> np.ndarray:
+    """An integer for each frame: two bits of each filter, of which the higher is its sign."""
+    out = np.zeros(len(values), np.uint32)
+    for k in range(len(FILTERS)):
+        out |= GRAY[np.digitize(values[:, k], (-STEP, 0, STEP))] << np.uint32(2 * k)
     return out
 
 
+def fingerprint(image: np.ndarray) -> np.ndarray:
+    """A packed integer for each frame that has REACH frames from it on."""
+    return packed(ratios(image))
+
+
+def lookups(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places): what a clip is looked up by, as `sign_key` has it, from all SHIFTS and with its UNSURE least certain signs either way."""
+    keys, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for shift in SHIFTS:
+        values = ratios(chroma(samples[shift:]))
+        n = len(values) - REACH
+        if n <= 0:
+            continue
+        signs = packed(values).astype(np.int64) & SIGNS
+        key = signs[:n] | signs[REACH:] >> 1
+        bits = np.r_[2 * np.arange(len(FILTERS)) + 1, 2 * np.arange(len(FILTERS))]
+        weak = np.argpartition(np.abs(np.c_[values[:n], values[REACH:]]), UNSURE, axis=1)[:, :UNSURE]
+        for turned in range(1 << UNSURE):
+            keys.append(key ^ sum(((1 << bits[weak[:, b]]) for b in range(UNSURE) if turned >> b & 1), np.zeros(n, np.int64)))
+            places.append(np.arange(n))
+    both = np.unique(np.stack([np.concatenate(keys), np.concatenate(places)]), axis=1)
+    return both[0], both[1]
+
+
 def rendered(notes: list[float | None], note_samples: int = 256) -> np.ndarray:
     """16-bit samples of a melody: a note for each number, 48 semitones to one, silence for null and not-a-number."""
     values = np.array([np.nan if x is None else x for x in notes], float)
@@ -131,25 +169,60 @@ def fingerprint_of(pcm: pd.Series) -> pd.Series:
     return pcm.map(lambda x: None if x is None else fingerprint(chroma(np.frombuffer(x, np.int16).astype(float))).astype(np.int64))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def lookups_of(pcm: pd.Series) -> pd.Series:
+    """Lookups of 16-bit PCM at RATE, the place in the lower 31 bits; null for null."""
+
+    def one(x: bytes | None) -> np.ndarray | None:
+        if x is None:
+            return None
+        keys, places = lookups(np.frombuffer(x, np.int16).astype(float))
+        return keys << 31 | places
+
+    return pcm.map(one)
+
+
 def content(prints: Column) -> Column:
     return F.sha1(F.array_join(prints, ",").cast("binary"))
 
 
+def sign_key(first: Column, second: Column) -> Column:
+    """The signs of two integers REACH frames apart, which share no frame: rarely equal by chance."""
+    return first.bitwiseAND(F.lit(SIGNS)).bitwiseOR(F.shiftright(second.bitwiseAND(F.lit(SIGNS)), 1))
+
+
+def compared(whole: np.ndarray, clip: np.ndarray, offsets: np.ndarray) -> tuple[int, int, float] | None:
+    """(offset, equal, bit_errors) where most bits are left below MOST_ERRORS of those compared, of some offsets and their neighbours."""
+    best = None
+    for at in np.unique(np.concatenate([offsets - 1, offsets, offsets + 1])).tolist():
+        start, skip = max(at, 0), max(-at, 0)
+        n = min(len(whole) - start, len(clip) - skip)
+        if n <= 0:
+            continue
+        different = whole[start : start + n] ^ clip[skip : skip + n]
+        wrong, same = int(np.bitwise_count(different).sum()), different == 0
+        if wrong > MOST_ERRORS * 32 * n or (2 * n < len(clip) and (same[:-REACH] & same[REACH:]).sum() < LEAST):
+            continue
+        rank = (MOST_ERRORS * 32 * n - wrong, -abs(at), at)
+        if best is None or rank > best[0]:
+            best = rank, (at, int(same.sum()), wrong / (32.0 * n))
+    return best and best[1]
+
+
+@F.pandas_udf(T.StructType([T.StructField("offset", T.IntegerType()), T.StructField("equal", T.LongType()), T.StructField("bit_errors", T.DoubleType())]))
+def comparison(prints: pd.Series, clip_prints: pd.Series, offsets: pd.Series) -> pd.DataFrame:
+    found = [compared(np.asarray(x, np.int64).astype(np.uint32), np.asarray(y, np.int64).astype(np.uint32), np.asarray(o, np.int64)) or (None, None, None) for x, y, o in zip(prints, clip_prints, offsets)]
+    return pd.DataFrame({"offset": pd.array([f[0] for f in found], "Int32"), "equal": pd.array([f[1] for f in found], "Int64"), "bit_errors": pd.array([f[2] for f in found], "Float64")})
+
+
 def alignments(clips: DataFrame, whole: DataFrame) -> DataFrame:
-    """(clip, recording, offset, equal, bit_errors) at each pair's best offset, for pairs with LEAST equal integers there; (id, prints) on either side. An integer counts with the one REACH frames later."""
-    # two integers that share no frame: both are rarely equal by chance, so what meets grows with the input only
-    two = F.zip_with("prints", F.slice("prints", REACH + 1, F.size("prints")), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
-    place = lambda df, name: df.select(F.col("id").alias(name), F.posexplode(two).alias(f"{name}_at", "pair")).where("pair.second is not null").select(name, f"{name}_at", "pair.*")
-    met = place(clips, "clip").join(place(whole, "recording"), ["first", "second"])
-    offset = (F.col("recording_at") - F.col("clip_at")).alias("offset")
-    peaks = met.groupBy("clip", "recording", offset).agg(F.count("*").alias("equal")).where(F.col("equal") >= LEAST)
-    best = peaks.groupBy("clip", "recording").agg(F.max_by(F.struct("offset", "equal"), F.struct("equal", -F.abs("offset"), "offset")).alias("best")).select("clip", "recording", "best.*")
-    both = best.join(clips.toDF("clip", "clip_prints"), "clip").join(whole.toDF("recording", "prints"), "recording")
-    start, skip = F.greatest(F.col("offset"), F.lit(0)), F.greatest(-F.col("offset"), F.lit(0))
-    length = F.least(F.size("prints") - start, F.size("clip_prints") - skip)
-    pairs = F.arrays_zip(F.slice("prints", start + 1, length).alias("x"), F.slice("clip_prints", skip + 1, length).alias("y"))
-    wrong = F.aggregate(pairs, F.lit(0).cast("long"), lambda a, p: a + F.bit_count(p["x"].bitwiseXOR(p["y"])))
-    return both.select("clip", "recording", "offset", "equal", (wrong / (32.0 * length)).alias("bit_errors"))
+    """(clip, recording, offset, equal, bit_errors) at each pair's best offset, for pairs within MOST_ERRORS there that share a key; clips (id, prints, lookups) and recordings (id, prints)."""
+    keys = F.zip_with("prints", F.slice("prints", REACH + 1, F.size("prints")), sign_key)
+    index = whole.select(F.col("id").alias("recording"), F.posexplode(keys).alias("recording_at", "key")).where("key is not null")
+    asked = clips.select(F.col("id").alias("clip"), F.explode("lookups").alias("sought")).select("clip", F.shiftright("sought", 31).alias("key"), F.col("sought").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
+    met = asked.join(index, "key").groupBy("clip", "recording").agg(F.collect_set(F.col("recording_at") - F.col("at")).alias("offsets"))
+    both = met.join(clips.select(F.col("id").alias("clip"), F.col("prints").alias("clip_prints")), "clip").join(whole.toDF("recording", "prints"), "recording")
+    return both.select("clip", "recording", comparison("prints", "clip_prints", "offsets").alias("best")).select("clip", "recording", "best.*").where("offset is not null")
 
 
 def matched(df: DataFrame, key: str, notes: str) -> DataFrame:
@@ -163,13 +236,13 @@ def matched(df: DataFrame, key: str, notes: str) -> DataFrame:
     shorter than REACH frames have no fingerprint: class_id is their own id.
     """
     bounded_batches(df.sparkSession)
-    made = recordings(df, key, notes).select("id", fingerprint_of("recording").alias("prints"), fingerprint_of("clip").alias("clip_prints"))
+    made = recordings(df, key, notes).select("id", fingerprint_of("recording").alias("prints"), fingerprint_of("clip").alias("clip_prints"), lookups_of("clip").alias("lookups"))
     rows = stored(made.withColumn("content", F.when(F.size("prints") > 0, content(F.col("prints")))).withColumn("clip_content", F.when(F.size("clip_prints") > 0, content(F.col("clip_prints")))), "prints")
     classes = stored(rows.where("content is not null and id is not null").groupBy("content").agg(F.min("id").alias("class_id")), "classes")
     asked = rows.where("clip_content is not null and id is not null").groupBy("clip_content").agg(F.min("id").alias("clip_id"))
     whole = rows.select("id", "content", "prints").join(classes, (rows["id"] == classes["class_id"]) & (rows["content"] == classes["content"]), "left_semi").select("id", "prints").dropDuplicates(["id"])
-    clips = rows.select("id", "clip_content", "clip_prints").join(asked.select(F.col("clip_id").alias("id"), "clip_content"), ["id", "clip_content"], "left_semi").select("id", "clip_prints", "clip_content").dropDuplicates(["id"])
-    found = alignments(clips.select("id", F.col("clip_prints").alias("prints")), whole).where(F.col("bit_errors") <= MOST_ERRORS)
+    clips = rows.select("id", "clip_content", "clip_prints", "lookups").join(asked.select(F.col("clip_id").alias("id"), "clip_content"), ["id", "clip_content"], "left_semi").select("id", "clip_prints", "lookups", "clip_content").dropDuplicates(["id"])
+    found = alignments(clips.select("id", F.col("clip_prints").alias("prints"), "lookups"), whole).where(F.col("bit_errors") <= MOST_ERRORS)
     order = F.struct("bit_errors", -F.col("equal"), "recording")
     best = found.groupBy("clip").agg(F.min_by(F.struct("recording", "offset", "bit_errors"), order).alias("best"), F.count("*").alias("n_matches"))
     answers = clips.select(F.col("id").alias("clip"), "clip_content").join(best, "clip").select("clip_content", F.col("best.recording").alias("match_class"), F.col("best.offset").cast("long").alias("match_offset"), F.round("best.bit_errors", 6).alias("bit_errors"), "n_matches")

@@ -121,6 +121,25 @@ def test_alignment_as_brute_force(spark):
         assert (r["match_class"], r["match_offset"]) == (k, at) and abs(r["bit_errors"] - error) < 1e-6
 
 
+def test_excerpts_off_the_hop_and_noisy_ones(spark, data):
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").select("embedding").distinct().orderBy("embedding").limit(60).collect()
+    songs = [audio.rendered(r["embedding"]) for r in rows]
+    rng, clips = np.random.default_rng(8), []
+    for n, s in enumerate(songs):
+        for k, (shift, noise) in enumerate([(32, 600), (64, 600), (96, 600), (0, 4000), (64, 4000)]):
+            part = s[4096 + shift : 12288 + shift].astype(float)
+            clips.append((10 * n + k, np.clip(part + rng.normal(0, noise, len(part)), -32768, 32767).astype(np.int16).tobytes()))
+    whole = spark.createDataFrame([(n, s.tobytes()) for n, s in enumerate(songs)], "id long, pcm binary").select("id", audio.fingerprint_of("pcm").alias("prints"))
+    asked = spark.createDataFrame(clips, "id long, pcm binary").select("id", audio.fingerprint_of("pcm").alias("prints"), audio.lookups_of("pcm").alias("lookups"))
+    got = {(r["clip"], r["recording"]): (r["offset"], r["bit_errors"]) for r in audio.alignments(asked, whole).collect()}
+    prints = {r["id"]: np.array(r["prints"]) for r in whole.collect()}
+    for clip_id, pcm in clips:
+        x, y = prints[clip_id // 10], audio.fingerprint(audio.chroma(np.frombuffer(pcm, np.int16).astype(float))).astype(np.int64)
+        wanted = min((np.bitwise_count(x[at : at + len(y)] ^ y).sum() / (32 * len(y)), at) for at in range(len(x) - len(y) + 1))
+        assert wanted[0] <= audio.MOST_ERRORS
+        assert abs(got[clip_id, clip_id // 10][1] - wanted[0]) < 1e-9
+
+
 def test_odd_recordings(spark):
     rows = [(1000, None), (1020, []), (1040, [None] * 64), (None, [0.1] * 64), (1060, [float("nan"), 0.2]), (1080, [0.1, -0.2] * 32), (1081, [0.1, -0.2] * 32), (1080, [0.1, -0.2] * 32)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
