@@ -189,6 +189,13 @@ def leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFra
     return whole.groupBy("main", "i", "j").applyInPandas(run, "a long, b long")
 
 
+def versions(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of all texts that share an id."""
+    many = sets.groupBy("id").agg(F.min("content").alias("least"), F.max("content").alias("most")).where("least <> most").select("id")
+    of_id = stored(sets.select("id", "content").join(many, "id", "left_semi").distinct().join(classes.withColumnRenamed("id", "representative"), "content").select("id", "representative"), "versions")
+    return of_id.groupBy("id").agg(F.min("representative").alias("a")).join(of_id, "id").select("a", F.col("representative").alias("b")).where("a <> b").distinct()
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of `df`.
 
@@ -214,7 +221,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     stars = stored(shared.select("bucket", F.col("id").alias("b")).join(hubs, "bucket").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
     involved = shared.select("id").distinct()
     texts = stored(df.select(F.col(key).alias("id"), F.col(text).alias("text")).join(involved, "id", "left_semi").dropDuplicates(), "texts")
-    links = stored(confirmed(likely(stars, nodes), texts), "links")
+    links = stored(confirmed(likely(stars, nodes), texts).union(versions(sets, classes)), "links")
     if not links.isEmpty():
         found = components(links)
     else:
@@ -229,6 +236,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         found = components(links.union(more))
 
     of_class = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select("content", F.coalesce("component", "id").alias("component_id"))
-    joined = rows.select("id", "n_shingles", "content").join(of_class, "content", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    # a row without words belongs to the other texts of its id
+    wordless = rows.where("content is null and id is not null").select("id").distinct()
+    of_id = sets.select("id", "content").join(wordless, "id", "left_semi").join(of_class, "content").groupBy("id").agg(F.min("component_id").alias("of_id"))
+    joined = rows.select("id", "n_shingles", "content").join(of_class, "content", "left").join(of_id, "id", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "of_id", "id"))
     return joined.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -91,6 +91,14 @@ def test_leftovers_alone_find_all_links(spark):
     assert got == wanted and wanted
 
 
+def test_texts_of_one_id_link_their_copies(spark, words):
+    a, b, c, d = (" ".join(words(40)) for _ in range(4))
+    rows = [(3, a), (5, b), (7, a), (7, b), (9, c), (8, c), (8, d), (4, d), (11, ""), (11, c), (12, "")]
+    got = result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows)
+    assert {k: v for k, _, v, _ in got} == {3: 3, 5: 3, 7: 3, 9: 4, 8: 4, 4: 4, 11: 4, 12: 12}
+
+
 def test_extremes_are_unbiased():
     rng = random.Random(1)
     a = [rng.randrange(2**64) for _ in range(3000)]
