@@ -25,8 +25,7 @@ from .common import bounded_batches, column, stored
 IDS, INPUTS, OWN, SHARED = 1 << 18, 1 << 13, 96, 32
 CLASSES = OWN + SHARED
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-#: Of every document's words this share is masked while training; every document takes part.
-MASKED, BATCH, RATE, SEED = 0.15, 512, 0.004, 5
+BATCH, RATE, SEED = 512, 0.004, 5
 #: Words scored at once.
 BLOCK = 8192
 SHAPES = {"words": (INPUTS + 1, WIDTH), "mix": (2 * SIDE * WIDTH, HIDDEN), "shift": (HIDDEN,), "out": (HIDDEN, CLASSES), "bias": (CLASSES,)}
@@ -107,12 +106,14 @@ def initial(counts: np.ndarray, kind: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def learn(net: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, memory: dict) -> None:
-    """One step of Adam on the masked words' cross-entropy, in place."""
+    """One step of Adam on the words' cross-entropy, in place."""
     n = len(target)
     x = net["words"][context].reshape(n, -1)
     hidden = np.tanh(x @ net["mix"] + net["shift"])
-    logits = hidden @ net["out"] + net["bias"]
-    p = np.exp(logits - logits.max(1, keepdims=True))
+    p = hidden @ net["out"]
+    p += net["bias"]
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
     p /= p.sum(1, keepdims=True)
     p[np.arange(n), target] -= 1
     p /= n
@@ -127,9 +128,13 @@ def learn(net: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, m
     # word vectors take a plain step of adapted length, only those in the window
     g = (back @ net["mix"].T).reshape(-1, WIDTH)
     seen = memory.setdefault("seen", np.full(INPUTS + 1, 1e-6, np.float32))
-    flat = context.ravel()
-    np.add.at(seen, flat, (g * g).sum(1))
-    np.add.at(net["words"], flat, -0.05 * g / np.sqrt(seen[flat])[:, None])
+    flat = context.ravel().astype(np.int16)
+    order = np.argsort(flat, kind="stable")
+    flat, g = flat[order], g[order]
+    begin = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    some = flat[begin]
+    seen[some] += np.add.reduceat((g * g).sum(1), begin)
+    net["words"][some] -= 0.05 * np.add.reduceat(g, begin, axis=0) / np.sqrt(seen[some])[:, None]
 
 
 def trained(rows: DataFrame, vocabulary: Vocabulary, start: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -145,8 +150,8 @@ def trained(rows: DataFrame, vocabulary: Vocabulary, start: dict[str, np.ndarray
                 words = np.concatenate(part)
                 if not len(words):
                     continue
-                chosen = np.flatnonzero(rng.random(len(words)) < MASKED)
-                rng.shuffle(chosen)
+                # a window never holds its own word, so every word of every document is a target
+                chosen = rng.permutation(len(words))
                 context, kind = windows(words, np.array([len(x) for x in part]), chosen), vocabulary.kind[words[chosen]].astype(np.int64)
                 for a in range(0, len(chosen), BATCH):
                     learn(net, context[a : a + BATCH], kind[a : a + BATCH], memory)

@@ -147,6 +147,19 @@ def test_pseudo_likelihood_as_one_word_at_a_time():
             assert abs(got[i] - wanted) < 1e-3
 
 
+@pytest.mark.parametrize("n", [2, 40])
+def test_every_word_is_a_target(spark, n):
+    text = " ".join(f"word{k}" for k in range(n))
+    rows = pseudo_likelihood.with_ids(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
+    counts = np.bincount(pseudo_likelihood.word_ids(text), minlength=pseudo_likelihood.IDS)
+    vocab = pseudo_likelihood.classes(counts)
+    start = pseudo_likelihood.initial(counts, vocab.kind)
+    net = pseudo_likelihood.trained(rows, vocab, start)
+    own = vocab.kind[pseudo_likelihood.word_ids(text)]
+    assert (net["bias"][own] != start["bias"][own]).all()
+    assert (net["words"][pseudo_likelihood.word_ids(text) % pseudo_likelihood.INPUTS] != start["words"][pseudo_likelihood.word_ids(text) % pseudo_likelihood.INPUTS]).any(1).all()
+
+
 @pytest.mark.parametrize("name", ["op5_quality", "op10_language_id"])
 def test_all_rows_come_back(spark, data, documents, name):
     assert queries.QUERIES[name](spark, data).count() == documents.count()
