@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text
 from ..operators import dedupe, graph, merge, scoring, sections, stats, vectors
 from ..streaming import attempts
 from .corpus import ANNOTATED, ATTEMPTS, CURATED, PAPERS, POOL, scratch, sql_of, view
@@ -137,9 +138,14 @@ def section_flags(spark, d):
     return sections.section_flags(rows, "text", "from", ["methods"]).select("seq", C("full_text_extraction_status").alias("status"), C("full_text_extraction_error").alias("error"), "has_methods_section")
 
 
+def embedded(spark, d):
+    """(seq, embedding) of whole documents: title and abstract."""
+    return vectors.embed_text(papers(spark, d).select("seq", text.embedding_text([C("title"), C("abstract")]).alias("text")), "seq", "text")
+
+
 @query("embed_text")
 def embed_text(spark, d):
-    found = vectors.embed_text(papers(spark, d).select("seq", "title"), "seq", "title")
+    found = embedded(spark, d)
     return found.select("seq", F.size("embedding").cast("long").alias("n"), F.round(vectors.dot(C("embedding"), C("embedding")), 4).alias("length"))
 
 

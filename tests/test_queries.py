@@ -1,7 +1,11 @@
 """Every corpus query against its SQL; queries without SQL against what their result must satisfy."""
 
+import re
+
+import numpy as np
 import pytest
 
+from paperflow.operators import vectors
 from paperflow.plans import queries_jobs, queries_models, queries_tables, queries_text  # noqa: F401
 from paperflow.plans.registry import QUERIES, SQL
 
@@ -25,6 +29,19 @@ def test_html_to_text(spark, data):
         assert r["text"].startswith(title.replace("&amp;", "&").strip()[:20])
 
 
+def test_embeddings_are_of_whole_documents(spark, data):
+    got = {r["seq"]: r["embedding"] for r in queries_models.embedded(spark, data).collect()}
+    encode = vectors.hashed_encoder()
+    docs = spark.read.parquet(f"{data}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        title, _, rest = r["text"].partition("\n")
+        joined = re.sub(r"\s+", " ", f"{title}. {rest}", flags=re.ASCII).strip()
+        joined = re.sub(r"\s*\.\s*\.", ". ", joined, flags=re.ASCII).strip()
+        joined = re.sub(r"\s*\.\s*", ". ", joined, flags=re.ASCII).strip()
+        assert np.allclose(got[r["doc_id"]], encode([joined])[0], atol=1e-6)
+
+
 def test_embed_text(spark, data):
     assert all(r["n"] == 64 and r["length"] == 1.0 for r in QUERIES["embed_text"](spark, data).collect())
 
