@@ -26,10 +26,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperflow.llm import hosts, langid, pseudo_likelihood, quality, queries
+from paperflow.llm import hosts, langid, quality, queries
 from paperflow.llm.common import fold
 
 BIG = "/root/testdata/sf0.01"
@@ -114,52 +114,6 @@ def test_hosts_odd_urls_and_reputation(spark):
     assert hosts.judged(spark.createDataFrame(urls, "page_id long, url string"), outcomes.limit(0)).count() == len(urls)
 
 
-def test_pseudo_likelihood(spark, odd):
-    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text")
-    rng = random.Random(1)
-    shuffled = [(10**6 + r["doc_id"], " ".join(sorted(r["text"].split(), key=lambda _: rng.random()))) for r in docs.limit(60).collect()]
-    noise = [(2 * 10**6 + n, " ".join("".join(rng.choice("qxzjkv") for _ in range(7)) for _ in range(80))) for n in range(20)]
-    df = docs.union(odd.select("doc_id", "text")).union(spark.createDataFrame(shuffled + noise, "doc_id long, text string"))
-    got = pseudo_likelihood.scored(df).collect()
-    assert len(got) == df.count()
-    own = [r["per_word"] for r in got if r["doc_id"] is not None and r["doc_id"] < 60 and r["n_words"]]
-    assert np.mean(own) > np.mean([r["per_word"] for r in got if r["doc_id"] is not None and r["doc_id"] >= 2 * 10**6])
-    blank = [r for r in got if r["doc_id"] in (900001, 900002, 900003)]
-    assert all((r["n_words"], r["pll"], r["per_word"]) == (0, 0.0, None) for r in blank)
-    assert pseudo_likelihood.scored(odd.limit(0)).count() == 0
-
-
-def test_pseudo_likelihood_as_one_word_at_a_time():
-    rng = np.random.default_rng(2)
-    counts = rng.integers(0, 50, pseudo_likelihood.IDS)
-    vocab = pseudo_likelihood.classes(counts)
-    assert np.allclose(np.bincount(vocab.kind, np.exp(vocab.within), pseudo_likelihood.CLASSES), 1, atol=1e-3)
-    net = {n: rng.normal(size=s).astype(np.float32) * 0.3 for n, s in pseudo_likelihood.SHAPES.items()}
-    sizes = np.array([3, 0, 1, 7])
-    words = rng.integers(0, pseudo_likelihood.IDS, sizes.sum()).astype(np.int32)
-    got = pseudo_likelihood.log_probabilities(net, vocab, words, sizes)
-    for text in np.split(np.arange(sizes.sum()), np.cumsum(sizes)[:-1]):
-        for k, i in enumerate(text):
-            near = [text[k + d] if 0 <= k + d < len(text) else None for d in (-2, -1, 1, 2)]
-            x = np.concatenate([net["words"][words[j] % pseudo_likelihood.INPUTS if j is not None else pseudo_likelihood.INPUTS] for j in near])
-            logits = np.tanh(x @ net["mix"] + net["shift"]) @ net["out"] + net["bias"]
-            wanted = logits[vocab.kind[words[i]]] - np.log(np.exp(logits).sum()) + vocab.within[words[i]]
-            assert abs(got[i] - wanted) < 1e-3
-
-
-@pytest.mark.parametrize("n", [2, 40])
-def test_every_word_is_a_target(spark, n):
-    text = " ".join(f"word{k}" for k in range(n))
-    rows = pseudo_likelihood.with_ids(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
-    counts = np.bincount(pseudo_likelihood.word_ids(text), minlength=pseudo_likelihood.IDS)
-    vocab = pseudo_likelihood.classes(counts)
-    start = pseudo_likelihood.initial(counts, vocab.kind)
-    net = pseudo_likelihood.trained(rows, vocab, start)
-    own = vocab.kind[pseudo_likelihood.word_ids(text)]
-    assert (net["bias"][own] != start["bias"][own]).all()
-    assert (net["words"][pseudo_likelihood.word_ids(text) % pseudo_likelihood.INPUTS] != start["words"][pseudo_likelihood.word_ids(text) % pseudo_likelihood.INPUTS]).any(1).all()
-
-
 @pytest.mark.parametrize("name", ["op5_quality", "op10_language_id"])
 def test_all_rows_come_back(spark, data, documents, name):
     assert queries.QUERIES[name](spark, data).count() == documents.count()
