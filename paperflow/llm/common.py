@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,17 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session's setting for the jobs within; here: shuffled data go when the table made from them is written."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share (in tests, where it is unset, below the warehouse)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -29,7 +41,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path, **options)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -35,8 +35,8 @@ OWN, SHARED = 40, 24
 CLASSES = OWN + SHARED
 #: The most frequent types by whose company all types are told apart.
 COMPANY = 64
-SIDE, WIDTH, HIDDEN = 2, 16, 32
-BATCH, SEED = 1024, 5
+SIDE, WIDTH, HIDDEN = 2, 16, 24
+BATCH, SEED = 2048, 5
 #: Steps of the first network and of those that go on from it; they shrink to a tenth, and to nothing.
 RATE, LATER = 0.01, 0.004
 #: Words of a training group, and documents whose repeats a task adds up before it sends them.

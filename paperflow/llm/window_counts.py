@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,21 +26,23 @@ from .minhash import mixed
 
 #: Words of a chunk (a longer text is a chunk of its own), documents of one, and keys of a bucket.
 CHUNK_WORDS, CHUNK_TEXTS, BUCKET_KEYS = 1_000_000, 50_000, 2_000_000
-#: The lower bits of a word's key tell its last letters.
-ENDINGS, LAST = 1 << 10, 3
-#: Letters of a long text that are split into words at once.
+#: A word's key has BITS bits, of which the lower ones tell its last letters.
+BITS, ENDINGS, LAST = 48, 1 << 10, 3
+#: Letters that are split into words at once; longer texts are cut between words.
 PIECE = 1 << 20
+#: Multiplier of the words' hashes, and its inverse modulo 2^64.
+POWER = 0x9E3779B97F4A7C15
+INVERSE = pow(POWER, -1, 1 << 64)
 #: Words that make up at least this share of the corpus are listed: at most 2^18 words.
 LISTED = 1 / (1 << 18)
 EDGE = np.uint64(0x9E3779B97F4A7C15)
 LEFT, RIGHT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
-_WORD = re.compile(r"\w+|[^\w\s]+")
 _SPACE = re.compile(r"\s")
 
 CHUNKS = "chunk long, ids array<long>, sizes array<int>, vocab binary, at binary"
 SENT = "bucket long, chunk long, vocab binary, vocab_n binary, windows binary, windows_n binary"
-MET = "chunk long, bucket long, vocab binary, total binary, some binary, known binary, left binary"
+MET = "chunk long, bucket long, vocab binary, total binary, some binary, same binary, others binary, kinds binary"
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -63,12 +65,34 @@ def risen(raw: bytes, kind: type) -> np.ndarray:
     return np.cumsum(unpacked(raw, kind), dtype=kind)
 
 
-class Index(dict):
-    """Words by the order in which they were first asked for."""
+@lru_cache(maxsize=1)
+def letter_kinds() -> np.ndarray:
+    """0 for white space, 1 for letters, digits and the underscore, 2 for all else, by code point."""
+    letters = np.arange(0x110000, dtype=np.uint32).view("<U1")
+    kinds = np.where(np.char.isalnum(letters), 1, np.where(np.char.isspace(letters), 0, 2)).astype(np.uint8)
+    kinds[ord("_")] = 1
+    return kinds
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
+
+@lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """POWER to the 0, 1, 2 and so on, and INVERSE, modulo 2^64."""
+    out = np.empty((2, 1 << 12), np.uint64)
+    for row, base in zip(out, (POWER, INVERSE)):
+        row[:] = base
+        row[0] = 1
+        np.cumprod(row, out=row)
+    return out[0], out[1]
+
+
+def power_of(place: np.ndarray, which: int) -> np.ndarray:
+    """A power for each place up to 2^24."""
+    low = powers()[which]
+    high = np.empty(1 << 12, np.uint64)
+    high[:] = pow((POWER, INVERSE)[which], 1 << 12, 1 << 64)
+    high[0] = 1
+    np.cumprod(high, out=high)
+    return low[place & 0xFFF] * high[place >> 12]
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -80,33 +104,62 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def word_keys(words: list[str]) -> np.ndarray:
-    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    last = np.fromiter((xxhash.xxh3_64_intdigest(w[-LAST:]) for w in words), np.uint64, len(words))
-    return whole & ~np.uint64(ENDINGS - 1) | last & np.uint64(ENDINGS - 1)
+def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of the words of all texts, number of words of each): runs of letters and digits, or of neither, in lower case."""
+    code = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = letter_kinds()[code]
+    change = np.flatnonzero(np.diff(kind, prepend=np.uint8(0), append=np.uint8(0)))
+    # text ends in white space, so every change but those to white space begins a word, and the next change ends it
+    begins = np.flatnonzero(kind[np.minimum(change, len(kind) - 1)] > 0)
+    first = change[begins]
+    end = change[begins + 1] if len(begins) else first
+    letters = code.astype(np.uint64)
+    sums = np.zeros(len(code) + 1, np.uint64)
+    place = np.arange(len(code))
+    np.cumsum(letters * power_of(place, 0), out=sums[1:])
+    whole = mixed(mixed((sums[end] - sums[first]) * power_of(first, 1)) + (end - first).astype(np.uint64))
+    last = letters[end - 1]
+    for k in range(2, LAST + 1):
+        last = last << np.uint64(21) | np.where(end - k >= first, letters[np.maximum(end - k, 0)], np.uint64(0))
+    keys = whole >> np.uint64(64 - BITS) & ~np.uint64(ENDINGS - 1) | mixed(last) & np.uint64(ENDINGS - 1)
+    begin = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    return keys, np.diff(np.searchsorted(first, begin))
 
 
 class Chunk:
+    """Words of documents; texts are held until there are enough letters to split."""
+
     def __init__(self) -> None:
-        self.index, self.ids, self.at, self.sizes, self.size = Index(), [], [], [], 0
+        self.ids, self.keys, self.sizes, self.held, self.letters, self.size = [], [], [], [], 0, 0
+
+    def split(self) -> None:
+        keys, sizes = word_keys([x for _, x in self.held])
+        for (n, _), size in zip(self.held, sizes.tolist()):
+            self.sizes[n] += size
+        self.keys.append(keys)
+        self.size += len(keys)
+        self.held, self.letters = [], 0
 
     def add(self, key: int | None, text: str | None) -> None:
-        n = 0
-        for piece in pieces((text or "").lower()):
-            found = _WORD.findall(piece)
-            self.at.append(np.fromiter(map(self.index.__getitem__, found), np.uint32, len(found)))
-            n += len(found)
         self.ids.append(key)
-        self.sizes.append(n)
-        self.size += n
+        self.sizes.append(0)
+        for piece in pieces((text or "").lower()):
+            self.held.append((len(self.ids) - 1, piece))
+            self.letters += len(piece)
+            if self.letters >= PIECE:
+                self.split()
 
     def row(self, chunk: int) -> pa.RecordBatch:
-        kind = np.uint16 if len(self.index) <= 1 << 16 else np.uint32
-        at = np.concatenate(self.at).astype(kind)
-        arrays = [pa.array([chunk]), pa.array([self.ids], pa.list_(pa.int64())), pa.array([self.sizes], pa.list_(pa.int32())), pa.array([packed(word_keys(list(self.index)))], pa.binary()), pa.array([packed(at)], pa.binary())]
+        self.split()
+        vocab, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        arrays = [pa.array([chunk]), pa.array([self.ids], pa.list_(pa.int64())), pa.array([self.sizes], pa.list_(pa.int32())), pa.array([rising(vocab)], pa.binary()), pa.array([packed(at.astype(place_kind(len(vocab))))], pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, names=["chunk", "ids", "sizes", "vocab", "at"])
 
 
+def place_kind(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
 def chunked(df: DataFrame, key: str, text: str) -> DataFrame:
     """CHUNKS of all rows; null and empty texts have no words. Write it before use: chunks are numbered by partition."""
     bounded_batches(df.sparkSession)
@@ -126,9 +179,9 @@ def chunked(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def words_of(vocab: bytes, at: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the distinct words, place of each word among them) of a chunk."""
-    keys = unpacked(vocab, np.uint64)
-    return keys, unpacked(at, np.uint16 if len(keys) <= 1 << 16 else np.uint32)
+    """(keys of the distinct words, sorted, and the place of each word among them) of a chunk."""
+    keys = risen(vocab, np.uint64)
+    return keys, unpacked(at, place_kind(len(keys)))
 
 
 def total_words(chunks: DataFrame) -> int:
@@ -162,15 +215,14 @@ def window_keys(words: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
 def sent(chunks: DataFrame, buckets: int) -> DataFrame:
     """SENT: of each chunk and bucket the distinct keys of words and windows, sorted, with their counts."""
     bits = window_bits(buckets)
-    edges, word_edges = starts_of_buckets(buckets, bits) << np.uint64(16), starts_of_buckets(buckets, 64)
+    edges, word_edges = starts_of_buckets(buckets, bits) << np.uint64(16), starts_of_buckets(buckets, BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, sizes, vocab, at in zip(*(column(batch, c) for c in ("chunk", "sizes", "vocab", "at"))):
                 keys, at = words_of(vocab, at)
                 windows, windows_n = np.unique(window_keys(keys[at], np.array(sizes, np.int64), bits), return_counts=True)
-                order = np.argsort(keys)
-                words, words_n = keys[order], np.bincount(at, minlength=len(keys))[order]
+                words, words_n = keys, np.bincount(at, minlength=len(keys))
                 a, b = (np.r_[np.searchsorted(x, e), len(x)] for x, e in ((words, word_edges), (windows, edges)))
                 rows = [(k, chunk, rising(words[a[k] : a[k + 1]]), packed(words_n[a[k] : a[k + 1]]), rising(windows[b[k] : b[k + 1]]), packed(windows_n[b[k] : b[k + 1]])) for k in np.flatnonzero(np.diff(a) + np.diff(b)).tolist()]
                 if rows:
@@ -179,12 +231,8 @@ def sent(chunks: DataFrame, buckets: int) -> DataFrame:
     return chunks.select("chunk", "sizes", "vocab", "at").mapInArrow(run, SENT)
 
 
-def shares(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(known, left) for each key of a bucket, which may repeat: the word's probability is known + left * that of a model.
-
-    Of n other words between the same sides k are this one and t are distinct:
-    known is k / (n + t), left t / (n + t). Without other words they are 0 and 1.
-    """
+def others_at(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(same, others, kinds) for each window of a bucket, which may repeat: of how many other words between the same sides how many are this one, and how many are distinct."""
     order = np.argsort(keys, kind="stable")
     sorted_, n = keys[order], counts[order]
     first = np.r_[True, sorted_[1:] != sorted_[:-1]][: len(keys)]
@@ -194,19 +242,15 @@ def shares(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     side_begin = np.flatnonzero(np.r_[True, sides[1:] != sides[:-1]][: len(sides)])
     length = np.diff(np.r_[side_begin, len(sides)])
     of_sides = np.repeat(np.add.reduceat(of_word, side_begin) if len(side_begin) else of_word, length)
-    distinct = np.repeat(length, length)
-    others, same = of_sides - 1, of_word - 1
-    kinds = distinct - (same == 0)
-    whole = np.maximum(others + kinds, 1)
-    known, left = np.where(others > 0, same / whole, 0.0), np.where(others > 0, kinds / whole, 1.0)
-    out = np.empty((2, len(keys)), np.float32)
-    place = np.cumsum(first) - 1
-    out[0, order], out[1, order] = known[place], left[place]
-    return out[0], out[1]
+    same = of_word - 1
+    found = np.stack([same, of_sides - 1, np.repeat(length, length) - (same == 0)])
+    out = np.empty((3, len(keys)), np.int64)
+    out[:, order] = found[:, np.cumsum(first) - 1]
+    return out[0], out[1], out[2]
 
 
 def met(rows: DataFrame, n_words: int) -> DataFrame:
-    """MET of what chunks sent: for each chunk and bucket the words' totals in the corpus, and `shares` of the windows of which there are others.
+    """MET of what chunks sent: for each chunk and bucket the words' totals in the corpus, and `others_at` of the windows of which there are others.
 
     Rows of chunk -1 list the frequent words of a bucket and their totals.
     """
@@ -219,17 +263,17 @@ def met(rows: DataFrame, n_words: int) -> DataFrame:
         n = np.concatenate([unpacked(x, np.int64) for x in got["vocab_n"]])
         words, where = np.unique(np.concatenate(vocab), return_inverse=True)
         total = np.bincount(where, n, len(words)).astype(np.int64)
-        known, left = shares(np.concatenate(windows), np.concatenate([unpacked(x, np.int64) for x in got["windows_n"]]))
+        around = others_at(np.concatenate(windows), np.concatenate([unpacked(x, np.int64) for x in got["windows_n"]]))
         often = total >= least
-        rows = [(-1, bucket, packed(words[often]), packed(total[often]), b"", b"", b"")] if often.any() else []
+        rows = [(-1, bucket, packed(words[often]), packed(total[often]), b"", b"", b"", b"")] if often.any() else []
         a = b = 0
         of_key = total[where]
         for chunk, v, w in zip(got["chunk"], vocab, windows):
-            k, rest = known[b : b + len(w)], left[b : b + len(w)]
-            some = np.flatnonzero(rest < 1)
-            rows.append((chunk, bucket, b"", packed(of_key[a : a + len(v)]), rising(some.astype(np.uint32)), packed(k[some]), packed(rest[some])))
+            own = [x[b : b + len(w)] for x in around]
+            some = np.flatnonzero(own[1])
+            rows.append((chunk, bucket, b"", packed(of_key[a : a + len(v)]), rising(some.astype(np.uint32)), *(packed(x[some]) for x in own)))
             a, b = a + len(v), b + len(w)
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in MET.split(", ")])
 
     return rows.repartition(min(bucket_count(n_words), 20_000), "bucket").groupBy("bucket").applyInArrow(run, MET)
@@ -244,15 +288,20 @@ def frequent_words(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def answers(vocab: np.ndarray, at: np.ndarray, sizes: np.ndarray, rows: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(total of each distinct word, known and left of each word) of a chunk from the rows of MET that answer it."""
+    """(total of each distinct word, known and left of each word) of a chunk from the rows of MET that answer it.
+
+    A word's probability is known + left * that of a model: if of n other words
+    between the same sides k are this one and t are distinct, known is
+    k / (n + t) and left t / (n + t); without other words 0 and 1.
+    """
     bits = window_bits(buckets)
     rows = sorted(rows, key=lambda r: r["bucket"])
-    total = np.empty(len(vocab), np.int64)
-    total[np.argsort(vocab)] = np.concatenate([np.zeros(0, np.int64), *(unpacked(r["total"], np.int64) for r in rows)])
+    total = np.concatenate([np.zeros(0, np.int64), *(unpacked(r["total"], np.int64) for r in rows)])
     windows, place = np.unique(window_keys(vocab[at], sizes, bits), return_inverse=True)
-    known, left = np.zeros(len(windows), np.float32), np.ones(len(windows), np.float32)
+    known, left = np.zeros(len(windows)), np.ones(len(windows))
     begin = np.searchsorted(windows, starts_of_buckets(buckets, bits) << np.uint64(16))
     for r in rows:
         some = begin[r["bucket"]] + risen(r["some"], np.uint32).astype(np.int64)
-        known[some], left[some] = unpacked(r["known"], np.float32), unpacked(r["left"], np.float32)
+        same, others, kinds = (unpacked(r[c], np.int64) for c in ("same", "others", "kinds"))
+        known[some], left[some] = same / (others + kinds), kinds / (others + kinds)
     return total, known[place], left[place]

@@ -73,6 +73,21 @@ def test_long_texts_are_split_between_words(monkeypatch):
     assert list(W.pieces("x" * 100)) == ["x" * 100] and list(W.pieces("")) == [""]
 
 
+def test_words_are_told_apart():
+    rng = random.Random(4)
+    letters = list("abcDEFxyz019_-.,!?'ßéΣσ日本語🙂 \n\t\x1c\xa0") + ["İ", "\u0301"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))).lower() for _ in range(3000)]
+    keys, sizes = W.word_keys(texts)
+    words = [split(t) for t in texts]
+    assert sizes.tolist() == [len(w) for w in words]
+    flat = [x for w in words for x in w]
+    of = {}
+    assert all(of.setdefault(w, k) == k for w, k in zip(flat, keys.tolist())) and len(set(of.values())) == len(of) > 2000
+    ending = {w: k % W.ENDINGS for w, k in of.items()}
+    assert all(ending[w] == k for w, k in ((w, W.word_keys([w[-3:]])[0][0] % W.ENDINGS) for w in list(of)[:300]))
+    assert [len(x) for x in W.word_keys([])] == [0, 0] and W.word_keys(["", " "])[1].tolist() == [0, 0]
+
+
 @pytest.mark.parametrize("kind", [np.uint16, np.uint32, np.uint64, np.int64, np.float32])
 def test_packed_numbers_come_back(kind):
     x = np.arange(0, 1000, 3).astype(kind)
@@ -160,7 +175,8 @@ def test_classes_as_one_word_at_a_time():
 
 
 def test_types_and_clusters():
-    keys = W.word_keys(["the", "bathe", "xthe", "of", "a"])
+    keys, sizes = W.word_keys(["the bathe xthe", "", "of a"])
+    assert sizes.tolist() == [3, 0, 2]
     assert len(set((keys & np.uint64(W.ENDINGS - 1)).tolist())) == 3 and len(set(keys.tolist())) == 5
     order = np.argsort(keys[:2])
     types = P.types_of(keys[:2][order], order, keys)
@@ -220,4 +236,4 @@ def test_few_or_no_words(spark, odd):
     one = by_id(P.scored(spark.createDataFrame([(1, "word"), (2, "")], "doc_id long, text string")))
     assert one[1]["n_words"] == 1 and np.isfinite(one[1]["pll"]) and one[2]["pll"] == 0
     hot = by_id(P.scored(spark.createDataFrame([(k, "the same few words") for k in range(300)] + [(999, "some other words here")], "doc_id long, text string").repartition(5)))
-    assert hot[0]["per_word"] == hot[299]["per_word"] > hot[999]["per_word"]
+    assert abs(hot[0]["per_word"] - hot[299]["per_word"]) < 1e-9 and hot[0]["per_word"] > hot[999]["per_word"] + 1
