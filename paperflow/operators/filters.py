@@ -23,6 +23,12 @@ def clean_corpus(df: DataFrame) -> DataFrame:
     return out.select(*ESSENTIAL, *[c for c in out.columns if c not in ESSENTIAL])
 
 
+def with_score(df: DataFrame, score: float = 0.0, column: str = "annotation_score") -> DataFrame:
+    """A score for rows that have none yet, as a number."""
+    old = F.col(column).try_cast("double") if column in df.columns else F.lit(None).cast("double")
+    return df.withColumn(column, F.coalesce(old, F.lit(score)))
+
+
 def domain_filter_score(df: DataFrame, flag: str = "kw_domain_inclusion", base: float = 50.0) -> DataFrame:
     """Rows whose flag is true, with a base score."""
     return df.where(F.col(flag)).withColumn("annotation_score", F.lit(base)).withColumn("pipeline_category", F.lit("keyword_filtered_and_scored"))

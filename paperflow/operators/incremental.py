@@ -7,21 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import keep_first
+from .dedupe import keep_first, keep_last
 
 
-def done_rows(existing: DataFrame, status: str, done: tuple[str, ...] = ("success",)) -> DataFrame:
-    return existing.where(F.col(status).isin(*done))
+def done_rows(existing: DataFrame, status: str, done: tuple[str, ...] = ("success",), filled: str | None = None) -> DataFrame:
+    """Rows of a finished status, and those that have a value in the column `filled`, whatever their status says."""
+    finished = F.coalesce(F.col(status).isin(*done), F.lit(False))
+    return existing.where(finished | F.col(filled).isNotNull() if filled else finished)
 
 
-def select_unprocessed(df: DataFrame, existing: DataFrame, key: str, status: str, force: bool = False) -> DataFrame:
+def select_unprocessed(df: DataFrame, existing: DataFrame, key: str, status: str, force: bool = False, filled: str | None = None) -> DataFrame:
     """Rows whose key has no finished row yet; failures are tried again."""
-    return df if force else df.join(done_rows(existing, status).select(key).distinct(), key, "left_anti")
+    return df if force else df.join(done_rows(existing, status, filled=filled).select(key).distinct(), key, "left_anti")
 
 
-def with_finished(existing: DataFrame, new: DataFrame, status: str) -> DataFrame:
+def with_finished(existing: DataFrame, new: DataFrame, status: str, filled: str | None = None) -> DataFrame:
     """Finished rows and the new ones; failed ones go, since they are among the new."""
-    return done_rows(existing, status).unionByName(new, allowMissingColumns=True)
+    return done_rows(existing, status, filled=filled).unionByName(new, allowMissingColumns=True)
 
 
 def select_for_annotation(pool: DataFrame, annotated: DataFrame, key: str = "doi", relevance: str = "relevance_score") -> DataFrame:
@@ -44,11 +46,16 @@ def merge_new_candidates(pool: DataFrame, sources: list[tuple[str, DataFrame]],
     ranked = [df.where(F.coalesce(F.col(key), F.lit("")) != "").withColumn("found_via", F.lit(name)).withColumn("_rank", F.lit(n)) for n, (name, df) in enumerate(sources)]
     all_ = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
     fresh = all_.join(pool.select(key).distinct(), key, "left_anti")
-    return keep_first(fresh, key, F.struct("_rank", order)).drop("_rank")
+    return keep_first(fresh, key, "_rank", order).drop("_rank")
 
 
-def upsert_curated(pool: DataFrame, curated: DataFrame, key: str = "doi") -> DataFrame:
-    """Curated values over the pool's where they are not null; new keys are added; curated rows say so in found_via and status."""
+def upsert_curated(pool: DataFrame, curated: DataFrame, order: str, key: str = "doi") -> DataFrame:
+    """Curated values over the pool's where they are not null; new keys are added; curated rows say so in found_via and status.
+
+    Of several curated rows of a key the last by `order` counts, a column that is
+    not taken over; rows without a key are skipped.
+    """
+    curated = keep_last(curated.where(F.coalesce(F.col(key), F.lit("")) != ""), key, order).drop(order)
     marked = curated.withColumn("_curated", F.lit(True))
     p, c = pool.alias("p"), marked.alias("c")
     joined = p.join(c, F.col(f"p.{key}") == F.col(f"c.{key}"), "full_outer")

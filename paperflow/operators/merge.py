@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import clean_doi
-from .dedupe import keep_best, keep_first, keep_last
+from .dedupe import keep_first, keep_last
 
 #: Rank of each extraction status, in lower case; others rank OTHER_RANK.
 STATUS_RANKS = {
@@ -48,7 +48,7 @@ def best_attempt(log: DataFrame, order: str, key: str = "doi", status: str = "se
     before the shuffle.
     """
     when = F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(2**62)))
-    return keep_best(log, key, F.struct(status_rank(F.col(status)), when, -F.col(order)))
+    return keep_last(log, key, status_rank(F.col(status)), when, -F.col(order))
 
 
 def merge_sections(papers: DataFrame, best: DataFrame, key: str = "doi", sections: Sequence[str] = SECTIONS) -> DataFrame:
@@ -89,18 +89,34 @@ def combine_sources(pool: DataFrame, sections: DataFrame, annotated: DataFrame,
     return base.withColumns({n: F.coalesce(F.col(n), v) if n in taken else v for n, v in defaults.items()})
 
 
-def update_master(master: DataFrame, new: DataFrame, key: str = "doi", score: str = "annotation_score", lock: float = 3.0) -> tuple[DataFrame, DataFrame]:
-    """(master with the new annotations, rows whose key is new). Master rows of the lock's score or more are curated and stay."""
-    locked = F.coalesce(F.col(score).try_cast("double"), F.lit(0.0)) >= lock
-    ranked = master.withColumn("_rank", F.when(locked, 0).otherwise(2)).unionByName(new.withColumn("_rank", F.lit(1)), allowMissingColumns=True)
-    best = keep_first(ranked, key, "_rank").drop("_rank")
-    return best, keep_first(new.join(master.select(key).distinct(), key, "left_anti"), key, score)
+def with_key(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
 
 
-def overlay_manual(papers: DataFrame, overlay: DataFrame, now: str, key: str = "doi", score: float = 100.0, status: str = "human_annotated") -> DataFrame:
-    """Every overlay column over the paper's, empty text included; keys that are no papers are skipped; rows marked for deletion go."""
-    columns = [c for c in overlay.columns if c != key]
-    known = overlay.select(key, *[F.col(c).alias(f"_m_{c}") for c in columns], F.lit(True).alias("_matched"))
+def update_master(master: DataFrame, new: DataFrame, order: str, key: str = "doi", score: str = "annotation_score", lock: float = 3.0) -> tuple[DataFrame, DataFrame]:
+    """(master with the new annotations, rows whose key is new), one row per key, both from the same pick.
+
+    Of several new rows of a key the last by `order` (a column of `new`) counts.
+    Master rows of the lock's score or more are curated and stay; of several
+    the one of the highest score. New rows without a key are left out.
+    """
+    picked = keep_last(with_key(new, key), key, order)
+    number = F.col(score).try_cast("double")
+    ranked = master.withColumn("_rank", F.when(F.coalesce(number, F.lit(0.0)) >= lock, 0).otherwise(2)).unionByName(picked.drop(*{order} - set(master.columns)).withColumn("_rank", F.lit(1)), allowMissingColumns=True)
+    best = keep_first(ranked, key, "_rank", -number).drop("_rank")
+    return best, picked.join(master.select(key).distinct(), key, "left_anti")
+
+
+def overlay_manual(papers: DataFrame, overlay: DataFrame, now: str, order: str, key: str = "doi", score: float = 100.0, status: str = "human_annotated") -> DataFrame:
+    """Every overlay column over the paper's, empty text included; keys that are no papers are skipped; rows marked for deletion go.
+
+    Of several overlay rows of a key the last by `order` counts, a column that is
+    not laid over. Keys are compared cleaned.
+    """
+    columns = [c for c in overlay.columns if c not in (key, order)]
+    papers = papers.withColumn(key, clean_doi(F.col(key)))
+    last = keep_last(with_key(overlay.withColumn(key, clean_doi(F.col(key))), key), key, order)
+    known = last.select(key, *[F.col(c).alias(f"_m_{c}") for c in columns], F.lit(True).alias("_matched"))
     joined = papers.join(known, key, "left")
     out = {c: F.when(F.col("_matched"), F.col(f"_m_{c}")).otherwise(F.col(c) if c in papers.columns else F.lit(None)) for c in columns}
     old = lambda n, kind: F.col(n).cast(kind) if n in papers.columns else F.lit(None).cast(kind)
@@ -109,9 +125,14 @@ def overlay_manual(papers: DataFrame, overlay: DataFrame, now: str, key: str = "
     return joined.withColumns(out).drop("_matched", *[f"_m_{c}" for c in columns]).where(~marked)
 
 
-def merge_manual(annotated: DataFrame, manual: DataFrame, deleted: DataFrame, now: str, key: str = "doi", score: float = 100.0) -> DataFrame:
-    """Manual rows over annotated ones, manual-only rows added, deleted keys in neither."""
-    gone = deleted.select(key).distinct()
+def merge_manual(annotated: DataFrame, manual: DataFrame, deleted: DataFrame, now: str, order: str, key: str = "doi", score: float = 100.0) -> DataFrame:
+    """Manual rows over annotated ones, manual-only rows added, deleted keys in neither.
+
+    Of several rows of a key on either side the last by `order` counts, a column
+    of both that is not kept. Keys are compared cleaned; rows without one go.
+    """
+    gone = deleted.select(clean_doi(F.col(key)).alias(key)).distinct()
+    annotated, manual = (keep_last(with_key(df.withColumn(key, clean_doi(F.col(key))), key), key, order).drop(order) for df in (annotated, manual))
     a, m = annotated.join(gone, key, "left_anti").alias("a"), manual.join(gone, key, "left_anti").withColumn("_manual", F.lit(True)).alias("m")
     joined = a.join(m, F.col(f"a.{key}") == F.col(f"m.{key}"), "full_outer")
     by_hand = F.coalesce(F.col("m._manual"), F.lit(False))
@@ -147,7 +168,7 @@ def integrate_reviews(reviews: Sequence[DataFrame], deleted: DataFrame, order: s
     ranked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("_table", F.lit(n)) for n, df in enumerate(reviews)])
     cleaned = ranked.withColumn(key, clean_doi(F.col(key))).where(F.col(key) != "")
     gone = deleted.select(clean_doi(F.col(key)).alias(key)).distinct()
-    rows = keep_first(cleaned.join(gone, key, "left_anti"), key, F.struct("_table", order))
+    rows = keep_first(cleaned.join(gone, key, "left_anti"), key, "_table", order)
     verdict, state = F.col("manual_review_status"), F.col("llm_annotation_status")
     acted = verdict.isin("reviewed", "reclassify_to_comp", "reclassify_to_noncomp")
     reviewed = F.when(state == "detailed_llm_annotated", "human_reviewed_detailed").when(state == "middle_llm_annotated", "human_reviewed_broad_only").otherwise("human_reviewed")

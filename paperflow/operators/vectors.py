@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_multi
+from .dedupe import keep_first
 
 #: Thresholds of similarity, and the category that has pipelines.
 RELEVANT, UNCERTAIN = 0.80, 0.65
@@ -119,9 +120,10 @@ def classify_by_centroid(vectors: DataFrame, main: dict[str, list[float]], pipel
     }).drop("_main", "_second")
 
 
-def join_classification(papers: DataFrame, found: DataFrame, seeds: DataFrame, key: str = "doi") -> DataFrame:
-    """Papers with their class, defaults for those without a vector, and the curated labels of seeds."""
-    curated = seeds.groupBy(key).agg(F.first("category").alias("original_curated_category"), F.first("pipeline_category").alias("original_curated_pipeline_category")).withColumn("is_seed", F.lit(True))
+def join_classification(papers: DataFrame, found: DataFrame, seeds: DataFrame, order: str, key: str = "doi") -> DataFrame:
+    """Papers with their class, defaults for those without a vector, and the curated labels of seeds: both from a key's first row by `order`."""
+    first = keep_first(seeds.select(key, "category", "pipeline_category", order), key, order)
+    curated = first.select(key, F.col("category").alias("original_curated_category"), F.col("pipeline_category").alias("original_curated_pipeline_category"), F.lit(True).alias("is_seed"))
     joined = papers.join(found, key, "left").join(curated, key, "left")
     no = F.array().cast("array<string>")
     return joined.withColumns({"relevance": F.coalesce("relevance", F.lit("no_embedding_data")), "category": F.coalesce("category", F.lit("")), "pipeline_category": F.coalesce("pipeline_category", F.lit("")), "top_categories": F.coalesce("top_categories", no), "score": F.coalesce("score", F.lit(0.0)), "is_seed": F.coalesce("is_seed", F.lit(False))})

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import strip
+from .dedupe import keep_last
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -99,9 +100,10 @@ def extract_concepts(df: DataFrame, text: str, vocabularies: Mapping[str, Vocabu
     })
 
 
-def curated_then_extract(df: DataFrame, curated: DataFrame, columns: Sequence[str], vocabularies: Mapping[str, Vocabulary], key: str = "doi") -> DataFrame:
-    """Curated columns over the record's before its title and abstract are tagged."""
-    known = curated.select(key, *[F.col(c).alias(f"_curated_{c}") for c in columns])
+def curated_then_extract(df: DataFrame, curated: DataFrame, columns: Sequence[str], vocabularies: Mapping[str, Vocabulary], order: str, key: str = "doi") -> DataFrame:
+    """Curated columns over the record's before its title and abstract are tagged; of several curated rows of a key the last by `order` counts."""
+    last = keep_last(curated.where(F.coalesce(F.col(key), F.lit("")) != ""), key, order)
+    known = last.select(key, *[F.col(c).alias(f"_curated_{c}") for c in columns])
     joined = df.join(known, key, "left").withColumns({c: F.coalesce(f"_curated_{c}", c) for c in columns}).drop(*[f"_curated_{c}" for c in columns])
     return extract_concepts(joined.withColumn("_text", corpus_text(F.col("title"), F.col("abstract"))), "_text", vocabularies).drop("_text")
 

@@ -16,6 +16,8 @@ PAPERS = """SELECT doc_id AS seq,
 #: Curated rows: a key as in PAPERS, cleaned; categories from labels.
 CURATED = """SELECT '10.1000/p' || CAST(doc_id AS STRING) AS doi, doc_id AS seq, CASE WHEN quality = 1 THEN 'computational analysis - method;review' ELSE 'dataset' END AS category,
   CASE WHEN toxic = 1 THEN 'clustering; ;alignment' ELSE '' END AS pipeline_category, 'tool' || CAST(doc_id % 7 AS STRING) AS name, quality, toxic FROM {labels}"""
+#: The same with a second, later row of every third key and one without a place in the order.
+REPEATED = "SELECT * FROM (" + CURATED + ") WHERE seq % 5 <> 4 UNION ALL SELECT doi, seq + 1 AS seq, 'later' AS category, pipeline_category, 'later ' || name AS name, quality, toxic FROM (" + CURATED + ") WHERE seq % 3 = 0 UNION ALL SELECT doi, NULL AS seq, 'nowhere' AS category, pipeline_category, 'nowhere' AS name, quality, toxic FROM (" + CURATED + ") WHERE seq % 5 >= 3"
 #: An attempt log: many rows for each user.
 ATTEMPTS = """SELECT '10.1000/u' || CAST(user_id AS STRING) AS doi, event_id AS seq, ts AS extracted_at_timestamp, value > 50 AS is_open_access, event_type AS full_text_access_type,
   CASE event_type WHEN 'purchase' THEN 'Extracted from PDF (sections found)' WHEN 'click' THEN 'Extracted from HTML (sections found)' WHEN 'view' THEN 'OA_pdf_link' WHEN 'signup' THEN 'General Error' ELSE 'General Error: timeout' END AS section_extraction_status,
@@ -36,7 +38,8 @@ POOL = """SELECT o_orderkey AS seq, '10.1000/o' || CAST(o_orderkey AS STRING) AS
   c_mktsegment AS paper_type, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderstatus END AS llm_model, o_orderdate AS queried FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 #: A master table with scores, and new annotations of part of it.
 MASTER = """SELECT '10.1000/c' || CAST(c_custkey AS STRING) AS doi, CAST(c_custkey % 5 AS DOUBLE) AS annotation_score, c_mktsegment AS annotation FROM {customer} WHERE c_custkey % 3 <> 0"""
-FRESH = """SELECT '10.1000/c' || CAST(c_custkey AS STRING) AS doi, CAST(2 AS DOUBLE) AS annotation_score, 'new ' || c_mktsegment AS annotation FROM {customer} WHERE c_custkey % 2 = 0"""
+FRESH = """SELECT '10.1000/c' || CAST(CASE WHEN c_custkey % 6 = 4 THEN c_custkey - 2 ELSE c_custkey END AS STRING) AS doi, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(2 AS DOUBLE) END AS annotation_score,
+  'new ' || c_mktsegment || CAST(c_custkey AS STRING) AS annotation, CASE WHEN c_custkey % 12 = 2 THEN NULL ELSE c_custkey END AS seq FROM {customer} WHERE c_custkey % 2 = 0"""
 #: Links between papers.
 LINKS = "SELECT l_partkey AS source, l_suppkey AS target FROM {lineitem}"
 

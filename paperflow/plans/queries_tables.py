@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import clean_doi
 from ..operators import dedupe, filters, incremental, merge, vocabulary
-from .corpus import ANNOTATED, ATTEMPTS, CURATED, FRESH, LINKS, MASTER, PAPERS, POOL, sql_of, view
+from .corpus import ANNOTATED, ATTEMPTS, CURATED, FRESH, LINKS, MASTER, PAPERS, POOL, REPEATED, sql_of, view
 from .queries_text import CLEAN, P, papers
 from .registry import query
 
@@ -16,6 +16,7 @@ PC = f"{P}, clean AS (SELECT * REPLACE ({CLEAN.format('doi')} AS doi) FROM paper
 FIRST = f"{PC}, one AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq) AS rn FROM clean) WHERE rn = 1)"
 FLAG = "CASE seq % 3 WHEN 0 THEN true WHEN 1 THEN false END"
 NOW = "2025-01-01"
+LAST = f"cur AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(REPEATED)})) WHERE rn = 1)"
 
 
 def flag(seq="seq"):
@@ -76,14 +77,25 @@ def drop_prefixed_columns(spark, d):
     return filters.drop_prefixed_columns(papers(spark, d).select("seq", C("language").alias("kw_tissue"), C("title").alias("kw_detail_a"), C("title").alias("kw_detail_b")))
 
 
-@query("dedupe_keep_first", f"{FIRST} SELECT doi, seq, title FROM one")
+def in_order(way: str) -> str:
+    """One row per key by a place in the order that many rows, and all rows of some keys, lack."""
+    place = "CASE WHEN seq % 4 < 2 THEN NULL ELSE seq END"
+    return f"{PC}, o AS (SELECT doi, {place} AS place, CASE WHEN seq % 10 = 9 THEN title ELSE 'first' END AS title FROM clean) SELECT doi, place, coalesce(title, '') AS title, 0.0::DOUBLE AS annotation_score FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY place {way} NULLS LAST, title {way}) AS rn FROM o) WHERE rn = 1"
+
+
+def unordered(spark, d):
+    rows = cleaned(spark, d).withColumn("place", F.when(C("seq") % 4 >= 2, C("seq")))
+    return filters.with_score(rows.select("doi", "place", F.when(C("seq") % 10 == 9, C("title")).otherwise("first").alias("title")))
+
+
+@query("dedupe_keep_first", in_order("ASC"))
 def dedupe_keep_first(spark, d):
-    return dedupe.keep_first(cleaned(spark, d).select("doi", "seq", "title"), "doi", "seq")
+    return dedupe.keep_first(unordered(spark, d), "doi", "place", "title")
 
 
-@query("dedupe_keep_last", f"{PC} SELECT doi, seq, title FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC) AS rn FROM clean) WHERE rn = 1")
+@query("dedupe_keep_last", in_order("DESC"))
 def dedupe_keep_last(spark, d):
-    return dedupe.keep_last(cleaned(spark, d).select("doi", "seq", "title"), "doi", "seq")
+    return dedupe.keep_last(unordered(spark, d), "doi", "place", "title")
 
 
 @query("sample_n", f"{P} SELECT seq, title FROM papers ORDER BY md5('42|' || seq), seq LIMIT 80")
@@ -94,12 +106,12 @@ def sample_n(spark, d):
 EXISTING = "SELECT seq, CASE WHEN seq % 4 = 0 THEN 'success' ELSE 'failed' END AS status FROM ({papers}) WHERE seq % 2 = 0"
 
 
-@query("select_unprocessed", f"{P} SELECT seq, CASE WHEN seq % 4 = 0 THEN 'success' ELSE 'new' END AS status FROM papers")
+@query("select_unprocessed", f"{P} SELECT seq, CASE WHEN seq % 4 = 0 THEN 'success' WHEN seq % 2 = 0 AND n_chars > 1000 THEN NULL ELSE 'new' END AS status, CASE WHEN seq % 2 = 0 AND n_chars > 1000 THEN title END AS introduction FROM papers")
 def select_unprocessed(spark, d):
-    rows = papers(spark, d).select("seq")
-    existing = rows.where("seq % 2 = 0").withColumn("status", F.when(C("seq") % 4 == 0, "success").otherwise("failed"))
-    new = incremental.select_unprocessed(rows, existing, "seq", "status").withColumn("status", F.lit("new"))
-    return incremental.with_finished(existing, new, "status")
+    rows = papers(spark, d).select("seq", "n_chars", "title")
+    existing = rows.where("seq % 2 = 0").select("seq", F.when(C("seq") % 4 == 0, "success").when(C("n_chars") <= 1000, "failed").alias("status"), F.when(C("n_chars") > 1000, C("title")).alias("introduction"))
+    new = incremental.select_unprocessed(rows.select("seq"), existing, "seq", "status", filled="introduction").withColumn("status", F.lit("new"))
+    return incremental.with_finished(existing, new, "status", filled="introduction")
 
 
 @query("select_for_annotation", f"WITH pool AS ({sql_of(POOL)}) SELECT doi, relevance_score FROM pool WHERE relevance_score <> 'irrelevant' AND seq % 3 <> 0")
@@ -123,15 +135,16 @@ def merge_new_candidates(spark, d):
     return incremental.merge_new_candidates(rows.where("seq % 7 = 0"), [("curated", rows.where("seq % 5 = 0")), ("keyword", rows.where("seq % 3 = 0")), ("similar", rows)], "seq").select("doi", "seq", "found_via")
 
 
-@query("upsert_curated", f"""{FIRST}, cur AS ({sql_of(CURATED)}) SELECT coalesce(cur.doi, one.doi) AS doi, coalesce(cur.name, one.title) AS title, one.year AS year, cur.category AS category, CASE WHEN cur.doi IS NOT NULL THEN 'csv_curation' ELSE 'pool' END AS found_via, CASE WHEN cur.doi IS NOT NULL THEN 'curated_method' ELSE 'new' END AS status FROM one FULL JOIN cur ON one.doi = cur.doi""")
+@query("upsert_curated", f"""{FIRST}, {LAST} SELECT coalesce(cur.doi, one.doi) AS doi, coalesce(cur.name, one.title) AS title, one.year AS year, cur.category AS category, CASE WHEN cur.doi IS NOT NULL THEN 'csv_curation' ELSE 'pool' END AS found_via, CASE WHEN cur.doi IS NOT NULL THEN 'curated_method' ELSE 'new' END AS status FROM one FULL JOIN cur ON one.doi = cur.doi""")
 def upsert_curated(spark, d):
     pool = dedupe.keep_first(cleaned(spark, d).select("doi", "seq", "title", "year"), "doi", "seq").drop("seq").withColumns({"found_via": F.lit("pool"), "status": F.lit("new")})
-    return incremental.upsert_curated(pool, view(spark, d, CURATED).select("doi", C("name").alias("title"), "category"))
+    return incremental.upsert_curated(pool, view(spark, d, REPEATED).select("doi", C("name").alias("title"), "category", C("seq").alias("added")), "added")
 
 
-@query("expand_neighbors", "SELECT DISTINCT l_suppkey AS id FROM lineitem WHERE l_partkey <= 20 AND l_suppkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey <= 20)")
+@query("expand_neighbors", "WITH s AS (SELECT p_partkey FROM part WHERE p_size <= 10) SELECT DISTINCT l_suppkey AS id FROM lineitem WHERE l_partkey IN (FROM s) AND l_suppkey NOT IN (FROM s)")
 def expand_neighbors(spark, d):
-    seeds = spark.read.parquet(f"{d}/part.parquet").where("p_partkey <= 20").select(C("p_partkey").alias("pmid"))
+    """Every part of a small size is a seed, so seeds grow with the table."""
+    seeds = spark.read.parquet(f"{d}/part.parquet").where("p_size <= 10").select(C("p_partkey").alias("pmid"))
     return incremental.expand_neighbors(seeds, view(spark, d, LINKS), "pmid", "source", "target")
 
 
@@ -141,9 +154,9 @@ def select_stale(spark, d):
     return incremental.select_stale(rows, "refreshed", "2024-02-01 00:00:00").select("doi", "refreshed_us")
 
 
-@query("citation_counts", "SELECT p_partkey AS doi, p_name AS title, coalesce(n, 0)::BIGINT AS citations, '2025-01-01' AS citations_updated FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_quantity > 40 GROUP BY 1) ON l_partkey = p_partkey")
+@query("citation_counts", "SELECT p_partkey AS doi, p_name AS title, coalesce(n, 0)::BIGINT AS citations, '2025-01-01' AS citations_updated FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_partkey = p_partkey")
 def citation_counts(spark, d):
-    links = spark.read.parquet(f"{d}/lineitem.parquet").where("l_quantity > 40").select("l_partkey")
+    links = spark.read.parquet(f"{d}/lineitem.parquet").select("l_partkey")
     return incremental.citation_counts(spark.read.parquet(f"{d}/part.parquet").select(C("p_partkey").alias("doi"), C("p_name").alias("title")), links, "doi", "l_partkey", NOW)
 
 
@@ -221,11 +234,11 @@ def extract_concepts(spark, d):
     return concept_columns(vocabulary.extract_concepts(tagged(spark, d), "text", GROUPS))
 
 
-@query("curated_then_extract", CONCEPTS.replace("FROM papers)", "FROM (SELECT p.seq, coalesce(c.name || ' los', p.title) AS title, p.abstract FROM papers p LEFT JOIN cur c ON '10.1000/p' || p.seq = c.doi))", 1).replace(P, f"{P}, cur AS ({sql_of(CURATED)})", 1))
+@query("curated_then_extract", CONCEPTS.replace("FROM papers)", "FROM (SELECT p.seq, coalesce(c.name || ' los', p.title) AS title, p.abstract FROM papers p LEFT JOIN cur c ON '10.1000/p' || p.seq = c.doi))", 1).replace(P, f"{P}, {LAST}", 1))
 def curated_then_extract(spark, d):
     rows = papers(spark, d).withColumn("doi", F.concat(F.lit("10.1000/p"), "seq"))
-    curated = view(spark, d, CURATED).select("doi", F.concat("name", F.lit(" los")).alias("title"))
-    return concept_columns(vocabulary.curated_then_extract(rows, curated, ["title"], GROUPS))
+    curated = view(spark, d, REPEATED).select("doi", F.concat("name", F.lit(" los")).alias("title"), "seq")
+    return concept_columns(vocabulary.curated_then_extract(rows, curated, ["title"], GROUPS, "seq"))
 
 
 MAPS = ({"Source one": ["SRC-1"], "Two": ["src2", "purchase"]}, {"General": ["source ONE"], "English": ["en"]})
@@ -297,28 +310,28 @@ def combine_sources(spark, d):
     return merge.combine_sources(pool, sections, annotated, weak, "seq", NOW)
 
 
-@query("update_master", f"""WITH m AS ({sql_of(MASTER)}), n AS ({sql_of(FRESH)}) SELECT doi, annotation_score, annotation, false AS is_new FROM m WHERE annotation_score >= 3 OR doi NOT IN (SELECT doi FROM n) UNION ALL SELECT doi, annotation_score, annotation, doi NOT IN (SELECT doi FROM m) FROM n WHERE doi NOT IN (SELECT doi FROM m WHERE annotation_score >= 3)""")
+@query("update_master", f"""WITH m AS ({sql_of(MASTER)}), n AS (SELECT * EXCLUDE (rn, seq) FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(FRESH)})) WHERE rn = 1) SELECT doi, annotation_score, annotation, false AS is_new FROM m WHERE annotation_score >= 3 OR doi NOT IN (SELECT doi FROM n) UNION ALL SELECT doi, annotation_score, annotation, doi NOT IN (SELECT doi FROM m) FROM n WHERE doi NOT IN (SELECT doi FROM m WHERE annotation_score >= 3)""")
 def update_master(spark, d):
-    master, new = merge.update_master(view(spark, d, MASTER), view(spark, d, FRESH))
+    master, new = merge.update_master(view(spark, d, MASTER), view(spark, d, FRESH), "seq")
     return master.join(new.select("doi", F.lit(True).alias("is_new")), "doi", "left").select("doi", "annotation_score", "annotation", F.coalesce("is_new", F.lit(False)).alias("is_new"))
 
 
-OVERLAY = "SELECT doi, CASE WHEN seq % 2 = 0 THEN '' ELSE name END AS title, CASE WHEN seq % 7 = 0 THEN 'Yes' ELSE 'no' END AS mark_for_deletion FROM (" + CURATED + ") c"
+OVERLAY = "SELECT upper(doi) AS doi, seq, CASE WHEN seq % 2 = 0 THEN '' ELSE name END AS title, CASE WHEN seq % 7 = 0 THEN 'Yes' ELSE 'no' END AS mark_for_deletion FROM (" + REPEATED + ") c"
 
 
-@query("overlay_manual", f"""{FIRST}, o AS ({sql_of(OVERLAY)}) SELECT one.doi, CASE WHEN o.doi IS NOT NULL THEN o.title ELSE one.title END AS title, o.mark_for_deletion, CASE WHEN o.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, CASE WHEN o.doi IS NOT NULL THEN 'human_annotated' END AS manual_annotation_status, CASE WHEN o.doi IS NOT NULL THEN '{NOW}' END AS manual_annotation_timestamp FROM one LEFT JOIN o ON one.doi = o.doi WHERE coalesce(lower(o.mark_for_deletion), '') <> 'yes'""")
+@query("overlay_manual", f"""{FIRST}, o AS (SELECT lower(doi) AS doi, title, mark_for_deletion FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(OVERLAY)})) WHERE rn = 1) SELECT one.doi, CASE WHEN o.doi IS NOT NULL THEN o.title ELSE one.title END AS title, o.mark_for_deletion, CASE WHEN o.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, CASE WHEN o.doi IS NOT NULL THEN 'human_annotated' END AS manual_annotation_status, CASE WHEN o.doi IS NOT NULL THEN '{NOW}' END AS manual_annotation_timestamp FROM one LEFT JOIN o ON one.doi = o.doi WHERE coalesce(lower(o.mark_for_deletion), '') <> 'yes'""")
 def overlay_manual(spark, d):
     pool = dedupe.keep_first(cleaned(spark, d).select("doi", "seq", "title"), "doi", "seq").drop("seq").withColumn("annotation_score", F.lit(60.0))
-    return merge.overlay_manual(pool, view(spark, d, OVERLAY), NOW)
+    return merge.overlay_manual(pool, view(spark, d, OVERLAY), NOW, "seq")
 
 
-@query("merge_manual", f"""{FIRST}, m AS (SELECT doi, name AS title, category FROM ({sql_of(CURATED)}) WHERE toxic = 0), x AS (SELECT doi FROM ({sql_of(CURATED)}) WHERE seq % 5 = 0)
+@query("merge_manual", f"""{FIRST}, m AS (SELECT doi, name AS title, category FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(REPEATED)}) WHERE toxic = 0) WHERE rn = 1), x AS (SELECT doi FROM ({sql_of(CURATED)}) WHERE seq % 5 = 0)
 SELECT coalesce(a.doi, m.doi) AS doi, CASE WHEN m.doi IS NOT NULL THEN m.title ELSE a.title END AS title, a.year, m.category, CASE WHEN m.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, m.doi IS NOT NULL AS manual_reviewed, CASE WHEN m.doi IS NOT NULL THEN '{NOW}' END AS manual_review_date
 FROM (SELECT * FROM one WHERE doi NOT IN (SELECT doi FROM x)) a FULL JOIN (SELECT * FROM m WHERE doi NOT IN (SELECT doi FROM x)) m ON a.doi = m.doi""")
 def merge_manual(spark, d):
-    pool = dedupe.keep_first(cleaned(spark, d).select("doi", "seq", "title", "year"), "doi", "seq").drop("seq").withColumn("annotation_score", F.lit(60.0))
-    curated = view(spark, d, CURATED)
-    return merge.merge_manual(pool, curated.where("toxic = 0").select("doi", C("name").alias("title"), "category"), curated.where("seq % 5 = 0").select("doi"), NOW)
+    pool = cleaned(spark, d).select("doi", (-C("seq")).alias("seq"), "title", "year").withColumn("annotation_score", F.lit(60.0))
+    curated = view(spark, d, REPEATED).where("toxic = 0").select(F.upper("doi").alias("doi"), "seq", C("name").alias("title"), "category")
+    return merge.merge_manual(pool, curated, view(spark, d, CURATED).where("seq % 5 = 0").select("doi"), NOW, "seq")
 
 
 @query("seed_manual", f"WITH cur AS ({sql_of(CURATED)}) SELECT doi, replace(category, ';', ';') AS categories, nullif(trim(pipeline_category), '') AS final_pipeline_step, name AS package_algorithm_name, true AS manual_reviewed, '{NOW}' AS manual_review_date FROM cur")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,12 +11,8 @@ from ..operators.merge import best_attempt
 
 
 def snapshot(spark: SparkSession, path: str, version: int, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/v={version}")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+    """A version of the state; before the first batch it is empty. A later one that is missing is an error, since going on without it would lose the state."""
+    return spark.createDataFrame([], schema) if version < 0 else spark.read.schema(schema).parquet(f"{path}/v={version}")
 
 
 def maintain(spark: SparkSession, source: str, schema: T.StructType, out: str, checkpoint: str, order: str, key: str = "doi") -> StreamingQuery:

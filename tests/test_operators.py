@@ -1,11 +1,13 @@
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperflow.operators import dedupe, filters, graph, incremental, merge, scoring, sections, vectors
 from paperflow.plans.corpus import ATTEMPTS, view
 from paperflow.sources import files
+from paperflow.streaming import attempts
 
 
 def pairs(df, *columns):
@@ -58,18 +60,34 @@ def test_splits(spark):
 
 def test_overlay_empty_text_wins_and_upsert_null_does_not(spark):
     papers = spark.createDataFrame([("a", "t"), ("b", "u")], "doi string, title string")
-    overlay = spark.createDataFrame([("a", ""), ("z", "skipped")], "doi string, title string")
-    assert pairs(merge.overlay_manual(papers, overlay, "now"), "doi", "title") == [("a", ""), ("b", "u")]
-    curated = spark.createDataFrame([("a", None), ("c", "new")], "doi string, title string")
-    assert pairs(incremental.upsert_curated(papers, curated), "doi", "title") == [("a", "t"), ("b", "u"), ("c", "new")]
+    overlay = spark.createDataFrame([("a", "first", 1), ("A ", "", 2), ("a", "no place", None), ("z", "skipped", 1)], "doi string, title string, n int")
+    assert pairs(merge.overlay_manual(papers, overlay, "now", "n"), "doi", "title") == [("a", ""), ("b", "u")]
+    curated = spark.createDataFrame([("a", "first", 1), ("a", None, 2), ("c", "new", None), (None, "x", 1)], "doi string, title string, n int")
+    assert pairs(incremental.upsert_curated(papers, curated, "n"), "doi", "title") == [("a", "t"), ("b", "u"), ("c", "new")]
+    both = spark.createDataFrame([("a", "t", 1), ("a", "t2", 3), ("b", "u", 1)], "doi string, title string, n int")
+    manual = spark.createDataFrame([("a", "m1", 1), ("doi:A", "m2", 2), ("c", "m3", None)], "doi string, title string, n int")
+    assert pairs(merge.merge_manual(both, manual, spark.createDataFrame([("B",)], "doi string"), "now", "n"), "doi", "title", "annotation_score") == [("a", "m2", 100.0), ("c", "m3", 100.0)]
+
+
+def test_rows_without_a_place_in_the_order_are_kept(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "x"), ("b", 2, "y"), ("b", 3, "z")], "k string, n int, t string")
+    assert pairs(dedupe.keep_first(df, "k", "n"), "k", "t") == [("a", "x"), ("b", "y")]
+    assert pairs(dedupe.keep_last(df, "k", "n"), "k", "t") == [("a", "x"), ("b", "z")]
+
+
+def test_a_snapshot_that_is_gone_is_an_error(spark, tmp_path):
+    schema = T.StructType([T.StructField("doi", T.StringType())])
+    assert attempts.snapshot(spark, str(tmp_path), -1, schema).count() == 0
+    with pytest.raises(AnalysisException):
+        attempts.snapshot(spark, str(tmp_path), 41, schema)
 
 
 def test_locked_master_rows_stay(spark):
     master = spark.createDataFrame([("a", 3.0, "old"), ("b", 2.0, "old")], "doi string, annotation_score double, x string")
-    new = spark.createDataFrame([("a", 2.0, "new"), ("b", 2.0, "new"), ("c", 2.0, "new")], "doi string, annotation_score double, x string")
-    out, fresh = merge.update_master(master, new)
-    assert pairs(out, "doi", "x") == [("a", "old"), ("b", "new"), ("c", "new")]
-    assert pairs(fresh, "doi") == [("c",)]
+    new = spark.createDataFrame([("a", 2.0, "new", 1), ("b", 2.0, "new", 1), ("c", None, "newer", 2), ("c", 2.0, "new", 1), (None, 2.0, "no key", 1)], "doi string, annotation_score double, x string, n int")
+    out, fresh = merge.update_master(master, new, "n")
+    assert out.columns == ["doi", "annotation_score", "x"] and pairs(out, "doi", "x") == [("a", "old"), ("b", "new"), ("c", "newer")]
+    assert pairs(fresh, "doi", "x") == [("c", "newer")]
 
 
 @pytest.mark.parametrize("blocks", [1, 4])
