@@ -22,7 +22,7 @@ PROMPT_SECTIONS = (
     ("data_availability", "Data Availability Section", SHORT_CHARS),
     ("code_availability", "Code Availability Section", SHORT_CHARS),
 )
-NO_SECTIONS = "Note: Full text sections were not available or were empty. Annotation is based solely on Title and Abstract."
+NO_SECTIONS = "There is no full text; judge by the title and the abstract."
 
 
 def truncate_text(c: Column, most: int) -> Column:
@@ -70,11 +70,11 @@ def split_multi(c: Column, separator: str = ";") -> Column:
 
 def build_prompt(instructions: str, answer_schema: str, title: Column, abstract: Column, sections: dict[str, Column]) -> Column:
     """Instructions, the paper's text with each section cut to its limit, and the schema of the answer."""
-    blocks = [F.concat(F.lit(f"--- {head} ---\n"), truncate_text(sections[name], most)) for name, head, most in PROMPT_SECTIONS if name in sections]
+    blocks = [F.concat(F.lit(f"## {head}\n"), truncate_text(sections[name], most)) for name, head, most in PROMPT_SECTIONS if name in sections]
     joined = F.concat_ws("\n\n", *blocks) if blocks else F.lit("")
     head = F.concat(F.lit("Title: "), F.coalesce(title, F.lit("N/A")), F.lit("\nAbstract: "), F.coalesce(truncate_text(abstract, ABSTRACT_CHARS), F.lit("N/A")), F.lit("\n\n"))
-    body = F.when(joined != "", F.concat(F.lit("--- Additional Sections ---\n"), joined, F.lit("\n\n"))).otherwise(F.lit(f"\n\n**Important Note:** {NO_SECTIONS}\n"))
-    return F.concat(F.lit(instructions + "\n\n---\n"), head, body, F.lit("---\n\n" + answer_schema))
+    body = F.when(joined != "", F.concat(F.lit("# Full text\n"), joined)).otherwise(F.lit(f"# Full text\n{NO_SECTIONS}"))
+    return F.concat(F.lit(instructions + "\n\n# Paper\n"), head, body, F.lit("\n\n# Answer\n" + answer_schema))
 
 
 def embedding_text(parts: list[Column]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from . import jobs
 from .corpus import ATTEMPTS, PAPERS, view
 from .queries_tables import FIRST, GROUPS, HIT, NOW, VALUES
+from .queries_text import P, STRIP, papers
 from .registry import query
 
 C = F.col
@@ -23,15 +24,17 @@ def top_labels(spark, d):
 SCHEMA = T.StructType([T.StructField("classification", T.StructType([T.StructField("flag", T.BooleanType())])), T.StructField("n", T.LongType())])
 
 
-@query("annotation_run", """SELECT '10.1000/u' || doc_id AS doi, doc_id % 4 <> 0 AS is_new, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE length(source) END AS llm_annot_n, 'success' AS llm_annotation_status FROM documents""")
+@query("annotation_run", f"""{P} SELECT '10.1000/u' || seq AS doi, seq % 4 <> 0 AS is_new, CASE WHEN seq % 4 <> 0 THEN length(title) + coalesce(length(substring(nullif({STRIP.format('abstract')}, ''), 1, 2000)), 3) END AS llm_annot_n, 'success' AS llm_annotation_status FROM papers""")
 def annotation_run(spark, d):
+    """Prompts from titles and abstracts of whole documents, and the sections of the best attempt; the annotator counts letters."""
+
     def annotator(prompt: str) -> str:
-        title = prompt.split("Title: ", 1)[1].split("\n", 1)[0]
-        return f"```json\n{json.dumps({'n': len(title), 'other': 1})}\n```"
+        title, rest = prompt.split("Title: ", 1)[1].split("\nAbstract: ", 1)
+        return f"```json\n{json.dumps({'n': len(title) + len(rest.split(chr(10) * 2 + '# Full text' + chr(10), 1)[0]), 'other': 1})}\n```"
 
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.concat(F.lit("10.1000/u"), "doc_id").alias("doi"), C("source").alias("title"), C("lang").alias("abstract"), "doc_id")
-    existing = docs.select("doi", F.when(C("doc_id") % 4 == 0, "success").otherwise("failed").alias("llm_annotation_status"))
-    done, _ = jobs.annotate(docs.drop("doc_id"), view(spark, d, ATTEMPTS), existing, annotator, SCHEMA, "seq", NOW, "m")
+    docs = papers(spark, d).select(F.concat(F.lit("10.1000/u"), "seq").alias("doi"), "title", "abstract", "seq")
+    existing = docs.select("doi", F.when(C("seq") % 4 == 0, "success").otherwise("failed").alias("llm_annotation_status"))
+    done, _ = jobs.annotate(docs.drop("seq"), view(spark, d, ATTEMPTS), existing, annotator, SCHEMA, "seq", NOW, "m")
     return done.select("doi", C("llm_annot_n").isNotNull().alias("is_new"), "llm_annot_n", "llm_annotation_status")
 
 

@@ -94,37 +94,88 @@ def annotate_with(spark, d):
     return scoring.annotate_with(rows, annotator, "seq", "event_type")
 
 
-#: Full texts with header lines around one-line sections of the documents' own words.
-FULL = r"""SELECT doc_id AS seq, trim(regexp_replace(substring(text, 1, CAST(floor(length(text) / 2) AS INT)), '[\s0-9]+', ' '{g})) AS body, trim(regexp_replace(substring(text, CAST(floor(length(text) / 2) AS INT) + 1), '[\s0-9]+', ' '{g})) AS rest FROM {{documents}}"""
-FULL_SPARK, FULL_SQL = FULL.replace("{g}", "").replace("{{", "{").replace("}}", "}"), FULL.replace("{g}", ", 'g'").replace("{{documents}}", "documents")
+#: Full texts: the documents' own lines, half of them after each of two header lines; every second one says at its end what is available.
+FULL = r"""SELECT doc_id AS seq, 'Title' || chr(10) || '{0}' || chr(10) || substring(text, 1, CAST(floor(length(text) / 2) AS INT)) || chr(10) || '{1}' || chr(10) || substring(text, CAST(floor(length(text) / 2) AS INT) + 1)
+  || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'Code available at Software: GitLab, and the dataset (GEO).' || chr(10) ELSE '' END || '{2}' || chr(10) || 'few words' || chr(10) || 'REFERENCES' || chr(10) || 'one' || chr(10) || 'two' AS text FROM {{documents}}"""
 
 
-def full(spark, d, headers):
-    df = view(spark, d, FULL_SPARK.replace("\\s", "\\\\s"))
-    return df.select("seq", F.concat(F.lit(f"Title\n{headers[0]}\n"), "body", F.lit(f"\n{headers[1]}\n"), "rest", F.lit(f"\n{headers[2]}\nfew words\nREFERENCES\none\ntwo")).alias("text"))
+def full(spark, d, *headers):
+    return view(spark, d, FULL.format(*headers))
+
+
+def full_sql(*headers):
+    return sql_of(FULL.format(*headers))
+
+
+def stripped(c: str) -> str:
+    return STRIP.format(c)
 
 
 def enough(c: str) -> str:
-    return f"CASE WHEN length({c}) > 0 AND len(string_split({c}, ' ')) >= {sections.MIN_WORDS} THEN {c} END"
+    return rf"CASE WHEN {c} <> '' AND len(regexp_split_to_array({c}, '\s+')) >= {sections.MIN_WORDS} THEN {c} END"
+
+
+def section_sql(name: str) -> str:
+    """Lines after the section's first header line, up to the first line that ends it; the one right after the header never does."""
+    own, stop = sections.header_patterns()[name]
+    at = f"list_position(list_transform(heads, lambda x: regexp_matches(x, '{own}')), true)"
+    end = f"list_position(list_transform(heads[{at} + 2:], lambda x: regexp_matches(x, '{stop}')), true)"
+    part = f"array_to_string(CASE WHEN coalesce({end}, 0) > 0 THEN lines[{at} + 1:{at} + {end}] ELSE lines[{at} + 1:] END, chr(10))"
+    return f"CASE WHEN coalesce({at}, 0) > 0 THEN {stripped(part)} END"
+
+
+PARSED = ("introduction", "methods", "conclusion", "data_availability")
+PARSE_HEADERS = ("INTRODUCTION", "II .", "conclusion ")
 
 
-@query("parse_sections", f"WITH f AS ({FULL_SQL}) SELECT seq, {enough('body')} AS introduction, {enough('rest')} AS methods, NULL::VARCHAR AS conclusion FROM f")
+@query("parse_sections", rf"""WITH f AS ({full_sql(*PARSE_HEADERS)}), l AS (SELECT seq, string_split(regexp_replace({stripped('text')}, '[ \t]{{2,}}', ' ', 'g'), chr(10)) AS lines FROM f), h AS (SELECT seq, lines, list_transform(lines, lambda x: substr(x, 1, {sections.HEADER_CHARS})) AS heads FROM l),
+s AS (SELECT seq, {', '.join(f'{section_sql(n)} AS {n}' for n in PARSED)} FROM h) SELECT seq, {', '.join(f'{enough(n)} AS {n}' for n in PARSED)} FROM s""")
 def parse_sections(spark, d):
-    found = sections.parse_sections(C("text"))
-    return full(spark, d, ("INTRODUCTION", "Methods", "CONCLUSION")).select("seq", *[found[n].alias(n) for n in ("introduction", "methods", "conclusion")])
+    return sections.parse_sections(full(spark, d, *PARSE_HEADERS), "text").select("seq", *PARSED)
 
 
-@query("extract_sections_windowed", f"WITH f AS ({FULL_SQL}) SELECT seq, {enough('trim(substring(body, 1, 7000))')} AS introduction, {enough('trim(substring(rest, 1, 7000))')} AS results_discussion, NULL::VARCHAR AS conclusion FROM f")
+LINE_LABEL = rf"CASE WHEN length(x) <= {sections.HEADER_CHARS} THEN lower(regexp_extract(x, '^\s*(?:[0-9]+(?:\.\s*|\s+))?(.*?)\.?\s*$', 1)) ELSE '' END"
+
+
+def windowed_sql(header: str) -> str:
+    at = f"list_position(labels, '{header}')"
+    rest = rf"regexp_replace(array_to_string(lines[{at} + 1:], chr(10)), '^\s*\n', '')"
+    near = f"string_split(substr({rest}, 1, {sections.WINDOW}), chr(10))"
+    stops = ", ".join(f"'{s}'" for s in sections.STOPS)
+    stop = f"list_position(list_transform({near}, lambda x: {LINE_LABEL} IN ({stops})), true)"
+    own = f"array_to_string(CASE WHEN coalesce({stop}, 0) > 0 THEN ({near})[:{stop} - 1] ELSE {near} END, chr(10))"
+    squeezed = rf"regexp_replace({own}, '\n+', chr(10), 'g')"
+    return enough(f"(CASE WHEN coalesce({at}, 0) > 0 THEN {stripped(squeezed)} END)")
+
+
+WINDOWED = ("introduction", "results_discussion", "conclusion", "methods")
+LINES = ("1. Introduction.", "  3 Results", "Summary")
+WINDOWED_SQL = f"WITH f AS ({full_sql(*LINES)}), l AS (SELECT seq, text, string_split(text, chr(10)) AS lines FROM f), h AS (SELECT seq, text, lines, list_transform(lines, lambda x: {LINE_LABEL}) AS labels FROM l), s AS (SELECT seq, text, " + ", ".join(f"coalesce({', '.join(windowed_sql(h) for h in sections.LINE_HEADERS[n])}) AS {n}" for n in WINDOWED) + " FROM h)"
+
+
+@query("extract_sections_windowed", f"{WINDOWED_SQL} SELECT seq, {', '.join(WINDOWED)} FROM s")
 def extract_sections_windowed(spark, d):
-    return sections.extract_sections_windowed(full(spark, d, ("1. Introduction.", "Results", "Conclusion")), "seq", "text").select("seq", "introduction", "results_discussion", "conclusion")
+    return sections.extract_sections_windowed(full(spark, d, *LINES), "text").select("seq", *WINDOWED)
 
 
-MENTION = "SELECT doc_id AS seq, lang || CASE doc_id % 3 WHEN 0 THEN ' code available and Software: GitLab' WHEN 1 THEN ' data at zenodo; dataset (GEO)' ELSE ' nothing' END AS text FROM {documents}"
+def mentioned_sql(kind: str) -> str:
+    found = f"list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '{sections.mention_pattern(kind)}'), lambda x: {stripped('x')}), lambda x: x <> '')))"
+    return f"CASE WHEN len({found}) > 0 THEN 'Mentioned {kind} availability sources: ' || array_to_string({found}, ', ') END"
 
 
-@query("availability_mentions", "SELECT doc_id AS seq, CASE WHEN doc_id % 3 = 0 THEN 'Mentioned code availability sources: Software: GitLab, code available' END AS code, CASE WHEN doc_id % 3 = 1 THEN 'Mentioned data availability sources: dataset (GEO' END AS data FROM documents")
+@query("availability_mentions", f"WITH f AS ({full_sql(*LINES)}) SELECT seq, {mentioned_sql('code')} AS code, {mentioned_sql('data')} AS data FROM f")
 def availability_mentions(spark, d):
-    return view(spark, d, MENTION).select("seq", sections.availability_mentions(C("text"), "code").alias("code"), sections.availability_mentions(C("text"), "data").alias("data"))
+    return full(spark, d, *LINES).select("seq", sections.availability_mentions(C("text"), "code").alias("code"), sections.availability_mentions(C("text"), "data").alias("data"))
+
+
+@query("extract_full_text", f"""{WINDOWED_SQL}, c AS (SELECT seq, introduction, methods, {mentioned_sql('code')} AS code_availability, {mentioned_sql('data')} AS data_availability FROM s)
+SELECT seq, introduction, code_availability, data_availability, introduction IS NOT NULL AS has_introduction_section, methods IS NOT NULL AS has_methods_section, code_availability IS NOT NULL AS has_code_availability_section, CASE WHEN seq % 3 = 0 THEN 'success_from_html' ELSE 'success' END AS status FROM c""")
+def extract_full_text(spark, d):
+    """No text has a section of its own on availability, so all that is said about it comes from mentions."""
+    rows = full(spark, d, *LINES).withColumn("from", F.when(C("seq") % 3 == 0, "html").otherwise("pdf"))
+    names = {f"extracted_{n}_section": n for n in ("introduction", "code_availability", "data_availability")}
+    out = sections.extract_full_text(rows, "text", "from").withColumnsRenamed(names)
+    return out.select("seq", *names.values(), "has_introduction_section", "has_methods_section", "has_code_availability_section", C("full_text_extraction_status").alias("status"))
 
 
 @query("html_to_text")
@@ -132,9 +183,9 @@ def html_to_text(spark, d):
     return spark.read.parquet(f"{d}/pages.parquet").select("page_id", sections.html_to_text("html").alias("text"))
 
 
-@query("section_flags", "SELECT doc_id AS seq, CASE WHEN doc_id % 5 = 0 THEN 'failed_empty_' || CASE WHEN doc_id % 2 = 0 THEN 'html' ELSE 'pdf' END || '_text' WHEN doc_id % 2 = 0 THEN 'success_from_html' ELSE 'success' END AS status, CASE WHEN doc_id % 5 = 0 THEN 'no text extracted' END AS error, doc_id % 3 = 0 AS has_methods_section FROM documents")
+@query("section_flags", "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE text END AS text, text AS whole FROM documents) SELECT doc_id AS seq, CASE WHEN trim(text) = '' THEN 'failed_empty_' || CASE WHEN doc_id % 2 = 0 THEN 'html' ELSE 'pdf' END || '_text' WHEN doc_id % 2 = 0 THEN 'success_from_html' ELSE 'success' END AS status, CASE WHEN trim(text) = '' THEN 'no text extracted' END AS error, contains(whole, 'token') AS has_methods_section FROM t")
 def section_flags(spark, d):
-    rows = spark.read.parquet(f"{d}/documents.parquet").select(C("doc_id").alias("seq"), F.when(C("doc_id") % 5 == 0, " ").otherwise(C("source")).alias("text"), F.when(C("doc_id") % 2 == 0, "html").otherwise("pdf").alias("from"), F.when(C("doc_id") % 3 == 0, "m").when(C("doc_id") % 3 == 1, "").alias("extracted_methods_section"))
+    rows = spark.read.parquet(f"{d}/documents.parquet").select(C("doc_id").alias("seq"), F.when(C("doc_id") % 5 == 0, " ").otherwise(C("text")).alias("text"), F.when(C("doc_id") % 2 == 0, "html").otherwise("pdf").alias("from"), F.when(C("text").contains("token"), C("text")).when(C("doc_id") % 3 == 1, "").alias("extracted_methods_section"))
     return sections.section_flags(rows, "text", "from", ["methods"]).select("seq", C("full_text_extraction_status").alias("status"), C("full_text_extraction_error").alias("error"), "has_methods_section")
 
 

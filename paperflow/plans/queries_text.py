@@ -195,7 +195,7 @@ def split_sections_log(spark, d):
     return kept.join(log, "doi").select("doi", "seq", "has_methods_section", "has_conclusion_section", "extracted_sections_data.*")
 
 
-@query("build_prompt", f"""{P} SELECT seq, 'Extract.' || chr(10) || chr(10) || '---' || chr(10) || 'Title: ' || title || chr(10) || 'Abstract: ' || coalesce(substring(nullif({STRIP.format('abstract')}, ''), 1, 2000), 'N/A') || chr(10) || chr(10) || CASE WHEN seq % 2 = 0 THEN '--- Additional Sections ---' || chr(10) || '--- Methods Section ---' || chr(10) || 'we did' || chr(10) || chr(10) ELSE chr(10) || chr(10) || '**Important Note:** {text.NO_SECTIONS}' || chr(10) END || '---' || chr(10) || chr(10) || '{{}}' AS prompt FROM papers""")
+@query("build_prompt", f"""{P} SELECT seq, 'Extract.' || chr(10) || chr(10) || '# Paper' || chr(10) || 'Title: ' || title || chr(10) || 'Abstract: ' || coalesce(substring(nullif({STRIP.format('abstract')}, ''), 1, 2000), 'N/A') || chr(10) || chr(10) || CASE WHEN seq % 2 = 0 THEN '# Full text' || chr(10) || '## Methods Section' || chr(10) || 'we did' ELSE '# Full text' || chr(10) || '{text.NO_SECTIONS}' END || chr(10) || chr(10) || '# Answer' || chr(10) || '{{}}' AS prompt FROM papers""")
 def build_prompt(spark, d):
     methods = F.when(C("seq") % 2 == 0, " we did ")
     return papers(spark, d).select("seq", text.build_prompt("Extract.", "{}", C("title"), C("abstract"), {"methods": methods}).alias("prompt"))

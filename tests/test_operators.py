@@ -121,11 +121,40 @@ def test_annotator_errors_become_states(spark):
     assert out.where("k = 'b'").first()["status"] == "llm_error_AttributeError"
 
 
-def test_section_after():
+def sections_of(spark, function, text):
+    return function(spark.createDataFrame([(text,)], "text string"), "text").first().asDict()
+
+
+def test_windowed_sections(spark):
+    long = " ".join(["word"] * 40)
+    of = lambda text: sections_of(spark, sections.extract_sections_windowed, text)
+    assert of(f"x\n1. Methods.\n\n{long}\n\n{long}\nReferences\nz")["methods"] == f"{long}\n{long}"
+    assert of("Methods\nshort\n")["methods"] is None and of("the methods are here")["methods"] is None and of(None)["methods"] is None
+    # the first line of a header counts; if its section is too short, a less preferred header does
+    assert of(f"Background\n{long}\nIntroduction\nshort\nFunding\nIntroduction\n{long}")["introduction"] == long
+    assert len(of("Summary\n" + "word " * 5000)["conclusion"]) == sections.WINDOW - 1
+
+
+def test_parsed_sections(spark):
+    long = " ".join(["word"] * 40)
+    of = lambda text: sections_of(spark, sections.parse_sections, text)
+    got = of(f"T\nIntroduction \n{long}\n2\n{long}  {long}\nIII. Results\nx\nresults\n{long}\nConclusions here\nData availability\n{long}\nReferences")
+    assert got["introduction"] == long and got["methods"] == f"{long} {long}"
+    assert got["results_discussion"] == long and got["conclusion"] is None and got["data_availability"] == long
+    # the line right after a header does not end its section
+    assert of(f"Introduction\nMethods\n{long}\nResults")["introduction"] == f"Methods\n{long}"
+    assert of(None)["introduction"] is None and of("")["methods"] is None
+
+
+def test_full_text(spark):
     long = " ".join(["word"] * 40)
-    assert sections.section_after(f"x\n1. Methods.\n{long}\nReferences\nz", ["methods"]) == long
-    assert sections.section_after("Methods\nshort\n", ["methods"]) is None
-    assert sections.section_after("the methods are here", ["methods"]) is None
+    rows = [(1, f"Code availability\n{long}\nReferences\nthe dataset: Dryad", "pdf"), (2, "Software available, code: zenodo", "html"), (3, " ", "pdf"), (4, None, "html")]
+    out = sections.extract_full_text(spark.createDataFrame(rows, "id int, text string, src string"), "text", "src")
+    got = {r["id"]: r for r in out.collect()}
+    assert (got[1]["extracted_code_availability_section"], got[1]["extracted_data_availability_section"]) == (long, "Mentioned data availability sources: dataset: Dryad")
+    assert got[2]["extracted_code_availability_section"] == "Mentioned code availability sources: Software available, code: zenodo"
+    assert [got[k]["full_text_extraction_status"] for k in (1, 2, 3, 4)] == ["success", "success_from_html", "failed_empty_pdf_text", "failed_empty_html_text"]
+    assert got[2]["has_code_availability_section"] and not got[2]["has_methods_section"]
 
 
 def test_jsonl(spark, tmp_path):
