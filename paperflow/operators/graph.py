@@ -17,8 +17,8 @@ from ..functions.text import annotation_to_text
 
 #: Neighbours of a node, and the least similarity of an edge.
 NEIGHBOURS, LEAST = 10, 0.7
-#: Rows of a block of vectors; a task multiplies two blocks.
-BLOCK = 2048
+#: Numbers in a block of vectors (32 MB), and rows of it that are multiplied by another block at once.
+BLOCK_NUMBERS, SLAB = 1 << 22, 512
 #: Citations up to which a node has each size.
 SIZES = ((4, 5), (24, 8), (49, 12), (99, 16))
 LARGEST = 20
@@ -27,15 +27,16 @@ LARGEST = 20
 def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: float = LEAST, symmetric: bool = False, blocks: int | None = None) -> DataFrame:
     """(source, target, weight): of each node's k nearest by cosine those of at least `least`, where source < target.
 
-    Vectors are dealt into blocks, and every pair of blocks meets in one task,
-    which keeps k candidates for each row of either; a window over these few
-    gives the k nearest. Like its model, it keeps a pair only if the smaller
+    Vectors are dealt into blocks of BLOCK_NUMBERS numbers, and every pair of
+    blocks meets in one task, which keeps k candidates for each row of either;
+    the k nearest are among these few. Like its model, it keeps a pair only if the smaller
     node lists the larger; `symmetric` also keeps those that only the larger
     lists. Every pair is compared, so the work grows with the square of the
     table; memory of a task is two blocks.
     """
     known = vectors.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-    n = blocks or max(1, math.ceil(known.count() / BLOCK))
+    size = known.agg(F.count("*").alias("rows"), F.max(F.size("v")).alias("width")).first()
+    n = blocks or max(1, math.ceil(size["rows"] * (size["width"] or 0) / BLOCK_NUMBERS))
     dealt = known.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
     spread = dealt.withColumn("cell", F.explode(cells)).select("cell.i", "cell.j", "block", "id", "v")
@@ -50,18 +51,20 @@ def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: f
         ids = [s["id"].to_numpy() for s in sides]
         if not len(ids[0]) or not len(ids[1]):
             return pd.DataFrame({"source": ids[0][:0], "target": ids[0][:0], "weight": np.zeros(0)})
-        similar = units[0] @ units[1].T
         out = []
-        for m, own, other in ((similar, ids[0], ids[1]), (similar.T, ids[1], ids[0]))[: 1 + (i != j)]:
-            same = own[:, None] == other[None, :]
-            m = np.where(same, -np.inf, m)
+        for a, b in ((0, 1), (1, 0))[: 1 + (i != j)]:
             # ties go to the smaller id
-            order = np.argsort(other, kind="stable")
-            nearest = order[np.argsort(-m[:, order], axis=1, kind="stable")[:, :k]]
-            rows = np.repeat(np.arange(len(own)), nearest.shape[1])
-            weight = m[rows, nearest.ravel()]
-            keep = np.isfinite(weight)
-            out.append(pd.DataFrame({"source": own[rows][keep], "target": other[nearest.ravel()][keep], "weight": weight[keep]}))
+            order = np.argsort(ids[b], kind="stable")
+            other, columns = ids[b][order], units[b][order].T
+            for at in range(0, len(ids[a]), SLAB):
+                own = ids[a][at : at + SLAB]
+                m = units[a][at : at + SLAB] @ columns
+                m[own[:, None] == other[None, :]] = -np.inf
+                nearest = np.argsort(-m, axis=1, kind="stable")[:, :k]
+                rows = np.repeat(np.arange(len(own)), nearest.shape[1])
+                weight = m[rows, nearest.ravel()]
+                keep = np.isfinite(weight)
+                out.append(pd.DataFrame({"source": own[rows][keep], "target": other[nearest.ravel()][keep], "weight": weight[keep]}))
         return pd.concat(out)
 
     kind = known.schema["id"].dataType.simpleString()

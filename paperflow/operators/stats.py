@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import moment, truthy_text
@@ -36,13 +36,35 @@ def papers_by_year(df: DataFrame, year: str, flag: str, current: int) -> DataFra
     return known.groupBy(F.col("_year").alias("year")).agg(F.count("*").alias("papers"), F.count_if(F.col(flag) == F.lit(True)).alias("computational"), F.count_if(F.col(flag) == F.lit(False)).alias("non_computational"))
 
 
-def annotation_report(df: DataFrame, dimensions: dict[str, str]) -> DataFrame:
-    """(dimension, value, count, percent of all rows), all dimensions in one pass; missing values are N/A."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("dimension"), F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias("value")) for n, c in dimensions.items()])
+def annotation_report(df: DataFrame, dimensions: dict[str, str], lists: dict[str, str] | None = None, only: dict[str, Column] | None = None, most: int = 15, missing: dict[str, str] | None = None) -> DataFrame:
+    """(dimension, value, count, percent), all dimensions in one pass.
+
+    dimensions are columns, lists list columns, whose values count one by one
+    and of which the `most` frequent are kept, of equals the smaller value. Some
+    dimensions look at rows of a condition only. percent is of the rows that a
+    dimension looks at. Missing values are N/A or what `missing` says; empty
+    lists count nothing.
+    """
+    only, missing, lists = only or {}, missing or {}, lists or {}
+    none = F.array().cast("array<string>")
+    values = {n: F.array(F.coalesce(F.col(c).cast("string"), F.lit(missing.get(n, "N/A")))) for n, c in dimensions.items()}
+    values |= {n: F.filter(F.coalesce(F.col(c), none), lambda x: x.isNotNull()) for n, c in lists.items()}
+    # a null value for the row itself, so that rows are counted along with their values
+    whole = {n: F.concat(F.array(F.lit(None).cast("string")), v) for n, v in values.items()}
+    asked = {n: F.when(F.coalesce(only[n], F.lit(False)), v).otherwise(none) if n in only else v for n, v in whole.items()}
+    pairs = F.concat(*[tagged(n, v) for n, v in asked.items()])
     counts = df.select(F.explode(pairs).alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("count"))
-    # one row per dimension and value is left, so the window is small
-    share = F.col("count") / F.sum("count").over(Window.partitionBy("dimension"))
-    return counts.withColumn("percent", F.round(100 * share, 2))
+    # one row per dimension and value is left, so the windows are small
+    of_dimension = Window.partitionBy("dimension")
+    rows = F.max(F.when(F.col("value").isNull(), F.col("count"))).over(of_dimension)
+    place = F.row_number().over(of_dimension.orderBy(F.col("value").isNull(), F.desc("count"), "value"))
+    out = counts.withColumns({"percent": F.round(100 * F.col("count") / rows, 2), "_place": place}).where("value is not null")
+    kept = out.where(~F.col("dimension").isin(*lists) | (F.col("_place") <= most)) if lists else out
+    return kept.drop("_place")
+
+
+def tagged(name: str, values: Column) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(name).alias("dimension"), v.alias("value")))
 
 
 def value_counts(df: DataFrame, *columns: str, most: int | None = None) -> DataFrame:

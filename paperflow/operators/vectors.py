@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,12 +66,9 @@ def centroids(vectors: DataFrame, label: str, vector: str = "embedding") -> Data
     return means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("centroid"))
 
 
-def centroid_table(found: DataFrame, label: str, most: int = 1000) -> dict[str, list[float]]:
-    """Centroids by label on the driver; more labels than `most` are an error, since each becomes part of a plan."""
-    rows = found.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} labels in column {label}")
-    return {str(r[label]): list(r["centroid"]) for r in rows}
+def centroid_table(found: DataFrame, label: str) -> dict[str, list[float]]:
+    """Centroids by label on the driver: a row of numbers for each label, however many rows carry it."""
+    return {str(r[label]): list(r["centroid"]) for r in found.toLocalIterator()}
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -85,39 +83,59 @@ def relevance_of(score: Column, relevant: float, uncertain: float) -> Column:
     return F.when(score >= relevant, "relevant_by_similarity").when(score >= uncertain, "uncertain_by_similarity").otherwise("low-relevance_by_similarity")
 
 
-def similarities(vector: Column, table: dict[str, list[float]]) -> Column:
-    """Array of (similarity, label) to each centroid, the most similar first, of equals the smaller label."""
-    pairs = [F.struct((-cosine(vector, F.array(*map(F.lit, c)))).alias("s"), F.lit(name).alias("label")) for name, c in sorted(table.items())]
-    return F.array_sort(F.array(*pairs))
+def matrix(table: dict[str, list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """(labels in order, unit centroids as columns)."""
+    names = sorted(table)
+    rows = np.array([table[n] for n in names], float).reshape(len(names), -1)
+    return np.array(names, object), (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)).T
 
 
 def classify_by_centroid(vectors: DataFrame, main: dict[str, list[float]], pipelines: dict[str, dict[str, list[float]]], relevant: float = RELEVANT, uncertain: float = UNCERTAIN) -> DataFrame:
-    """Category of each vector by its nearest centroid; a category that has pipelines is scored again among these.
+    """Category of each vector by its nearest centroid, of equals the smaller label; a category that has pipelines is scored again among these.
 
-    Centroids are few (one per label) and are folded into the projection.
+    Centroids go to the tasks as matrices, and a batch of vectors is multiplied
+    by them at once. Null and empty vectors are null in every result.
     """
-    v = F.col("embedding")
-    ranked = vectors.withColumn("_main", similarities(v, main))
-    top = lambda a: F.transform(F.filter(a, lambda x: -x["s"] >= uncertain), lambda x: x["label"])
-    category = F.col("_main")[0]["label"]
-    none = F.array().cast("array<struct<s:double,label:string>>")
-    second = none
-    for name, table in pipelines.items():
-        if table:
-            second = F.when(category == name, similarities(v, table)).otherwise(second)
-    ranked = ranked.withColumn("_second", second)
-    has = F.size("_second") > 0
-    score = F.round(F.when(has, -F.get(F.col("_second"), F.lit(0))["s"]).otherwise(-F.col("_main")[0]["s"]), 4)
-    pipeline = F.when(has, F.get(F.col("_second"), F.lit(0))["label"]).otherwise("")
-    return ranked.withColumns({
-        "score": score,
-        "category": category,
-        "pipeline_category": pipeline,
-        "nearest": F.when(has, F.concat(category, F.lit("::"), pipeline)).otherwise(category),
-        "relevance": relevance_of(score, relevant, uncertain),
-        "top_categories": top(F.col("_main")),
-        "top_pipeline_categories": top(F.col("_second")),
-    }).drop("_main", "_second")
+    tables = {name: matrix(t) for name, t in pipelines.items() if t}
+    names, units = matrix(main)
+    listed = pa.list_(pa.string())
+    kinds = {"score": pa.float64(), "category": pa.string(), "pipeline_category": pa.string(), "nearest": pa.string(), "top_categories": listed, "top_pipeline_categories": listed}
+
+    def ranked(similar: np.ndarray, labels: np.ndarray) -> list[list[str]]:
+        """Labels of at least `uncertain`, the most similar first."""
+        order = np.argsort(-similar, axis=1, kind="stable")
+        return [[labels[k] for k in row if s[k] >= uncertain] for row, s in zip(order, similar)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        for batch in batches:
+            at = batch.schema.get_field_index("embedding") if at is None else at
+            raw = batch.column(at).to_pylist()
+            some = [i for i, v in enumerate(raw) if v]
+            out: dict[str, list] = {n: [None] * len(raw) for n in kinds}
+            if some and len(names):
+                v = np.array([raw[i] for i in some], float)
+                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                similar = v @ units
+                best, top = similar.argmax(1), ranked(similar, names)
+                for name in set(names[best]):
+                    mine = np.flatnonzero(names[best] == name)
+                    labels, inner = tables.get(name, (np.array([], object), None))
+                    second = v[mine] @ inner if len(labels) else None
+                    tops = ranked(second, labels) if len(labels) else [[]] * len(mine)
+                    for row, k in enumerate(mine.tolist()):
+                        pipeline = labels[second[row].argmax()] if len(labels) else ""
+                        score = second[row].max() if len(labels) else similar[k, best[k]]
+                        values = (float(score), name, pipeline, f"{name}::{pipeline}" if len(labels) else name, top[k], tops[row])
+                        for column, value in zip(out.values(), values):
+                            column[some[k]] = value
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, kinds[n]) for n, x in out.items())], names=[*batch.schema.names, *out])
+
+    strings = T.ArrayType(T.StringType())
+    types = {n: T.DoubleType() if n == "score" else strings if n.startswith("top_") else T.StringType() for n in kinds}
+    found = vectors.drop(*kinds, "relevance").mapInArrow(run, T.StructType([*(f for f in vectors.schema if f.name not in {*kinds, "relevance"}), *(T.StructField(n, t) for n, t in types.items())]))
+    rounded = found.withColumn("score", F.round("score", 4))
+    return rounded.withColumn("relevance", F.when(F.col("score").isNotNull(), relevance_of(F.col("score"), relevant, uncertain)))
 
 
 def join_classification(papers: DataFrame, found: DataFrame, seeds: DataFrame, order: str, key: str = "doi") -> DataFrame:

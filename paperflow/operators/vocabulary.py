@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,12 +28,78 @@ def load_vocabulary(raw: Mapping[str, Sequence[str] | None]) -> dict[str, tuple[
     return out
 
 
-def alternation(patterns: Sequence[str]) -> str:
-    return "(?i)(?:" + "|".join(patterns) + ")"
+def read_vocabulary(lines: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """A vocabulary from lines of YAML of one shape: `label:` lines, each with a list of `- pattern` lines.
+
+    Patterns and labels may stand in quotes: single ones, where a doubled quote
+    is one, or double ones, where a doubled backslash is one. Blank lines and
+    comments are skipped; any other line is an error.
+    """
+    raw: dict[str, list[str]] = {}
+    label = None
+    for n, line in enumerate(lines, 1):
+        text = line.strip()
+        if not text or text.startswith("#") or text == "---":
+            continue
+        if text.startswith("- ") and label is not None:
+            raw[label].append(unquoted(text[2:]))
+        elif text.endswith(":") or text.endswith(": []"):
+            label = unquoted(text.removesuffix(" []")[:-1])
+            raw[label] = []
+        else:
+            raise ValueError(f"line {n}: neither a label nor a pattern: {text!r}")
+    return load_vocabulary(raw)
+
+
+def unquoted(text: str) -> str:
+    text = text.strip()
+    quote = text[:1]
+    if quote in ("'", '"') and text.count(quote) >= 2:
+        inner = text[1 : text.rindex(quote)]
+        return inner.replace("''", "'") if quote == "'" else inner.replace("\\\\", "\\")
+    return re.sub(r"\s+#.*$", "", text)
+
+
+def literal_of(pattern: str) -> str:
+    """A text that every match of the pattern holds, in lower case: the longest plain run outside groups, sets and options; empty if there is none."""
+    runs, run, depth, i = [], "", 0, 0
+    while i < len(pattern):
+        c, width = pattern[i], 1
+        if c == "\\":
+            # escaped signs are themselves, escaped letters are classes and edges
+            c, width = (pattern[i + 1 : i + 2], 2)
+            plain = not (c.isalnum() or c == "")
+        elif c == "[":
+            end = pattern.find("]", i + 2)
+            if end < 0:
+                return ""
+            width, plain = end + 1 - i, False
+        else:
+            if c == "|" and not depth:
+                return ""
+            depth += (c == "(") - (c == ")")
+            plain = c not in "()|.^$?*+{}" and c.isascii()
+        i += width
+        optional = pattern[i : i + 1] in ("?", "*", "{")
+        if plain and not depth and not optional:
+            run += c
+        else:
+            runs.append(run)
+            run = ""
+        if pattern[i : i + 1] == "{":
+            i = pattern.find("}", i) + 1 or len(pattern)
+    return max([*runs, run], key=len).lower()
+
+
+def within(text: Column, pattern: str, found: Column) -> Column:
+    """`found` for texts that hold what every match must hold, else null: a plain search spares most texts the expression."""
+    literal = literal_of(pattern)
+    return F.when(F.lower(text).contains(literal), found) if literal else found
 
 
 def matches(text: Column, patterns: Sequence[str]) -> Column:
-    return F.coalesce(text.rlike(alternation(patterns)), F.lit(False)) if patterns else F.lit(False)
+    hits = [F.coalesce(within(text, p, text.rlike(f"(?i){p}")), F.lit(False)) for p in patterns]
+    return reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
 
 
 def corpus_text(title: Column, abstract: Column, keywords: Column | None = None) -> Column:
@@ -60,15 +126,20 @@ def tag_all(text: Column, vocabulary: Vocabulary) -> Column:
 
 def fragments(text: Column, patterns: Sequence[str]) -> Column:
     """Distinct matched fragments in lower case, sorted; every pattern reports its own."""
-    each = [F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0)) for p in patterns]
+    none = F.array().cast("array<string>")
+    each = [F.coalesce(within(text, p, F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0))), none) for p in patterns]
     return F.array_sort(F.array_distinct(F.transform(F.flatten(F.array(*each)), F.lower)))
 
 
 def tag_detail(text: Column, vocabulary: Vocabulary) -> Column:
-    """Label to matched fragments, for labels that match; texts without any match of a label are scanned for it once."""
-    found = lambda ps: F.when(matches(text, ps), fragments(text, ps)).otherwise(F.array().cast("array<string>"))
-    pairs = [c for label, ps in vocabulary.items() if ps for c in (F.lit(label), found(ps))]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: F.size(v) > 0)
+    """Label to matched fragments, for labels that match; every pattern goes over a text once at most."""
+    pairs = [c for label, ps in vocabulary.items() if ps for c in (F.lit(label), fragments(text, ps))]
+    return F.map_filter(F.create_map(*pairs), lambda _, v: F.size(v) > 0) if pairs else F.expr("cast(map() as map<string, array<string>>)")
+
+
+def labels_of(detail: Column) -> Column:
+    """The labels of a detail map: what tag_all gives for the same text."""
+    return F.coalesce(F.array_sort(F.map_keys(detail)), F.array().cast("array<string>"))
 
 
 def merged_details(maps: list[Column]) -> Column:
@@ -77,27 +148,29 @@ def merged_details(maps: list[Column]) -> Column:
 
 
 def extract_concepts(df: DataFrame, text: str, vocabularies: Mapping[str, Vocabulary]) -> DataFrame:
-    """All kw_ columns of one text column, in one projection.
+    """All kw_ columns of one text column, in lower case.
 
     vocabularies: inclusion, exclusion, tissue, organism, disease, paper_type,
-    pipeline and method; a missing one is empty.
+    pipeline and method; a missing one is empty. Those that need fragments are
+    gone over once: their labels are the keys of what is found.
     """
     of = lambda name: vocabularies.get(name, {})
     t = F.col(text)
-    biological = [tag_detail(t, of(n)) for n in ("tissue", "organism", "disease") if any(of(n).values())]
-    empty = F.expr("cast(map() as map<string, array<string>>)")
-    return df.withColumns({
+    detailed = ("tissue", "organism", "disease", "pipeline")
+    found = df.withColumns({f"_{n}": tag_detail(t, of(n)) for n in detailed})
+    out = found.withColumns({
         "kw_domain_inclusion": tag_any(t, of("inclusion")),
         "kw_domain_exclusion": tag_any(t, of("exclusion")),
-        "kw_tissue": tag_all(t, of("tissue")),
-        "kw_organism": tag_all(t, of("organism")),
-        "kw_disease": tag_all(t, of("disease")),
+        "kw_tissue": labels_of(F.col("_tissue")),
+        "kw_organism": labels_of(F.col("_organism")),
+        "kw_disease": labels_of(F.col("_disease")),
         "kw_paper_type": tag_all(t, of("paper_type")),
-        "kw_pipeline_category": tag_all(t, of("pipeline")),
+        "kw_pipeline_category": labels_of(F.col("_pipeline")),
         "kw_detected_methods": tag_all(t, of("method")),
-        "kw_detail_pipeline_categories": tag_detail(t, of("pipeline")) if any(of("pipeline").values()) else empty,
-        "kw_detail_biological_concepts": merged_details(biological) if biological else empty,
+        "kw_detail_pipeline_categories": F.col("_pipeline"),
+        "kw_detail_biological_concepts": merged_details([F.col(f"_{n}") for n in ("tissue", "organism", "disease")]),
     })
+    return out.drop(*[f"_{n}" for n in detailed])
 
 
 def curated_then_extract(df: DataFrame, curated: DataFrame, columns: Sequence[str], vocabularies: Mapping[str, Vocabulary], order: str, key: str = "doi") -> DataFrame:
@@ -144,6 +217,13 @@ def harmonize_context(context: Column, vocabulary: Vocabulary) -> Column:
     return F.when(~text.isin("", "n/a", "none"), tag_first(text, vocabulary))
 
 
+def context_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """(context, with_label, without_label): of each label column how many rows have one."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("context"), F.col(c).isNotNull().alias("has")) for c in labels])
+    each = df.select(F.explode(pairs).alias("p"))
+    return each.groupBy("p.context").agg(F.count_if("p.has").alias("with_label"), F.count_if(~F.col("p.has")).alias("without_label"))
+
+
 def unassigned_contexts(df: DataFrame, context: str, label: str) -> DataFrame:
     """Distinct contexts that got no label."""
     return df.where(F.col(label).isNull() & (F.trim(F.coalesce(F.col(context), F.lit(""))) != "")).select(context).distinct()

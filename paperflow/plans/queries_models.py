@@ -71,6 +71,13 @@ def seed_override(spark, d):
     return out.select("seq", "relevance_status", "relevance_source", F.array_join("category", "|").alias("category"), F.array_join("pipeline_category", "|").alias("pipeline_category"), "annotation_score")
 
 
+@query("relevance_summary", f"""WITH cur AS ({sql_of(CURATED)}) SELECT CASE WHEN quality = 1 THEN 'relevant' ELSE 'uncertain' END AS relevance_status, CASE WHEN quality = 1 THEN 'manual_curation' ELSE 'x' END AS relevance_source, count(*) AS count FROM cur GROUP BY 1, 2""")
+def relevance_summary(spark, d):
+    """What is counted after seeds are made relevant."""
+    rows = view(spark, d, CURATED).select("seq", (C("quality") == 1).alias("is_seed"), F.lit("uncertain").alias("relevance_status"), F.lit("x").alias("relevance_source"), F.array(F.lit("auto")).alias("category"), F.array(F.lit("none")).alias("pipeline_category"), C("category").alias("original_curated_category"), C("pipeline_category").alias("original_curated_pipeline_category"))
+    return stats.value_counts(scoring.seed_override(rows), "relevance_status", "relevance_source")
+
+
 CURRENT = "CASE seq % 7 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN 'relevant' WHEN 3 THEN 'highly_relevant' WHEN 4 THEN 'uncertain' WHEN 5 THEN 'irrelevant' ELSE 'low_relevance' END"
 
 
@@ -235,11 +242,11 @@ def classify_by_centroid(spark, d):
     return found.select("vec_id", "category", "pipeline_category", "score", "relevance", F.size("top_categories").cast("long").alias("n_top"))
 
 
-@query("join_classification", f"""WITH s AS (SELECT doc_id, quality, 0 AS place FROM labels UNION ALL SELECT doc_id, 1 - quality, CASE WHEN doc_id % 2 = 0 THEN -1 END FROM labels WHERE doc_id % 3 = 0), c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS cat FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place NULLS LAST) AS rn FROM s) WHERE rn = 1) SELECT d.doc_id AS doi, CASE WHEN e.vec_id IS NULL THEN 'no_embedding_data' ELSE 'r' || e.label END AS relevance, coalesce('c' || e.label, '') AS category, coalesce(e.label, 0)::DOUBLE AS score, c.doc_id IS NOT NULL AS is_seed, c.cat AS original_curated_category FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id LEFT JOIN c ON c.doc_id = d.doc_id""")
+@query("join_classification", f"""WITH s AS (SELECT doc_id, quality, quality AS place FROM labels UNION ALL SELECT doc_id, 1 - quality, CASE WHEN doc_id % 2 = 0 THEN -1 - quality END FROM labels WHERE doc_id % 3 = 0), c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS cat FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place NULLS LAST) AS rn FROM s) WHERE rn = 1) SELECT d.doc_id AS doi, CASE WHEN e.vec_id IS NULL THEN 'no_embedding_data' ELSE 'r' || e.label END AS relevance, coalesce('c' || e.label, '') AS category, coalesce(e.label, 0)::DOUBLE AS score, c.doc_id IS NOT NULL AS is_seed, c.cat AS original_curated_category FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id LEFT JOIN c ON c.doc_id = d.doc_id""")
 def join_classification(spark, d):
     found = spark.read.parquet(f"{d}/embeddings.parquet").select(C("vec_id").alias("doi"), F.concat(F.lit("r"), "label").alias("relevance"), F.concat(F.lit("c"), "label").alias("category"), F.lit("").alias("pipeline_category"), F.array().cast("array<string>").alias("top_categories"), C("label").cast("double").alias("score"))
     labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality")
-    rows = labels.withColumn("place", F.lit(0)).union(labels.where("doc_id % 3 = 0").select("doc_id", 1 - C("quality"), F.when(C("doc_id") % 2 == 0, -1)))
+    rows = labels.withColumn("place", C("quality")).union(labels.where("doc_id % 3 = 0").select("doc_id", 1 - C("quality"), F.when(C("doc_id") % 2 == 0, -1 - C("quality"))))
     seeds = rows.select(C("doc_id").alias("doi"), F.when(C("quality") == 1, "good").otherwise("poor").alias("category"), F.lit("").alias("pipeline_category"), "place")
     out = vectors.join_classification(spark.read.parquet(f"{d}/documents.parquet").select(C("doc_id").alias("doi")), found, seeds, "place")
     return out.select("doi", "relevance", "category", "score", "is_seed", "original_curated_category")
@@ -325,9 +332,16 @@ def percent(by: str) -> str:
     return f"round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY {by}), 2)::DOUBLE"
 
 
-@query("annotation_report", f"{POOL_SQL}, l AS (SELECT 'relevance' AS dimension, relevance_score AS value FROM p UNION ALL SELECT 'type', paper_type FROM p UNION ALL SELECT 'model', coalesce(llm_model, 'N/A') FROM p) SELECT dimension, value, count(*) AS count, {percent('dimension')} AS percent FROM l GROUP BY 1, 2")
+@query("annotation_report", f"""{POOL_SQL}, l AS (SELECT 'relevance' AS dimension, relevance_score AS value FROM p UNION ALL SELECT 'type', paper_type FROM p UNION ALL SELECT 'model', coalesce(llm_model, 'unknown') FROM p UNION ALL SELECT 'review status', coalesce(llm_model, 'N/A') FROM p WHERE paper_type = 'BUILDING'),
+m AS (SELECT 'modality' AS dimension, unnest(CASE WHEN seq % 5 = 0 THEN [] ELSE [CAST(month(queried) AS VARCHAR), CAST(day(queried) AS VARCHAR)] END) AS value FROM p WHERE relevance_score <> 'irrelevant'), r AS (SELECT dimension, value, count(*) AS count FROM m GROUP BY 1, 2 ORDER BY 3 DESC, 2 LIMIT 15)
+SELECT dimension, value, count(*) AS count, {percent('dimension')} AS percent FROM l GROUP BY 1, 2 UNION ALL SELECT dimension, value, count, round(100.0 * count / (SELECT count(*) FROM p WHERE relevance_score <> 'irrelevant'), 2)::DOUBLE FROM r""")
 def annotation_report(spark, d):
-    return stats.annotation_report(view(spark, d, POOL), {"relevance": "relevance_score", "type": "paper_type", "model": "llm_model"})
+    """Flat dimensions, one that looks at one type only, and a list dimension of relevant rows."""
+    days = F.array(F.month("queried").cast("string"), F.dayofmonth("queried").cast("string"))
+    pool = view(spark, d, POOL).withColumn("modalities", F.when(C("seq") % 5 != 0, days))
+    dimensions = {"relevance": "relevance_score", "type": "paper_type", "model": "llm_model", "review status": "llm_model"}
+    only = {"review status": C("paper_type") == "BUILDING", "modality": C("relevance_score") != "irrelevant"}
+    return stats.annotation_report(pool, dimensions, {"modality": "modalities"}, only, missing={"model": "unknown"})
 
 
 @query("value_counts", f"{POOL_SQL} SELECT paper_type, relevance_score, count(*) AS count FROM p WHERE llm_model = 'F' GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10")

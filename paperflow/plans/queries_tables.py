@@ -182,12 +182,16 @@ def tagged(spark, d):
     return papers(spark, d).select("seq", vocabulary.corpus_text(C("title"), C("abstract")).alias("text"))
 
 
-@query("load_vocabulary", "SELECT label, words FROM (VALUES " + ", ".join(f"('{k}', {len(v)}::BIGINT)" for k, v in WORDS.items()) + f") x(label, words) WHERE label IN (SELECT label FROM ({HITS} SELECT label FROM hits))")
+@query("load_vocabulary", "WITH v(label, word) AS (VALUES ('src1', 'src1'), ('src1', 'src10'), ('src2', 'src2'), ('purchase', 'none')) SELECT label, count(DISTINCT word)::BIGINT AS patterns, count(DISTINCT doc_id)::BIGINT AS documents FROM v JOIN documents ON source = word GROUP BY 1")
 def load_vocabulary(spark, d):
-    loaded = vocabulary.load_vocabulary({k: list(v) for k, v in VOCABULARY.items()})
+    """A vocabulary file made from the sources that occur: how many patterns each label has, and how many documents it tags."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source")
+    occurs = {r["source"] for r in docs.select("source").distinct().collect()}
+    lines = ["# sources", *[line for label, words in (("src1", ["src1", "src10"]), ("src2", ["src2"]), ("purchase", ["none"])) for line in (f"{label}:", *[f"  - '^{w}$'" for w in words if w in occurs])]]
+    loaded = vocabulary.read_vocabulary(lines)
     sizes = F.create_map(*[F.lit(x) for k, v in loaded.items() for x in (k, len(v))])
-    found = tagged(spark, d).select(F.explode(vocabulary.tag_all(C("text"), loaded)).alias("label")).distinct()
-    return found.select("label", sizes[C("label")].cast("long").alias("words"))
+    found = docs.select(F.explode(vocabulary.tag_all(C("source"), loaded)).alias("label")).groupBy("label").agg(F.count("*").alias("documents"))
+    return found.select("label", sizes[C("label")].cast("long").alias("patterns"), "documents")
 
 
 @query("tag_any", f"{HITS} SELECT t.seq, {has('legal', 'secret')} AS flag FROM t LEFT JOIN hits USING (seq) GROUP BY t.seq")
@@ -269,6 +273,13 @@ def unassigned_contexts(spark, d):
     return vocabulary.unassigned_contexts(labelled, "context", "label")
 
 
+@query("context_counts", f"WITH e AS (SELECT {CONTEXT} AS c, props AS p FROM events) SELECT 'tissue' AS context, count(*) FILTER (c IN ('click', 'signup', 'view')) AS with_label, count(*) FILTER (c IS NULL OR c NOT IN ('click', 'signup', 'view')) AS without_label FROM e UNION ALL SELECT 'disease', count(*) FILTER (contains(p, '7')), count(*) FILTER (NOT contains(p, '7')) FROM e")
+def context_counts(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet").select(F.expr(CONTEXT).alias("c"), "props")
+    labelled = e.select(vocabulary.harmonize_context(C("c"), vocabulary.load_vocabulary(CONTEXTS)).alias("tissue"), vocabulary.harmonize_context(C("props"), {"Seven": ("7",)}).alias("disease"))
+    return vocabulary.context_counts(labelled, ["tissue", "disease"])
+
+
 @query("clean_type_labels", "SELECT event_id AS seq, CASE WHEN event_type = 'click' THEN 'Method|Tool' WHEN event_id % 2 = 0 THEN 'a,b|' || event_type ELSE event_type END AS labels FROM events")
 def clean_type_labels(spark, d):
     raw = F.when(C("event_type") == "click", '["click"]').when(C("event_id") % 2 == 0, F.concat(F.lit('["computational analysis - a;b", "'), "event_type", F.lit('"]'))).otherwise(F.concat(F.lit("computational analysis - "), "event_type"))

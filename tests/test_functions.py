@@ -86,6 +86,23 @@ def test_vocabulary_errors():
     assert vocabulary.load_vocabulary({"x": None}) == {"x": ()}
 
 
+def test_vocabulary_files():
+    lines = ["# words", "", "Cells:", "  - '\\bcells?\\b'", '  - "\\\\bT cell\\\\b"  # one', "none: []", "'RNA seq':", "- it''s", "- 'it''s'"]
+    assert vocabulary.read_vocabulary(lines) == {"Cells": (r"\bcells?\b", r"\bT cell\b"), "none": (), "RNA seq": ("it''s", "it's")}
+    with pytest.raises(ValueError, match="line 2"):
+        vocabulary.read_vocabulary(["a:", "what"])
+    with pytest.raises(ValueError, match="label 'a': invalid pattern"):
+        vocabulary.read_vocabulary(["a:", "- '('"])
+
+
+@pytest.mark.parametrize(
+    ("pattern", "literal"),
+    [(r"\bcells?\b", "cell"), ("RNA-Seq", "rna-seq"), ("a|b", ""), ("(x|y)tail", "tail"), ("ab{0,2}cd", "cd"), (r"\d+", ""), ("[a-z]x.*long one", "long one"), (r"a\.b", "a.b"), ("ab*", "a"), ("(?:un)?known", "known"), ("", ""), (r"single[- ]cell", "single")],
+)
+def test_literals_of_patterns(pattern, literal):
+    assert vocabulary.literal_of(pattern) == literal
+
+
 def test_tags(spark):
     vocab = vocabulary.load_vocabulary({"none": [], "a": [r"\bcells?\b"], "b": ["rna", r"\brna-seq\b"]})
     rows = ["Cells and RNA-seq", "cellular", "", None]
