@@ -28,8 +28,8 @@ LOW, HIGH = 100.0, 950.0
 #: Filters (kind, first pitch class, pitch classes, frames): every kind over several bands and widths.
 FILTERS = tuple((n % 6, (5 * n) % 9, 3 + n % 4 if (5 * n) % 9 + 3 + n % 4 <= 12 else 3, 4 + 2 * (n % 5)) for n in range(16))
 REACH = max(f[3] for f in FILTERS)
-#: Steps between the four levels of a filter.
-STEP = 0.12
+#: Steps between the four levels of a filter. The middle one is off 0, so that bands without sound, where noise is compared with noise, are always below it.
+STEP, FLOOR = 0.12, 0.04
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: Recordings are linked if at their best offset at most MOST_ERRORS of the bits differ; one that covers less than half a clip needs LEAST equal pairs of integers as well.
 LEAST, MOST_ERRORS = 3, 0.25
@@ -101,10 +101,10 @@ def ratios(image: np.ndarray) -> np.ndarray:
 
 
 def packed(values: np.ndarray) -> np.ndarray:
-    """An integer for each frame: two bits of each filter, of which the higher is its sign."""
+    """An integer for each frame: two bits of each filter, of which the higher tells whether it is above FLOOR."""
     out = np.zeros(len(values), np.uint32)
     for k in range(len(FILTERS)):
-        out |= GRAY[np.digitize(values[:, k], (-STEP, 0, STEP))] << np.uint32(2 * k)
+        out |= GRAY[np.digitize(values[:, k], (-STEP, FLOOR, STEP))] << np.uint32(2 * k)
     return out
 
 
@@ -124,7 +124,7 @@ def lookups(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         signs = packed(values).astype(np.int64) & SIGNS
         key = signs[:n] | signs[REACH:] >> 1
         bits = np.r_[2 * np.arange(len(FILTERS)) + 1, 2 * np.arange(len(FILTERS))]
-        weak = np.argpartition(np.abs(np.c_[values[:n], values[REACH:]]), UNSURE, axis=1)[:, :UNSURE]
+        weak = np.argpartition(np.abs(np.c_[values[:n], values[REACH:]] - FLOOR), UNSURE, axis=1)[:, :UNSURE]
         for turned in range(1 << UNSURE):
             keys.append(key ^ sum(((1 << bits[weak[:, b]]) for b in range(UNSURE) if turned >> b & 1), np.zeros(n, np.int64)))
             places.append(np.arange(n))

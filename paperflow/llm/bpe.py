@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bpe_tables as B
-from .common import bounded_batches, column, replaced, stored
+from .common import bounded_batches, column, fresh, replaced, stored
 
 #: Texts of more letters than LONG are cut into chunks of at most CHUNK letters.
 LONG, CHUNK = 32_768, 8_192
@@ -167,8 +167,8 @@ def long_texts(texts: DataFrame, path: str, chunk: int) -> DataFrame:
     return coded.groupBy("text_key").applyInPandas(join, T.StructType([T.StructField("text_key", T.StringType()), *RESULT]))
 
 
-def encode_texts(df: DataFrame, path: str, text: str = "text", long: int = LONG, chunk: int = CHUNK) -> DataFrame:
-    """Columns of `df` with n_tokens, ids (little-endian uint32) and decoded (the tokens, joined by spaces).
+def encode_texts(df: DataFrame, path: str, text: str = "text", long: int = LONG, chunk: int = CHUNK, drop_text: bool = False) -> DataFrame:
+    """Columns of `df`, with or without the text, with n_tokens, ids (little-endian uint32) and decoded (the tokens, joined by spaces).
 
     Null texts count as empty: no ids. Special strings inside a text are one id
     each. Texts of at most `long` letters are encoded where they are; longer
@@ -178,20 +178,22 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", long: int = LONG,
     bounded_batches(df.sparkSession)
     names = [f.name for f in RESULT]
     df = df.drop(*(n for n in names if n != text))
-    schema = T.StructType([*df.schema, *RESULT])
+    kept = [f for f in df.schema if not (drop_text and f.name == text)]
+    schema = T.StructType([*kept, *RESULT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(path)
         for batch in batches:
             got = coder.texts([x or "" for x in column(batch, text)])
-            yield replaced(batch, "", {"n_tokens": pa.array([len(i) // 4 for i, _ in got], pa.int64()), "ids": pa.array([i for i, _ in got], pa.binary()), "decoded": pa.array([d for _, d in got], pa.string())})
+            yield replaced(batch, text if drop_text else "", {"n_tokens": pa.array([len(i) // 4 for i, _ in got], pa.int64()), "ids": pa.array([i for i, _ in got], pa.binary()), "decoded": pa.array([d for _, d in got], pa.string())})
 
     is_long = F.coalesce(F.length(text) > long, F.lit(False))
     short = df.where(~is_long).mapInArrow(run, schema)
-    key = F.sha2(F.col(text), 256)
+    key, joined_on = F.sha2(F.col(text), 256), fresh("text_key", df.columns)
     distinct = df.where(is_long).select(key.alias("text_key"), F.col(text).alias("text")).dropDuplicates(["text_key"])
-    coded = stored(long_texts(distinct, path, chunk), "bpe")
-    tall = df.where(is_long).withColumn("text_key", key).join(coded, "text_key").select(*df.columns, *names)
+    coded = stored(long_texts(distinct, path, chunk), "bpe").withColumnRenamed("text_key", joined_on)
+    keyed = df.where(is_long).withColumn(joined_on, key).select(*[f.name for f in kept], joined_on)
+    tall = keyed.join(coded, joined_on).select(*[f.name for f in kept], *names)
     return short.unionByName(tall)
 
 

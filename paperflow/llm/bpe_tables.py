@@ -16,6 +16,10 @@ WORD_END = "</w>"
 #: Pre-tokens whose symbols are kept; beyond it the cache is emptied, so that a worker's memory is bounded.
 CACHE_PIECES = 100_000
 
+#: Fixed values of the tokenizer file: how texts are normalised and split, which `normalized` and `pieces` do.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _ASCII = re.compile("|".join([*CONTRACTIONS, r"[a-z]+", r"[0-9]", r"[^ \t-\ra-z0-9]+"]))
 _UNICODE = regex.compile("|".join([*CONTRACTIONS, r"\p{L}+", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}]+"]))
 
@@ -52,6 +56,9 @@ class Vocabulary:
         model = spec["model"]
         if model["type"] != "BPE" or model.get("end_of_word_suffix") != WORD_END:
             raise ValueError(f"{path}: a BPE vocabulary with word ends is needed")
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        if spec.get("normalizer") != NORMALIZER or steps[0].get("pattern") != {"Regex": SPLIT} or [s.get("type") for s in steps] != ["Split", "ByteLevel"]:
+            raise ValueError(f"{path}: its texts are normalised or split in another way than here")
         vocab: dict[str, int] = model["vocab"]
         self.specials = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
@@ -71,6 +78,11 @@ class Vocabulary:
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.made = made  # by rank
         self.none = len(pairs)
+        # merging all occurrences of a pair at once is exact only if no pair ranks before one that makes a part of it
+        first = np.full(self.size, -1, np.int64)
+        first[made] = np.arange(len(made))
+        if len(np.unique(made)) != len(made) or (np.maximum(first[keys // self.size], first[keys % self.size]) >= np.arange(len(keys))).any():
+            raise ValueError(f"{path}: a pair ranks before one that makes a part of it")
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text per Arrow batch. Texts run to tens of kilobytes, so the default of 10,000 rows can take a worker's memory.
-BATCH_ROWS = 500
+#: Rows and bytes of text per Arrow batch. Texts run to tens of kilobytes and more, so the defaults (10,000 rows, 64 MB) can take a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small; a session that asks for smaller ones keeps its own setting."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    """Keep Arrow batches of texts small; a session that asks for smaller ones keeps its own settings.
+
+    The settings stay, since results are lazy: they count when a result is computed.
+    """
+    rows, size = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    number, unit = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(size).lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        spark.conf.set(size, BATCH_BYTES)
 
 
 @contextmanager
@@ -33,9 +41,45 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share (in tests, where it is unset, below the warehouse)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, which driver and executors share.
+
+    Where that is unset, below the warehouse: on one machine, as in tests, or if
+    the warehouse is on a shared file system. A local one on a cluster is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if urlparse(root).scheme in ("", "file") and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {root} is local")
+    path = f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
+    return path
+
+
+#: Folders made within each open `temporary` block.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Folders made within are removed at the end: for what has been computed and written elsewhere by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _made.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """A column name that is not taken, in any case."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:

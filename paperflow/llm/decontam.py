@@ -17,12 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, column
+from .common import bounded_batches, column, fresh, replaced
 
-#: Errors allowed for each letter of an item.
+#: Errors allowed for each letter of an item, rounded down: items of up to 16 letters are sought without errors.
 RATE = 0.06
-#: Items of fewer letters are sought without errors, as whole words.
-SHORT = 40
 #: Bytes of item text that one pass over the documents searches for; more items take more passes.
 BLOCK_BYTES = 4_000_000
 
@@ -36,7 +34,7 @@ def words_only(text: str | None) -> str:
 
 
 def budget(item: str) -> int:
-    return int(RATE * len(item)) if len(item) >= SHORT else 0
+    return int(RATE * len(item))
 
 
 def cut(item: str, n: int) -> list[tuple[int, str]]:
@@ -126,7 +124,11 @@ def finder(items: tuple[tuple[int, str], ...]) -> Finder:
 
 
 def blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The items in blocks of bounded size, one at a time on the driver. Items without words are left out, as are null keys."""
+    """The items in blocks of bounded size. Items without words are left out, as are null keys.
+
+    A benchmark is small next to the documents: all of its items pass through
+    the driver, and a worker holds one search for each block.
+    """
     known = benchmark.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).distinct()
     total = known.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = 1 + total // BLOCK_BYTES
@@ -137,8 +139,8 @@ def blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[tuple[in
             yield items
 
 
-def with_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """`df` with hits array<struct<item_id, start, end, distance>>: every item that occurs in the text within its error budget.
+def with_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "item_id", item_text: str = "text", drop_text: bool = False) -> DataFrame:
+    """`df`, with or without the text, with hits array<struct<item_id, start, end, distance>>: every item that occurs in the text within its error budget.
 
     Case, punctuation and line breaks don't count; starts and ends are letters
     of the text so reduced. An item that occurs more than once is reported where
@@ -148,23 +150,32 @@ def with_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     """
     bounded_batches(df.sparkSession)
     df = df.drop("hits")
-    schema = T.StructType([*df.schema, T.StructField("hits", T.ArrayType(HIT))])
+    before = fresh("hits_before", df.columns)
     arrow_hits = pa.list_(pa.struct([(f.name, pa.int64()) for f in HIT]))
 
-    def searching(items):
+    def searching(items, drop):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             search = finder(items)
             for batch in batches:
                 rows = [[dict(zip(HIT.names, h)) for h in search.find(x)] for x in column(batch, text)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, arrow_hits)], names=[*batch.schema.names, "hits"])
+                yield replaced(batch, text if drop else "", {"hits": pa.array(rows, arrow_hits)})
 
         return run
 
-    out = df.withColumn("hits", F.array().cast(T.ArrayType(HIT)))
-    for n, items in enumerate(blocks(benchmark, key, item_text)):
-        if not n:
-            out = df.mapInArrow(searching(items), schema)
-        else:
-            more = out.withColumnRenamed("hits", "before").mapInArrow(searching(items), T.StructType([*df.schema, T.StructField("before", T.ArrayType(HIT)), T.StructField("hits", T.ArrayType(HIT))]))
-            out = more.withColumn("hits", F.concat("before", "hits")).drop("before")
+    out, searches = df, list(blocks(benchmark, key, item_text))
+    for n, items in enumerate(searches):
+        # the last search is the last to need the text
+        drop = drop_text and n == len(searches) - 1
+        own = [f for f in df.schema if not (drop and f.name == text)]
+        if n:
+            out = out.withColumnRenamed("hits", before)
+            own.append(T.StructField(before, T.ArrayType(HIT)))
+            order = [*df.columns, before]
+            out = out.select(*order)
+        out = out.mapInArrow(searching(items, drop), T.StructType([*own, T.StructField("hits", T.ArrayType(HIT))]))
+        if n:
+            out = out.withColumn("hits", F.concat(before, "hits")).drop(before)
+    if not searches:
+        out = df.withColumn("hits", F.array().cast(T.ArrayType(HIT)))
+        return out.drop(text) if drop_text else out
     return out

@@ -44,6 +44,20 @@ def suffix_of(host: Column) -> Column:
     return F.when(bare.rlike(r"^[0-9.]*$"), "").when(pair != "", pair).otherwise(F.regexp_extract(bare, r"[^.]*$", 0))
 
 
+def listed_suffixes(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """`hosts` (with a column host) with suffix: the longest of a table's suffixes that the host ends in, else as `suffix_of` has it.
+
+    suffixes: (suffix), such as those of a public list, without a leading dot.
+    """
+    bare = F.regexp_replace("host", ":[0-9]*$", "")
+    labels = F.split(bare, r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."))
+    known = suffixes.select(F.lower("suffix").alias("tail")).where("tail <> ''").distinct()
+    met = hosts.select("host", F.explode(tails).alias("tail")).distinct().join(known, "tail")
+    longest = met.groupBy("host").agg(F.max_by("tail", F.length("tail")).alias("listed"))
+    return hosts.join(longest, "host", "left").withColumn("suffix", F.coalesce("listed", suffix_of(F.col("host")))).drop("listed")
+
+
 def domain_of(host: Column, suffix: Column) -> Column:
     """The suffix and one label before it."""
     bare = F.regexp_replace(host, ":[0-9]*$", "")
@@ -70,15 +84,15 @@ def shrunk(children: DataFrame, parent: str) -> DataFrame:
     return children.withColumn("mean", (F.col("k") + kappa * m) / (F.col("n") + kappa)).withColumn("strength", F.col("n") + F.lit(kappa))
 
 
-def reputations(pages: DataFrame, outcomes: DataFrame, key: str = "page_id") -> DataFrame:
+def reputations(pages: DataFrame, outcomes: DataFrame, key: str = "page_id", suffixes: DataFrame | None = None) -> DataFrame:
     """(host, domain, suffix, n, k, mean, strength, bound) of every host of `pages` (key, host).
 
     outcomes: (key, good 0/1), summed by host before anything is joined to it.
     Hosts without labelled pages take their domain's mean with its prior's strength.
     """
     labelled = pages.join(outcomes, key, "left").groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
-    suffix = suffix_of(F.col("host"))
-    hosts = stored(labelled.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
+    with_suffix = labelled.withColumn("suffix", suffix_of(F.col("host"))) if suffixes is None else listed_suffixes(labelled, suffixes)
+    hosts = stored(with_suffix.withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     overall = ((total["k"] or 0) + 1) / ((total["n"] or 0) + 2)
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
@@ -89,16 +103,18 @@ def reputations(pages: DataFrame, outcomes: DataFrame, key: str = "page_id") ->
     return found.select("host", "domain", "suffix", "n", "k", "mean", "strength", (F.col("mean") + Z * deviation).alias("bound"))
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, least: float = LEAST) -> DataFrame:
+def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, least: float = LEAST, suffixes: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of `pages` (page_id, url).
 
     Null urls and urls without :// have an empty host and path, fit no rule and
     share one reputation. Null page_ids have no outcome. Repeated rows stay;
     outcomes of one page_id are averaged to one (good if at least half are).
+    suffixes: a table of registry suffixes; without one a suffix is the last
+    label, or two of them below a country for some common ones.
     """
     split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     once = outcomes.where("page_id is not null and good is not null").groupBy("page_id").agg((F.avg("good") >= 0.5).cast("long").alias("good"))
-    known = stored(reputations(split, once).select("host", (F.col("bound") < least).alias("poor")), "reputations")
+    known = stored(reputations(split, once, suffixes=suffixes).select("host", (F.col("bound") < least).alias("poor")), "reputations")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     return split.join(known, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("poor"), "block").otherwise("allow")).alias("verdict"))
 

@@ -32,8 +32,8 @@ from .graph import components
 
 WIDTH, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 192, 6
-#: Low bytes of so many signature values, for an estimate of a pair's similarity; 0.5 is more than 5 deviations below 0.75.
-SKETCH, LEAST = 96, 0.5
+#: Low bytes of so many signature values, for an estimate of a pair's similarity; 0.62 is more than 5 deviations below 0.75.
+SKETCH, LEAST = 2 * PERMUTATIONS, 0.62
 #: Members of a family that meet in one task, on either side.
 BLOCK = 256
 
@@ -105,7 +105,7 @@ def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
                 low, high = extremes(values)
                 content.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
                 bands.append(buckets(low, high))
-                sketch.append(np.concatenate([low[: SKETCH // 2], high[: SKETCH // 2]]).astype(np.uint8).tobytes())
+                sketch.append(np.concatenate([low, high]).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["id", "n_shingles", "content", "bands", "sketch"])
 
     return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, n_shingles long, content binary, bands array<long>, sketch binary")

@@ -136,7 +136,8 @@ def train(rows: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([i] * (FEATURES + 1), pa.int64()), pa.array(range(FEATURES + 1), pa.int64()), pa.array(list(total[i]), pa.list_(pa.float64()))], names=["fold", "row", "sums"])
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"fold": frame["fold"][:1], "row": frame["row"][:1], "sums": [np.sum(np.stack(frame["sums"].to_list()), 0)]})
+        # in order of size, so that the sum does not depend on which partition came first
+        return pd.DataFrame({"fold": frame["fold"][:1], "row": frame["row"][:1], "sums": [np.sort(np.stack(frame["sums"].to_list()), 0).sum(0)]})
 
     shape = "fold long, row long, sums array<double>"
     normal = np.zeros((FOLDS, FEATURES + 1, FEATURES + 2))

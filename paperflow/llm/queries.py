@@ -46,7 +46,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item found in it."""
-    found = decontam.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = decontam.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), drop_text=True)
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.distance", F.col("hit.start").alias("hit_start"), F.col("hit.end").alias("hit_end"))
 
 
@@ -59,15 +59,15 @@ def op8_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), drop_text=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out()))
-    found = langid.identify(docs.select("doc_id", "text"), model, spans=False)
-    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+    found = langid.identify(docs.select("doc_id", "text"), model, drop_text=True)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

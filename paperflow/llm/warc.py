@@ -12,6 +12,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,13 +33,10 @@ RECORD = "page_id long, url string, record_type string, refers_to long, payload_
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
-    """One record without its closing blank lines. Payloads are gzip-coded where that is shorter; a revisit has only the headers."""
+    """One record without its closing blank lines. The payload stands in it as it is; a revisit has only the headers."""
     digest = hashlib.sha1(payload).hexdigest()
-    packed = gzip.compress(payload, 6, mtime=0) if refers_to is None else payload
-    coded = refers_to is None and len(packed) < len(payload)
-    body = packed if coded else payload
-    http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + "Content-Encoding: gzip\r\n" * coded + f"Content-Length: {len(body)}{END}"
-    block = http.encode() + (body if refers_to is None else b"")
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}{END}"
+    block = http.encode() + (payload if refers_to is None else b"")
     head = [f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{URN}{'' if page_id is None else page_id}>", f"WARC-Date: {date}"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\r\n]+", "%0A", url))
@@ -85,7 +83,7 @@ def segments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     length = F.regexp_extract(head, r"(?i)(?:^|\n)content-length:[ \t]*([0-9]{1,18})[ \t]*(?:\r|$)", 1)
     size = F.when(F.octet_length(head) < F.octet_length("value"), F.octet_length(head) + 2 * len(END) + F.nullif("length", F.lit("")).try_cast("long"))
     found = lines.withColumn("length", length).select("file", "block", "seq", (F.octet_length("value") + len(MAGIC)).cast("long").alias("width"), size.cast("long").alias("size"), F.col("value").cast("binary").alias("raw"))
-    rows = stored(found, "segments")
+    rows = stored(found, "segments", compression="zstd")
     place = Window.partitionBy("file").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.select("file", "block", "seq", "width", "size", (F.coalesce(F.sum("width").over(place), F.lit(0)) - len(MAGIC)).alias("at"))
     # what stands before a file's first magic line is no candidate
@@ -141,20 +139,27 @@ def field(head: bytes, name: str) -> str | None:
 
 
 def number(urn: str | None) -> int | None:
-    m = re.search(rf"{URN}(-?\d+)", urn or "")
+    m = re.search(rf"{URN}(-?[0-9]{{1,18}})>?$", urn or "")
     return int(m[1]) if m else None
 
 
 def parsed(raw: bytes) -> tuple[dict, bytes | None]:
-    """Fields of a record, and its payload; a revisit has none, and its size and digest are those that its headers name."""
+    """Fields of a record, and its payload; a revisit has none, and its size and digest are those that its headers name.
+
+    A record whose payload cannot be decoded is of type damaged: no size, the digest that it names, no payload.
+    """
     head, _, rest = raw.partition(END.encode())
     block = rest[: int(field(head, "Content-Length"))]
     http, _, body = block.partition(END.encode())
     kind, digest = field(head, "WARC-Type"), (field(head, "WARC-Payload-Digest") or "").removeprefix("sha1:") or None
     out = {"page_id": number(field(head, "WARC-Record-ID")), "url": field(head, "WARC-Target-URI"), "record_type": kind, "refers_to": number(field(head, "WARC-Refers-To"))}
     if kind == "revisit":
-        return out | {"payload_bytes": int(field(http, "Content-Length") or 0), "payload_digest": digest}, None
-    payload = gzip.decompress(body) if field(http, "Content-Encoding") == "gzip" else body
+        size = field(http, "Content-Length") or "0"
+        return out | {"payload_bytes": int(size) if size.isascii() and size.isdigit() and len(size) < 19 else None, "payload_digest": digest}, None
+    try:
+        payload = gzip.decompress(body) if (field(http, "Content-Encoding") or "").lower() == "gzip" else body
+    except (OSError, EOFError, zlib.error):
+        return out | {"record_type": "damaged", "payload_bytes": None, "payload_digest": digest}, None
     return out | {"payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}, payload
 
 

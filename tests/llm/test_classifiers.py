@@ -1,11 +1,12 @@
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperflow.llm import hosts, langid, quality, queries
+from paperflow.llm import common, hosts, langid, quality, queries
 from paperflow.llm.common import fold
 
 BIG = "/root/testdata/sf0.01"
@@ -87,6 +88,30 @@ def test_language_spans_and_odd_rows(spark, odd):
     assert {r["lang_pred"] for r in langid.identify(df, none, spans=False).collect()} == {"und"}
 
 
+def test_long_texts_are_labelled_in_pieces(spark, monkeypatch):
+    model = langid.train(spark.read.parquet(f"{BIG}/documents.parquet"))
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the thing of", "der die und", "que los para", "les des est"]) for _ in range(300)) for _ in range(6)] + ["x" * 500, ""]
+    whole = langid.label(model, texts, True, langid.PENALTY)
+    monkeypatch.setattr(langid, "PART", 97)
+    assert len(list(langid.cut(texts[0]))) > 10 and "".join(p for _, p in langid.cut(texts[0])) == texts[0]
+    assert langid.label(model, texts[:6] + [""], True, langid.PENALTY) == whole[:6] + whole[7:]
+
+
+def test_many_languages(spark):
+    rows = [(f"wort{n} {n}sprache {'abcdefghij'[n % 10] * 5}{n}q", f"l{n:04d}") for n in range(620)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 620 and model.weights.shape == (langid.BUCKETS, 620)
+    got = langid.label(model, [t for t, _ in rows[:620:31]], False, langid.PENALTY)
+    assert all(0 <= score <= 1 for _, score, _ in got)
+
+
+def test_language_without_the_text_column(spark, odd):
+    model = langid.train(spark.read.parquet(f"{BIG}/documents.parquet"))
+    got = langid.identify(odd, model, drop_text=True)
+    assert got.columns == ["doc_id", "n_tokens", "lang", "lang_pred", "score", "spans"] and got.count() == odd.count()
+
+
 def test_scripts_narrow(spark):
     rows = [("Это русский текст про язык", "ru"), ("This is a text in English about language", "en"), ("Αυτό είναι ένα κείμενο", "el")] * 3
     model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
@@ -114,6 +139,36 @@ def test_hosts_odd_urls_and_reputation(spark):
     assert hosts.judged(spark.createDataFrame(urls, "page_id long, url string"), outcomes.limit(0)).count() == len(urls)
 
 
+def test_suffix_tables(spark):
+    urls = spark.createDataFrame([(n, f"x://{h}/p") for n, h in enumerate(["a.b.or.jp", "me.github.io", "q.gob.mx:80", "github.io", "www.plain.net", ""])], "page_id long, url string")
+    table = spark.createDataFrame([("or.jp",), ("github.io",), ("GOB.mx",), ("jp",), (None,), ("",)], "suffix string")
+    pages = urls.select("page_id", hosts.host_of(F.col("url")).alias("host"))
+    none = spark.createDataFrame([], "page_id long, good int")
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in hosts.reputations(pages, none, suffixes=table).collect()}
+    assert got == {"a.b.or.jp": ("or.jp", "b.or.jp"), "me.github.io": ("github.io", "me.github.io"), "q.gob.mx:80": ("gob.mx", "q.gob.mx"), "github.io": ("github.io", "github.io"), "www.plain.net": ("net", "plain.net"), "": ("", "")}
+    assert hosts.judged(urls, none, suffixes=table).count() == 6
+
+
+def test_shared_folders(spark, tmp_path):
+    made = []
+    with common.temporary(spark):
+        made.append(common.shared_dir(spark, "x"))
+        spark.range(3).write.parquet(made[0])
+    assert not Path(made[0].removeprefix("file://")).exists()
+    kept = common.stored(spark.range(3), "y")
+    assert kept.count() == 3
+    assert common.fresh("a", ["A", "b", "a_"]) == "a__"
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.sql.warehouse.dir": "file:/tmp/x", "spark.master": "spark://somewhere"}.get(key, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session, "x")
+
+
 @pytest.mark.parametrize("name", ["op5_quality", "op10_language_id"])
 def test_all_rows_come_back(spark, data, documents, name):
     assert queries.QUERIES[name](spark, data).count() == documents.count()

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paperflow.llm import audio, decontam, queries
 
@@ -70,10 +71,57 @@ def test_blocks_of_items(spark, data, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 2500)
     assert len(list(decontam.blocks(benchmark, "item_id", "text"))) > 2
     assert hits() == whole
+    named = docs.select("doc_id", "text", F.lit(1).alias("before"), F.lit("x").alias("hits_before"))
+    found = decontam.with_hits(named, benchmark, drop_text=True)
+    assert found.columns == ["doc_id", "before", "hits_before", "hits"] and {(r["before"], r["hits_before"]) for r in found.collect()} == {(1, "x")}
+    assert sorted((r["doc_id"], sorted(tuple(h) for h in r["hits"])) for r in found.collect()) == whole
     assert decontam.with_hits(docs, benchmark.limit(0)).where("size(hits) > 0").count() == 0
+    assert decontam.with_hits(docs, benchmark.limit(0), drop_text=True).columns == [*(c for c in docs.columns if c != "text"), "hits"]
     assert decontam.with_hits(docs.limit(0), benchmark).count() == 0
 
 
+def test_the_error_budget_is_one_rule_for_all_lengths(spark):
+    items = [(n, " ".join(["word", "item", "text", "more", "thing"][(n + i) % 5] + str(n + i) for i in range(n))) for n in range(1, 12)]
+    docs = [(n, f"before it {x[:3]}{'' if decontam.budget(decontam.words_only(x)) else x[3]}{x[4:]} and after") for n, x in items]
+    got = {r["doc_id"]: {h["item_id"]: h["distance"] for h in r["hits"]} for r in decontam.with_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for n, item in items:
+        for m, doc in docs:
+            d = distance_within(decontam.words_only(item), decontam.words_only(doc))
+            assert got[m].get(n) == (d if d <= decontam.RATE * len(decontam.words_only(item)) else None)
+
+
+def test_every_document_against_every_item(spark, data):
+    """All pairs of some documents and all items, by plain dynamic programming."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{data}/benchmark.parquet").limit(12).collect()]
+    docs = [r for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect() if len(r["text"]) < 700][:40]
+    found = decontam.with_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], h["item_id"]): h["distance"] for r in found.collect() for h in r["hits"]}
+    wanted = {}
+    for k, text in docs:
+        for i, item in items:
+            plain = decontam.words_only(item)
+            d = distance_within(plain, decontam.words_only(text))
+            if d <= decontam.budget(plain):
+                wanted[k, i] = d
+    assert got == wanted
+
+
+def test_clips_of_held_notes_are_found():
+    """Most bands of a held note hold noise only; its keys must not."""
+    rng, found = np.random.default_rng(5), 0
+    for n in range(30):
+        notes = np.concatenate([np.repeat(rng.integers(-18, 18) / 48, 40), rng.integers(-18, 18, 24) / 48])
+        song = audio.rendered(list(notes))
+        part = song[2048 : 2048 + 6144].astype(float)
+        clip = np.clip(part + rng.normal(0, 600, len(part)), -32768, 32767).astype(np.int16).astype(float)
+        values = audio.packed(audio.ratios(audio.chroma(song.astype(float)))).astype(np.int64)
+        signs = values & audio.SIGNS
+        index = set((signs[: -audio.REACH] | signs[audio.REACH :] >> 1).tolist())
+        keys, _ = audio.lookups(clip)
+        found += bool(index & set(keys.tolist()))
+    assert found >= 27
+
+
 def test_filters_are_sums_over_rectangles():
     image = np.random.default_rng(1).random((40, 12))
     prints = audio.fingerprint(image)
@@ -83,7 +131,7 @@ def test_filters_are_sums_over_rectangles():
             if kind != 2:
                 continue
             one, other = image[t : t + w // 2, y : y + h].sum(), image[t + w // 2 : t + w, y : y + h].sum()
-            level = np.digitize(np.log((1 + one) / (1 + other)), (-audio.STEP, 0, audio.STEP))
+            level = np.digitize(np.log((1 + one) / (1 + other)), (-audio.STEP, audio.FLOOR, audio.STEP))
             assert (prints[t] >> np.uint32(2 * n)) & 3 == audio.GRAY[level]
 
 

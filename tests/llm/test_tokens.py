@@ -1,5 +1,7 @@
 import hashlib
+import json
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -66,6 +68,34 @@ def test_encoding_of_documents_in_small_chunks(documents, odd, library):
     check(rows, library, lambda r: r["text"])
 
 
+def test_columns_of_any_name_come_back(spark, library):
+    rows = [(1, "long text " * 50, "a", "b"), (2, "short", "c", "d"), (2, "short", "c", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_key string, Text_Key_ string")
+    for drop in (False, True):
+        got = bpe.encode_texts(df, queries.tokenizer_path(), long=100, chunk=40, drop_text=drop)
+        assert got.columns == [c for c in df.columns if not (drop and c == "text")] + ["n_tokens", "ids", "decoded"]
+        assert sorted((r["doc_id"], r["text_key"], r["Text_Key_"]) for r in got.collect()) == [(1, "a", "b"), (2, "c", "d"), (2, "c", "d")]
+        texts_of = {1: rows[0][1], 2: "short"}
+        check(got.collect(), library, lambda r: texts_of[r["doc_id"]])
+
+
+@pytest.mark.parametrize("change", ["normalizer", "split", "ranks", "model"])
+def test_other_vocabularies_are_refused(tmp_path, change):
+    spec = json.loads(Path(queries.tokenizer_path()).read_text())
+    if change == "normalizer":
+        spec["normalizer"] = {"type": "NFKC"}
+    elif change == "split":
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": r"\\S+"}
+    elif change == "ranks":
+        spec["model"]["merges"].reverse()
+    else:
+        spec["model"]["end_of_word_suffix"] = None
+    path = tmp_path / "x.json"
+    path.write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="x.json"):
+        bpe_tables.Vocabulary(str(path))
+
+
 def test_odd_rows(odd, library):
     rows = bpe.encode_texts(odd, queries.tokenizer_path()).collect()
     assert len(rows) == odd.count()

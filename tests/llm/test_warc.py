@@ -1,6 +1,8 @@
+import gzip
 import hashlib
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,30 @@ def test_embedded_records_are_not_found_and_payloads_come_back(spark):
     assert {7003, 7004, 7005, 7006, 7007} <= set(payloads)
 
 
+def test_magic_lines_of_stored_payloads_are_no_records(spark, tmp_path):
+    rows = [(n, "u", f"page {n}\n{warc.MAGIC}Content-Length: {n}\r\n\r\nnot a record {n}") for n in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = shared_dir(spark, "warc")
+    warc.write_archives(df.repartition(3), path)
+    raw = b"".join(p.read_bytes() for p in Path(path.removeprefix("file://")).glob("part-*"))
+    assert raw.count(warc.MAGIC.encode()) == 80 and b"not a record 7" in raw
+    found = warc.read_archives(spark, path).collect()
+    assert sorted((r["page_id"], bytes(r["payload"]).decode()) for r in found) == sorted((n, h) for n, _, h in rows)
+
+
+def test_damaged_records_are_set_aside(spark, tmp_path):
+    def record(n, coding, body, length=None):
+        http = b"HTTP/1.1 200 OK\r\n" + coding + f"Content-Length: {length or len(body)}\r\n\r\n".encode() + body
+        return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <{warc.URN}{n}>\r\nContent-Length: {len(http)}\r\n\r\n".encode() + http + b"\r\n\r\n"
+
+    packed = gzip.compress(b"hello")
+    coding = b"Content-Encoding: gzip\r\n"
+    revisit = record(5, b"", b"", "many").replace(b"response", b"revisit")
+    (tmp_path / "a").write_bytes(record(1, coding, packed) + record(2, coding, packed[:9]) + record(3, coding, b"no gzip") + record(4, b"", b"plain", "x") + revisit + record(6, b"", b"last"))
+    got = {r["page_id"]: (r["record_type"], r["payload_bytes"], r["payload"] and bytes(r["payload"])) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got == {1: ("response", 5, b"hello"), 2: ("damaged", None, None), 3: ("damaged", None, None), 4: ("response", 5, b"plain"), 5: ("revisit", None, None), 6: ("response", 4, b"last")}
+
+
 def test_files_that_begin_with_something_else_or_break_off(spark, tmp_path):
     one = warc.record(1, "u", b"abc", None, warc.DATE) + b"\r\n\r\n"
     (tmp_path / "a").write_bytes(one + one + b"WARC/1.0\r\nContent-Length: x\r\n\r\n" + one)
