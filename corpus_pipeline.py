@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow.llm import bpe, decontam, langid, minhash, quality
-from paperflow.llm.common import shared_dir, stored, table
+from paperflow.llm.common import shared_dir, stored, table, temporary
 from paperflow.llm.queries import tokenizer_path
 
 #: A document is kept if at least this share of its letters is of its language.
@@ -43,7 +43,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids (little-endian uint32) in place of the text, and a digest of what the ids decode to."""
-    coded = bpe.encode_texts(docs, tokenizer_path())
+    coded = bpe.encode_texts(docs, tokenizer_path(), drop_text=True)
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
@@ -63,6 +63,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = shared_dir(spark, "pipeline")
     for n, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}")
+        # what a stage stores on its way goes once its result is written
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}")
         docs = spark.read.parquet(f"{folder}/{n}")
     return docs
