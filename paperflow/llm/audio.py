@@ -29,7 +29,7 @@ LOW, HIGH = 100.0, 950.0
 FILTERS = tuple((n % 6, (5 * n) % 9, 3 + n % 4 if (5 * n) % 9 + 3 + n % 4 <= 12 else 3, 4 + 2 * (n % 5)) for n in range(16))
 REACH = max(f[3] for f in FILTERS)
 #: Steps between the four levels of a filter. The middle one is off 0, so that bands without sound, where noise is compared with noise, are always below it.
-STEP, FLOOR = 0.12, 0.04
+STEP, FLOOR = 0.12, 0.005
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: Recordings are linked if at their best offset at most MOST_ERRORS of the bits differ; one that covers less than half a clip needs LEAST equal pairs of integers as well.
 LEAST, MOST_ERRORS = 3, 0.25
