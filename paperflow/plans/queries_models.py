@@ -242,7 +242,7 @@ def classify_by_centroid(spark, d):
     return found.select("vec_id", "category", "pipeline_category", "score", "relevance", F.size("top_categories").cast("long").alias("n_top"))
 
 
-@query("join_classification", f"""WITH s AS (SELECT doc_id, quality, quality AS place FROM labels UNION ALL SELECT doc_id, 1 - quality, CASE WHEN doc_id % 2 = 0 THEN -1 - quality END FROM labels WHERE doc_id % 3 = 0), c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS cat FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place NULLS LAST) AS rn FROM s) WHERE rn = 1) SELECT d.doc_id AS doi, CASE WHEN e.vec_id IS NULL THEN 'no_embedding_data' ELSE 'r' || e.label END AS relevance, coalesce('c' || e.label, '') AS category, coalesce(e.label, 0)::DOUBLE AS score, c.doc_id IS NOT NULL AS is_seed, c.cat AS original_curated_category FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id LEFT JOIN c ON c.doc_id = d.doc_id""")
+@query("join_classification", f"""WITH s AS (SELECT doc_id, quality, quality AS place FROM labels UNION ALL SELECT doc_id, 1 - quality, CASE WHEN doc_id % 2 = 0 THEN -1 - quality END FROM labels WHERE doc_id % 3 = 0), c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS cat FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(place, 9)) AS rn FROM s) WHERE rn = 1) SELECT d.doc_id AS doi, CASE WHEN e.vec_id IS NULL THEN 'no_embedding_data' ELSE 'r' || e.label END AS relevance, coalesce('c' || e.label, '') AS category, coalesce(e.label, 0)::DOUBLE AS score, c.doc_id IS NOT NULL AS is_seed, c.cat AS original_curated_category FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id LEFT JOIN c ON c.doc_id = d.doc_id""")
 def join_classification(spark, d):
     found = spark.read.parquet(f"{d}/embeddings.parquet").select(C("vec_id").alias("doi"), F.concat(F.lit("r"), "label").alias("relevance"), F.concat(F.lit("c"), "label").alias("category"), F.lit("").alias("pipeline_category"), F.array().cast("array<string>").alias("top_categories"), C("label").cast("double").alias("score"))
     labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality")

@@ -16,7 +16,8 @@ PC = f"{P}, clean AS (SELECT * REPLACE ({CLEAN.format('doi')} AS doi) FROM paper
 FIRST = f"{PC}, one AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq) AS rn FROM clean) WHERE rn = 1)"
 FLAG = "CASE seq % 3 WHEN 0 THEN true WHEN 1 THEN false END"
 NOW = "2025-01-01"
-LAST = f"cur AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(REPEATED)})) WHERE rn = 1)"
+#: In SQL a missing place is written as a number: with NULLS LAST the other engine's first row of a group varied from run to run.
+LAST = f"cur AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(seq, -1) DESC) AS rn FROM ({sql_of(REPEATED)})) WHERE rn = 1)"
 
 
 def flag(seq="seq"):
@@ -80,7 +81,7 @@ def drop_prefixed_columns(spark, d):
 def in_order(way: str) -> str:
     """One row per key by a place in the order that many rows, and all rows of some keys, lack."""
     place = "CASE WHEN seq % 4 < 2 THEN NULL ELSE seq END"
-    return f"{PC}, o AS (SELECT doi, {place} AS place, CASE WHEN seq % 10 = 9 THEN title ELSE 'first' END AS title FROM clean) SELECT doi, place, coalesce(title, '') AS title, 0.0::DOUBLE AS annotation_score FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY place {way} NULLS LAST, title {way}) AS rn FROM o) WHERE rn = 1"
+    return f"{PC}, o AS (SELECT doi, {place} AS place, CASE WHEN seq % 10 = 9 THEN title ELSE 'first' END AS title FROM clean) SELECT doi, place, coalesce(title, '') AS title, 0.0::DOUBLE AS annotation_score FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(place, {'-1' if way == 'DESC' else '1 << 40'}) {way}, title {way}) AS rn FROM o) WHERE rn = 1"
 
 
 def unordered(spark, d):
@@ -321,7 +322,7 @@ def combine_sources(spark, d):
     return merge.combine_sources(pool, sections, annotated, weak, "seq", NOW)
 
 
-@query("update_master", f"""WITH m AS ({sql_of(MASTER)}), n AS (SELECT * EXCLUDE (rn, seq) FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(FRESH)})) WHERE rn = 1) SELECT doi, annotation_score, annotation, false AS is_new FROM m WHERE annotation_score >= 3 OR doi NOT IN (SELECT doi FROM n) UNION ALL SELECT doi, annotation_score, annotation, doi NOT IN (SELECT doi FROM m) FROM n WHERE doi NOT IN (SELECT doi FROM m WHERE annotation_score >= 3)""")
+@query("update_master", f"""WITH m AS ({sql_of(MASTER)}), n AS (SELECT * EXCLUDE (rn, seq) FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(seq, -1) DESC) AS rn FROM ({sql_of(FRESH)})) WHERE rn = 1) SELECT doi, annotation_score, annotation, false AS is_new FROM m WHERE annotation_score >= 3 OR doi NOT IN (SELECT doi FROM n) UNION ALL SELECT doi, annotation_score, annotation, doi NOT IN (SELECT doi FROM m) FROM n WHERE doi NOT IN (SELECT doi FROM m WHERE annotation_score >= 3)""")
 def update_master(spark, d):
     master, new = merge.update_master(view(spark, d, MASTER), view(spark, d, FRESH), "seq")
     return master.join(new.select("doi", F.lit(True).alias("is_new")), "doi", "left").select("doi", "annotation_score", "annotation", F.coalesce("is_new", F.lit(False)).alias("is_new"))
@@ -330,13 +331,13 @@ def update_master(spark, d):
 OVERLAY = "SELECT upper(doi) AS doi, seq, CASE WHEN seq % 2 = 0 THEN '' ELSE name END AS title, CASE WHEN seq % 7 = 0 THEN 'Yes' ELSE 'no' END AS mark_for_deletion FROM (" + REPEATED + ") c"
 
 
-@query("overlay_manual", f"""{FIRST}, o AS (SELECT lower(doi) AS doi, title, mark_for_deletion FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(OVERLAY)})) WHERE rn = 1) SELECT one.doi, CASE WHEN o.doi IS NOT NULL THEN o.title ELSE one.title END AS title, o.mark_for_deletion, CASE WHEN o.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, CASE WHEN o.doi IS NOT NULL THEN 'human_annotated' END AS manual_annotation_status, CASE WHEN o.doi IS NOT NULL THEN '{NOW}' END AS manual_annotation_timestamp FROM one LEFT JOIN o ON one.doi = o.doi WHERE coalesce(lower(o.mark_for_deletion), '') <> 'yes'""")
+@query("overlay_manual", f"""{FIRST}, o AS (SELECT lower(doi) AS doi, title, mark_for_deletion FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(seq, -1) DESC) AS rn FROM ({sql_of(OVERLAY)})) WHERE rn = 1) SELECT one.doi, CASE WHEN o.doi IS NOT NULL THEN o.title ELSE one.title END AS title, o.mark_for_deletion, CASE WHEN o.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, CASE WHEN o.doi IS NOT NULL THEN 'human_annotated' END AS manual_annotation_status, CASE WHEN o.doi IS NOT NULL THEN '{NOW}' END AS manual_annotation_timestamp FROM one LEFT JOIN o ON one.doi = o.doi WHERE coalesce(lower(o.mark_for_deletion), '') <> 'yes'""")
 def overlay_manual(spark, d):
     pool = dedupe.keep_first(cleaned(spark, d).select("doi", "seq", "title"), "doi", "seq").drop("seq").withColumn("annotation_score", F.lit(60.0))
     return merge.overlay_manual(pool, view(spark, d, OVERLAY), NOW, "seq")
 
 
-@query("merge_manual", f"""{FIRST}, m AS (SELECT doi, name AS title, category FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq DESC NULLS LAST) AS rn FROM ({sql_of(REPEATED)}) WHERE toxic = 0) WHERE rn = 1), x AS (SELECT doi FROM ({sql_of(CURATED)}) WHERE seq % 5 = 0)
+@query("merge_manual", f"""{FIRST}, m AS (SELECT doi, name AS title, category FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(seq, -1) DESC) AS rn FROM ({sql_of(REPEATED)}) WHERE toxic = 0) WHERE rn = 1), x AS (SELECT doi FROM ({sql_of(CURATED)}) WHERE seq % 5 = 0)
 SELECT coalesce(a.doi, m.doi) AS doi, CASE WHEN m.doi IS NOT NULL THEN m.title ELSE a.title END AS title, a.year, m.category, CASE WHEN m.doi IS NOT NULL THEN 100 ELSE 60 END::DOUBLE AS annotation_score, m.doi IS NOT NULL AS manual_reviewed, CASE WHEN m.doi IS NOT NULL THEN '{NOW}' END AS manual_review_date
 FROM (SELECT * FROM one WHERE doi NOT IN (SELECT doi FROM x)) a FULL JOIN (SELECT * FROM m WHERE doi NOT IN (SELECT doi FROM x)) m ON a.doi = m.doi""")
 def merge_manual(spark, d):
