@@ -81,7 +81,7 @@ def drop_prefixed_columns(spark, d):
 def in_order(way: str) -> str:
     """One row per key by a place in the order that many rows, and all rows of some keys, lack."""
     place = "CASE WHEN seq % 4 < 2 THEN NULL ELSE seq END"
-    return f"{PC}, o AS (SELECT doi, {place} AS place, CASE WHEN seq % 10 = 9 THEN title ELSE 'first' END AS title FROM clean) SELECT doi, place, coalesce(title, '') AS title, 0.0::DOUBLE AS annotation_score FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(place, {'-1' if way == 'DESC' else '1 << 40'}) {way}, title {way}) AS rn FROM o) WHERE rn = 1"
+    return f"{PC}, o AS (SELECT doi, {place} AS place, CASE WHEN seq % 10 = 9 THEN title ELSE 'first' END AS title FROM clean) SELECT doi, place, coalesce(title, '') AS title, 0.0::DOUBLE AS annotation_score FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY coalesce(place, {'-1' if way == 'DESC' else '4000000000'}) {way}, title {way}) AS rn FROM o) WHERE rn = 1"
 
 
 def unordered(spark, d):
