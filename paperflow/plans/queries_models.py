@@ -5,13 +5,12 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text
-from ..operators import dedupe, graph, merge, scoring, sections, stats, vectors
+from ..operators import graph, scoring, sections, stats, vectors
 from ..streaming import attempts
-from .corpus import ANNOTATED, ATTEMPTS, CURATED, PAPERS, POOL, scratch, sql_of, view
-from .queries_tables import BEST, FIRST, FLAG, NOW, RANK, cleaned, flag
+from .corpus import ANNOTATED, ATTEMPTS, CURATED, POOL, scratch, sql_of, view
+from .queries_tables import BEST, FIRST, FLAG, cleaned, flag
 from .queries_text import P, STRIP, papers
 from .registry import query
 

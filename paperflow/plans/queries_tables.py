@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.keys import clean_doi
 from ..operators import dedupe, filters, incremental, merge, vocabulary
-from .corpus import ANNOTATED, ATTEMPTS, CURATED, FRESH, LINKS, MASTER, PAPERS, POOL, REPEATED, sql_of, view
+from .corpus import ANNOTATED, ATTEMPTS, CURATED, FRESH, LINKS, MASTER, POOL, REPEATED, sql_of, view
 from .queries_text import CLEAN, P, papers
 from .registry import query
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import casts, jsons, keys, text
 from ..sources import files
-from .corpus import ANNOTATED, ANSWERS, CURATED, PAPERS, POOL, scratch, sql_of, view
+from .corpus import ANNOTATED, ANSWERS, CURATED, PAPERS, scratch, sql_of, view
 from .registry import query
 
 C = F.col
