@@ -82,10 +82,14 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+#: A setting under which shuffled data go when the table made from them is written.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
-    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with setting(df.sparkSession, FILE_CLEANUP, "true"):
         df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -26,15 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, column, stored
+from .common import FILE_CLEANUP, bounded_batches, column, setting, shared_dir, stored, temporary
 from .graph import components
 
 WIDTH, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 192, 6
 #: Low bytes of so many signature values, for an estimate of a pair's similarity; 0.62 is more than 5 deviations below 0.75.
 SKETCH, LEAST = 2 * PERMUTATIONS, 0.62
-#: Members of a family that meet in one task, on either side.
-BLOCK = 256
+#: Members of a family that meet in one task, on either side, and their shingles (8 MB); a longer text is in a block of few others.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = (_rng.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -143,46 +143,61 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def hashed(texts: DataFrame) -> DataFrame:
+    """(id, values) of (id, text): the sorted shingle hashes, hashed once however many tasks meet them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((shingles(x).tobytes() for x in column(batch, "text")), pa.binary())], names=["id", "values"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, values binary")
+
+
+def common(one: list[np.ndarray], other: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set of `one`, the sizes of its intersections with all of `other`, counted over one sorted list of these."""
+    values = np.concatenate([*other, np.array([], np.uint64)])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(len(other)), [len(x) for x in other])[order]
+    for x in one:
+        first = np.searchsorted(values, x, "left")
+        n = np.searchsorted(values, x, "right") - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield np.bincount(owner[at], minlength=len(other))
+
+
 def leftovers(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between members of one family (id, component, main) that are in different components.
 
     A family is the largest component of some bucket, main, and all that share
-    such a bucket with it. Its members are dealt into blocks, and every block of
-    those outside main meets every block: a task holds two blocks, and only
-    links leave it.
+    such a bucket with it. Its members are dealt into blocks of bounded rows and
+    shingles, and every block of those outside main meets every block: a task
+    holds two blocks of sets, counts what they have in common without taking
+    pairs one by one, and only links leave it.
     """
     outside = F.col("component") != F.col("main")
-    blocks = lambda c: F.ceil(F.count_if(c) / BLOCK)
-    sizes = members.groupBy("main").agg(blocks(outside).alias("nx"), blocks(~outside).alias("ny"))
+    sized = members.join(nodes.groupBy("id").agg(F.max("n_shingles").alias("n")), "id")
+    blocks = lambda c: F.ceil(F.greatest(F.count_if(c) / BLOCK, F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES))
+    sizes = sized.groupBy("main").agg(blocks(outside).alias("nx"), blocks(~outside).alias("ny"))
     deal = F.pmod(F.xxhash64("id"), F.when(outside, F.col("nx")).otherwise(F.col("ny")))
     dealt = members.join(sizes, "main").withColumn("block", F.when(outside, deal).otherwise(F.col("nx") + deal))
     # every pair of blocks i <= j of which i is outside main
     low = F.transform(F.sequence(F.lit(0), F.least(F.col("block"), F.col("nx") - 1)), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
     high = F.when(F.col("block") + 1 < F.col("nx") + F.col("ny"), F.transform(F.sequence(F.col("block") + 1, F.col("nx") + F.col("ny") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))))
     cells = dealt.withColumn("cell", F.explode(F.when(outside & high.isNotNull(), F.concat(low, high)).otherwise(low))).select("main", "cell.i", "cell.j", "block", "id", "component")
-    whole = cells.join(nodes.groupBy("id").agg(F.min("sketch").alias("sketch"), F.count("*").alias("texts")), "id").join(texts, "id")
+    sets = stored(hashed(texts.join(members.select("id").distinct(), "id", "left_semi")), "sets")
+    whole = cells.join(sets, "id")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
         one, two = frame[frame["block"] == i], frame[frame["block"] == j]
-        sketch = [np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, SKETCH) for x in (one, two)]
-        component = [x["component"].to_numpy() for x in (one, two)]
-        # an id with several texts has the sketch of one of them
-        many = [x["texts"].to_numpy() > 1 for x in (one, two)]
-        ids, words = [x["id"].to_numpy() for x in (one, two)], [x["text"].to_list() for x in (one, two)]
-        known: dict[tuple[int, int], np.ndarray] = {}
+        (ids, component, values), (ids2, component2, values2) = ((x["id"].to_numpy(), x["component"].to_numpy(), [np.frombuffer(v, np.uint64) for v in x["values"]]) for x in (one, two))
+        size = np.array([len(v) for v in values2], np.int64)
         found = []
-
-        def values(side: int, k: int) -> np.ndarray:
-            if (side, k) not in known:
-                known[side, k] = shingles(words[side][k])
-            return known[side, k]
-
-        for x in range(len(one)):
-            likely_ = ((sketch[1] == sketch[0][x]).mean(1) >= LEAST) | many[1] | many[0][x]
-            for y in np.flatnonzero(likely_ & (component[1] != component[0][x])).tolist():
-                if (i < j or ids[0][x] < ids[1][y]) and similar(values(0, x), values(1, y)):
-                    found.append((min(ids[0][x], ids[1][y]), max(ids[0][x], ids[1][y])))
+        for x, shared in enumerate(common(values, values2)):
+            linked = (100 * shared >= PERCENT * (len(values[x]) + size - shared)) & (shared > 0) & (component2 != component[x])
+            if i == j:
+                linked &= ids2 > ids[x]
+            found += [(min(ids[x], y), max(ids[x], y)) for y in ids2[linked].tolist()]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return whole.groupBy("main", "i", "j").applyInPandas(run, "a long, b long")
@@ -203,10 +218,22 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     Documents without words link with nothing. Rows of null key are in no
     component (component_id null) and are kept. Repeated rows repeat in the
     result; rows of one key with different texts are versions of one document,
-    linked by any of them.
+    linked by any of them. The result is written to the shared folder, and what
+    is stored on the way is removed.
     """
     spark = df.sparkSession
     bounded_batches(spark)
+    path = shared_dir(spark, "near-duplicates")
+    with temporary(spark):
+        found = grouped(df, key, text)
+        with setting(spark, FILE_CLEANUP, "true"):
+            found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def grouped(df: DataFrame, key: str, text: str) -> DataFrame:
+    """As `near_duplicates`, over tables that stay."""
+    spark = df.sparkSession
     rows = stored(signatures(df, key, text), "signatures")
     sets = rows.where("content is not null and id is not null")
     classes = stored(sets.groupBy("content").agg(F.min("id").alias("id")), "classes")
