@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, decontam, hosts, langid, minhash, pseudo_likelihood, quality, token_counts, warc
+from . import audio, bpe, decontam, exact, hosts, langid, minhash, pseudo_likelihood, quality, runs, spelling, token_counts, warc
 from .common import fold, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +70,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic(table(spark, sf_dir, "documents").select("doc_id", "text"), change=runs.repeated_tail)
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period)), "")
+    # greatest length, then smallest start, then period
+    best = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r.length).alias("length"), r.start.alias("start"), r.period.alias("period")))), F.lit(0))
+    out = found.withColumn("best", best)
+    longest = [F.col("best.start").alias("start"), (-F.col("best.length")).alias("length"), F.col("best.period").alias("period"), F.expr("-1000 * best.length div best.period").alias("exponent_milli")]
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *longest, F.sha2(lines, 256).alias("runs_sha256"), F.col("digest").alias("collapsed_sha256"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(spelling.counted(table(spark, sf_dir, "documents"), change=spelling.typo))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
@@ -81,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hosts": op8_hosts,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
+    "op11_runs": op11_runs,
+    "op12_exact": op12_exact,
+    "op13_spelling": op13_spelling,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_hosts": hosts.oracle()}
+ORACLE_SQL: dict[str, str] = {"op8_hosts": hosts.oracle(), "op12_exact": exact.ORACLE}
