@@ -10,9 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import strip
+from ..functions.names import fresh
 from .dedupe import keep_last
+from .patterns import Index, of_text, of_vocabulary
 
 Vocabulary = Mapping[str, Sequence[str]]
+#: Letters by which keywords of a large map are joined to terms.
+PIECE = 3
+#: Vocabularies of which extract_concepts makes columns.
+GROUPS = ("inclusion", "exclusion", "tissue", "organism", "disease", "paper_type", "pipeline", "method")
 
 
 def load_vocabulary(raw: Mapping[str, Sequence[str] | None]) -> dict[str, tuple[str, ...]]:
@@ -28,12 +34,18 @@ def load_vocabulary(raw: Mapping[str, Sequence[str] | None]) -> dict[str, tuple[
     return out
 
 
+#: Escapes within double quotes that are other signs than themselves.
+ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "0": "\0", "b": "\b", "f": "\f", "v": "\v", "e": "\x1b"}
+_SCALAR = re.compile(r"""\s*(?:'(?P<single>(?:''|[^'])*)'|"(?P<double>(?:\\.|[^"\\])*)"|(?P<plain>[^\s'"#\[\]{},&*!|>%@`-][^\n]*?|-\S[^\n]*?))""")
+
+
 def read_vocabulary(lines: Iterable[str]) -> dict[str, tuple[str, ...]]:
-    """A vocabulary from lines of YAML of one shape: `label:` lines, each with a list of `- pattern` lines.
+    """A vocabulary from lines of YAML of one shape: `label:` lines, each with a list of `- pattern` lines or a `[pattern, ..]` of one line.
 
     Patterns and labels may stand in quotes: single ones, where a doubled quote
-    is one, or double ones, where a doubled backslash is one. Blank lines and
-    comments are skipped; any other line is an error.
+    is one, or double ones with YAML's escapes by a backslash. Blank lines and
+    comments, on lines of their own or behind others, are skipped; any other
+    line is an error. Of a label that stands twice the later one counts.
     """
     raw: dict[str, list[str]] = {}
     label = None
@@ -41,65 +53,61 @@ def read_vocabulary(lines: Iterable[str]) -> dict[str, tuple[str, ...]]:
         text = line.strip()
         if not text or text.startswith("#") or text == "---":
             continue
-        if text.startswith("- ") and label is not None:
-            raw[label].append(unquoted(text[2:]))
-        elif text.endswith(":") or text.endswith(": []"):
-            label = unquoted(text.removesuffix(" []")[:-1])
-            raw[label] = []
-        else:
-            raise ValueError(f"line {n}: neither a label nor a pattern: {text!r}")
+        try:
+            if text.startswith("- ") and label is not None:
+                raw[label].append(alone(text[2:], ""))
+                continue
+            label, rest = scalar(text, ":")
+            raw[label] = listed(rest[1:])
+        except ValueError as e:
+            raise ValueError(f"line {n}: {e}: {text!r}") from None
     return load_vocabulary(raw)
 
 
-def unquoted(text: str) -> str:
-    text = text.strip()
-    quote = text[:1]
-    if quote in ("'", '"') and text.count(quote) >= 2:
-        inner = text[1 : text.rindex(quote)]
-        return inner.replace("''", "'") if quote == "'" else inner.replace("\\\\", "\\")
-    return re.sub(r"\s+#.*$", "", text)
-
-
-def literal_of(pattern: str) -> str:
-    """A text that every match of the pattern holds, in lower case: the longest plain run outside groups, sets and options; empty if there is none."""
-    runs, run, depth, i = [], "", 0, 0
-    while i < len(pattern):
-        c, width = pattern[i], 1
-        if c == "\\":
-            # escaped signs are themselves, escaped letters are classes and edges
-            c, width = (pattern[i + 1 : i + 2], 2)
-            plain = not (c.isalnum() or c == "")
-        elif c == "[":
-            end = pattern.find("]", i + 2)
-            if end < 0:
-                return ""
-            width, plain = end + 1 - i, False
-        else:
-            if c == "|" and not depth:
-                return ""
-            depth += (c == "(") - (c == ")")
-            plain = c not in "()|.^$?*+{}" and c.isascii()
-        i += width
-        optional = pattern[i : i + 1] in ("?", "*", "{")
-        if plain and not depth and not optional:
-            run += c
-        else:
-            runs.append(run)
-            run = ""
-        if pattern[i : i + 1] == "{":
-            i = pattern.find("}", i) + 1 or len(pattern)
-    return max([*runs, run], key=len).lower()
+def scalar(text: str, ends: str) -> tuple[str, str]:
+    """A value at the start of a text, and what follows it: nothing, a comment, or one of the signs in `ends`."""
+    closing = rf"(?=\s*$|\s+#|\s*[{re.escape(ends)}](?:\s|$))" if ends == ":" else rf"(?=\s*$|\s+#|\s*[{re.escape(ends)}])" if ends else r"(?=\s*$|\s+#)"
+    m = re.compile(_SCALAR.pattern + closing).match(text)
+    if not m:
+        raise ValueError("neither a label nor a pattern")
+    rest = text[m.end() :].strip()
+    if ends and not rest.startswith(tuple(ends)):
+        raise ValueError("neither a label nor a pattern")
+    if m["single"] is not None:
+        return m["single"].replace("''", "'"), rest
+    if m["double"] is not None:
+        return re.sub(r"\\(.)", escaped, m["double"]), rest
+    return m["plain"], rest
 
 
-def within(text: Column, pattern: str, found: Column) -> Column:
-    """`found` for texts that hold what every match must hold, else null: a plain search spares most texts the expression."""
-    literal = literal_of(pattern)
-    return F.when(F.lower(text).contains(literal), found) if literal else found
+def escaped(m: re.Match) -> str:
+    if m[1].isalnum() and m[1] not in ESCAPES:
+        raise ValueError(f"an unknown escape {m[0]}")
+    return ESCAPES.get(m[1], m[1])
 
 
-def matches(text: Column, patterns: Sequence[str]) -> Column:
-    hits = [F.coalesce(within(text, p, text.rlike(f"(?i){p}")), F.lit(False)) for p in patterns]
-    return reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
+def alone(text: str, ends: str) -> str:
+    value, rest = scalar(text, ends)
+    if rest and not rest.startswith("#"):
+        raise ValueError("more than one value")
+    return value
+
+
+def listed(text: str) -> list[str]:
+    """The values of `[a, b]`; none of nothing and of a comment."""
+    text = text.strip()
+    if not text or text.startswith("#"):
+        return []
+    if not text.startswith("["):
+        raise ValueError("a label with a value that is no list")
+    out, text = [], text[1:].strip()
+    while not text.startswith("]"):
+        value, text = scalar(text, ",]")
+        out.append(value)
+        text = text[1:].strip() if text.startswith(",") else text
+    if text[1:].strip() and not re.match(r"\s+#|$", text[1:]):
+        raise ValueError("more behind a list")
+    return out
 
 
 def corpus_text(title: Column, abstract: Column, keywords: Column | None = None) -> Column:
@@ -109,37 +117,35 @@ def corpus_text(title: Column, abstract: Column, keywords: Column | None = None)
 
 
 def tag_any(text: Column, vocabulary: Vocabulary) -> Column:
-    return matches(text, [p for ps in vocabulary.values() for p in ps])
+    """Whether a pattern matches; false for a null text."""
+    hits = of_text(text, lambda t: F.exists(of_vocabulary(vocabulary).candidates(t), lambda p: F.rlike(t, p.pattern)))
+    return F.coalesce(hits, F.lit(False))
 
 
 def tag_first(text: Column, vocabulary: Vocabulary) -> Column:
     """The first label of the vocabulary that matches, else null."""
-    found = [F.when(matches(text, ps), label) for label, ps in vocabulary.items() if ps]
-    return F.coalesce(*found) if found else F.lit(None).cast("string")
+    return F.get(of_vocabulary(vocabulary).matching(text), F.lit(0))["name"]
 
 
 def tag_all(text: Column, vocabulary: Vocabulary) -> Column:
     """All labels that match, sorted."""
-    found = [F.when(matches(text, ps), label) for label, ps in vocabulary.items() if ps]
-    return F.array_sort(F.array_compact(F.array(*found))) if found else F.array().cast("array<string>")
+    return names_of(of_vocabulary(vocabulary).matching(text))
 
 
-def fragments(text: Column, patterns: Sequence[str]) -> Column:
-    """Distinct matched fragments in lower case, sorted; every pattern reports its own."""
-    none = F.array().cast("array<string>")
-    each = [F.coalesce(within(text, p, F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0))), none) for p in patterns]
-    return F.array_sort(F.array_distinct(F.transform(F.flatten(F.array(*each)), F.lower)))
+def names_of(hits: Column) -> Column:
+    return F.coalesce(F.array_sort(F.array_distinct(F.transform(hits, lambda p: p["name"]))), F.array().cast("array<string>"))
 
 
-def tag_detail(text: Column, vocabulary: Vocabulary) -> Column:
-    """Label to matched fragments, for labels that match; every pattern goes over a text once at most."""
-    pairs = [c for label, ps in vocabulary.items() if ps for c in (F.lit(label), fragments(text, ps))]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: F.size(v) > 0) if pairs else F.expr("cast(map() as map<string, array<string>>)")
+def detail_of(hits: Column) -> Column:
+    """Label to distinct matched fragments in lower case, sorted; every pattern reports its own. hits: (name, found)."""
+    own = lambda name: F.flatten(F.transform(F.filter(hits, lambda p: p["name"] == name), lambda p: p.found))
+    fragments = F.transform(names_of(hits), lambda name: F.array_sort(F.array_distinct(F.transform(own(name), F.lower))))
+    return F.map_from_arrays(names_of(hits), fragments)
 
 
-def labels_of(detail: Column) -> Column:
-    """The labels of a detail map: what tag_all gives for the same text."""
-    return F.coalesce(F.array_sort(F.map_keys(detail)), F.array().cast("array<string>"))
+def tag_detail(text: Column, vocabulary: Vocabulary) -> Column:
+    """Label to matched fragments, for labels that match."""
+    return of_text(of_vocabulary(vocabulary).found(text), detail_of)
 
 
 def merged_details(maps: list[Column]) -> Column:
@@ -151,26 +157,29 @@ def extract_concepts(df: DataFrame, text: str, vocabularies: Mapping[str, Vocabu
     """All kw_ columns of one text column, in lower case.
 
     vocabularies: inclusion, exclusion, tissue, organism, disease, paper_type,
-    pipeline and method; a missing one is empty. Those that need fragments are
-    gone over once: their labels are the keys of what is found.
+    pipeline and method; a missing one is empty. A text is gone over once with
+    one index for all of them.
     """
-    of = lambda name: vocabularies.get(name, {})
-    t = F.col(text)
-    detailed = ("tissue", "organism", "disease", "pipeline")
-    found = df.withColumns({f"_{n}": tag_detail(t, of(n)) for n in detailed})
-    out = found.withColumns({
-        "kw_domain_inclusion": tag_any(t, of("inclusion")),
-        "kw_domain_exclusion": tag_any(t, of("exclusion")),
-        "kw_tissue": labels_of(F.col("_tissue")),
-        "kw_organism": labels_of(F.col("_organism")),
-        "kw_disease": labels_of(F.col("_disease")),
-        "kw_paper_type": tag_all(t, of("paper_type")),
-        "kw_pipeline_category": labels_of(F.col("_pipeline")),
-        "kw_detected_methods": tag_all(t, of("method")),
-        "kw_detail_pipeline_categories": F.col("_pipeline"),
-        "kw_detail_biological_concepts": merged_details([F.col(f"_{n}") for n in ("tissue", "organism", "disease")]),
-    })
-    return out.drop(*[f"_{n}" for n in detailed])
+    every = Index((f"{group}:{label}", p) for group in GROUPS for label, ps in vocabularies.get(group, {}).items() for p in ps)
+    hits = fresh("hits", df.columns)
+    found = df.withColumn(hits, F.coalesce(every.found(F.col(text)), F.array().cast("array<struct<name:string,found:array<string>>>")))
+
+    def of(group: str) -> Column:
+        own = F.filter(F.col(hits), lambda p: F.startswith(p["name"], F.lit(f"{group}:")))
+        return F.transform(own, lambda p: F.struct(F.substring(p["name"], len(group) + 2, 1 << 30).alias("name"), p.found.alias("found")))
+
+    return found.withColumns({
+        "kw_domain_inclusion": F.size(of("inclusion")) > 0,
+        "kw_domain_exclusion": F.size(of("exclusion")) > 0,
+        "kw_tissue": names_of(of("tissue")),
+        "kw_organism": names_of(of("organism")),
+        "kw_disease": names_of(of("disease")),
+        "kw_paper_type": names_of(of("paper_type")),
+        "kw_pipeline_category": names_of(of("pipeline")),
+        "kw_detected_methods": names_of(of("method")),
+        "kw_detail_pipeline_categories": of_text(of("pipeline"), detail_of),
+        "kw_detail_biological_concepts": merged_details([of_text(of(n), detail_of) for n in ("tissue", "organism", "disease")]),
+    }).drop(hits)
 
 
 def curated_then_extract(df: DataFrame, curated: DataFrame, columns: Sequence[str], vocabularies: Mapping[str, Vocabulary], order: str, key: str = "doi") -> DataFrame:
@@ -211,6 +220,49 @@ def harmonize_term_table(df: DataFrame, terms: str, *maps: Mapping[str, Sequence
     return df.drop(terms).join(found, "id", "left").withColumn(terms, F.coalesce(terms, F.array().cast("array<string>")))
 
 
+def pieces(text: Column, n: int) -> Column:
+    """All distinct runs of n letters of a text."""
+    places = F.sequence(F.lit(1), F.char_length(text) - n + 1)
+    return F.when(F.char_length(text) >= n, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+
+def harmonized(terms: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(term, label) of the terms of (term) in which a keyword of (label, keyword, place) occurs, letters and digits only: the label of least place.
+
+    Keywords meet only those terms that share their rarest run of three letters
+    (shorter keywords: themselves), counted over the terms, and are then searched for. So
+    neither the plan nor a task grows with the keywords, and no keyword meets
+    all terms.
+    """
+    bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    words = keywords.select("label", "place", bare(F.col("keyword")).alias("keyword")).where("keyword <> ''")
+    distinct = terms.where("term is not null").select("term").distinct().select("term", bare(F.col("term")).alias("plain"))
+    found = None
+    for n in (1, 2, PIECE):
+        own = words.where(F.char_length("keyword") == n) if n < PIECE else words.where(F.char_length("keyword") >= n)
+        of_terms = distinct.select("term", "plain", F.explode(pieces(F.col("plain"), n)).alias("piece"))
+        if n < PIECE:
+            met = own.withColumn("piece", F.col("keyword")).join(of_terms, "piece")
+        else:
+            counts = of_terms.groupBy("piece").agg(F.count("*").alias("n"))
+            of_words = own.select("label", "place", "keyword", F.explode(pieces(F.col("keyword"), n)).alias("piece"))
+            # a piece that no term has rules the keyword out
+            rarest = of_words.join(counts, "piece", "left").groupBy("label", "place", "keyword").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
+            met = rarest.where("best.n > 0").select("label", "place", "keyword", F.col("best.piece").alias("piece")).join(of_terms, "piece").where(F.contains("plain", "keyword"))
+        met = met.select("term", "place", "label")
+        found = met if found is None else found.unionByName(met)
+    return found.groupBy("term").agg(F.min(F.struct("place", "label")).alias("best")).select("term", "best.label")
+
+
+def harmonize_with_tables(df: DataFrame, terms: str, *maps: DataFrame) -> DataFrame:
+    """As `harmonize_term_table`, for maps that are tables (label, keyword, place), applied one after another; `df` needs a column `id`."""
+    long = df.select("id", F.explode(terms).alias("term")).distinct()
+    for m in maps:
+        long = long.join(harmonized(long, m), "term", "left").select("id", F.coalesce("label", "term").alias("term")).distinct()
+    found = long.groupBy("id").agg(F.array_sort(F.collect_set("term")).alias(terms))
+    return df.drop(terms).join(found, "id", "left").withColumn(terms, F.coalesce(terms, F.array().cast("array<string>")))
+
+
 def harmonize_context(context: Column, vocabulary: Vocabulary) -> Column:
     """The first label that matches a context by pattern or whole word; null for null, blank, n/a and none."""
     text = strip(F.lower(context))

@@ -245,6 +245,41 @@ def curated_then_extract(spark, d):
     return concept_columns(vocabulary.curated_then_extract(rows, curated, ["title"], GROUPS, "seq"))
 
 
+#: Parts of words from which a vocabulary of 85 labels and 360 patterns of its own kinds is made by rule.
+PARTS = ("th", "er", "on", "an", "re", "in", "ed", "ha", "en", "ti", "st", "nd", "sch", "keit", "ung", "lich", "tion", "ment", "que", "ent")
+KINDS = (r"\b{a}{b}\b", r"\b{a}{b}(?:{c})?\b", r"\b(?:{a}|{b}){c}\b", r"\b{a}{b}\s+{c}", r"{a}{b}{c}\b", r"\b{a}[aeiou]{b}\w*")
+LARGE = [(f"label {n % 85}", KINDS[n % 6].format(a=PARTS[n % 20], b=PARTS[n // 20], c=PARTS[(n * 7 + n // 20) % 20])) for n in range(360)]
+LARGE_SQL = ", ".join(f"('{label}', '{p}')" for label, p in LARGE)
+
+
+@query("tag_large_vocabulary", f"{P}, t AS (SELECT seq, lower(regexp_replace(title || ' ' || abstract, '[^\\x00-\\x7F]', ' ', 'g')) AS text FROM papers), v(label, pattern) AS (VALUES {LARGE_SQL}) SELECT DISTINCT seq, label, lower(unnest(regexp_extract_all(text, '(?i)' || pattern))) AS fragment FROM t, v")
+def tag_large_vocabulary(spark, d):
+    """85 labels and 360 patterns over ASCII texts, where both engines see the same edges of words."""
+    by_label: dict[str, list[str]] = {}
+    for label, p in LARGE:
+        by_label.setdefault(label, []).append(p)
+    text = F.regexp_replace(F.concat_ws(" ", "title", "abstract"), r"[^\x00-\x7F]", " ")
+    found = papers(spark, d).select("seq", F.explode(vocabulary.tag_detail(F.lower(text), vocabulary.load_vocabulary(by_label))).alias("label", "fragments"))
+    return found.select("seq", "label", F.explode("fragments").alias("fragment"))
+
+
+#: Keywords of a large map: the words of the benchmark, each of which stands for those that begin alike.
+KEYWORDS = "SELECT DISTINCT upper(substring(word, 1, 3)) AS label, word AS keyword, word AS place FROM (SELECT explode(split(lower(text), '[^a-z0-9]+')) AS word FROM {benchmark}) WHERE length(word) >= 5"
+LARGE_MAP = r"""WITH t AS (SELECT DISTINCT doc_id AS id, unnest(string_split_regex(text, '[\x20\x09-\x0D]+')) AS term FROM documents), w AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS keyword FROM benchmark),
+d AS (SELECT term, regexp_replace(lower(term), '[^a-z0-9]', '', 'g') AS plain FROM (SELECT DISTINCT term FROM t)), k AS (SELECT keyword, upper(substring(keyword, 1, 3)) AS label FROM w WHERE length(keyword) >= 5),
+one AS (SELECT term, min_by(label, keyword) AS label FROM d JOIN k ON contains(plain, keyword) GROUP BY term), m AS (SELECT id, coalesce(label, t.term) AS term FROM t LEFT JOIN one USING (term))
+SELECT id, md5(array_to_string(list_sort(list_distinct(list(CASE WHEN regexp_replace(lower(term), '[^a-z0-9]', '', 'g') LIKE '%the%' THEN 'General' ELSE term END))), '|')) AS terms FROM m GROUP BY id"""
+
+
+@query("harmonize_large_map", LARGE_MAP)
+def harmonize_large_map(spark, d):
+    """All words of all documents through a map that is a table, and its labels through a second one."""
+    rows = spark.read.parquet(f"{d}/documents.parquet").select(C("doc_id").alias("id"), F.split("text", r"[\x20\x09-\x0D]+").alias("terms"))
+    second = spark.range(1).select(F.lit("General").alias("label"), F.lit("the").alias("keyword"), F.lit(0).alias("place"))
+    found = vocabulary.harmonize_with_tables(rows, "terms", view(spark, d, KEYWORDS), second)
+    return found.select("id", F.md5(F.array_join("terms", "|").cast("binary")).alias("terms"))
+
+
 MAPS = ({"Source one": ["SRC-1"], "Two": ["src2", "purchase"]}, {"General": ["source ONE"], "English": ["en"]})
 TERMS = "SELECT doc_id AS id, source AS a, lang AS b FROM {documents}"
 HARMONIZED = "CASE WHEN contains(source, 'src1') THEN 'General' WHEN contains(source, 'src2') THEN 'Two' ELSE source END"

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperflow.functions import casts, jsons, keys, text
-from paperflow.operators import vocabulary
+from paperflow.operators import patterns, vocabulary
 
 
 def values(spark, column, rows, kind="string"):
@@ -95,12 +95,81 @@ def test_vocabulary_files():
         vocabulary.read_vocabulary(["a:", "- '('"])
 
 
+def test_shapes_of_vocabulary_files():
+    """Comments behind labels, lists and quoted patterns; apostrophes in comments; lists of one line; escapes."""
+    lines = ["'Other one': # needs quotes", '  - "\\\\b(?:colitis|Crohn\'s)\\\\b" # can\'t go', "- 'foo' # don't", "Empty: [] # an 'empty' list", "Flow: [a, 'b, c', \"d\\\\s\"] # x", "Plain label:   # none", "  - \\bfoo bar\\b  # it's", "  -   c#d", '"q\\"x":']
+    assert vocabulary.read_vocabulary(lines) == {"Other one": (r"\b(?:colitis|Crohn's)\b", "foo"), "Empty": (), "Flow": ("a", "b, c", r"d\s"), "Plain label": (r"\bfoo bar\b", "c#d"), 'q"x': ()}
+    for bad in ("- 'a' b", "- 'a", "x: y", "z: [a", r'- "\d"'):
+        with pytest.raises(ValueError, match="line 2"):
+            vocabulary.read_vocabulary(["a:", bad])
+
+
 @pytest.mark.parametrize(
-    ("pattern", "literal"),
-    [(r"\bcells?\b", "cell"), ("RNA-Seq", "rna-seq"), ("a|b", ""), ("(x|y)tail", "tail"), ("ab{0,2}cd", "cd"), (r"\d+", ""), ("[a-z]x.*long one", "long one"), (r"a\.b", "a.b"), ("ab*", "a"), ("(?:un)?known", "known"), ("", ""), (r"single[- ]cell", "single")],
-)
-def test_literals_of_patterns(pattern, literal):
-    assert vocabulary.literal_of(pattern) == literal
+    ("pattern", "texts", "keys"),
+    [(r"\bcells?\b", {"cell"}, {"cell"}), ("RNA-Seq", {"rna-seq"}, {None}), (r"\bRNA-Seq", {"rna-seq"}, {"rna"}), (r"\bAD\b", {"ad"}, {"ad"}), ("a|b", {"a", "b"}, {None}), (r"\b(?:malaria|MS)\b", {"malaria", "ms"}, {"mala", "ms"}), ("(x|y)tail", {"tail"}, {None}), ("ab{0,2}cd", {"cd"}, {None}),
+     (r"[a-z]x.*\blong one\b", {"long one"}, {"long"}), (r"a\.b", {"a.b"}, {None}), ("ab*", {"a"}, {None}), ("(?:un)?known", {"known"}, {None}), (r"\bsingle[- ]cell", {"single"}, {"sing"}), ("ab+c", {"ab"}, {None}), (r"(?:\balpha\b|\bbeta\b)", {"alpha", "beta"}, {"alph", "beta"})],
+)
+def test_needs_of_patterns(pattern, texts, keys):
+    found = patterns.needs(pattern)
+    assert {n.text for n in found} == texts and {n.key() for n in found} == keys
+
+
+@pytest.mark.parametrize("pattern", [r"\d+", "", r"\x41bc", r"x\x2dseq", "(?x) rna -seq", "(?i)a", r"(a)\1b", "[a-z&&[b]]x", "a|", "(?=ab)", "é"])
+def test_patterns_that_need_nothing(pattern):
+    assert not patterns.needs(pattern)
+
+
+def random_patterns(rng, n):
+    words = ["cell", "cells", "rna", "rna-seq", "ad", "it", "tumor", "x_y", "42"]
+
+    def part(depth):
+        kind = rng.randrange(12)
+        w = rng.choice(words)
+        if kind < 4:
+            return w.upper() if kind == 3 else w
+        if kind == 4:
+            return rf"\b{w}\b"
+        if kind == 5:
+            return rng.choice([r"\s+", r"\W", ".", "[- ]?", "[a-c]", r"\w*", r"\d", "s?", "é", r"\x41", r"\-", r"\.", "[^ ]"])
+        if kind in (6, 7) and depth < 2:
+            inner = "|".join(part(depth + 1) for _ in range(rng.randrange(1, 4)))
+            return rng.choice(["(?:", "("]) + inner + ")" + rng.choice(["", "", "?", "+", "{1,2}", "*", "+?"])
+        if kind == 8:
+            return w + rng.choice(["?", "*", "+", "{2}", "{0,1}"])
+        if kind == 9:
+            return rng.choice([r"\b", r"\B", "^", "(?=c)", "(?!r)", "(?<!a)"])
+        if kind == 10:
+            return rng.choice([r"(a)\1", "|", r"(\w)\1"]) if depth else r"(\w)\1"
+        return rng.choice([" ", "-", "_", "a"])
+
+    return ["".join(part(0) for _ in range(rng.randrange(1, 5))) for _ in range(n)]
+
+
+def test_index_loses_no_match(spark):
+    """Random patterns with escapes, sets, options, lookarounds and back references against each pattern on its own."""
+    import random
+    import re
+
+    rng = random.Random(7)
+    signs = ["cell", "cells", "CELL", "rna", "RNA-Seq", "ad", "Ad", "it", "tumor", "tumors", "x_y", "42", "é", "A", "aa", "K", "İ", "-", ".", " ", "  ", "_", "ß"]
+    rows = ["".join(rng.choice(signs) + rng.choice(["", " ", " ", "é", "-"]) for _ in range(rng.randrange(0, 14))) for _ in range(60)]
+    chosen = []
+    for p in random_patterns(rng, 400):
+        try:
+            re.compile(p)
+        except re.error:
+            continue
+        chosen.append(p)
+    assert sum(bool(patterns.needs(p)) for p in chosen) > 150
+    index = patterns.Index((str(i), p) for i, p in enumerate(chosen))
+    got = values(spark, F.transform(index.found(F.col("v")), lambda x: F.concat_ws("\0", F.array(x["name"]), x.found)), rows)
+    df = spark.createDataFrame([(v,) for v in rows], "v string").coalesce(1)
+    for at in range(0, len(chosen), 40):
+        part = chosen[at : at + 40]
+        wanted = df.select(*[F.regexp_extract_all("v", F.lit(f"(?i){p}"), F.lit(0)) for p in part]).collect()
+        for mine, row in zip(got, wanted):
+            own = {int(x.split("\0")[0]): x.split("\0")[1:] for x in mine}
+            assert [own.get(at + i, []) for i in range(len(part))] == [list(x) for x in row]
 
 
 def test_tags(spark):
@@ -116,3 +185,16 @@ def test_harmonize(spark):
     maps = {"RNA": ["RNA-seq"], "Any": ["seq"]}
     assert values(spark, vocabulary.harmonize_terms(F.col("v"), maps), [["scRNA seq", "x-seq", "other", "other"], []], "array<string>") == [["Any", "RNA", "other"], []]
     assert values(spark, vocabulary.harmonize_context(F.col("v"), {"Brain": ("brain",)}), ["Mouse brain", "n/a", " None ", "liver", None]) == ["Brain", None, None, None, None]
+
+
+def test_large_maps_as_expressions(spark):
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abc-1") for _ in range(rng.randrange(1, 7)))
+    maps = [{f"{kind}{i}": [word() for _ in range(rng.randrange(0, 4))] for i in range(40)} for kind in ("x", "ab")]
+    rows = [(i, [word() + " " + word() for _ in range(rng.randrange(0, 5))]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, terms array<string>")
+    tables = [spark.createDataFrame([(label, w, n) for n, (label, ws) in enumerate(m.items()) for w in ws], "label string, keyword string, place int") for m in maps]
+    wanted = df.select("id", vocabulary.harmonize_terms(F.col("terms"), *maps).alias("terms")).orderBy("id").collect()
+    assert vocabulary.harmonize_with_tables(df, "terms", *tables).orderBy("id").collect() == wanted
