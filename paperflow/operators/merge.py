@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import clean_doi
+from ..sources.buckets import BucketTable
 from .dedupe import keep_first, keep_last
 
 #: Rank of each extraction status, in lower case; others rank OTHER_RANK.
@@ -107,6 +108,13 @@ def update_master(master: DataFrame, new: DataFrame, order: str, key: str = "doi
     return best, picked.join(master.select(key).distinct(), key, "left_anti")
 
 
+def update_master_table(table: BucketTable, new: DataFrame, order: str, score: str = "annotation_score", lock: float = 3.0) -> DataFrame:
+    """`update_master` on a master that is kept in buckets: only those of the new keys are rewritten. Gives the rows whose key is new."""
+    before, changes = table.version(), with_key(new, table.key)
+    table.update(changes, lambda master, rows: update_master(master, rows, order, table.key, score, lock)[0])
+    return keep_last(changes, table.key, order).join(table.read(before).select(table.key).distinct(), table.key, "left_anti")
+
+
 def overlay_manual(papers: DataFrame, overlay: DataFrame, now: str, order: str, key: str = "doi", score: float = 100.0, status: str = "human_annotated") -> DataFrame:
     """Every overlay column over the paper's, empty text included; keys that are no papers are skipped; rows marked for deletion go.
 
@@ -125,6 +133,12 @@ def overlay_manual(papers: DataFrame, overlay: DataFrame, now: str, order: str,
     return joined.withColumns(out).drop("_matched", *[f"_m_{c}" for c in columns]).where(~marked)
 
 
+def overlay_table(table: BucketTable, overlay: DataFrame, now: str, order: str, score: float = 100.0, status: str = "human_annotated") -> None:
+    """`overlay_manual` on papers of cleaned keys that are kept in buckets: only those of the overlay's keys are rewritten."""
+    changes = with_key(overlay.withColumn(table.key, clean_doi(F.col(table.key))), table.key)
+    table.update(changes, lambda papers, rows: overlay_manual(papers, rows, now, order, table.key, score, status))
+
+
 def merge_manual(annotated: DataFrame, manual: DataFrame, deleted: DataFrame, now: str, order: str, key: str = "doi", score: float = 100.0) -> DataFrame:
     """Manual rows over annotated ones, manual-only rows added, deleted keys in neither.
 

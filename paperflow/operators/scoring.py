@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import strict_bool
+from ..sources.buckets import BucketTable, Folder
 
 #: Fields whose presence counts for completeness, of every annotation and of methods papers.
 CORE_FIELDS = ("llm_annot_main_goal_of_paper", "llm_annot_classification", "llm_annot_contribution_type")
@@ -113,20 +115,83 @@ def promote_relevance(current: Column, new: Column) -> Column:
     return F.when((rank(new) > rank(current)) | current.isNull() | current.isin("null", "uncertain") | (new == "irrelevant"), new).otherwise(current)
 
 
+def answered(annotator: Callable[[str], str], text: str) -> tuple[str | None, str]:
+    """(answer, status) of one call."""
+    try:
+        return annotator(text), "success"
+    except Exception as e:  # the annotator is the caller's
+        return None, f"llm_error_{type(e).__name__}"
+
+
 def annotate_with(df: DataFrame, annotator: Callable[[str], str], key: str, prompt: str) -> DataFrame:
-    """(key, answer, status) from a caller's annotator, one text to one JSON text. An error becomes a status, never a failed job; limit concurrency by partitions."""
+    """(key, answer, status) from a caller's annotator, one text to one JSON text. An error becomes a status, never a failed job; limit concurrency by partitions.
+
+    Answers last as long as the job: for calls that cost something, `annotate_in_batches`.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            answers, states = [], []
-            for text in frame[prompt]:
-                try:
-                    answers.append(annotator(text))
-                    states.append("success")
-                except Exception as e:  # the annotator is the caller's
-                    answers.append(None)
-                    states.append(f"llm_error_{type(e).__name__}")
-            yield pd.DataFrame({key: frame[key], "answer": answers, "status": states})
+            found = [answered(annotator, text) for text in frame[prompt]]
+            yield pd.DataFrame({key: frame[key], "answer": [a for a, _ in found], "status": [s for _, s in found]})
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, prompt).mapInPandas(run, f"{key} {kind}, answer string, status string")
+
+
+def answer_table(spark: SparkSession, path: str, key: T.StructField, buckets: int = 16) -> BucketTable:
+    """Where answers are kept: (key, attempt, answer, status)."""
+    kind = T.StructType([T.StructField(key.name, key.dataType), T.StructField("attempt", T.IntegerType()), T.StructField("answer", T.StringType()), T.StructField("status", T.StringType())])
+    return BucketTable(spark, f"{path}/answers", kind, key.name, buckets)
+
+
+def annotate_in_batches(df: DataFrame, annotator: Callable[[str], str], key: str, prompt: str, path: str, attempt: int = 1, at_once: int = 8, absorb: int = 50) -> DataFrame:
+    """(key, attempt, answer, status) of all rows of `df` from a caller's annotator, each answer kept below `path` as soon as its batch is done.
+
+    A batch is `at_once` rows, each a task of its own whose answer is committed
+    when the task ends, even if the job fails; so no more calls than that are in
+    flight, and no more are lost if the annotator, an executor or the driver
+    dies. Started again with the same path, keys that have an answer of this
+    attempt, or one that succeeded in any, are not asked again. After every
+    `absorb` batches the small files of answers are put into a bucket table.
+    Of rows that share a key one is asked; rows without a key are left out.
+    """
+    spark = df.sparkSession
+    table, loose = answer_table(spark, path, df.schema[key]), Folder(spark, f"{path}/loose")
+
+    def put_away() -> None:
+        names = loose.names("")
+        found = [f"{loose.path}/{n}" for n in names if any(x.endswith(".parquet") for x in loose.names(n))]
+        if found:
+            table.update(spark.read.schema(table.schema).parquet(*found), lambda old, new: old.unionByName(new).dropDuplicates([key, "attempt"]))
+        for n in names:
+            loose.remove(n)
+
+    put_away()
+    done = table.read().where((F.col("attempt") == attempt) | (F.col("status") == "success")).select(key).distinct()
+    asked = df.where(F.col(key).isNotNull()).select(key, F.col(prompt).alias("prompt")).join(done, key, "left_anti").dropDuplicates([key])
+    pending = f"{path}/pending-{uuid.uuid4().hex}"
+    asked.withColumn("place", F.monotonically_increasing_id()).write.parquet(pending)
+    rows = spark.read.parquet(pending)
+    # places are in order within each part; there are as many counts as parts
+    parts = sorted((r["part"], r["count"]) for r in rows.groupBy(F.shiftright("place", 33).alias("part")).count().collect())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for k, text in zip(frame[key], frame["prompt"]):
+                answer, status = answered(annotator, text)
+                yield pd.DataFrame({key: [k], "attempt": [attempt], "answer": [answer], "status": [status]})
+
+    number = 0
+    for part, count in parts:
+        for start in range(0, count, at_once):
+            first = (part << 33) + start
+            batch = rows.where(F.col("place").between(first, first + at_once - 1)).repartitionById(at_once, (F.col("place") - first).cast("int"))
+            # with the second algorithm a task's files are final when the task is done
+            answers = batch.select(key, "prompt").mapInPandas(run, table.schema)
+            answers.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{loose.path}/{uuid.uuid4().hex}")
+            number += 1
+            if number % absorb == 0:
+                put_away()
+    put_away()
+    Folder(spark, pending).remove("")
+    return table.read().join(df.select(key).distinct(), key, "left_semi")

@@ -8,30 +8,38 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import best_attempt
+from ..sources.buckets import BucketTable
 
+#: Buckets of the state: a batch rewrites those that its keys fall into.
+BUCKETS = 64
 
-def snapshot(spark: SparkSession, path: str, version: int, schema: T.StructType) -> DataFrame:
-    """A version of the state; before the first batch it is empty. A later one that is missing is an error, since going on without it would lose the state."""
-    return spark.createDataFrame([], schema) if version < 0 else spark.read.schema(schema).parquet(f"{path}/v={version}")
 
+def state(spark: SparkSession, out: str, schema: T.StructType, key: str = "doi", buckets: int = BUCKETS) -> BucketTable:
+    return BucketTable(spark, out, schema, key, buckets)
 
-def maintain(spark: SparkSession, source: str, schema: T.StructType, out: str, checkpoint: str, order: str, key: str = "doi") -> StreamingQuery:
-    """Read appended JSON Lines below `source` and write, for each batch, a whole snapshot below `out`.
 
-    A snapshot's version is its batch's id, and it is made from the one before,
-    so that a batch that is delivered again writes the same snapshot.
+def apply(table: BucketTable, batch: DataFrame, batch_id: int, order: str) -> None:
+    """Take a batch into the state; taking it in again gives the same rows. One that comes after others that the state has not seen is an error, since going on would lose them."""
+    seen = table.version().tag
+    if batch_id > seen + 1:
+        raise ValueError(f"batch {batch_id} follows {seen} in the state at {table.folder.path}: batches between are lost")
+    table.update(batch, lambda before, new: best_attempt(before.unionByName(new), order, table.key), tag=batch_id if batch_id > seen else None)
+
+
+def maintain(spark: SparkSession, source: str, schema: T.StructType, out: str, checkpoint: str, order: str, key: str = "doi", buckets: int = BUCKETS, files: int = 1000) -> StreamingQuery:
+    """Read appended JSON Lines below `source`, at most so many files a batch, and keep the best attempt of each key below `out`.
+
+    A batch rewrites only the buckets of its keys; the version before stays for
+    its readers, older ones are removed.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        before = snapshot(batch.sparkSession, out, batch_id - 1, schema)
-        best_attempt(before.unionByName(batch), order, key).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+    def batched(batch: DataFrame, batch_id: int) -> None:
+        apply(state(batch.sparkSession, out, schema, key, buckets), batch, batch_id, order)
 
-    rows = spark.readStream.schema(schema).json(source).where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
-    return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(source).where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
+    return rows.writeStream.foreachBatch(batched).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """The newest snapshot."""
-    versions = spark.read.schema(schema).parquet(out)
-    newest = versions.selectExpr("max(v) as v").first()["v"]
-    return versions.where(F.col("v") == newest).drop("v")
+def latest(spark: SparkSession, out: str, schema: T.StructType, key: str = "doi", buckets: int = BUCKETS) -> DataFrame:
+    """The best attempt of each key after all batches so far."""
+    return state(spark, out, schema, key, buckets).read()

@@ -1,12 +1,11 @@
 import numpy as np
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperflow.operators import dedupe, filters, graph, incremental, merge, scoring, sections, vectors
 from paperflow.plans.corpus import ATTEMPTS, view
-from paperflow.sources import files
+from paperflow.sources import buckets, files
 from paperflow.streaming import attempts
 
 
@@ -75,11 +74,100 @@ def test_rows_without_a_place_in_the_order_are_kept(spark):
     assert pairs(dedupe.keep_last(df, "k", "n"), "k", "t") == [("a", "x"), ("b", "z")]
 
 
-def test_a_snapshot_that_is_gone_is_an_error(spark, tmp_path):
-    schema = T.StructType([T.StructField("doi", T.StringType())])
-    assert attempts.snapshot(spark, str(tmp_path), -1, schema).count() == 0
-    with pytest.raises(AnalysisException):
-        attempts.snapshot(spark, str(tmp_path), 41, schema)
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+ATTEMPT = "doi string, seq long, section_extraction_status string, extracted_at_timestamp string"
+
+
+def test_state_of_attempts_in_buckets(spark, data, tmp_path):
+    """However the log is cut, delivered again or late, the state is the best attempt; a batch rewrites the buckets of its keys only."""
+    log = view(spark, data, ATTEMPTS).select("doi", "seq", "section_extraction_status", F.col("extracted_at_timestamp").cast("string"))
+    table = attempts.state(spark, str(tmp_path), log.schema, buckets=8)
+    assert table.read().count() == 0
+    batches = [log.where(f"seq % 3 = {n}") for n in (2, 0, 1)]
+    for n, batch in enumerate(batches):
+        attempts.apply(table, batch, n, "seq")
+    wanted = pairs(merge.best_attempt(log, "seq"), *log.columns)
+    assert pairs(attempts.latest(spark, str(tmp_path), log.schema, buckets=8), *log.columns) == wanted
+    attempts.apply(table, batches[1], 1, "seq")
+    assert pairs(table.read(), *log.columns) == wanted and table.version().tag == 2
+    with pytest.raises(ValueError, match="lost"):
+        attempts.apply(table, batches[0], 9, "seq")
+    before = table.version()
+    files = files_of(tmp_path)
+    attempts.apply(table, spark.createDataFrame([("new key", 1, "closed", None)], ATTEMPT), 3, "seq")
+    after = table.version()
+    assert sum(before.buckets.get(b) != f for b, f in after.buckets.items()) == 1
+    kept = {f: t for f, t in files.items() if f in files_of(tmp_path)}
+    assert len(kept) >= 7 and all(files_of(tmp_path)[f] == t for f, t in kept.items())
+    assert len(table.versions()) == 2 and table.read().count() == len(wanted) + 1
+    with pytest.raises(FileNotFoundError):
+        table.version(41)
+
+
+def test_a_failed_update_leaves_the_version_before(spark, tmp_path):
+    table = buckets.BucketTable(spark, str(tmp_path), T.StructType.fromDDL("k long, v string"), "k", 4)
+    table.update(spark.range(40).select(F.col("id").alias("k"), F.lit("old").alias("v")), lambda old, new: new)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        table.update(spark.range(3).select(F.col("id").alias("k"), F.lit("x").alias("v")), lambda old, new: new.withColumn("v", (F.col("k") / F.lit(0)).cast("string")))
+    with pytest.raises(ValueError, match="no change touches"):
+        table.update(spark.range(1).select(F.col("id").alias("k"), F.lit("x").alias("v")), lambda old, new: table.read())
+    assert pairs(table.read().groupBy("v").count(), "v", "count") == [("old", 40)]
+    table.update(spark.range(40).select(F.col("id").alias("k"), F.lit("").alias("v")), lambda old, new: old.where("k % 2 = 0"))
+    assert table.read().count() == 20 and len([p for p in (tmp_path / "data").iterdir()]) == 2
+    with pytest.raises(ValueError, match="4 buckets"):
+        buckets.BucketTable(spark, str(tmp_path), table.schema, "k", 8).version()
+
+
+def test_master_in_buckets_is_the_master(spark, tmp_path):
+    schema = T.StructType.fromDDL("doi string, annotation_score double, x string")
+    table = buckets.BucketTable(spark, str(tmp_path), schema, "doi", 8)
+    master = spark.createDataFrame([(f"k{i}", float(i % 5), "old") for i in range(60)], schema)
+    new = spark.createDataFrame([(f"k{i}", 2.0, f"new{n}", n) for i in (1, 3, 4, 70, 71) for n in (1, 2)] + [(None, 2.0, "no", 1)], "doi string, annotation_score double, x string, n int")
+    table.update(master, lambda old, rows: rows)
+    wanted, fresh = merge.update_master(master, new, "n")
+    before = files_of(tmp_path)
+    assert pairs(merge.update_master_table(table, new, "n"), "doi", "x") == pairs(fresh, "doi", "x")
+    assert pairs(table.read(), *schema.names) == pairs(wanted, *schema.names)
+    assert sum(files_of(tmp_path).get(f) == t for f, t in before.items()) == len(before)  # the version before is whole
+    schema = T.StructType.fromDDL("doi string, x string, annotation_score double, manual_annotation_status string, manual_annotation_timestamp string")
+    papers = spark.createDataFrame([(f"k{i}", "t", 1.0, None, None) for i in range(60)], schema)
+    overlay = spark.createDataFrame([("K1 ", "by hand", 1), ("nowhere", "y", 1)], "doi string, x string, n int")
+    table = buckets.BucketTable(spark, str(tmp_path / "o"), schema, "doi", 8)
+    table.update(papers, lambda old, rows: rows)
+    merge.overlay_table(table, overlay, "now", "n")
+    assert pairs(table.read(), "doi", "x") == pairs(merge.overlay_manual(papers, overlay, "now", "n"), "doi", "x")
+
+
+def test_answers_survive_an_annotator_that_dies(spark, tmp_path):
+    calls, path = tmp_path / "calls", str(tmp_path / "store")
+
+    def annotator(text, log=str(calls), die=str(tmp_path / "die")):
+        import os
+
+        if text == "prompt 13" and not os.path.exists(die):
+            open(die, "w").close()
+            os._exit(1)
+        with open(log, "a") as f:
+            f.write(text + "\n")
+        if text == "prompt 5":
+            raise KeyError(text)
+        return f"answer to {text}"
+
+    df = spark.createDataFrame([(i, f"prompt {i}") for i in range(20)] + [(19, "prompt 19"), (None, "x")], "k long, p string").coalesce(3)
+    with pytest.raises(Exception, match="(?i)worker"):
+        scoring.annotate_in_batches(df, annotator, "k", "p", path, at_once=2, absorb=3)
+    first = calls.read_text().split("\n")[:-1]
+    assert first
+    found = scoring.annotate_in_batches(df, annotator, "k", "p", path, at_once=2, absorb=3)
+    assert pairs(found, "k", "answer") == sorted((i, None if i == 5 else f"answer to prompt {i}") for i in range(20))
+    called = calls.read_text().split("\n")[:-1]
+    # only the call that was in flight beside the one that died may be made again
+    assert len(called) - len(set(called)) <= 1 and len(set(called)) == 20
+    again = scoring.annotate_in_batches(df, annotator, "k", "p", path, attempt=2)
+    assert pairs(again.where("attempt = 2"), "k", "status") == [(5, "llm_error_KeyError")] and len(calls.read_text().split("\n")[:-1]) == len(called) + 1
 
 
 def test_locked_master_rows_stay(spark):
