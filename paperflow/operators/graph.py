@@ -2,81 +2,192 @@
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import annotation_to_text
+from ..sources.buckets import Folder, shared_folder
 
 #: Neighbours of a node, and the least similarity of an edge.
 NEIGHBOURS, LEAST = 10, 0.7
 #: Numbers in a block of vectors (32 MB), and rows of it that are multiplied by another block at once.
 BLOCK_NUMBERS, SLAB = 1 << 22, 512
+#: Vectors of a cell on average, and the most cells: their centres and counts are on the driver.
+CELL_ROWS, CELLS = 256, 1024
+#: Ranges into which distinct values are dealt to be numbered.
+RANGES = 64
+#: Rounds of a layout after which its vectors are made orthonormal.
+EVERY = 4
 #: Citations up to which a node has each size.
 SIZES = ((4, 5), (24, 8), (49, 12), (99, 16))
 LARGEST = 20
 
 
-def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: float = LEAST, symmetric: bool = False, blocks: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Cells:
+    """Unit vectors around which all others are dealt; blocks of neighbouring cells, and which pairs of cells can hold an edge.
+
+    block[c] and parts[c] tell a cell's first block and over how many it is
+    dealt; near[c, d] whether the widest angles of two cells leave room for one.
+    """
+
+    centres: np.ndarray
+    block: np.ndarray
+    parts: np.ndarray
+    near: np.ndarray
+
+    def pairs(self) -> np.ndarray:
+        """(i, j), i <= j: the blocks that must meet, those of cells that can hold an edge."""
+        c, d = np.nonzero(self.near)
+        found = {(int(x), int(y)) for c, d in zip(c, d) for x in range(self.block[c], self.block[c] + self.parts[c]) for y in range(self.block[d], self.block[d] + self.parts[d]) if x <= y}
+        return np.array(sorted(found), int).reshape(-1, 2)
+
+    def blocks(self) -> int:
+        return int((self.block + self.parts).max(initial=0))
+
+
+def units(vectors: Sequence) -> np.ndarray:
+    m = np.array([np.asarray(v, float) for v in vectors])
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+
+def with_cells(known: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(id, v, cell, angle): the cell of each vector, the nearest centre's, and how far it is from there."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            similar = units(frame["v"]) @ centres.T
+            cell = similar.argmax(1)
+            yield frame.assign(cell=cell.astype("int32"), angle=np.arccos(np.clip(similar[np.arange(len(cell)), cell], -1, 1)))
+
+    return known.mapInPandas(run, T.StructType([*known.schema, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())]))
+
+
+def centres_of(known: DataFrame, n: int) -> np.ndarray:
+    """n vectors far apart: of 4 n drawn by a hash of their id always the one that is furthest from those taken before. So cells are narrow, not of equal size."""
+    drawn = units([r["v"] for r in known.orderBy(F.xxhash64("id")).limit(4 * n).collect()])
+    taken, nearest_of = [0], drawn @ drawn[0]
+    while len(taken) < min(n, len(drawn)):
+        taken.append(int(nearest_of.argmin()))
+        nearest_of = np.maximum(nearest_of, drawn @ drawn[taken[-1]])
+    return drawn[taken]
+
+
+def cells_of(sizes: dict[int, int], widest: dict[int, float], centres: np.ndarray, least: float, most: int) -> Cells:
+    """Cells with rows put in a row, each next to its nearest neighbour that is not placed yet, and cut into blocks of at most `most` rows; a larger cell is dealt over several."""
+    n = len(centres)
+    angles = np.arccos(np.clip(centres @ centres.T, -1, 1))
+    wide = np.array([widest.get(c, 0.0) for c in range(n)])
+    used = np.array([c in sizes for c in range(n)])
+    # far less than any angle that matters, far more than what rounding adds
+    near = (angles - wide[:, None] - wide[None, :] <= np.arccos(np.clip(least, -1, 1)) + 1e-6) & used[:, None] & used[None, :]
+    block, parts = np.zeros(n, int), np.zeros(n, int)
+    left, at, filled, here = set(sizes), 0, 0, next(iter(sorted(sizes)), None)
+    while left:
+        left.remove(here)
+        if filled and filled + sizes[here] > most:
+            at, filled = at + 1, 0
+        block[here], parts[here] = at, -(-sizes[here] // most)
+        filled += sizes[here]
+        if parts[here] > 1:
+            at, filled = at + parts[here], 0
+        rest = np.array(sorted(left), int)
+        here = int(rest[angles[here, rest].argmin()]) if len(rest) else None
+    return Cells(centres, block, parts, near)
+
+
+def plan_cells(known: DataFrame, least: float, most: int, cells: int) -> Cells:
+    """Cells for these vectors: a row of counts for each cell comes to the driver."""
+    centres = centres_of(known, cells)
+    found = with_cells(known, centres).groupBy("cell").agg(F.count("*").alias("rows"), F.max("angle").alias("angle")).collect()
+    return cells_of({r["cell"]: r["rows"] for r in found}, {r["cell"]: r["angle"] for r in found}, centres, least, most)
+
+
+def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: float = LEAST, symmetric: bool = False, block_rows: int | None = None, cells: int | None = None) -> DataFrame:
     """(source, target, weight): of each node's k nearest by cosine those of at least `least`, where source < target.
 
-    Vectors are dealt into blocks of BLOCK_NUMBERS numbers, and every pair of
-    blocks meets in one task, which keeps k candidates for each row of either;
-    the k nearest are among these few. Like its model, it keeps a pair only if the smaller
-    node lists the larger; `symmetric` also keeps those that only the larger
-    lists. Every pair is compared, so the work grows with the square of the
-    table; memory of a task is two blocks.
+    Like its model, it keeps a pair only if the smaller node lists the larger;
+    `symmetric` also keeps those that only the larger lists. The result is exact:
+    vectors are dealt into cells around some of them, and two cells meet unless
+    the angle between their centres, less the widest angle within each, already
+    rules `least` out. Neighbouring cells make up blocks of BLOCK_NUMBERS
+    numbers; a pair of blocks is a task that multiplies the cells that can hold
+    an edge and keeps k candidates for each row. So a vector is copied once for
+    each block that its block meets: for clustered vectors few, for vectors
+    without any clusters all, as in any exact search. With `least` of 0 or less
+    nothing is ruled out.
     """
     known = vectors.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    if least > 0:
+        # a vector of zeros is like none
+        known = known.where(F.exists("v", lambda x: x != 0))
     size = known.agg(F.count("*").alias("rows"), F.max(F.size("v")).alias("width")).first()
-    n = blocks or max(1, math.ceil(size["rows"] * (size["width"] or 0) / BLOCK_NUMBERS))
-    dealt = known.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    cells = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    spread = dealt.withColumn("cell", F.explode(cells)).select("cell.i", "cell.j", "block", "id", "v")
+    kind = known.schema["id"].dataType.simpleString()
+    if not size["rows"]:
+        return known.select(F.col("id").alias("source"), F.col("id").alias("target"), F.lit(0.0).alias("weight"))
+    most = block_rows or max(1, BLOCK_NUMBERS // size["width"])
+    plan = plan_cells(known, least, most, cells or min(CELLS, max(1, math.ceil(size["rows"] / CELL_ROWS))))
+    pairs, near = plan.pairs(), plan.near
+    met = [[] for _ in range(plan.blocks())]
+    for i, j in pairs.tolist():
+        met[i].append(j)
+        if i != j:
+            met[j].append(i)
+    array = lambda x: F.from_json(F.lit(json.dumps(x)), "array<array<int>>")
+    place = F.get(array(np.stack([plan.block, plan.parts], 1).tolist()), F.col("cell"))
+    block = (place[0] + F.pmod(F.xxhash64("id"), F.greatest(place[1], F.lit(1)))).cast("int")
+    dealt = with_cells(known, plan.centres).withColumn("block", block)
+    meets = F.transform(F.get(array(met), F.col("block")), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
+    spread = dealt.withColumn("pair", F.explode(meets)).select("pair.i", "pair.j", "block", "cell", "id", "v")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        sides = [frame[frame["block"] == b] for b in (i, j)]
-        units = []
-        for s in sides:
-            m = np.stack(s["v"].to_list()) if len(s) else np.zeros((0, 1))
-            units.append(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300))
-        ids = [s["id"].to_numpy() for s in sides]
-        if not len(ids[0]) or not len(ids[1]):
-            return pd.DataFrame({"source": ids[0][:0], "target": ids[0][:0], "weight": np.zeros(0)})
-        out = []
-        for a, b in ((0, 1), (1, 0))[: 1 + (i != j)]:
-            # ties go to the smaller id
-            order = np.argsort(ids[b], kind="stable")
-            other, columns = ids[b][order], units[b][order].T
-            for at in range(0, len(ids[a]), SLAB):
-                own = ids[a][at : at + SLAB]
-                m = units[a][at : at + SLAB] @ columns
-                m[own[:, None] == other[None, :]] = -np.inf
-                nearest = np.argsort(-m, axis=1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(len(own)), nearest.shape[1])
-                weight = m[rows, nearest.ravel()]
-                keep = np.isfinite(weight)
-                out.append(pd.DataFrame({"source": own[rows][keep], "target": other[nearest.ravel()][keep], "weight": weight[keep]}))
+        # ties go to the smaller id
+        sides = [frame[frame["block"] == b].sort_values("id", kind="stable") for b in (i, j)]
+        out = [pd.DataFrame({"source": frame["id"][:0], "target": frame["id"][:0], "weight": np.zeros(0)})]
+        if len(sides[0]) and len(sides[1]):
+            rows, ids, cell = [units(s["v"]) for s in sides], [s["id"].to_numpy() for s in sides], [s["cell"].to_numpy() for s in sides]
+            for a, b in ((0, 1), (1, 0))[: 1 + (i != j)]:
+                for c in np.unique(cell[a]):
+                    mine, others = np.flatnonzero(cell[a] == c), np.flatnonzero(near[c, cell[b]])
+                    if len(others):
+                        out += nearest(rows[a][mine], ids[a][mine], rows[b][others], ids[b][others], k, least)
         return pd.concat(out)
 
-    kind = known.schema["id"].dataType.simpleString()
-    near = spread.groupBy("i", "j").applyInPandas(run, f"source {kind}, target {kind}, weight double")
-    # the k best by weight and then by id; a list of k per node, so partial sorting keeps groups small
-    best = near.groupBy("source").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "target"))), 1, k).alias("near"))
-    listed = best.select("source", F.explode("near").alias("n")).select("source", F.col("n.target").alias("target"), (-F.col("n.w")).alias("weight")).where(F.col("weight") >= least)
+    found = spread.groupBy("i", "j").applyInPandas(run, f"source {kind}, target {kind}, weight double")
+    # the k best by weight and then by id; a list of k per node and block, so groups are small
+    best = found.groupBy("source").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "target"))), 1, k).alias("near"))
+    listed = best.select("source", F.explode("near").alias("n")).select("source", F.col("n.target").alias("target"), (-F.col("n.w")).alias("weight"))
     if symmetric:
         return listed.select(F.least("source", "target").alias("source"), F.greatest("source", "target").alias("target"), "weight").groupBy("source", "target").agg(F.max("weight").alias("weight"))
     return listed.where(F.col("source") < F.col("target"))
 
 
+def nearest(own: np.ndarray, ids: np.ndarray, others: np.ndarray, other_ids: np.ndarray, k: int, least: float) -> Iterator[pd.DataFrame]:
+    """Of each own row the k nearest others of at least `least`, of equals the earlier; a row is not its own neighbour."""
+    columns = others.T
+    for at in range(0, len(ids), SLAB):
+        mine = ids[at : at + SLAB]
+        m = own[at : at + SLAB] @ columns
+        m[mine[:, None] == other_ids[None, :]] = -np.inf
+        found = np.argsort(-m, axis=1, kind="stable")[:, :k]
+        rows = np.repeat(np.arange(len(mine)), found.shape[1])
+        weight = m[rows, found.ravel()]
+        keep = weight >= least
+        yield pd.DataFrame({"source": mine[rows][keep], "target": other_ids[found.ravel()][keep], "weight": weight[keep]})
+
+
 def project_2d(vectors: DataFrame, key: str) -> DataFrame:
     """(key, x, y): the two principal components; each points to where its largest loading is positive."""
     rows = vectors.where(F.size("embedding") > 0).select(key, array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
@@ -87,6 +198,97 @@ def project_2d(vectors: DataFrame, key: str) -> DataFrame:
     return model.transform(rows).select(key, (p[0] * float(signs[0])).alias("x"), (p[1] * float(signs[1])).alias("y"))
 
 
+def spectral_layout(edges: DataFrame, key: str = "id", rounds: int = 24, width: int = 6, folder: str | None = None) -> DataFrame:
+    """(key, x, y): a layout that puts neighbours of an undirected weighted graph (source, target, weight) near each other.
+
+    x and y are the second and third eigenvectors of its normalised adjacency
+    matrix A, over the square roots of the degrees, as spectral layouts have
+    them. They are found by orthogonal iteration over tables, with `width`
+    vectors at once: a round joins the edges with the numbers of one end and
+    adds them up at the other. The first eigenvector, known from the degrees, is
+    taken out; products of the vectors, `width` squared numbers, come to the
+    driver every few rounds to make them orthonormal, and last to turn them to
+    where A acts along them. The matrix iterated is (I + A) / 2, so that the
+    largest eigenvalues come first. Numbers are written below `folder`, which
+    cuts the lineage. Nodes without edges are in no row.
+    """
+    tables = Rounds(edges.sparkSession, folder)
+    both = edges.select("source", "target", "weight").union(edges.select("target", "source", "weight")).where("source <> target").groupBy("source", "target").agg(F.max("weight").cast("double").alias("weight"))
+    root = tables.written(both.groupBy(F.col("source").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root")))
+    ends = lambda side: root.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+    half = both.join(ends("source"), "source").join(ends("target"), "target").select("source", "target", (F.col("weight") / (2 * F.col("source_root") * F.col("target_root"))).alias("w"))
+    links = tables.written(half.union(root.select("id", "id", F.lit(0.5))))
+
+    def moved(rows: DataFrame) -> DataFrame:
+        """(id, v) times (I + A) / 2; the root, last of v, stays as it is."""
+        at = links.join(rows.withColumnRenamed("id", "target"), "target").groupBy(F.col("source").alias("id"))
+        return at.agg(F.array(*[F.sum(F.col("w") * F.col("v")[i]) for i in range(width + 1)]).alias("v"))
+
+    now = tables.written(root.select("id", F.array(*[F.xxhash64("id", F.lit(i)) / F.lit(2.0**63) for i in range(width)], "root").alias("v")), True)
+    for n in range(rounds):
+        now = moved(now)
+        if n % EVERY == EVERY - 1 or n == rounds - 1:
+            now = tables.written(now, True)
+            now = turned(now, orthonormal(now, width))
+    now = tables.written(now, True)
+    both_ends = now.join(moved(now).withColumnRenamed("v", "p"), "id")
+    acts = products(both_ends, "v", "p", width)
+    _, axes = np.linalg.eigh((acts + acts.T) / 2)
+    turn = np.zeros((width + 1, 3))
+    turn[:width, :2], turn[width, 2] = axes[:, ::-1][:, :2], 1
+    placed = turned(now, turn).select("id", F.col("v")[0].alias("x"), F.col("v")[1].alias("y"), F.col("v")[2].alias("root"))
+    # each axis points to where its largest number is, of equals the one of the smallest id
+    signs = placed.agg(*[F.min_by(F.signum(n), F.struct(-F.round(F.abs(F.col(n)), 9), F.col("id"))).alias(n) for n in ("x", "y")]).first()
+    return placed.select(F.col("id").alias(key), *[(F.col(n) * (signs[n] or 1.0) / F.col("root")).alias(n) for n in ("x", "y")])
+
+
+def products(rows: DataFrame, one: str, other: str, size: int) -> np.ndarray:
+    """Of two array columns the sums of all products of a number of one and a number of the other."""
+    sums = rows.agg(*[F.sum(F.col(one)[i] * F.col(other)[j]) for i in range(size) for j in range(size)]).first()
+    return np.array([v or 0.0 for v in sums]).reshape(size, size)
+
+
+def orthonormal(rows: DataFrame, width: int) -> np.ndarray:
+    """What to multiply the vectors of rows (id, v), of which the root is the last, by so that the others are orthogonal to it and to each other and of length 1; vectors that depend on others become zeros."""
+    gram = products(rows, "v", "v", width + 1)
+    along = gram[:width, width] / (gram[width, width] or 1.0)
+    values, axes = np.linalg.eigh(gram[:width, :width] - np.outer(along, gram[:width, width]))
+    scale = np.where(values > 1e-12 * max(values.max(), 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
+    turn = np.zeros((width + 1, width + 1))
+    turn[:width, :width] = (scale[:, None] * axes.T).T
+    turn[width, :width], turn[width, width] = -(turn[:width, :width].T @ along), 1
+    return turn
+
+
+def turned(rows: DataFrame, by: np.ndarray) -> DataFrame:
+    """Rows (id, v) with v times a matrix; its columns are the new vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), len(by)) @ by
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * by.shape[1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(new.ravel()))], names=["id", "v"])
+
+    # a matrix that changes is data: an expression of its numbers would be compiled anew each time
+    return rows.select("id", "v").mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("v", T.ArrayType(T.DoubleType()))]))
+
+
+class Rounds:
+    """Tables of the rounds of an iteration, in a folder of their own; those of a round go when the next one is written."""
+
+    def __init__(self, spark: SparkSession, path: str | None):
+        self.spark, self.path, self.n, self.last = spark, path or shared_folder(spark, "rounds"), 0, None
+
+    def written(self, df: DataFrame, replaces: bool = False) -> DataFrame:
+        self.n += 1
+        df.write.parquet(f"{self.path}/{self.n}")
+        if replaces:
+            if self.last is not None:
+                Folder(self.spark, self.path).remove(str(self.last))
+            self.last = self.n
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{self.n}")
+
+
 def node_table(df: DataFrame, key: str, display: Sequence[str], raw: dict[str, str]) -> DataFrame:
     """A node for each paper: id, place, attributes as text, and the lists that are filtered by."""
     kinds = {f.name: f.dataType for f in df.schema}
@@ -103,13 +305,30 @@ def node_size(citations: Column) -> Column:
     return out
 
 
+def dense_ranks(values: DataFrame, name: str, ranges: int = RANGES) -> DataFrame:
+    """(name, rank): the place of each distinct value in their order, from 0, over all tasks; null has none.
+
+    Values are dealt into ranges around a few of them, numbered within each, and
+    lifted by the number of values in the ranges before. To the driver come the
+    bounds alone.
+    """
+    distinct = values.select(name).where(F.col(name).isNotNull()).distinct()
+    bounds = sorted(r[name] for r in distinct.orderBy(F.xxhash64(name)).limit(ranges).collect())
+    lower = F.array(*map(F.lit, bounds)).cast(T.ArrayType(distinct.schema[name].dataType))
+    dealt = distinct.withColumn("_range", F.size(F.filter(lower, lambda x: x <= F.col(name))))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    # one row for each range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(name)) - 1
+    lifted = dealt.withColumn("_number", number).join(sizes.select("_range", before.alias("_before")), "_range")
+    return lifted.select(name, (F.col("_before") + F.col("_number")).alias("rank"))
+
+
 def node_style(nodes: DataFrame, citations: str, categories: str) -> DataFrame:
     """Size class, logarithmic size, first category, and a palette index in order of label."""
     n = F.coalesce(F.col(citations), F.lit(0))
     styled = nodes.withColumns({"size": node_size(n), "log_size": 8 + 5 * F.log1p(n / 100.0), "first_category": F.coalesce(F.get(F.col(categories), F.lit(0)), F.lit("Unknown"))})
-    # as many labels as the palette has colours, so one small sort
-    labels = styled.groupBy("first_category").agg(F.lit(1).alias("_")).agg(F.array_sort(F.collect_list("first_category")).alias("labels"))
-    index = labels.select(F.posexplode("labels").alias("colour", "first_category"))
+    index = dense_ranks(styled, "first_category").withColumnRenamed("rank", "colour")
     return styled.join(index, "first_category")
 
 

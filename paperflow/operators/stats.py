@@ -54,13 +54,20 @@ def annotation_report(df: DataFrame, dimensions: dict[str, str], lists: dict[str
     asked = {n: F.when(F.coalesce(only[n], F.lit(False)), v).otherwise(none) if n in only else v for n, v in whole.items()}
     pairs = F.concat(*[tagged(n, v) for n, v in asked.items()])
     counts = df.select(F.explode(pairs).alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("count"))
-    # one row per dimension and value is left, so the windows are small
-    of_dimension = Window.partitionBy("dimension")
-    rows = F.max(F.when(F.col("value").isNull(), F.col("count"))).over(of_dimension)
-    place = F.row_number().over(of_dimension.orderBy(F.col("value").isNull(), F.desc("count"), "value"))
-    out = counts.withColumns({"percent": F.round(100 * F.col("count") / rows, 2), "_place": place}).where("value is not null")
-    kept = out.where(~F.col("dimension").isin(*lists) | (F.col("_place") <= most)) if lists else out
-    return kept.drop("_place")
+    rows = counts.where("value is null").select("dimension", F.col("count").alias("_rows"))
+    kept = counts.where("value is not null")
+    if lists:
+        # the most frequent of each part of a dimension's values, then of those: no task sees a whole dimension
+        long = F.col("dimension").isin(*lists)
+        parts = Window.partitionBy("dimension", F.pmod(F.xxhash64("value"), F.lit(PARTS))).orderBy(F.desc("count"), "value")
+        some = kept.where(long).withColumn("_place", F.row_number().over(parts)).where(F.col("_place") <= most)
+        best = some.withColumn("_place", F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("count"), "value"))).where(F.col("_place") <= most)
+        kept = kept.where(~long).unionByName(best.drop("_place"))
+    return kept.join(rows, "dimension").select("dimension", "value", "count", F.round(100 * F.col("count") / F.col("_rows"), 2).alias("percent"))
+
+
+#: Parts of a dimension's values, of each of which the most frequent are found first.
+PARTS = 64
 
 
 def tagged(name: str, values: Column) -> Column:

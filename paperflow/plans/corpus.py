@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,9 +54,3 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def sql_of(sql: str) -> str:
     """The same for an engine that knows the tables by name."""
     return TABLE.sub(r"\1", sql.replace("{{", "\0").replace("}}", "\1")).replace("\0", "{").replace("\1", "}")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import graph, scoring, sections, stats, vectors
+from ..sources.buckets import shared_folder
 from ..streaming import attempts
-from .corpus import ANNOTATED, ATTEMPTS, CURATED, POOL, scratch, sql_of, view
+from .corpus import ANNOTATED, ATTEMPTS, CURATED, POOL, sql_of, view
 from .queries_tables import BEST, FIRST, FLAG, cleaned, flag
 from .queries_text import P, STRIP, papers
 from .registry import query
@@ -272,6 +273,14 @@ def project_2d(spark, d):
     return found.select("vec_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
+@query("spectral_layout")
+def spectral_layout(spark, d):
+    """The graph of near vectors, laid out by its own edges."""
+    edges = graph.similarity_edges(spark.read.parquet(f"{d}/embeddings.parquet"), "vec_id", least=0.3, symmetric=True)
+    found = graph.spectral_layout(edges, "vec_id", rounds=12)
+    return found.select("vec_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 def nodes(spark, d):
     return papers(spark, d).select(C("seq").alias("id"), (C("seq") % 100).cast("double").alias("x"), (C("n_chars") % 50).cast("double").alias("y"), "title", "year", "journal", F.array("language", "journal").alias("steps"), C("n_chars").alias("citations"))
 
@@ -301,7 +310,7 @@ def visible_edges(spark, d):
 def graph_export(spark, d):
     from ..sources.files import write_graph
 
-    path = scratch(spark, "graph")
+    path = shared_folder(spark, "graph")
     write_graph(nodes(spark, d), spark.read.parquet(f"{d}/lineitem.parquet").select("l_partkey", "l_suppkey").distinct(), path)
     count = lambda kind: spark.read.parquet(f"{path}/{kind}").agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
     return count("nodes").unionByName(count("edges"))
@@ -371,7 +380,7 @@ def stream_attempt_log(spark, d):
     """The log in three instalments, each read by the stream when it is there."""
     rows = view(spark, d, ATTEMPTS).select("doi", "seq", "extracted_at_timestamp", "section_extraction_status")
     rows = rows.withColumn("extracted_at_timestamp", C("extracted_at_timestamp").cast("timestamp"))
-    source, out, state = scratch(spark, "log"), scratch(spark, "best"), scratch(spark, "state")
+    source, out, state = shared_folder(spark, "log"), shared_folder(spark, "best"), shared_folder(spark, "state")
     for part in range(3):
         rows.where(f"seq % 3 = {part}").write.mode("append").json(source)
         attempts.maintain(spark, source, rows.schema, out, state, "seq").awaitTermination()

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions import casts, jsons, keys, text
 from ..sources import files
-from .corpus import ANNOTATED, ANSWERS, CURATED, PAPERS, scratch, sql_of, view
+from ..sources.buckets import shared_folder
+from .corpus import ANNOTATED, ANSWERS, CURATED, PAPERS, sql_of, view
 from .registry import query
 
 C = F.col
@@ -24,7 +25,7 @@ def papers(spark: SparkSession, d: str) -> DataFrame:
 
 @query("read_jsonl_quarantine", f"WITH lines AS ({sql_of(LINES)}) SELECT CAST(json_extract_string(CASE WHEN json_valid(value) THEN value END, '$.k') AS BIGINT) AS k, CASE WHEN NOT json_valid(value) THEN value END AS bad, count(*) AS n FROM lines WHERE value <> '' GROUP BY 1, 2")
 def read_jsonl_quarantine(spark, d):
-    path = scratch(spark, "jsonl")
+    path = shared_folder(spark, "jsonl")
     view(spark, d, LINES).select("value").write.text(path)
     good, bad = files.read_jsonl(spark, path, T.StructType([T.StructField("k", T.LongType())]))
     rows = good.select("k", F.lit(None).cast("string").alias("bad")).unionByName(bad.select(F.lit(None).cast("long").alias("k"), C("value").alias("bad")))
@@ -33,7 +34,7 @@ def read_jsonl_quarantine(spark, d):
 
 @query("write_jsonl", f"{P} SELECT seq, title, CAST(2 AS BIGINT) AS n FROM papers")
 def write_jsonl(spark, d):
-    path, rows = scratch(spark, "jsonl"), papers(spark, d).select("seq", "title")
+    path, rows = shared_folder(spark, "jsonl"), papers(spark, d).select("seq", "title")
     files.write_jsonl(rows, path)
     files.write_jsonl(rows, path, append=True)
     return spark.read.schema(rows.schema).json(path).groupBy("seq", "title").agg(F.count("*").alias("n"))
@@ -44,7 +45,7 @@ CSV_ROWS = "SELECT CAST(seq AS STRING) AS seq, doi, title, CASE WHEN seq % 5 = 0
 
 @query("read_curated_csv", f"WITH r AS ({sql_of(CSV_ROWS)}), c AS (SELECT {CLEAN.format('doi')} AS doi, title, note, CAST(seq AS BIGINT) AS seq FROM r) SELECT doi, title, note, CAST(seq AS VARCHAR) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq) AS rn FROM c WHERE doi <> '') WHERE rn = 1")
 def read_curated_csv(spark, d):
-    path = scratch(spark, "csv")
+    path = shared_folder(spark, "csv")
     view(spark, d, CSV_ROWS).write.option("header", True).option("escape", '"').csv(path)
     return files.read_curated_csv(spark, path, order="seq").select("doi", "title", "note", "seq")
 
@@ -63,7 +64,7 @@ def parse_article_xml(spark, d):
 
 @query("embeddings_parquet", "SELECT vec_id AS doi, CAST(len(embedding) AS BIGINT) AS n, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM embeddings WHERE vec_id % 9 <> 0")
 def embeddings_parquet(spark, d):
-    path = scratch(spark, "vectors")
+    path = shared_folder(spark, "vectors")
     vectors = spark.read.parquet(f"{d}/embeddings.parquet").select(C("vec_id").alias("doi"), F.when(C("vec_id") % 9 == 0, F.array().cast("array<float>")).otherwise(C("embedding")).alias("embedding"))
     files.write_embeddings(vectors, path)
     return files.read_embeddings(spark, path).select("doi", F.size("embedding").cast("long").alias("n"), F.round(C("embedding")[0].cast("double"), 6).alias("first"))
@@ -77,7 +78,7 @@ def export_flat_csv(spark, d):
         F.when(C("toxic") == 1, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b"))).alias("llm_annot_pipeline_analysis_steps"),
         F.array(F.struct(F.concat(F.lit("n"), "doc_id").alias("name"))).alias("llm_annot_compared_algorithms_packages"),
     )
-    path = scratch(spark, "flat")
+    path = shared_folder(spark, "flat")
     files.write_flat_csv(rows, path)
     shown = ("doi", "llm_annot_classification.is_computational_methods_paper", "llm_annot_pipeline_analysis_steps", "llm_annot_compared_algorithms_packages")
     return spark.read.option("header", True).option("escape", '"').csv(path).select(*[C(f"`{c}`") for c in shown])

@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,20 @@ from pyspark.sql import types as T
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which driver and executors share; below the warehouse where that is unset.
+
+    A warehouse of one machine will do on that machine alone: on a cluster it is
+    an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if urlparse(root).scheme in ("", "file") and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {root} is local")
+    return f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
+
+
 class Folder:
     """Files of any Hadoop file system."""
 

@@ -178,14 +178,17 @@ def test_locked_master_rows_stay(spark):
     assert pairs(fresh, "doi", "x") == [("c", "newer")]
 
 
-@pytest.mark.parametrize("blocks", [1, 4])
+@pytest.mark.parametrize(("block_rows", "cells"), [(None, None), (30, 1), (30, 9), (5, 40)])
 @pytest.mark.parametrize("symmetric", [False, True])
-def test_similarity_edges(spark, blocks, symmetric):
+@pytest.mark.parametrize("clusters", [False, True])
+def test_similarity_edges(spark, block_rows, cells, symmetric, clusters):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(120, 6)).round(1)
+    if clusters:
+        m = (rng.normal(size=(8, 6))[np.arange(120) % 8] + m / 20).round(3)
     m[7] = m[8] = m[9]
-    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(500, []), (501, None)], "id long, embedding array<double>")
-    got = {(r["source"], r["target"]) for r in graph.similarity_edges(df, "id", 5, 0.5, symmetric, blocks).collect()}
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(500, []), (501, None), (502, [0.0] * 6)], "id long, embedding array<double>")
+    got = {(r["source"], r["target"]) for r in graph.similarity_edges(df, "id", 5, 0.5, symmetric, block_rows, cells).collect()}
     u = m / np.linalg.norm(m, axis=1, keepdims=True)
     s = u @ u.T
     wanted = set()
@@ -195,6 +198,53 @@ def test_similarity_edges(spark, blocks, symmetric):
     assert got == wanted
 
 
+def test_cells_that_cannot_hold_an_edge_do_not_meet(spark):
+    """2,000 vectors around 20 directions: most pairs of blocks are never formed; all are without clusters or a least similarity."""
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(20, 32))[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 32)) / 10
+    known = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, v array<double>")
+    plan = graph.plan_cells(known, 0.7, 100, 20)
+    n = plan.blocks()
+    assert n >= 20 and len(plan.pairs()) < 0.3 * n * (n + 1) / 2
+    assert graph.plan_cells(known, 0.0, 100, 20).near.sum() >= plan.near.sum()
+    assert len(graph.plan_cells(known, -1.0, 100, 20).pairs()) == n * (n + 1) / 2
+    empty = known.where("id < 0").withColumnRenamed("v", "embedding")
+    assert graph.similarity_edges(empty, "id").collect() == []
+
+
+def test_spectral_layout(spark):
+    """500 nodes in three loose groups: the same vectors as an eigen-decomposition, and neighbours nearer than others."""
+    rng = np.random.default_rng(4)
+    n, pairs_of = 500, {}
+    group = np.array([0] * 250 + [1] * 150 + [2] * 100)
+    for i in range(n):
+        for j in rng.choice(np.flatnonzero(group == group[i]), 8):
+            if i != j:
+                pairs_of[min(i, int(j)), max(i, int(j))] = float(rng.uniform(0.5, 1))
+    for i, j in rng.integers(0, n, (60, 2)).tolist():
+        if i != j:
+            pairs_of[min(i, j), max(i, j)] = 0.5
+    edges = spark.createDataFrame([(i, j, w) for (i, j), w in pairs_of.items()], "source long, target long, weight double")
+    got = {r["id"]: (r["x"], r["y"]) for r in graph.spectral_layout(edges, rounds=16).collect()}
+    a = np.zeros((n, n))
+    for (i, j), w in pairs_of.items():
+        a[i, j] = a[j, i] = w
+    root = np.sqrt(a.sum(1))
+    values, vectors_of = np.linalg.eigh(a / np.outer(root, root))
+    at = np.array([got[i] for i in range(n)])
+    for k in range(2):
+        assert abs(abs(at[:, k] * root @ vectors_of[:, -2 - k]) - 1) < 1e-3
+    apart = lambda rows: np.mean([np.linalg.norm(at[i] - at[j]) for i, j in rows])
+    assert apart(pairs_of) < apart(rng.integers(0, n, (2000, 2)).tolist()) / 3
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_dense_ranks(spark, ranges):
+    df = spark.range(500).select((F.col("id") % 90).cast("string").alias("c")).union(spark.createDataFrame([(None,)], "c string"))
+    got = {r["c"]: r["rank"] for r in graph.dense_ranks(df, "c", ranges).collect()}
+    assert got == {c: i for i, c in enumerate(sorted({str(i) for i in range(90)}))}
+
+
 def test_centroid_classes(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])], "id int, embedding array<double>")
     out = vectors.classify_by_centroid(df, {"a": [1.0, 0.0], "b": [0.0, 1.0]}, {"b": {"p": [0.1, 1.0], "q": [1.0, 0.0]}})
