@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -52,24 +53,26 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if urlparse(root).scheme in ("", "file") and not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {root} is local")
     path = f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
-    for made in _made:
+    for made in _open.get():
         made.append(path)
     return path
 
 
-#: Folders made within each open `temporary` block.
-_made: list[list[str]] = []
+#: Folders made within each open `temporary` block, of this thread alone.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Folders made within are removed at the end: for what has been computed and written elsewhere by then."""
-    _made.append([])
+    mine: list[str] = []
+    token = _open.set((*_open.get(), mine))
     try:
         yield
     finally:
+        _open.reset(token)
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _made.pop():
+        for path in mine:
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
 

@@ -1,7 +1,8 @@
 """Web archives: records written through Spark's text writer, and read back by boundary-chain verification.
 
-A file is read in splits at every "WARC/1.0" line, which may also stand inside a
-payload. Each such candidate names its successor's offset by its content length.
+A file is read in splits at every "WARC/", which may also stand inside a
+payload. Each that begins a version line, whatever the version, and a header
+with a content length is a candidate, and names its successor's offset.
 Candidates whose successor is simply the next one form runs; pointer jumping
 over runs, from each file's start, keeps the candidates that the chain reaches,
 and what lies between two of them belongs to the first.
@@ -23,6 +24,8 @@ from .common import bounded_batches, column, shared_dir, stored
 
 #: Fixed values of the format.
 MAGIC, END = "WARC/1.0\r\n", "\r\n\r\n"
+#: What every record begins with, and what follows it.
+SPLIT, VERSION = "WARC/", r"^[0-9]{1,3}\.[0-9]{1,3}\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:paperflow:page:"
 #: Payloads of fewer bytes are stored again rather than referred to.
@@ -77,17 +80,17 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
 
 
 def segments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Places (file, block, seq, at, width, next) and bytes (file, block, seq, raw) from each magic line to the next; next is the successor's offset that its header names, else null."""
-    lines = spark.read.option("lineSep", MAGIC).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+    """Places (file, block, seq, at, width, next) and bytes (file, block, seq, raw) from each SPLIT to the next; next is the successor's offset that its header names, else null."""
+    lines = spark.read.option("lineSep", SPLIT).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
     head = F.substring_index("value", END, 1)
     length = F.regexp_extract(head, r"(?i)(?:^|\n)content-length:[ \t]*([0-9]{1,18})[ \t]*(?:\r|$)", 1)
-    size = F.when(F.octet_length(head) < F.octet_length("value"), F.octet_length(head) + 2 * len(END) + F.nullif("length", F.lit("")).try_cast("long"))
-    found = lines.withColumn("length", length).select("file", "block", "seq", (F.octet_length("value") + len(MAGIC)).cast("long").alias("width"), size.cast("long").alias("size"), F.col("value").cast("binary").alias("raw"))
+    size = F.when(F.col("value").rlike(VERSION) & (F.octet_length(head) < F.octet_length("value")), F.octet_length(head) + 2 * len(END) + F.nullif("length", F.lit("")).try_cast("long"))
+    found = lines.withColumn("length", length).select("file", "block", "seq", (F.octet_length("value") + len(SPLIT)).cast("long").alias("width"), size.cast("long").alias("size"), F.col("value").cast("binary").alias("raw"))
     rows = stored(found, "segments", compression="zstd")
     place = Window.partitionBy("file").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.select("file", "block", "seq", "width", "size", (F.coalesce(F.sum("width").over(place), F.lit(0)) - len(MAGIC)).alias("at"))
+    placed = rows.select("file", "block", "seq", "width", "size", (F.coalesce(F.sum("width").over(place), F.lit(0)) - len(SPLIT)).alias("at"))
     # what stands before a file's first magic line is no candidate
-    narrow = stored(placed.withColumn("next", F.when(F.col("at") >= 0, F.col("at") + len(MAGIC) + F.col("size"))), "places")
+    narrow = stored(placed.withColumn("next", F.when(F.col("at") >= 0, F.col("at") + len(SPLIT) + F.col("size"))), "places")
     return narrow, rows
 
 
@@ -110,7 +113,7 @@ def chained(places: DataFrame) -> DataFrame:
 
 
 def whole_records(spark: SparkSession, path: str) -> DataFrame:
-    """(raw): the bytes of every verified record, its magic line left out.
+    """(raw): the bytes of every verified record, without the "WARC/" that it begins with.
 
     Nearly every record is one segment, which stays where it is. The others
     (parts of payloads with a magic line in them, and what no chain reaches) are
@@ -125,17 +128,18 @@ def whole_records(spark: SparkSession, path: str) -> DataFrame:
     keys = ["file", "block", "seq"]
     single = rows.select(*keys, "raw").join(others.select(*keys), keys, "left_anti").select("raw")
     parts = rows.select(*keys, "raw").join(others.where("record is not null and at < end"), keys)
-    magic = F.lit(MAGIC).cast("binary")
+    magic = F.lit(SPLIT).cast("binary")
     together = F.sort_array(F.collect_list(F.struct("at", "raw")))
     joined = F.aggregate(F.slice(together, 2, 1_000_000_000), together[0]["raw"], lambda a, x: F.concat(a, magic, x["raw"]))
     # the closing blank lines of a file's last record may be missing, nothing else
-    whole = F.octet_length("raw") + len(MAGIC) + len(END) >= F.col("end") - F.col("record")
+    whole = F.octet_length("raw") + len(SPLIT) + len(END) >= F.col("end") - F.col("record")
     return single.unionByName(parts.groupBy("file", "record", "end").agg(joined.alias("raw")).where(whole).select("raw"))
 
 
-def field(head: bytes, name: str) -> str | None:
-    m = re.search(rb"(?im)^" + name.encode() + rb":[ \t]*([^\r\n]*)", head)
-    return m and m[1].decode("utf-8", "surrogatepass").strip()
+def field(head: bytes, name: str, value: bytes = rb"[^\r\n]*") -> str | None:
+    """The first value of a header that is like this; bytes that are not UTF-8 are replaced."""
+    m = re.search(rb"(?im)^" + name.encode() + rb":[ \t]*(" + value + rb")[ \t]*\r?$", head)
+    return m and m[1].decode("utf-8", "replace").strip()
 
 
 def number(urn: str | None) -> int | None:
@@ -143,13 +147,32 @@ def number(urn: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
+def unchunked(body: bytes) -> bytes:
+    """A body without the marks of its chunks; one that does not hold such marks, as of writers that took them out, as it is."""
+    out, at = [], 0
+    while True:
+        m = re.compile(rb"([0-9A-Fa-f]{1,15})[ \t]*(?:;[^\r\n]*)?\r\n").match(body, at)
+        if not m:
+            return body
+        size, start = int(m[1], 16), m.end()
+        if not size:
+            return b"".join(out)
+        if body[start + size : start + size + 2] != b"\r\n":
+            return body
+        out.append(body[start : start + size])
+        at = start + size + 2
+
+
 def parsed(raw: bytes) -> tuple[dict, bytes | None]:
     """Fields of a record, and its payload; a revisit has none, and its size and digest are those that its headers name.
 
-    A record whose payload cannot be decoded is of type damaged: no size, the digest that it names, no payload.
+    Chunks of a body are put together, and gzip is undone. A record whose
+    payload cannot be decoded is of type damaged: no size, the digest that it
+    names, no payload.
     """
     head, _, rest = raw.partition(END.encode())
-    block = rest[: int(field(head, "Content-Length"))]
+    # the length that its place in the file was verified by
+    block = rest[: int(field(head, "Content-Length", rb"[0-9]{1,18}") or 0)]
     http, _, body = block.partition(END.encode())
     kind, digest = field(head, "WARC-Type"), (field(head, "WARC-Payload-Digest") or "").removeprefix("sha1:") or None
     out = {"page_id": number(field(head, "WARC-Record-ID")), "url": field(head, "WARC-Target-URI"), "record_type": kind, "refers_to": number(field(head, "WARC-Refers-To"))}
@@ -157,7 +180,8 @@ def parsed(raw: bytes) -> tuple[dict, bytes | None]:
         size = field(http, "Content-Length") or "0"
         return out | {"payload_bytes": int(size) if size.isascii() and size.isdigit() and len(size) < 19 else None, "payload_digest": digest}, None
     try:
-        payload = gzip.decompress(body) if (field(http, "Content-Encoding") or "").lower() == "gzip" else body
+        payload = unchunked(body) if (field(http, "Transfer-Encoding") or "").lower() == "chunked" else body
+        payload = gzip.decompress(payload) if (field(http, "Content-Encoding") or "").lower() == "gzip" else payload
     except (OSError, EOFError, zlib.error):
         return out | {"record_type": "damaged", "payload_bytes": None, "payload_digest": digest}, None
     return out | {"payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}, payload

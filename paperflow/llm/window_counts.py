@@ -96,11 +96,13 @@ def power_of(place: np.ndarray, which: int) -> np.ndarray:
 
 
 def pieces(text: str) -> Iterator[str]:
-    """A long text cut between words."""
+    """A long text cut between words; where as many letters again are without white space, within one, whose parts count as words."""
     at = 0
-    while len(text) - at > PIECE and (m := _SPACE.search(text, at + PIECE)):
-        yield text[at : m.start()]
-        at = m.start()
+    while len(text) - at > PIECE:
+        m = _SPACE.search(text, at + PIECE, at + 2 * PIECE)
+        end = m.start() if m else min(len(text), at + 2 * PIECE)
+        yield text[at:end]
+        at = end
     yield text[at:]
 
 

@@ -172,3 +172,26 @@ def test_shared_folders(spark, tmp_path):
 @pytest.mark.parametrize("name", ["op5_quality", "op10_language_id"])
 def test_all_rows_come_back(spark, data, documents, name):
     assert queries.QUERIES[name](spark, data).count() == documents.count()
+
+
+def test_temporary_tables_of_other_threads_stay(spark):
+    """Of two blocks in two threads, the one that ends first removes its own folders only."""
+    import threading
+
+    inside, over, left = threading.Event(), threading.Event(), {}
+
+    def other():
+        with common.temporary(spark):
+            paths = common.stored(spark.range(5), "other").inputFiles()
+            inside.set()
+            over.wait(60)
+            left["other"] = spark.read.parquet(*paths).count()
+
+    thread = threading.Thread(target=other)
+    with common.temporary(spark):
+        thread.start()
+        inside.wait(60)
+        mine = common.stored(spark.range(5), "mine").inputFiles()[0]
+    over.set()
+    thread.join()
+    assert left["other"] == 5 and not Path(mine.removeprefix("file://")).exists()

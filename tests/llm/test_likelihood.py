@@ -237,3 +237,15 @@ def test_few_or_no_words(spark, odd):
     assert one[1]["n_words"] == 1 and np.isfinite(one[1]["pll"]) and one[2]["pll"] == 0
     hot = by_id(P.scored(spark.createDataFrame([(k, "the same few words") for k in range(300)] + [(999, "some other words here")], "doc_id long, text string").repartition(5)))
     assert abs(hot[0]["per_word"] - hot[299]["per_word"]) < 1e-9 and hot[0]["per_word"] > hot[999]["per_word"] + 1
+
+
+def test_texts_without_white_space_are_cut(monkeypatch):
+    """A text of more letters than places have powers for, as of a file in base64."""
+    whole = "".join(W.pieces("ab" * 100))
+    assert whole == "ab" * 100
+    chunk = W.Chunk()
+    chunk.add(1, "x" * (17 << 20))
+    chunk.split()
+    assert sum(chunk.sizes) == 9
+    monkeypatch.setattr(W, "PIECE", 10)
+    assert ["".join(W.pieces(t)) == t for t in ("a" * 95, "a b " * 30, "", "a" * 15 + " " + "b" * 30)] == [True] * 4

@@ -75,3 +75,15 @@ def test_repeated_rows_go(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     twice = docs.union(docs.limit(50))
     assert kept_by(spark, corpus_pipeline.one_of_each, twice, data) == kept_by(spark, corpus_pipeline.one_of_each, docs, data)
+
+
+def test_columns_named_like_results_come_through(spark, data):
+    """Each stage that filters gives every column back as it was, whatever its name."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(60)
+    own = ["score", "predicted", "statistics", "lang_pred", "spans", "hits", "goes", "n", "kept", "own_3", "id"]
+    named = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in own})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, named, data)
+        assert rows.columns == named.columns, name
+        for r in rows.collect():
+            assert all(r[c] == f"{c} of {r['doc_id']}" for c in own), name

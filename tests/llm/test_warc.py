@@ -83,6 +83,25 @@ def test_damaged_records_are_set_aside(spark, tmp_path):
     assert got == {1: ("response", 5, b"hello"), 2: ("damaged", None, None), 3: ("damaged", None, None), 4: ("response", 5, b"plain"), 5: ("revisit", None, None), 6: ("response", 4, b"last")}
 
 
+def test_records_of_other_writers(spark, tmp_path):
+    """Other versions, headers that are not UTF-8, a length that is no number before one that is, chunked bodies."""
+
+    def record(n, version, extra, body, http=b""):
+        block = b"HTTP/1.1 200 OK\r\n" + http + b"\r\n" + body
+        return b"WARC/" + version + b"\r\nWARC-Type: response\r\n" + extra + f"WARC-Record-ID: <{warc.URN}{n}>\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    chunked = b"Transfer-Encoding: chunked\r\n"
+    (tmp_path / "a").write_bytes(
+        record(1, b"1.1", b"", b"one WARC/1.1\r\nContent-Length: 3\r\n\r\nabc") + record(2, b"0.18", "WARC-Target-URI: http://x/caf\u00e9\r\n".encode("latin-1"), b"two WARC/ WARC/1.0")
+        + record(3, b"1.0", b"Content-Length: x\r\n", b"three") + record(4, b"1.1", b"", b"4\r\nfour\r\n3;a=b\r\n, 4\r\n0\r\n\r\n", chunked) + record(5, b"1.1", b"", b"no chunks", chunked)
+        + record(6, b"1.1", b"", b"%x\r\n%s\r\n0\r\n\r\n" % (len(gzip.compress(b"six")), gzip.compress(b"six")), chunked + b"Content-Encoding: gzip\r\n")
+    )
+    got = {r["page_id"]: (r["record_type"], bytes(r["payload"])) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    payloads = [b"one WARC/1.1\r\nContent-Length: 3\r\n\r\nabc", b"two WARC/ WARC/1.0", b"three", b"four, 4", b"no chunks", b"six"]
+    assert got == {n: ("response", x) for n, x in enumerate(payloads, 1)}
+    assert warc.read_archives(spark, str(tmp_path)).where("page_id = 2").first()["url"] == "http://x/caf\ufffd"
+
+
 def test_files_that_begin_with_something_else_or_break_off(spark, tmp_path):
     one = warc.record(1, "u", b"abc", None, warc.DATE) + b"\r\n\r\n"
     (tmp_path / "a").write_bytes(one + one + b"WARC/1.0\r\nContent-Length: x\r\n\r\n" + one)
