@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +15,29 @@ from paperflow.llm.queries import tokenizer_path
 OWN_LANGUAGE = 0.4
 
 
+def kept(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The documents whose rows `decide` keeps, with their own columns: these stand under other names meanwhile, so that no result of an operator takes the place of one."""
+    names = {c: f"own_{n}" for n, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    rows = decide(docs.select("doc_id", "text", *[docs[c].alias(own) for c, own in names.items()]))
+    return rows.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold, learned from the labels of these documents."""
-    known = stored(quality.with_statistics(docs), "statistics")
-    model = quality.train(quality.training_rows(known, table(spark, sf_dir, "labels")))
-    return quality.scored(known, model).where("predicted = 1").select(*docs.columns)
+
+    def decide(rows: DataFrame) -> DataFrame:
+        known = stored(quality.with_statistics(rows), "statistics")
+        model = quality.train(quality.training_rows(known, table(spark, sf_dir, "labels")))
+        return quality.scored(known, model).where("predicted = 1")
+
+    return kept(docs, decide)
 
 
 def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters, most of them in one of the learned languages."""
     model = langid.train(docs.where(~langid.held_out()))
-    found = langid.identify(docs, model, spans=False)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= OWN_LANGUAGE)).select(*docs.columns)
+    own = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= OWN_LANGUAGE)
+    return kept(docs, lambda rows: langid.identify(rows, model, spans=False).where(own))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +51,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item occurs."""
-    return decontam.with_hits(docs, table(spark, sf_dir, "benchmark")).where(F.size("hits") == 0).select(*docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return kept(docs, lambda rows: decontam.with_hits(rows, items).where(F.size("hits") == 0))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
