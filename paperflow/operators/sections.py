@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.keys import strip
 
@@ -39,10 +38,10 @@ LINE_HEADERS = {
     "code_availability": ("code availability", "availability of code", "software availability", "data/code availability"),
 }
 STOPS = ("introduction", "background", "results", "discussion", "conclusion", "references", "acknowledgements", "supplementary", "funding", "appendix")
-#: What is said to be available, and the words that say so or name where; at most NEAR signs lie between.
+#: What is said to be available, and patterns of the words that say so or name where; at most NEAR signs lie between.
 SUBJECTS = {"code": ("code", "software", "repository"), "data": ("data", "dataset", "database", "repository")}
 PLACES = {
-    "code": ("available", "access", "download", "http://github.com", "https://github.com", "http://www.github.com", "https://www.github.com", "zenodo", "bioconductor", "figshare", "bitbucket", "gitlab", "source code"),
+    "code": ("available", "access", "download", r"https?://(?:www\.)?github\.com", "zenodo", "bioconductor", "figshare", "bitbucket", "gitlab", "source code"),
     "data": ("available", "access", "download", "zenodo", "10x genomics", "figshare", "dryad", "geo", "ega", "arrayexpress", "genbank", "sra", "pdb"),
 }
 #: Accession numbers are this word and digits.
@@ -87,8 +86,9 @@ def first_true(flags: Column) -> Column:
 def parse_sections(df: DataFrame, text: str) -> DataFrame:
     """`df` with a column for each section: the lines after its header line, up to one that ends it; null if absent or of fewer than MIN_WORDS words.
 
-    Runs of spaces and tabs become one space. The line right after a header
-    never ends its section.
+    Runs of spaces and tabs become one space; lines stay, unlike in its model,
+    which makes a section one line: that can be done later, but not undone. The
+    line right after a header never ends its section.
     """
     lines = F.split(F.regexp_replace(strip(F.col(text)), r"[ \t]{2,}", " "), "\n")
     # what no header or end begins with is looked at once
@@ -140,7 +140,7 @@ def extract_sections_windowed(df: DataFrame, text: str, window: int = WINDOW) ->
 
 def mention_pattern(kind: str) -> str:
     accession = rf"|{ACCESSION}[0-9]+" if kind == "data" else ""
-    return rf"(?i)(?:{any_of(SUBJECTS[kind])})\W{{0,{NEAR}}}\b(?:{any_of(PLACES[kind])}{accession})\b"
+    return rf"(?i)(?:{any_of(SUBJECTS[kind])})\W{{0,{NEAR}}}\b(?:{'|'.join(PLACES[kind])}{accession})\b"
 
 
 def availability_mentions(text: Column, kind: str) -> Column:
@@ -159,34 +159,56 @@ def extract_full_text(df: DataFrame, text: str, source: str, window: int = WINDO
     return section_flags(named, text, source, list(LINE_HEADERS))
 
 
-class _Visible(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.hidden = 0
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.hidden += tag in ("script", "style")
-
-    def handle_endtag(self, tag: str) -> None:
-        self.hidden -= tag in ("script", "style") and self.hidden > 0
-
-    def handle_data(self, data: str) -> None:
-        if not self.hidden and data.strip():
-            self.parts.append(data.strip())
-
-
-@F.pandas_udf(T.StringType())
-def html_to_text(html: pd.Series) -> pd.Series:
-    """Visible text, a line for each piece: no scripts, styles or comments, entities decoded. Null becomes empty."""
-
-    def one(page: str | None) -> str:
-        parser = _Visible()
-        parser.feed(page or "")
-        parser.close()
-        return "\n".join(parser.parts)
-
-    return html.map(one)
+#: What is no text: comments, scripts and styles with what is in them (or up to the end, if they do not end), tags and declarations. A tag may hold a greater sign in quotes.
+MARKUP = r"""(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script[^>]*>|\z)|<style\b[^>]*>.*?(?:</style[^>]*>|\z)|</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*+>|</?[a-z][^>]*>|<[!?/][^>]*>"""
+#: White space at the ends of a text, Unicode's included.
+ENDS = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
+_BETWEEN = "\x01"
+
+
+def sign_of(number: Column) -> Column:
+    """The character of a code point as pages have them: 128 to 159 as in Windows' code page, nothing for controls and what is no character, a replacement for what cannot be one."""
+    windows = {n: bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+    known = F.create_map(*[F.lit(x) for n, c in windows.items() if c for x in (n, c)])
+    none = number.between(1, 8) | (number == 11) | number.between(14, 31) | number.between(127, 159) | number.between(0xFDD0, 0xFDEF) | ((number % 65536) >= 65534)
+    sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    bad = number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    small = number.cast("int")
+    return F.when(bad, "�").when(F.map_contains_key(known, small), F.try_element_at(known, small)).when(none, "").otherwise(sign)
+
+
+def decoded(text: Column) -> Column:
+    """Entities in a text, by name or number, as the characters that they stand for; each once, so that what is decoded is not looked at again. Names that may stand without a semicolon are found so as well."""
+    table = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    short = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+
+    def one(piece: Column) -> Column:
+        """What follows an ampersand."""
+        number = F.regexp_extract(piece, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        digits = F.regexp_extract(number, r"([0-9a-fA-F]+);?$", 1)
+        value = F.when(number.rlike("^#[xX]"), F.conv(digits, 16, 10).try_cast("bigint")).otherwise(digits.try_cast("bigint"))
+        named = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
+        legacy = F.regexp_extract(piece, f"^({short})", 1)
+        rest = lambda name: F.substring(piece, F.char_length(name) + 1, F.char_length(piece))
+        of = lambda name: F.try_element_at(table, name)
+        return (
+            F.when(number != "", F.concat(sign_of(value), rest(number)))
+            .when((named != "") & of(named).isNotNull(), F.concat(of(named), rest(named)))
+            .when(legacy != "", F.concat(of(legacy), rest(legacy)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    parts = F.split(text, "&")
+    whole = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), one), ""))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
+def html_to_text(html: Column | str) -> Column:
+    """Visible text, a line for each piece between marks: no scripts, styles or comments, entities decoded. Null becomes empty."""
+    page = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
+    pieces = F.split(F.regexp_replace(page, MARKUP, _BETWEEN), _BETWEEN)
+    trimmed = F.transform(pieces, lambda x: F.regexp_replace(decoded(x), ENDS, ""))
+    return F.array_join(F.filter(trimmed, lambda x: x != ""), "\n")
 
 
 def section_flags(df: DataFrame, text: str, source: str, sections: Sequence[str]) -> DataFrame:

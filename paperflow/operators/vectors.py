@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,26 +21,85 @@ from .dedupe import keep_first
 #: Thresholds of similarity, and the category that has pipelines.
 RELEVANT, UNCERTAIN = 0.80, 0.65
 WITH_PIPELINES = ("computational analysis - method",)
+#: Numbers of a learned vector, and hashes of words that it is made from.
+DIMENSIONS, FEATURES = 64, 1024
 
 
-def hashed_encoder(dimensions: int = 64) -> Callable[[list[str]], np.ndarray]:
-    """The default encoder: signed counts of hashed words, of unit length; stands in for a trained model."""
-    import zlib
+@dataclass(frozen=True)
+class Encoder:
+    """A trained encoder: the weight of each feature, and what turns weighted features into a vector."""
 
-    def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dimensions), np.float32)
-        for i, text in enumerate(texts):
-            for word in text.lower().split():
-                h = zlib.crc32(word.encode())
-                out[i, h % dimensions] += 1 - 2 * (h >> 31)
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    weights: np.ndarray
+    axes: np.ndarray
 
-    return encode
+    def __call__(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Vectors of unit length of texts, each given by the features that it has and their counts."""
+        out = np.zeros((len(counts), self.axes.shape[1]))
+        for i, (places, n) in enumerate(counts):
+            x = n * self.weights[places]
+            out[i] = (x / max(np.linalg.norm(x), 1e-300)) @ self.axes[places]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)
+
+
+def hashed_words(df: DataFrame, key: str, text: str, features: int) -> DataFrame:
+    """(key, counts): the words of a text, in lower case, counted by hash; a vector of zeros for blank texts."""
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
+    return HashingTF(numFeatures=features, inputCol="_words", outputCol="counts").transform(df.select(key, words.alias("_words"))).select(key, "counts")
+
+
+def train_encoder(counts: DataFrame, dimensions: int = DIMENSIONS) -> Encoder:
+    """Latent semantic analysis of all texts: counts weighted by how few texts have a feature, then the directions in which they vary most.
+
+    Weights are Spark's IDF. Of the weighted texts, brought to unit length, Spark
+    adds up the products of all pairs of features, a number for each pair however
+    many texts there are; their eigenvectors are found on the driver. Each
+    direction points to where its largest number is.
+    """
+    some = counts.where(F.exists(vector_to_array("counts"), lambda x: x > 0))
+    idf = IDF(inputCol="counts", outputCol="weighed").fit(some)
+    unit = Normalizer(inputCol="weighed", outputCol="unit").transform(idf.transform(some)).select("unit")
+    weights = idf.idf.toArray()
+    spread = unit.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("unit")).alias("s")).first()["s"]
+    mean, deviation, n = spread["mean"].toArray(), np.sqrt(spread["variance"].toArray()), spread["count"]
+    together = np.nan_to_num(Correlation.corr(unit, "unit").first()[0].toArray())
+    np.fill_diagonal(together, 1.0)
+    # about zero, not about the mean: a text without anything in common with another has a cosine of 0
+    second = together * np.outer(deviation, deviation) * (n - 1) / n + np.outer(mean, mean)
+    _, axes = np.linalg.eigh(second)
+    axes = axes[:, ::-1][:, :dimensions]
+    return Encoder(weights, axes * np.where(axes[np.abs(axes).argmax(0), np.arange(axes.shape[1])] < 0, -1.0, 1.0))
+
+
+def learned_embeddings(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS, features: int = FEATURES) -> DataFrame:
+    """(key, embedding): vectors of the texts by an encoder that is trained on them, so that texts on the same things are near each other; empty ones for blank texts."""
+    counts = hashed_words(df, key, text, features)
+    none = F.array().cast("array<float>")
+    if counts.where(F.exists(vector_to_array("counts"), lambda x: x > 0)).limit(2).count() < 2:
+        # nothing to learn from
+        return counts.select(key, F.when(F.exists(vector_to_array("counts"), lambda x: x > 0), F.array_repeat(F.lit(dimensions**-0.5).cast("float"), dimensions)).otherwise(none).alias("embedding"))
+    encoder = train_encoder(counts, dimensions)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, values = batch.column(1), batch.column(2)
+            found: list = [[] for _ in range(len(batch))]
+            rows = [i for i in range(len(batch)) if len(places[i].values)]
+            if rows:
+                vectors = encoder([(places[i].values.to_numpy(), values[i].values.to_numpy()) for i in rows])
+                for i, v in zip(rows, vectors.astype(np.float32)):
+                    found[i] = v
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float32()))], names=[key, "embedding"])
+
+    dense = vector_to_array("counts")
+    pairs = F.filter(F.transform(dense, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: p.x > 0)
+    sparse = counts.withColumn("_pairs", pairs).select(key, F.col("_pairs.i").alias("i"), F.col("_pairs.x").alias("x"))
+    return sparse.mapInArrow(run, T.StructType([df.schema[key], T.StructField("embedding", T.ArrayType(T.FloatType()))]))
 
 
 def embed_text(df: DataFrame, key: str, text: str, encoder: Callable[[list[str]], np.ndarray] | None = None) -> DataFrame:
-    """(key, embedding): vectors of the texts, empty ones for blank texts."""
-    encode = encoder or hashed_encoder()
+    """(key, embedding): vectors of the texts by a caller's encoder, or by one that is trained on them; empty ones for blank texts."""
+    if encoder is None:
+        return learned_embeddings(df, key, text)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -44,7 +107,7 @@ def embed_text(df: DataFrame, key: str, text: str, encoder: Callable[[list[str]]
             some = [i for i, x in enumerate(texts) if x]
             found: list[list[float]] = [[] for _ in texts]
             if some:
-                for i, v in zip(some, encode([texts[i] for i in some])):
+                for i, v in zip(some, encoder([texts[i] for i in some])):
                     found[i] = [float(x) for x in v]
             yield pd.DataFrame({key: frame[key], "embedding": found})
 

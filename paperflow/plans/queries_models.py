@@ -122,9 +122,19 @@ def enough(c: str) -> str:
     return rf"CASE WHEN {c} <> '' AND len(regexp_split_to_array({c}, '\s+')) >= {sections.MIN_WORDS} THEN {c} END"
 
 
+#: Header lines and what ends their sections, typed out here so that the SQL does not follow the library's own patterns.
+ENDS_ALL = "acknowledgements|references|supplementary|appendix"
+HEADS = {
+    "introduction": (r"(?i)^(1|i\s*\.|introduction)\s*$", rf"(?i)^(2|ii\s*\.|methods|materials and methods|results|discussion|conclusion|{ENDS_ALL})"),
+    "methods": (r"(?i)^(2|ii\s*\.|methods|materials and methods)\s*$", rf"(?i)^(3|iii\s*\.|results|discussion|conclusion|{ENDS_ALL})"),
+    "conclusion": (r"(?i)^(4|iv\s*\.|conclusions?)\s*$", rf"(?i)^(5|v\s*\.|{ENDS_ALL})"),
+    "data_availability": (r"(?i)^data availability( statement)?\s*$", rf"(?i)^({ENDS_ALL})"),
+}
+
+
 def section_sql(name: str) -> str:
     """Lines after the section's first header line, up to the first line that ends it; the one right after the header never does."""
-    own, stop = sections.header_patterns()[name]
+    own, stop = HEADS[name]
     at = f"list_position(list_transform(heads, lambda x: regexp_matches(x, '{own}')), true)"
     end = f"list_position(list_transform(heads[{at} + 2:], lambda x: regexp_matches(x, '{stop}')), true)"
     part = f"array_to_string(CASE WHEN coalesce({end}, 0) > 0 THEN lines[{at} + 1:{at} + {end}] ELSE lines[{at} + 1:] END, chr(10))"
@@ -165,8 +175,15 @@ def extract_sections_windowed(spark, d):
     return sections.extract_sections_windowed(full(spark, d, *LINES), "text").select("seq", *WINDOWED)
 
 
+#: What says that code or data are available, typed out for the SQL.
+SAID = {
+    "code": r"(?i)(?:code|software|repository)[^a-zA-Z0-9_]{0,5}\b(?:available|access|download|https?://github\.com|https?://www\.github\.com|zenodo|bioconductor|figshare|bitbucket|gitlab|source code)\b",
+    "data": r"(?i)(?:data|dataset|database|repository)[^a-zA-Z0-9_]{0,5}\b(?:available|access|download|zenodo|10x genomics|figshare|dryad|geo|ega|arrayexpress|genbank|sra|pdb|gse[0-9]+)\b",
+}
+
+
 def mentioned_sql(kind: str) -> str:
-    found = f"list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '{sections.mention_pattern(kind)}'), lambda x: {stripped('x')}), lambda x: x <> '')))"
+    found = f"list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '{SAID[kind]}'), lambda x: {stripped('x')}), lambda x: x <> '')))"
     return f"CASE WHEN len({found}) > 0 THEN 'Mentioned {kind} availability sources: ' || array_to_string({found}, ', ') END"
 
 
@@ -185,7 +202,13 @@ def extract_full_text(spark, d):
     return out.select("seq", *names.values(), "has_introduction_section", "has_methods_section", "has_code_availability_section", C("full_text_extraction_status").alias("status"))
 
 
-@query("html_to_text")
+#: What is no text in a page, and entities, typed out for the SQL.
+NO_TEXT = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|</?[a-z][^>]*>|<![^>]*>"
+ENTITIES = {"&lt;": 60, "&gt;": 62, "&quot;": 34, "&#39;": 39, "&nbsp;": 160, "&copy;": 169, "&middot;": 183, "&amp;": 38}
+UNESCAPED = "replace(" * len(ENTITIES) + "x" + "".join(f", '{e}', chr({n}))" for e, n in ENTITIES.items())
+
+
+@query("html_to_text", rf"SELECT page_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(html, '{NO_TEXT}', chr(1), 'g'), chr(1)), lambda x: regexp_replace({UNESCAPED}, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10)) AS text FROM pages")
 def html_to_text(spark, d):
     return spark.read.parquet(f"{d}/pages.parquet").select("page_id", sections.html_to_text("html").alias("text"))
 

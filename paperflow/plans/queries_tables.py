@@ -330,11 +330,11 @@ def best_attempt(spark, d):
     return merge.best_attempt(view(spark, d, ATTEMPTS), "seq").select("doi", "seq", "section_extraction_status", "extracted_introduction_section", "extracted_methods_section")
 
 
-@query("merge_sections", f"""{BEST}, p AS (SELECT '10.1000/u' || doc_id AS doi, source AS title FROM documents)
+@query("merge_sections", f"""{BEST}, p AS (SELECT '10.1000/u' || doc_id AS doi, text AS title FROM documents)
 SELECT p.doi, title, coalesce(is_open_access, false) AS is_open_access, coalesce(full_text_access_type, 'Unknown') AS full_text_access_type, coalesce(section_extraction_status, 'Not Processed') AS section_extraction_status,
 regexp_matches(lower(coalesce(section_extraction_status, '')), 'extracted from (html|pdf)') AND (trim(coalesce(extracted_introduction_section, '')) <> '' OR trim(coalesce(extracted_methods_section, '')) <> '') AS sections_extracted_successfully, coalesce(extracted_introduction_section, '') AS extracted_introduction_section FROM p LEFT JOIN best ON p.doi = best.doi""")
 def merge_sections(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.concat(F.lit("10.1000/u"), "doc_id").alias("doi"), C("source").alias("title"))
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.concat(F.lit("10.1000/u"), "doc_id").alias("doi"), C("text").alias("title"))
     out = merge.merge_sections(docs, merge.best_attempt(view(spark, d, ATTEMPTS), "seq"))
     return out.select("doi", "title", "is_open_access", "full_text_access_type", "section_extraction_status", "sections_extracted_successfully", "extracted_introduction_section")
 

@@ -52,11 +52,11 @@ def read_curated_csv(spark, d):
 
 XML = """SELECT doc_id AS seq, '<PubmedArticle><MedlineCitation><PMID>' || CAST(doc_id AS STRING) || '</PMID><Article><Journal><Title>' || source || '</Title><JournalIssue><PubDate>'
   || CASE WHEN doc_id % 2 = 0 THEN '<Year>' || CAST(2000 + doc_id % 20 AS STRING) || '</Year>' ELSE '<MedlineDate>' || CAST(1990 + doc_id % 9 AS STRING) || ' Jan-Feb</MedlineDate>' END || '</PubDate></JournalIssue></Journal><ArticleTitle>T' || CAST(n_chars AS STRING)
-  || '</ArticleTitle><Abstract><AbstractText>first ' || lang || '</AbstractText><AbstractText>second</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><Initials>J' || CAST(doc_id % 3 AS STRING) || '</Initials></Author><Author><CollectiveName>Group</CollectiveName></Author></AuthorList><Language>'
+  || '</ArticleTitle><Abstract><AbstractText>' || replace(replace(replace(trim(regexp_replace('first ' || text, '[\\x00-\\x1F]+', ' ')), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</AbstractText><AbstractText>second</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><Initials>J' || CAST(doc_id % 3 AS STRING) || '</Initials></Author><Author><CollectiveName>Group</CollectiveName></Author></AuthorList><Language>'
   || lang || '</Language></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType="pubmed">1</ArticleId><ArticleId IdType="doi">10.1/AB' || CAST(doc_id AS STRING) || '</ArticleId>' || CASE WHEN doc_id % 3 = 0 THEN '<ArticleId IdType="pmc">PMC' || CAST(doc_id AS STRING) || '</ArticleId>' ELSE '' END || '</ArticleIdList></PubmedData></PubmedArticle>' AS article FROM {documents}"""
 
 
-@query("parse_article_xml", "SELECT doc_id AS seq, '10.1/ab' || doc_id AS doi, CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN doc_id % 3 = 0 THEN 'PMC' || doc_id END AS pmcid, 'T' || n_chars AS title, 'first ' || lang AS abstract, CAST(CASE WHEN doc_id % 2 = 0 THEN 2000 + doc_id % 20 ELSE 1990 + doc_id % 9 END AS VARCHAR) AS year, source AS journal, 'Doe, J' || doc_id % 3 || '|Group' AS authors, lang AS language FROM documents")
+@query("parse_article_xml", "SELECT doc_id AS seq, '10.1/ab' || doc_id AS doi, CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN doc_id % 3 = 0 THEN 'PMC' || doc_id END AS pmcid, 'T' || n_chars AS title, trim(regexp_replace('first ' || text, '[\\x00-\\x1F]+', ' ', 'g')) AS abstract, CAST(CASE WHEN doc_id % 2 = 0 THEN 2000 + doc_id % 20 ELSE 1990 + doc_id % 9 END AS VARCHAR) AS year, source AS journal, 'Doe, J' || doc_id % 3 || '|Group' AS authors, lang AS language FROM documents")
 def parse_article_xml(spark, d):
     rows = files.parse_article_xml(view(spark, d, XML), "article", "label", "2025-01-01")
     return rows.select("seq", "doi", "pmid", "pmcid", "title", "abstract", "year", "journal", F.array_join("authors", "|").alias("authors"), "language")
@@ -187,10 +187,10 @@ def clean_llm_fields(spark, d):
     return view(spark, d, ANNOTATED).select("seq", f["is_computational"].alias("is_computational"), f["assigned_categories"].alias("categories"), f["pipeline_analysis_steps"].alias("steps"), f["code_status"].alias("code_status"), f["code_link"].alias("code_link"))
 
 
-SECTIONED = "SELECT doc_id AS seq, CASE WHEN doc_id % 13 = 0 THEN '' ELSE '10.1/' || CAST(doc_id AS STRING) END AS doi, CASE WHEN doc_id % 2 = 0 THEN 'm' || source END AS extracted_methods_section, CASE WHEN doc_id % 3 = 0 THEN 'c' END AS extracted_conclusion_section FROM {documents}"
+SECTIONED = "SELECT doc_id AS seq, CASE WHEN doc_id % 13 = 0 THEN '' ELSE '10.1/' || CAST(doc_id AS STRING) END AS doi, CASE WHEN doc_id % 2 = 0 THEN 'm ' || text || ' e' END AS extracted_methods_section, CASE WHEN doc_id % 3 = 0 THEN 'c' END AS extracted_conclusion_section FROM {documents}"
 
 
-@query("split_sections_log", "SELECT '10.1/' || doc_id AS doi, doc_id AS seq, doc_id % 2 = 0 AS has_methods_section, doc_id % 3 = 0 AS has_conclusion_section, CASE WHEN doc_id % 2 = 0 THEN 'm' || source ELSE '' END AS methods, CASE WHEN doc_id % 3 = 0 THEN 'c' ELSE '' END AS conclusion FROM documents WHERE doc_id % 13 <> 0")
+@query("split_sections_log", "SELECT '10.1/' || doc_id AS doi, doc_id AS seq, doc_id % 2 = 0 AS has_methods_section, doc_id % 3 = 0 AS has_conclusion_section, CASE WHEN doc_id % 2 = 0 THEN 'm ' || text || ' e' ELSE '' END AS methods, CASE WHEN doc_id % 3 = 0 THEN 'c' ELSE '' END AS conclusion FROM documents WHERE doc_id % 13 <> 0")
 def split_sections_log(spark, d):
     kept, log = jsons.split_sections_log(view(spark, d, SECTIONED), ("methods", "conclusion"))
     return kept.join(log, "doi").select("doi", "seq", "has_methods_section", "has_conclusion_section", "extracted_sections_data.*")
