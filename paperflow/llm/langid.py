@@ -182,12 +182,17 @@ def viterbi(gain: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
     return path
 
 
-def cut(text: str) -> Iterator[tuple[int, str]]:
-    """(start, part) of a long text, cut at white space after every PART letters; a word of more than PART letters is cut where it is."""
+def part_for(languages: int) -> int:
+    """Letters that are scored at once: fewer for more than 64 languages, so that the scores, a number for each letter and language, stay below 100 MB."""
+    return max(1, PART * 64 // max(64, languages))
+
+
+def cut(text: str, part: int) -> Iterator[tuple[int, str]]:
+    """(start, part) of a long text, cut at white space after every `part` letters; a word of more letters is cut where it is."""
     at = 0
-    while len(text) - at > PART:
-        m = _SPACE.search(text, at + PART, at + 2 * PART)
-        end = m.start() if m else min(at + 2 * PART, len(text))
+    while len(text) - at > part:
+        m = _SPACE.search(text, at + part, at + 2 * part)
+        end = m.start() if m else min(at + 2 * part, len(text))
         yield at, text[at:end]
         at = end
     yield at, text[at:]
@@ -198,11 +203,12 @@ def label(model: Model, texts: list[str | None], spans: bool, penalty: float) ->
     plain = [x or "" for x in texts]
     if not model.languages:
         return [(UNKNOWN, 0.0, [])] * len(plain)
-    pieces = [(i, start, part) for i, x in enumerate(plain) for start, part in cut(x)]
+    most = part_for(len(model.languages))
+    pieces = [(i, start, part) for i, x in enumerate(plain) for start, part in cut(x, most)]
     of_text, begin = np.array([i for i, _, _ in pieces], np.int64), np.array([b for _, b, _ in pieces], np.int64)
     parts = []
     at = 0
-    for s in slices([len(x) for _, _, x in pieces], PART):
+    for s in slices([len(x) for _, _, x in pieces], most):
         w = words([x for _, _, x in pieces[s]])
         shift = begin[w.text + at]
         parts.append((of_text[w.text + at], w.start + shift, w.end + shift, w.letters, scores(model, w), model.writes[w.script].any(1)))
@@ -242,6 +248,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: bool = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[pa.RecordBatch, list]] = []
+        group = GROUP * 64 // max(64, len(model.languages))
 
         def flush() -> Iterator[pa.RecordBatch]:
             got = label(model, [x for _, texts in held for x in texts], spans, penalty)
@@ -259,7 +266,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: bool = True
             texts = column(batch, text)
             held.append((batch, texts))
             size += sum(len(x or "") for x in texts)
-            if size > GROUP:
+            if size > group:
                 yield from flush()
                 size = 0
         if held:

@@ -324,11 +324,13 @@ def class_log_probabilities(net: dict[str, np.ndarray], vocabulary: Vocabulary,
 
 
 def scored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, pll, per_word, net_per_word) of every row, under a network and counts made from all rows of `df`.
+    """(key, n_words, pll, per_word, counted_pll, counted_per_word) of every row, under a network and counts made from all rows of `df`.
 
-    pll is the sum of log-probabilities, per_word its mean, net_per_word the
-    mean under the network alone; 0 and null for texts that are null or have no
-    words. Repeated rows repeat in the result. Other columns are not read.
+    pll is the sum of the log-probabilities that the network gives each word
+    from both sides, per_word its mean. The counted ones weigh the network
+    against what other places of the corpus hold between the same two
+    neighbours, so that texts that occur twice stand out. 0 and null for texts
+    that are null or have no words. Repeated rows repeat in the result. Other columns are not read.
     """
     chunks = stored(W.chunked(df, key, text), "chunks", compression="zstd")
     n_words = W.total_words(chunks)
@@ -338,7 +340,7 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     net = trained(chunks, vocabulary, initial(size), n_words)
 
     def run(chunk: pa.Table, rows: pa.Table) -> pa.Table:
-        names = [key, "n_words", "pll", "per_word", "net_per_word"]
+        names = [key, "n_words", "pll", "per_word", "counted_pll", "counted_per_word"]
         out: list[list] = [[] for _ in names]
         for ids, sizes, vocab, at in zip(*(chunk[c].to_pylist() for c in ("ids", "sizes", "vocab", "at"))):
             keys, at = W.words_of(vocab, at)
@@ -352,11 +354,11 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             whole, plain = (np.r_[0.0, np.cumsum(x)] for x in (both, alone))
             whole, plain = whole[ends] - whole[ends - sizes], plain[ends] - plain[ends - sizes]
             mean = lambda x: np.where(sizes > 0, x / np.maximum(sizes, 1), np.nan)
-            for column_, values in zip(out, (ids, sizes, whole, mean(whole), mean(plain))):
+            for column_, values in zip(out, (ids, sizes, plain, mean(plain), whole, mean(whole))):
                 column_.extend(values)
-        kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 3]
+        kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 4]
         return pa.Table.from_arrays([pa.array(x, t, from_pandas=True) for x, t in zip(out, kinds)], names=names)
 
     tasks = min(1 + n_words // W.CHUNK_WORDS, MOST_TASKS)
     both = chunks.repartition(tasks, "chunk").groupBy("chunk").cogroup(found.where("chunk >= 0").repartition(tasks, "chunk").groupBy("chunk"))
-    return both.applyInArrow(run, f"{key} long, n_words long, pll double, per_word double, net_per_word double")
+    return both.applyInArrow(run, f"{key} long, n_words long, pll double, per_word double, counted_pll double, counted_per_word double")

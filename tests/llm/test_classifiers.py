@@ -94,7 +94,8 @@ def test_long_texts_are_labelled_in_pieces(spark, monkeypatch):
     texts = [" ".join(rng.choice(["the thing of", "der die und", "que los para", "les des est"]) for _ in range(300)) for _ in range(6)] + ["x" * 500, ""]
     whole = langid.label(model, texts, True, langid.PENALTY)
     monkeypatch.setattr(langid, "PART", 97)
-    assert len(list(langid.cut(texts[0]))) > 10 and "".join(p for _, p in langid.cut(texts[0])) == texts[0]
+    assert len(list(langid.cut(texts[0], 97))) > 10 and "".join(p for _, p in langid.cut(texts[0], 97)) == texts[0]
+    assert langid.part_for(4) == langid.part_for(64) == 97 and langid.part_for(640) == 9
     assert langid.label(model, texts[:6] + [""], True, langid.PENALTY) == whole[:6] + whole[7:]
 
 

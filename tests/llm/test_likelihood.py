@@ -197,10 +197,10 @@ def test_what_it_learns_does_not_depend_on_partitions(spark, monkeypatch):
     first = None
     for parts in (1, 8, 64):
         got = by_id(P.scored(docs.repartition(parts)))
-        net = sum(r["net_per_word"] * r["n_words"] for r in got.values() if r["n_words"]) / n
+        net = sum(r["per_word"] * r["n_words"] for r in got.values() if r["n_words"]) / n
         assert net > single + 0.29
         first = first or got
-        assert max(abs(r[c] - first[k][c]) for k, r in got.items() for c in ("per_word", "net_per_word") if r["n_words"]) < 1e-3
+        assert max(abs(r[c] - first[k][c]) for k, r in got.items() for c in ("counted_per_word", "per_word") if r["n_words"]) < 1e-3
 
 
 def test_scores_tell_texts_apart(spark, odd):
@@ -214,29 +214,29 @@ def test_scores_tell_texts_apart(spark, odd):
     rows = P.scored(df).collect()
     assert len(rows) == df.count()
     got = {r["doc_id"]: r for r in rows}
-    mean = lambda ids, c="per_word": np.mean([got[k][c] for k in ids if got[k]["n_words"]])
+    mean = lambda ids, c="counted_per_word": np.mean([got[k][c] for k in ids if got[k]["n_words"]])
     own = [r["doc_id"] for r in every[:80]]
-    assert mean(own) > mean([10**6 + k for k in own]) and mean(own, "net_per_word") > mean([10**6 + k for k in own], "net_per_word")
+    assert mean(own) > mean([10**6 + k for k in own]) and mean(own, "per_word") > mean([10**6 + k for k in own], "per_word")
     assert mean(own) > mean([k for k, _ in noise])
     # texts that occur twice stand apart from those that share next to nothing with others
     runs = {r["doc_id"]: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for r in every if (w := split(r["text"]))}
     times = Counter(x for s in runs.values() for x in s)
     single = [k for k, s in runs.items() if len(s) > 20 and sum(times[x] > 1 for x in s) < 0.1 * len(s)]
-    alone = sorted(got[k]["per_word"] for k in single if not 100 <= k < 130)
+    alone = sorted(got[k]["counted_per_word"] for k in single if not 100 <= k < 130)
     assert len(alone) > 300
-    assert np.mean([got[k]["per_word"] > alone[int(0.9 * len(alone))] for k in single if 100 <= k < 130]) > 0.95
+    assert np.mean([got[k]["counted_per_word"] > alone[int(0.9 * len(alone))] for k in single if 100 <= k < 130]) > 0.95
     blank = [r for r in rows if r["doc_id"] in (900001, 900002, 900003)]
-    assert len(blank) == 3 and all((r["n_words"], r["pll"], r["per_word"], r["net_per_word"]) == (0, 0.0, None, None) for r in blank)
+    assert len(blank) == 3 and all((r["n_words"], r["pll"], r["counted_pll"], r["counted_per_word"], r["per_word"]) == (0, 0.0, 0.0, None, None) for r in blank)
 
 
 def test_few_or_no_words(spark, odd):
     assert P.scored(odd.limit(0)).count() == 0
     none = spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")
-    assert [(r["n_words"], r["per_word"]) for r in P.scored(none).collect()] == [(0, None)] * 2
+    assert [(r["n_words"], r["counted_per_word"]) for r in P.scored(none).collect()] == [(0, None)] * 2
     one = by_id(P.scored(spark.createDataFrame([(1, "word"), (2, "")], "doc_id long, text string")))
     assert one[1]["n_words"] == 1 and np.isfinite(one[1]["pll"]) and one[2]["pll"] == 0
     hot = by_id(P.scored(spark.createDataFrame([(k, "the same few words") for k in range(300)] + [(999, "some other words here")], "doc_id long, text string").repartition(5)))
-    assert abs(hot[0]["per_word"] - hot[299]["per_word"]) < 1e-9 and hot[0]["per_word"] > hot[999]["per_word"] + 1
+    assert abs(hot[0]["counted_per_word"] - hot[299]["counted_per_word"]) < 1e-9 and hot[0]["counted_per_word"] > hot[999]["counted_per_word"] + 1
 
 
 def test_texts_without_white_space_are_cut(monkeypatch):
