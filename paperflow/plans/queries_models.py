@@ -101,6 +101,22 @@ def annotate_with(spark, d):
     return scoring.annotate_with(rows, annotator, "seq", "event_type")
 
 
+@query("annotate_in_batches", "SELECT item_id AS id, 1 AS attempt, CASE WHEN item_id % 7 = 0 THEN 'llm_error_ValueError' ELSE 'success' END AS status, CASE WHEN item_id % 7 <> 0 THEN '{\"n\": ' || length(text) || '}' END AS answer FROM benchmark")
+def annotate_in_batches(spark, d):
+    """Items of the benchmark, asked for in two goes, the second of which finds the answers of the first."""
+
+    def annotator(text: str) -> str:
+        number, _, item = text.partition(" ")
+        if int(number) % 7 == 0:
+            raise ValueError(number)
+        return json.dumps({"n": len(item)})
+
+    items = spark.read.parquet(f"{d}/benchmark.parquet").select(C("item_id").alias("id"), F.concat_ws(" ", C("item_id").cast("string"), "text").alias("prompt"))
+    path = shared_folder(spark, "answers")
+    scoring.annotate_in_batches(items.where("id % 2 = 0"), annotator, "id", "prompt", path, at_once=64)
+    return scoring.annotate_in_batches(items, annotator, "id", "prompt", path, at_once=64).select("id", "attempt", "status", "answer")
+
+
 #: Full texts: the documents' own lines, half of them after each of two header lines; every second one says at its end what is available.
 FULL = r"""SELECT doc_id AS seq, 'Title' || chr(10) || '{0}' || chr(10) || substring(text, 1, CAST(floor(length(text) / 2) AS INT)) || chr(10) || '{1}' || chr(10) || substring(text, CAST(floor(length(text) / 2) AS INT) + 1)
   || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'Code available at Software: GitLab, and the dataset (GEO).' || chr(10) ELSE '' END || '{2}' || chr(10) || 'few words' || chr(10) || 'REFERENCES' || chr(10) || 'one' || chr(10) || 'two' AS text FROM {{documents}}"""

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import clean_doi
 from ..operators import dedupe, filters, incremental, merge, vocabulary
+from ..sources.buckets import BucketTable, shared_folder
 from .corpus import ANNOTATED, ATTEMPTS, CURATED, FRESH, LINKS, MASTER, POOL, REPEATED, sql_of, view
 from .queries_text import CLEAN, P, papers
-from .registry import query
+from .registry import SQL, query
 
 C = F.col
 PC = f"{P}, clean AS (SELECT * REPLACE ({CLEAN.format('doi')} AS doi) FROM papers WHERE {CLEAN.format('doi')} <> '')"
@@ -362,6 +363,16 @@ def update_master(spark, d):
     return master.join(new.select("doi", F.lit(True).alias("is_new")), "doi", "left").select("doi", "annotation_score", "annotation", F.coalesce("is_new", F.lit(False)).alias("is_new"))
 
 
+@query("update_master_buckets", SQL["update_master"])
+def update_master_buckets(spark, d):
+    """The same on a master that is kept in buckets, of which the new annotations rewrite those that they fall into."""
+    master = view(spark, d, MASTER)
+    table = BucketTable(spark, shared_folder(spark, "master"), master.schema, "doi")
+    table.update(master, lambda _, rows: rows)
+    new = merge.update_master_table(table, view(spark, d, FRESH), "seq")
+    return table.read().join(new.select("doi", F.lit(True).alias("is_new")), "doi", "left").select("doi", "annotation_score", "annotation", F.coalesce("is_new", F.lit(False)).alias("is_new"))
+
+
 OVERLAY = "SELECT upper(doi) AS doi, seq, CASE WHEN seq % 2 = 0 THEN '' ELSE name END AS title, CASE WHEN seq % 7 = 0 THEN 'Yes' ELSE 'no' END AS mark_for_deletion FROM (" + REPEATED + ") c"
 
 
