@@ -113,8 +113,8 @@ def annotate_in_batches(spark, d):
 
     items = spark.read.parquet(f"{d}/benchmark.parquet").select(C("item_id").alias("id"), F.concat_ws(" ", C("item_id").cast("string"), "text").alias("prompt"))
     path = shared_folder(spark, "answers")
-    scoring.annotate_in_batches(items.where("id % 2 = 0"), annotator, "id", "prompt", path, at_once=64)
-    return scoring.annotate_in_batches(items, annotator, "id", "prompt", path, at_once=64).select("id", "attempt", "status", "answer")
+    scoring.annotate_in_batches(items.where("id % 2 = 0"), annotator, "id", "prompt", path, at_once=256)
+    return scoring.annotate_in_batches(items, annotator, "id", "prompt", path, at_once=256).select("id", "attempt", "status", "answer")
 
 
 #: Full texts: the documents' own lines, half of them after each of two header lines; every second one says at its end what is available.

@@ -52,7 +52,7 @@ def read_curated_csv(spark, d):
 
 XML = """SELECT doc_id AS seq, '<PubmedArticle><MedlineCitation><PMID>' || CAST(doc_id AS STRING) || '</PMID><Article><Journal><Title>' || source || '</Title><JournalIssue><PubDate>'
   || CASE WHEN doc_id % 2 = 0 THEN '<Year>' || CAST(2000 + doc_id % 20 AS STRING) || '</Year>' ELSE '<MedlineDate>' || CAST(1990 + doc_id % 9 AS STRING) || ' Jan-Feb</MedlineDate>' END || '</PubDate></JournalIssue></Journal><ArticleTitle>T' || CAST(n_chars AS STRING)
-  || '</ArticleTitle><Abstract><AbstractText>' || replace(replace(replace(trim(regexp_replace('first ' || text, '[\\x00-\\x1F]+', ' ')), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</AbstractText><AbstractText>second</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><Initials>J' || CAST(doc_id % 3 AS STRING) || '</Initials></Author><Author><CollectiveName>Group</CollectiveName></Author></AuthorList><Language>'
+  || '</ArticleTitle><Abstract><AbstractText>' || replace(replace(replace(trim(regexp_replace('first ' || text, '[\\\\x00-\\\\x1F]+', ' ')), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</AbstractText><AbstractText>second</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><Initials>J' || CAST(doc_id % 3 AS STRING) || '</Initials></Author><Author><CollectiveName>Group</CollectiveName></Author></AuthorList><Language>'
   || lang || '</Language></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType="pubmed">1</ArticleId><ArticleId IdType="doi">10.1/AB' || CAST(doc_id AS STRING) || '</ArticleId>' || CASE WHEN doc_id % 3 = 0 THEN '<ArticleId IdType="pmc">PMC' || CAST(doc_id AS STRING) || '</ArticleId>' ELSE '' END || '</ArticleIdList></PubmedData></PubmedArticle>' AS article FROM {documents}"""
 
 
