@@ -20,6 +20,8 @@ from .common import fresh, stored
 
 #: Bytes of normalised text in a bucket, and in a page of its chain.
 CAPACITY = 16 << 20
+#: Beyond so many full buckets (1 TB) their capacity grows instead.
+MOST = 1 << 16
 #: Doublings of the directory beyond what the bytes of all texts ask for.
 SLACK = 3
 BLANK = r"[\x20\x09-\x0D]+"
@@ -76,11 +78,14 @@ def grouped(rows: DataFrame, texts: DataFrame, capacity: int = CAPACITY) -> Data
     (-points, key is null, key).
     """
     total = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    capacity = max(capacity, total // MOST)
     start = max(0, math.ceil(math.log2(max(1, total / capacity))))
     depth = min(start + SLACK, 40)
     slots = directory(rows.groupBy(slot_of(F.col("hash"), depth).alias("slot")).agg(F.sum("bytes").alias("bytes")), depth, start, capacity)
     best = F.struct((-F.col("points")).alias("points"), F.col("key").isNull().alias("missing"), F.col("key").alias("key"))
-    owned = placed(texts, slots, depth).repartition("bucket", "page")
+    # twice as many tasks as pages fill, so that few own several
+    tasks = max(2 * math.ceil(total / capacity), int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    owned = placed(texts, slots, depth).repartition(tasks, "bucket", "page")
     # equal texts of a page are compared here, in the task that owns it
     heads = owned.groupBy("bucket", "page", "hash", "text", "pages").agg(F.count("*").alias("n"), F.min(best).alias("best"))
     several = F.count("*").over(Window.partitionBy("bucket", "page", "hash")) > 1
