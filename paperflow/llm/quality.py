@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, column, fold
+from .common import bounded_batches, column, fold, stored
 
 STATISTICS = (
     "log_words", "mean_word", "long_words", "upper", "digits", "marks", "symbols", "pipes", "bangs", "spaces", "not_ascii", "types", "top_word", "repeats", "log_lines", "words_per_line",
@@ -118,6 +118,8 @@ def train(rows: DataFrame) -> Model:
     """
     k = len(STATISTICS)
     at = [F.col("statistics")[i] for i in range(k)]
+    # gone over three times
+    rows = stored(rows.select("fold", "y", "statistics"), "training")
     head = rows.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(at)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(at)]).first()
     if not head["n"]:
         return Model(np.zeros(k), np.ones(k), np.zeros(FEATURES + 1), np.full(GRID + 1, 0.5))
@@ -175,7 +177,12 @@ def training_rows(statistics_: DataFrame, labels: DataFrame, key: str = "doc_id"
 
 
 def scored(df: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """`df`, which has statistics, with score (0 to 1) and predicted (1 if score >= threshold) in their place."""
+    """`df`, which has statistics, with score (0 to 1) and predicted (1 if score >= threshold) in their place.
+
+    Every row has a score, those of null and empty texts that of no words;
+    repeated rows repeat with the same score. Input columns named score or
+    predicted are replaced.
+    """
     df = df.drop("score", "predicted")
     fields = [f for f in df.schema if f.name != "statistics"]
 
