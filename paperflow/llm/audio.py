@@ -39,6 +39,8 @@ SHIFTS = tuple(range(0, HOP, HOP // 4))
 UNSURE = 3
 #: The bits of an integer that hold the signs.
 SIGNS = 0xAAAAAAAA
+#: Keys of one integer's signs stand apart from those of two.
+SINGLE = 1 << 32
 QUERY_EVERY = 20
 
 
@@ -114,17 +116,21 @@ def fingerprint(image: np.ndarray) -> np.ndarray:
 
 
 def lookups(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, places): what a clip is looked up by, as `sign_key` has it, from all SHIFTS and with its UNSURE least certain signs either way."""
+    """(keys, places): what a clip is looked up by, from all SHIFTS and with its UNSURE least certain signs either way: as `sign_key` has it, or, if it is too short to hold two integers that share no frame, as `single_key` has it."""
     keys, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    short = len(ratios(chroma(samples))) <= REACH
     for shift in SHIFTS:
         values = ratios(chroma(samples[shift:]))
-        n = len(values) - REACH
+        n = len(values) if short else len(values) - REACH
         if n <= 0:
             continue
         signs = packed(values).astype(np.int64) & SIGNS
-        key = signs[:n] | signs[REACH:] >> 1
-        bits = np.r_[2 * np.arange(len(FILTERS)) + 1, 2 * np.arange(len(FILTERS))]
-        weak = np.argpartition(np.abs(np.c_[values[:n], values[REACH:]] - FLOOR), UNSURE, axis=1)[:, :UNSURE]
+        high, low = 2 * np.arange(len(FILTERS)) + 1, 2 * np.arange(len(FILTERS))
+        if short:
+            key, bits, margin = signs - SINGLE, high, values
+        else:
+            key, bits, margin = signs[:n] | signs[REACH:] >> 1, np.r_[high, low], np.c_[values[:n], values[REACH:]]
+        weak = np.argpartition(np.abs(margin - FLOOR), UNSURE, axis=1)[:, :UNSURE]
         for turned in range(1 << UNSURE):
             keys.append(key ^ sum(((1 << bits[weak[:, b]]) for b in range(UNSURE) if turned >> b & 1), np.zeros(n, np.int64)))
             places.append(np.arange(n))
@@ -191,6 +197,11 @@ def sign_key(first: Column, second: Column) -> Column:
     return first.bitwiseAND(F.lit(SIGNS)).bitwiseOR(F.shiftright(second.bitwiseAND(F.lit(SIGNS)), 1))
 
 
+def single_key(prints: Column) -> Column:
+    """The signs of one integer: often equal by chance, so only for clips that have no other key."""
+    return prints.bitwiseAND(F.lit(SIGNS)) - F.lit(SINGLE)
+
+
 def compared(whole: np.ndarray, clip: np.ndarray, offsets: np.ndarray) -> tuple[int, int, float] | None:
     """(offset, equal, bit_errors) where most bits are left below MOST_ERRORS of those compared, of some offsets and their neighbours."""
     best = None
@@ -219,6 +230,8 @@ def alignments(clips: DataFrame, whole: DataFrame) -> DataFrame:
     """(clip, recording, offset, equal, bit_errors) at each pair's best offset, for pairs within MOST_ERRORS there that share a key; clips (id, prints, lookups) and recordings (id, prints)."""
     keys = F.zip_with("prints", F.slice("prints", REACH + 1, F.size("prints")), sign_key)
     index = whole.select(F.col("id").alias("recording"), F.posexplode(keys).alias("recording_at", "key")).where("key is not null")
+    if not clips.where(F.size("prints").between(1, REACH)).isEmpty():
+        index = index.unionByName(whole.select(F.col("id").alias("recording"), F.posexplode(F.transform("prints", single_key)).alias("recording_at", "key")))
     asked = clips.select(F.col("id").alias("clip"), F.explode("lookups").alias("sought")).select("clip", F.shiftright("sought", 31).alias("key"), F.col("sought").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
     met = asked.join(index, "key").groupBy("clip", "recording").agg(F.collect_set(F.col("recording_at") - F.col("at")).alias("offsets"))
     both = met.join(clips.select(F.col("id").alias("clip"), F.col("prints").alias("clip_prints")), "clip").join(whole.toDF("recording", "prints"), "recording")

@@ -188,6 +188,30 @@ def test_excerpts_off_the_hop_and_noisy_ones(spark, data):
         assert abs(got[clip_id, clip_id // 10][1] - wanted[0]) < 1e-9
 
 
+@pytest.mark.parametrize("n", [1, 5, 12])
+def test_short_clips_are_found(spark, n):
+    """Clips of so few integers that no two of them share no frame, cut on and off the hop, with noise over them: recall against comparing with everything."""
+    rng = np.random.default_rng(11)
+    songs = [audio.rendered([float(x) for x in rng.normal(size=64) / 6]) for _ in range(40)]
+    size = audio.FRAME + audio.HOP * (audio.REACH + n - 2)
+    clips = []
+    for i, song in enumerate(songs):
+        at = 2048 + 32 * (i % 4)
+        clips.append((i, np.clip(song[at : at + size] + rng.normal(0, 300, size), -32768, 32767).astype(np.int16).tobytes()))
+    whole = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(songs)], "id long, pcm binary").select("id", audio.fingerprint_of("pcm").alias("prints"))
+    asked = spark.createDataFrame(clips, "id long, pcm binary").select("id", audio.fingerprint_of("pcm").alias("prints"), audio.lookups_of("pcm").alias("lookups"))
+    got = {(r["clip"], r["recording"]) for r in audio.alignments(asked, whole).collect()}
+    prints = {r["id"]: np.array(r["prints"]) for r in whole.collect()}
+    wanted = set()
+    for i, pcm in clips:
+        y = audio.fingerprint(audio.chroma(np.frombuffer(pcm, np.int16).astype(float))).astype(np.int64)
+        assert len(y) == n
+        x = prints[i]
+        if min(np.bitwise_count(x[at : at + n] ^ y).sum() / (32 * n) for at in range(len(x) - n + 1)) <= audio.MOST_ERRORS:
+            wanted.add((i, i))
+    assert len(wanted) >= 36 and len(wanted & got) >= 0.9 * len(wanted)
+
+
 def test_odd_recordings(spark):
     rows = [(1000, None), (1020, []), (1040, [None] * 64), (None, [0.1] * 64), (1060, [float("nan"), 0.2]), (1080, [0.1, -0.2] * 32), (1081, [0.1, -0.2] * 32), (1080, [0.1, -0.2] * 32)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
