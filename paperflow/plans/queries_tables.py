@@ -183,15 +183,36 @@ def tagged(spark, d):
     return papers(spark, d).select("seq", vocabulary.corpus_text(C("title"), C("abstract")).alias("text"))
 
 
-@query("load_vocabulary", "WITH v(label, word) AS (VALUES ('src1', 'src1'), ('src1', 'src10'), ('src2', 'src2'), ('purchase', 'none')) SELECT label, count(DISTINCT word)::BIGINT AS patterns, count(DISTINCT doc_id)::BIGINT AS documents FROM v JOIN documents ON source = word GROUP BY 1")
+#: The same vocabulary as a file, in all the shapes that such files have.
+WORDS_FILE = r"""# words of the documents
+english:   # the commonest
+  - "\\bthe\\b"
+  - '\band\b'  # don't miss it
+  - \bof\b
+'german': ['\bder\b', "\\bund\\b", \bmit\b] # one line
+french:
+- '\bles\b'
+- "\\bdes\\b" # it's here
+- \best\b
+"spanish": # a comment
+    - \bque\b
+    - '\blos\b'
+    - '\bpara\b'
+
+legal:
+  - "\\blicense\\b"
+  - \breserved\b  # as in 'all rights'
+secret: [\btoken\b]
+Empty: [] # an 'empty' list
+"""
+
+
+@query("load_vocabulary", f"{HITS} SELECT label, patterns, documents FROM (SELECT label, count(*)::BIGINT AS patterns FROM v GROUP BY 1) JOIN (SELECT label, count(DISTINCT seq)::BIGINT AS documents FROM hits GROUP BY 1) USING (label)")
 def load_vocabulary(spark, d):
-    """A vocabulary file made from the sources that occur: how many patterns each label has, and how many documents it tags."""
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source")
-    occurs = {r["source"] for r in docs.select("source").distinct().collect()}
-    lines = ["# sources", *[line for label, words in (("src1", ["src1", "src10"]), ("src2", ["src2"]), ("purchase", ["none"])) for line in (f"{label}:", *[f"  - '^{w}$'" for w in words if w in occurs])]]
-    loaded = vocabulary.read_vocabulary(lines)
+    """How many patterns each label of a vocabulary file has, and how many texts it tags."""
+    loaded = vocabulary.read_vocabulary(WORDS_FILE.splitlines())
     sizes = F.create_map(*[F.lit(x) for k, v in loaded.items() for x in (k, len(v))])
-    found = docs.select(F.explode(vocabulary.tag_all(C("source"), loaded)).alias("label")).groupBy("label").agg(F.count("*").alias("documents"))
+    found = tagged(spark, d).select(F.explode(vocabulary.tag_all(C("text"), loaded)).alias("label")).groupBy("label").agg(F.count("*").alias("documents"))
     return found.select("label", sizes[C("label")].cast("long").alias("patterns"), "documents")
 
 
