@@ -30,6 +30,8 @@ CHUNK_WORDS, CHUNK_TEXTS, BUCKET_KEYS = 1_000_000, 50_000, 2_000_000
 BITS, ENDINGS, LAST = 48, 1 << 10, 3
 #: Letters that are split into words at once; longer texts are cut between words.
 PIECE = 1 << 20
+#: Letters without white space beyond which a text is cut anywhere: places within a chunk have powers up to 2^24.
+LONGEST = 1 << 22
 #: Multiplier of the words' hashes, and its inverse modulo 2^64.
 POWER = 0x9E3779B97F4A7C15
 INVERSE = pow(POWER, -1, 1 << 64)
@@ -96,11 +98,13 @@ def power_of(place: np.ndarray, which: int) -> np.ndarray:
 
 
 def pieces(text: str) -> Iterator[str]:
-    """A long text cut between words; where as many letters again are without white space, within one, whose parts count as words."""
+    """A long text cut between words; where LONGEST letters are without white space, within one, whose parts count as words."""
     at = 0
     while len(text) - at > PIECE:
-        m = _SPACE.search(text, at + PIECE, at + 2 * PIECE)
-        end = m.start() if m else min(len(text), at + 2 * PIECE)
+        m = _SPACE.search(text, at + PIECE, at + PIECE + LONGEST)
+        end = m.start() if m else min(len(text), at + PIECE + LONGEST)
+        if end == len(text):
+            break
         yield text[at:end]
         at = end
     yield text[at:]
