@@ -118,8 +118,7 @@ def corpus_text(title: Column, abstract: Column, keywords: Column | None = None)
 
 def tag_any(text: Column, vocabulary: Vocabulary) -> Column:
     """Whether a pattern matches; false for a null text."""
-    hits = of_text(text, lambda t: F.exists(of_vocabulary(vocabulary).candidates(t), lambda p: F.rlike(t, p.pattern)))
-    return F.coalesce(hits, F.lit(False))
+    return F.coalesce(of_vocabulary(vocabulary).any(text), F.lit(False))
 
 
 def tag_first(text: Column, vocabulary: Vocabulary) -> Column:
@@ -145,7 +144,7 @@ def detail_of(hits: Column) -> Column:
 
 def tag_detail(text: Column, vocabulary: Vocabulary) -> Column:
     """Label to matched fragments, for labels that match."""
-    return of_text(of_vocabulary(vocabulary).found(text), detail_of)
+    return of_text(of_vocabulary(vocabulary).fragments(text), detail_of)
 
 
 def merged_details(maps: list[Column]) -> Column:
@@ -162,7 +161,7 @@ def extract_concepts(df: DataFrame, text: str, vocabularies: Mapping[str, Vocabu
     """
     every = Index((f"{group}:{label}", p) for group in GROUPS for label, ps in vocabularies.get(group, {}).items() for p in ps)
     hits = fresh("hits", df.columns)
-    found = df.withColumn(hits, F.coalesce(every.found(F.col(text)), F.array().cast("array<struct<name:string,found:array<string>>>")))
+    found = df.withColumn(hits, F.coalesce(every.fragments(F.col(text)), F.array().cast("array<struct<name:string,found:array<string>>>")))
 
     def of(group: str) -> Column:
         own = F.filter(F.col(hits), lambda p: F.startswith(p["name"], F.lit(f"{group}:")))

@@ -119,6 +119,16 @@ def test_patterns_that_need_nothing(pattern):
     assert not patterns.needs(pattern)
 
 
+@pytest.mark.parametrize(
+    ("pattern", "within", "lookups"),
+    [(r"\b(?:on|th)ung\b", True, {"^onun", "^thun"}), (r"\bi[ae]th\w*", True, {"^iath", "^ieth"}), (r"[a-z]+keit\b", True, {"$keit"}), (r"\bcells?\b", True, {"^cell"}), (r"\bT cells\b", False, {"^cell"}), (r"\ba[A-z]bc\b", False, {"$bc"}), (r"\bab[^c]d\b", False, {"^ab"}), (r"\bab(?=c)", False, {"^ab"}),
+     (r"\bx2\d+\b", True, {"^x2"}), (r"abs.cd\b", False, {"$cd"}), ("known", False, set()), (r"\b(?:a|)b+c\b", True, {"$c"}), (r"\b(?:ab|c)+\b", True, {"^ab", "^c"}), (r"\b[AB]c\w*|dd\b", True, {"^ac", "^bc", "$dd"}), (r"\b[ab]+", True, {"^a", "^b"}), (r"\b\w*[xy]z\b", True, {"$xz", "$yz"})],
+)
+def test_patterns_are_found_by_ends_of_words(pattern, within, lookups):
+    found = patterns.found_by(pattern)
+    assert found.within_word == within and found.keys == lookups
+
+
 def random_patterns(rng, n):
     words = ["cell", "cells", "rna", "rna-seq", "ad", "it", "tumor", "x_y", "42"]
 
@@ -170,6 +180,15 @@ def test_index_loses_no_match(spark):
         for mine, row in zip(got, wanted):
             own = {int(x.split("\0")[0]): x.split("\0")[1:] for x in mine}
             assert [own.get(at + i, []) for i in range(len(part))] == [list(x) for x in row]
+    # patterns within words are run on words: the same different matches, and the same patterns in their order
+    parts = values(spark, F.transform(index.fragments(F.col("v")), lambda x: F.concat_ws("\0", F.array(x["name"]), x.found)), rows)
+    names = values(spark, F.transform(index.matching(F.col("v")), lambda x: x["name"]), rows)
+    some = values(spark, index.any(F.col("v")), rows)
+    for mine, whole, name, any_match in zip(parts, got, names, some):
+        of = lambda hits: {(x.split("\0")[0], f) for x in hits for f in x.split("\0")[1:]}
+        assert of(mine) == of(whole)
+        assert name == [x.split("\0")[0] for x in whole] and any_match == bool(whole)
+    assert any(kinds["words"] for kinds in index.keys.values())
 
 
 def test_tags(spark):
