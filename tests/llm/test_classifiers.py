@@ -25,6 +25,44 @@ def test_quality_held_out(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in scored)
 
 
+def test_the_whole_quality_query_is_its_plain_version(spark, data):
+    """Dense matrices over all labelled rows, cross-fitted scores, isotonic means by the min-max formula."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    labels = [(r["doc_id"], float(r["quality"] > 0)) for r in spark.read.parquet(f"{data}/labels.parquet").collect() if r["quality"] is not None and r["doc_id"] in docs]
+    crc = lambda x: zlib.crc32(x.encode())
+    learned = [(k, y) for k, y in labels if crc(str(k)) % 5]
+    x = np.array([quality.statistics(docs[k]) for k, _ in learned])
+    y = np.array([y for _, y in learned])
+    folds = np.array([crc(f"fold{k}") % quality.FOLDS for k, _ in learned])
+    spread = np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    rng = np.random.default_rng(quality.SEED)
+    frequency = rng.normal(size=(x.shape[1], quality.FEATURES)) / (quality.WIDTH * x.shape[1] ** 0.5)
+    phase = rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def raised(rows):
+        z = np.clip((rows - x.mean(0)) / spread, -8, 8)
+        return np.hstack([np.cos(z @ frequency + phase) * (2 / quality.FEATURES) ** 0.5, np.ones((len(rows), 1))])
+
+    def fitted(some):
+        z = raised(x[some])
+        return np.linalg.solve(z.T @ z + np.diag([quality.RIDGE] * quality.FEATURES + [1e-6 * quality.RIDGE]), z.T @ y[some])
+
+    raw = np.zeros(len(y))
+    for i in range(quality.FOLDS):
+        raw[folds == i] = raised(x[folds == i]) @ fitted(folds != i)
+    places = np.clip(np.rint((raw + 1) / 3 * quality.GRID), 0, quality.GRID).astype(int)
+    known = np.unique(places)
+    level = [max(min(y[(places >= a) & (places <= b)].mean() for b in known[n:]) for a in known[: n + 1]) for n in range(len(known))]
+    share = (y.sum() + 1) / (len(y) + 2)
+    grid = np.interp(np.arange(quality.GRID + 1), known, 0.99 * np.array(level) + 0.01 * share)
+    ids = sorted(docs)
+    wanted = np.interp(raised(np.array([quality.statistics(docs[k]) for k in ids])) @ fitted(folds >= 0), np.linspace(-1, 2, quality.GRID + 1), grid)
+    got = {r["doc_id"]: r for r in queries.op5_quality(spark, data).collect()}
+    assert sorted(got) == ids
+    assert np.allclose([got[k]["score"] for k in ids], wanted, atol=1e-6)
+    assert all(got[k]["held_out"] == (crc(str(k)) % 5 == 0) for k in ids)
+
+
 def test_normal_equations_are_those_of_all_rows(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, len(quality.STATISTICS)))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from paperflow.llm import audio, decontam, queries
 
 
@@ -106,6 +107,40 @@ def test_every_document_against_every_item(spark, data):
     assert got == wanted
 
 
+def any_item_occurs(items, text, budgets):
+    """Whether an item occurs in a text within its budget, by the whole table of edit distances, column by column, of all items at once."""
+    m = max(map(len, items))
+    letters = np.zeros((len(items), m), np.int32)
+    for row, item in zip(letters, items):
+        row[: len(item)] = list(map(ord, item))
+    steps, last = np.arange(m + 1), [len(x) for x in items]
+    column = np.tile(steps, (len(items), 1))
+    least = column[range(len(items)), last]
+    for c in map(ord, text):
+        new = np.zeros_like(column)
+        new[:, 1:] = np.minimum(column[:, :-1] + (letters != c), column[:, 1:] + 1)
+        column = np.minimum.accumulate(new - steps, 1) + steps
+        least = np.minimum(least, column[range(len(items)), last])
+    return bool((least <= budgets).any())
+
+
+def test_the_stage_drops_just_the_documents_with_items(spark, data):
+    """The decontamination stage against edit distances of every document and item: planted items within their budgets, one error beyond them, and the documents as they are."""
+    rng = random.Random(8)
+    items = [r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").collect()]
+    texts = [r["text"][:800] for r in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").limit(36).collect()]
+    for n, item in enumerate(items[:24]):
+        k = decontam.budget(decontam.words_only(item))
+        planted = edit(rng, decontam.words_only(item).strip(), k + n % 3)
+        texts[n] = f"{texts[n][:300]} {planted} {texts[n][300:500]}"
+    docs = spark.createDataFrame([(n, t, "en", "s", len(t)) for n, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    plain = [decontam.words_only(x) for x in items]
+    budgets = np.array([decontam.budget(x) for x in plain])
+    wanted = [n for n, t in enumerate(texts) if not any_item_occurs(plain, decontam.words_only(t), budgets)]
+    got = sorted(r["doc_id"] for r in corpus_pipeline.without_benchmark(spark, docs, data).collect())
+    assert got == wanted and 0 < len(wanted) < len(texts)
+
+
 def test_clips_of_held_notes_are_found():
     """Most bands of a held note hold noise only; its keys must not."""
     rng, found = np.random.default_rng(5), 0
