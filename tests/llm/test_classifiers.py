@@ -1,5 +1,8 @@
+import math
 import random
+import unicodedata
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -95,6 +98,77 @@ def test_language_held_out(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.98
 
 
+def plain_words(text):
+    """(start, end, trigram buckets, script, letters) of each word, letter by letter."""
+    low = text.replace("İ", "i").lower()
+    inside = [unicodedata.category(c)[0] in "LM" for c in low]
+    at = 0
+    while at < len(low):
+        if not inside[at]:
+            at += 1
+            continue
+        end = at
+        while end < len(low) and inside[end]:
+            end += 1
+        codes = [32, *map(ord, low[at:end]), 32]
+        grams = [(sum(c * m for c, m in zip(codes[i : i + 3], langid.MULTIPLIERS)) % 2**32) >> 16 for i in range(end - at)]
+        script = max((first, name) for first, name in langid.SCRIPTS if first <= ord(low[at]))[1]
+        yield at, end, grams, script, sum(unicodedata.category(c)[0] == "L" for c in low[at:end])
+        at = end
+
+
+def test_the_whole_language_query_is_its_plain_version(spark, data):
+    """Counts in dictionaries, a path word by word, spans from the path."""
+    docs = {r["doc_id"]: (r["text"], r["lang"]) for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    crc = lambda k: zlib.crc32(str(k).encode())
+    parsed = {k: list(plain_words(t or "")) for k, (t, _) in docs.items()}
+    grams, scripts = {}, {}
+    for k, (_, lang) in docs.items():
+        if crc(k) % 4 != 2 and lang is not None:
+            for _, _, g, script, letters in parsed[k]:
+                grams.setdefault(lang, Counter()).update(g)
+                scripts.setdefault(lang, Counter())[script] += letters
+    languages = sorted(grams)
+    totals = {x: sum(grams[x].values()) + 0.5 * langid.BUCKETS for x in languages}
+    writes = {x: {s for s, n in scripts[x].items() if n >= langid.SHARE * sum(scripts[x].values())} for x in languages}
+
+    def gains(word):
+        able = [x for x in languages if word[3] in writes[x]]
+        return [0.0 if not able else sum(math.log((grams[x][b] + 0.5) / totals[x]) for b in word[2]) if x in able else -1e6 for x in languages], bool(able)
+
+    for r in queries.op10_language_id(spark, data).collect():
+        found = parsed[r["doc_id"]]
+        assert r["held_out"] == (crc(r["doc_id"]) % 4 == 2)
+        value, back, sure = [0.0] * len(languages), [], []
+        for n, word in enumerate(found):
+            gain, able = gains(word)
+            best = max(range(len(languages)), key=lambda i: value[i])
+            back.append([best if n and value[best] - langid.PENALTY > v else i for i, v in enumerate(value)])
+            value = [max(v, value[best] - langid.PENALTY) + g if n else g for v, g in zip(value, gain)]
+            sure.append(able)
+        state, path = max(range(len(languages)), key=lambda i: value[i]), []
+        for step in reversed(back):
+            path.append(state)
+            state = step[state]
+        path.reverse()
+        mass, own = Counter(), Counter()
+        for word, state, able in zip(found, path, sure):
+            mass[state] += word[4]
+            own[state] += word[4] * able
+        if not sum(mass.values()):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        best = min(mass, key=lambda i: (-mass[i], i))
+        assert r["lang_pred"] == languages[best] and abs(r["score"] - own[best] / sum(mass.values())) < 1e-9
+        spans = []
+        for word, state in zip(found, path):
+            if spans and spans[-1][2] == languages[state]:
+                spans[-1][1] = word[1]
+            else:
+                spans.append([word[0], word[1], languages[state]])
+        assert [[x["start"], x["end"], x["lang"]] for x in r["spans"]] == spans
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     sizes = np.array([0, 4, 1, 6, 0, 3])
