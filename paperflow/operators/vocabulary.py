@@ -236,20 +236,15 @@ def harmonized(terms: DataFrame, keywords: DataFrame) -> DataFrame:
     bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
     words = keywords.select("label", "place", bare(F.col("keyword")).alias("keyword")).where("keyword <> ''")
     distinct = terms.where("term is not null").select("term").distinct().select("term", bare(F.col("term")).alias("plain"))
-    found = None
-    for n in (1, 2, PIECE):
-        own = words.where(F.char_length("keyword") == n) if n < PIECE else words.where(F.char_length("keyword") >= n)
-        of_terms = distinct.select("term", "plain", F.explode(pieces(F.col("plain"), n)).alias("piece"))
-        if n < PIECE:
-            met = own.withColumn("piece", F.col("keyword")).join(of_terms, "piece")
-        else:
-            counts = of_terms.groupBy("piece").agg(F.count("*").alias("n"))
-            of_words = own.select("label", "place", "keyword", F.explode(pieces(F.col("keyword"), n)).alias("piece"))
-            # a piece that no term has rules the keyword out
-            rarest = of_words.join(counts, "piece", "left").groupBy("label", "place", "keyword").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
-            met = rarest.where("best.n > 0").select("label", "place", "keyword", F.col("best.piece").alias("piece")).join(of_terms, "piece").where(F.contains("plain", "keyword"))
-        met = met.select("term", "place", "label")
-        found = met if found is None else found.unionByName(met)
+    plain, keyword = F.col("plain"), F.col("keyword")
+    of_terms = distinct.select("term", "plain", F.explode(F.concat(*[pieces(plain, n) for n in range(1, PIECE + 1)])).alias("piece"))
+    own = F.when(F.char_length(keyword) < PIECE, F.array(keyword)).otherwise(pieces(keyword, PIECE))
+    of_words = words.select("label", "place", "keyword", F.explode(own).alias("piece"))
+    counts = of_terms.join(of_words.select("piece").distinct(), "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("n"))
+    # a piece that no term has rules the keyword out
+    rarest = of_words.join(counts, "piece", "left").groupBy("label", "place", "keyword").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
+    asked = rarest.where("best.n > 0").select("label", "place", "keyword", F.col("best.piece").alias("piece"))
+    found = asked.join(of_terms, "piece").where(F.contains(plain, keyword)).select("term", "place", "label")
     return found.groupBy("term").agg(F.min(F.struct("place", "label")).alias("best")).select("term", "best.label")
 
 
