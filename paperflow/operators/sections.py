@@ -177,18 +177,18 @@ def sign_of(number: Column) -> Column:
     return F.when(bad, "�").when(F.map_contains_key(known, small), F.try_element_at(known, small)).when(none, "").otherwise(sign)
 
 
-def decoded(text: Column) -> Column:
-    """Entities in a text, by name or number, as the characters that they stand for; each once, so that what is decoded is not looked at again. Names that may stand without a semicolon are found so as well."""
+def decoded(text: Column, bare: bool = True) -> Column:
+    """Entities in a text, by name or number, as the characters that they stand for; each once, so that what is decoded is not looked at again. `bare`: numbers, and names that may stand without a semicolon, are found so as well; else an entity ends with its semicolon."""
     table = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
     short = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 
     def one(piece: Column) -> Column:
         """What follows an ampersand."""
-        number = F.regexp_extract(piece, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        number = F.regexp_extract(piece, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);" + ("?)" if bare else ")"), 1)
         digits = F.regexp_extract(number, r"([0-9a-fA-F]+);?$", 1)
         value = F.when(number.rlike("^#[xX]"), F.conv(digits, 16, 10).try_cast("bigint")).otherwise(digits.try_cast("bigint"))
         named = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
-        legacy = F.regexp_extract(piece, f"^({short})", 1)
+        legacy = F.regexp_extract(piece, f"^({short})", 1) if bare else F.lit("")
         rest = lambda name: F.substring(piece, F.char_length(name) + 1, F.char_length(piece))
         of = lambda name: F.try_element_at(table, name)
         return (
@@ -203,11 +203,11 @@ def decoded(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
-def html_to_text(html: Column | str) -> Column:
-    """Visible text, a line for each piece between marks: no scripts, styles or comments, entities decoded. Null becomes empty."""
+def html_to_text(html: Column | str, bare: bool = True) -> Column:
+    """Visible text, a line for each piece between marks: no scripts, styles or comments, entities decoded (`bare`: those without a semicolon too, as a parser has them). Null becomes empty."""
     page = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
     pieces = F.split(F.regexp_replace(page, MARKUP, _BETWEEN), _BETWEEN)
-    trimmed = F.transform(pieces, lambda x: F.regexp_replace(decoded(x), ENDS, ""))
+    trimmed = F.transform(pieces, lambda x: F.regexp_replace(decoded(x, bare), ENDS, ""))
     return F.array_join(F.filter(trimmed, lambda x: x != ""), "\n")
 
 

@@ -2,6 +2,7 @@
 
 from html.parser import HTMLParser
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -65,6 +66,23 @@ def test_html_to_text(spark, data):
     assert [r["text"] for r in df.orderBy("n").collect()] == [parsed(p) for p in ODD_PAGES]
 
 
+def on_own_rows(spark, folder, name, table, rows, schema):
+    """Rows of a query, and those of its SQL, over a table of these rows."""
+    duck = duckdb.connect()
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+    got = QUERIES[name](spark, str(folder))
+    wanted = duck.sql(SQL[name])
+    assert got.columns == wanted.columns
+    return sorted((tuple(r) for r in got.collect()), key=repr), sorted(wanted.fetchall(), key=repr)
+
+
+def test_html_to_text_of_entities_cut_off(spark, tmp_path):
+    pages = ["<title>a &amp;&amp;&amp</title><p>b &amp; c</p>", "<p>x &lt</p>", "<p>&#39;y&#39</p>", "<p>&amp;lt &copy;</p>", "", None]
+    got, wanted = on_own_rows(spark, tmp_path, "html_to_text", "pages", list(enumerate(pages)), "page_id long, html string")
+    assert got == wanted and (0, "a &&&amp\nb & c") in got
+
+
 def test_embeddings_are_near_in_a_language(spark, data):
     """The nearest other document by learned vectors is of the same language; whole documents count; the same whatever the partitions."""
     rows = queries_models.embedded(spark, data).collect()
