@@ -46,7 +46,7 @@ CSV_ROWS = "SELECT CAST(seq AS STRING) AS seq, doi, title, CASE WHEN seq % 5 = 0
 @query("read_curated_csv", f"WITH r AS ({sql_of(CSV_ROWS)}), c AS (SELECT {CLEAN.format('doi')} AS doi, title, note, CAST(seq AS BIGINT) AS seq FROM r) SELECT doi, title, note, CAST(seq AS VARCHAR) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq) AS rn FROM c WHERE doi <> '') WHERE rn = 1")
 def read_curated_csv(spark, d):
     path = shared_folder(spark, "csv")
-    view(spark, d, CSV_ROWS).write.option("header", True).option("escape", '"').csv(path)
+    view(spark, d, CSV_ROWS).write.options(**files.CSV).csv(path)
     return files.read_curated_csv(spark, path, order="seq").select("doi", "title", "note", "seq")
 
 

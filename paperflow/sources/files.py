@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from ..functions.keys import clean_doi
 from ..operators.dedupe import keep_first
 
 CORRUPT = "_corrupt_record"
+#: CSV that is read back as it was written: quotes are doubled, and white space at the ends of a value belongs to it (Spark's writer would cut it). Empty text is written in quotes, null as nothing.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 #: The flat table that is published, in order.
 PUBLISHED = (
@@ -57,8 +61,12 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def read_curated_csv(spark: SparkSession, path: str, key: str = "doi", order: str | None = None) -> DataFrame:
-    """All columns as text, keys cleaned, the first row of each key; rows without a key go. `order` names a column that gives the order of rows."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    """All columns as text, keys cleaned, the first row of each key; rows without a key go. `order` names a column that gives the order of rows.
+
+    A value of nothing is null, one of two quotes is empty text: Spark takes
+    both for null where its null value is empty, so it gets one that no file holds.
+    """
+    df = spark.read.options(**CSV).option("multiLine", True).option("nullValue", uuid.uuid4().hex).csv(path)
     return curated(df, key, order)
 
 
@@ -138,7 +146,7 @@ def flat_value(c: Column, kind: T.DataType) -> Column:
 
 
 def write_flat_csv(df: DataFrame, path: str) -> None:
-    flat_table(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    flat_table(df).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:

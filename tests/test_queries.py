@@ -83,6 +83,18 @@ def test_html_to_text_of_entities_cut_off(spark, tmp_path):
     assert got == wanted and (0, "a &&&amp\nb & c") in got
 
 
+ODD_TITLES = [
+    "", "  ", " lead", "trail ", "\ttabs\t", "cr\r", "in\rner", '"quoted"', 'a "b" c', '"', '""', "\\", 'a\\"b', ",", "a,b", "#c", "\x00null", "\x1f", "\u00a0nbsp\u00a0", "\ufeffbom", "null", ' "x"', None,
+]
+
+
+def test_read_curated_csv_of_odd_titles(spark, tmp_path):
+    """White space, quotes, nothing and empty text come back as they were, in the note as well (no id here is one of those without key or whose note is NA)."""
+    rows = [(n * 170 + own + 1, None if t is None else f"{t}\nrest", "en", "web" if own else t, 1) for n, t in enumerate(ODD_TITLES) for own in (0, 1, 2)]
+    got, wanted = on_own_rows(spark, tmp_path, "read_curated_csv", "documents", rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert got == wanted and {r[1] for r in got} == set(ODD_TITLES)
+
+
 def test_embeddings_are_near_in_a_language(spark, data):
     """The nearest other document by learned vectors is of the same language; whole documents count; the same whatever the partitions."""
     rows = queries_models.embedded(spark, data).collect()
