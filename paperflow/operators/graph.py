@@ -8,7 +8,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,8 +20,10 @@ from ..sources.buckets import Folder, shared_folder
 
 #: Neighbours of a node, and the least similarity of an edge.
 NEIGHBOURS, LEAST = 10, 0.7
-#: Numbers in a block of vectors (32 MB), and rows of it that are multiplied by another block at once.
-BLOCK_NUMBERS, SLAB = 1 << 22, 512
+#: Numbers in a block of vectors (32 MB); blocks that vectors are dealt into as long as these are not larger, and the least rows of one.
+BLOCK_NUMBERS, BLOCKS, BLOCK_ROWS = 1 << 22, 16, 1024
+#: Rows of a block that are multiplied at once by so many others, and pairs of them that are then looked at closely at once.
+SLAB, OTHERS, PAIRS = 512, 8192, 1 << 14
 #: Vectors of a cell on average, and the most cells: their centres and counts are on the driver.
 CELL_ROWS, CELLS = 256, 1024
 #: Ranges into which distinct values are dealt to be numbered.
@@ -58,20 +59,30 @@ class Cells:
 
 
 def units(vectors: Sequence) -> np.ndarray:
-    m = np.array([np.asarray(v, float) for v in vectors])
+    m = np.asarray(vectors, float) if isinstance(vectors, np.ndarray) else np.array([np.asarray(v, float) for v in vectors])
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
+def units_of(column: pa.ListArray) -> np.ndarray:
+    """Unit vectors of a column of lists, which must be of one length."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError(f"vectors of {lengths.min()} to {lengths.max()} numbers")
+    return units(column.flatten().to_numpy(zero_copy_only=False).reshape(len(lengths), -1))
+
+
 def with_cells(known: DataFrame, centres: np.ndarray) -> DataFrame:
     """(id, v, cell, angle): the cell of each vector, the nearest centre's, and how far it is from there."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            similar = units(frame["v"]) @ centres.T
-            cell = similar.argmax(1)
-            yield frame.assign(cell=cell.astype("int32"), angle=np.arccos(np.clip(similar[np.arange(len(cell)), cell], -1, 1)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                similar = units_of(batch.column("v")) @ centres.T
+                cell = similar.argmax(1)
+                angle = np.arccos(np.clip(similar[np.arange(len(cell)), cell], -1, 1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype("int32")), pa.array(angle)], names=[*batch.schema.names, "cell", "angle"])
 
-    return known.mapInPandas(run, T.StructType([*known.schema, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())]))
+    return known.mapInArrow(run, T.StructType([*known.schema, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())]))
 
 
 def centres_of(known: DataFrame, n: int) -> np.ndarray:
@@ -121,14 +132,16 @@ def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: f
     `symmetric` also keeps those that only the larger lists. The result is exact:
     vectors are dealt into cells around some of them, and two cells meet unless
     the angle between their centres, less the widest angle within each, already
-    rules `least` out. Neighbouring cells make up blocks of BLOCK_NUMBERS
-    numbers; a pair of blocks is a task that multiplies the cells that can hold
-    an edge and keeps k candidates for each row. So a vector is copied once for
-    each block that its block meets: for clustered vectors few, for vectors
-    without any clusters all, as in any exact search. With `least` of 0 or less
-    nothing is ruled out.
+    rules `least` out. Neighbouring cells make up blocks of at most BLOCK_NUMBERS
+    numbers; a block is a task, past which the vectors of all blocks that it
+    meets are led in batches while it keeps the k nearest of each row. So a
+    vector is copied once for each block that its block meets: for clustered
+    vectors few, for vectors without any clusters all, as in any exact search.
+    With `least` of 0 or less nothing is ruled out.
     """
-    known = vectors.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    known = vectors.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col(key).isNotNull())
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    known = known.select(F.col(key).alias("id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("v"))
     if least > 0:
         # a vector of zeros is like none
         known = known.where(F.exists("v", lambda x: x != 0))
@@ -136,11 +149,11 @@ def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: f
     kind = known.schema["id"].dataType.simpleString()
     if not size["rows"]:
         return known.select(F.col("id").alias("source"), F.col("id").alias("target"), F.lit(0.0).alias("weight"))
-    most = block_rows or max(1, BLOCK_NUMBERS // size["width"])
+    most = block_rows or max(1, min(BLOCK_NUMBERS // size["width"], max(BLOCK_ROWS, math.ceil(size["rows"] / BLOCKS))))
     plan = plan_cells(known, least, most, cells or min(CELLS, max(1, math.ceil(size["rows"] / CELL_ROWS))))
-    pairs, near = plan.pairs(), plan.near
+    near = plan.near
     met = [[] for _ in range(plan.blocks())]
-    for i, j in pairs.tolist():
+    for i, j in plan.pairs().tolist():
         met[i].append(j)
         if i != j:
             met[j].append(i)
@@ -148,44 +161,136 @@ def similarity_edges(vectors: DataFrame, key: str, k: int = NEIGHBOURS, least: f
     place = F.get(array(np.stack([plan.block, plan.parts], 1).tolist()), F.col("cell"))
     block = (place[0] + F.pmod(F.xxhash64("id"), F.greatest(place[1], F.lit(1)))).cast("int")
     dealt = with_cells(known, plan.centres).withColumn("block", block)
-    meets = F.transform(F.get(array(met), F.col("block")), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    spread = dealt.withColumn("pair", F.explode(meets)).select("pair.i", "pair.j", "block", "cell", "id", "v")
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        # ties go to the smaller id
-        sides = [frame[frame["block"] == b].sort_values("id", kind="stable") for b in (i, j)]
-        out = [pd.DataFrame({"source": frame["id"][:0], "target": frame["id"][:0], "weight": np.zeros(0)})]
-        if len(sides[0]) and len(sides[1]):
-            rows, ids, cell = [units(s["v"]) for s in sides], [s["id"].to_numpy() for s in sides], [s["cell"].to_numpy() for s in sides]
-            for a, b in ((0, 1), (1, 0))[: 1 + (i != j)]:
-                for c in np.unique(cell[a]):
-                    mine, others = np.flatnonzero(cell[a] == c), np.flatnonzero(near[c, cell[b]])
-                    if len(others):
-                        out += nearest(rows[a][mine], ids[a][mine], rows[b][others], ids[b][others], k, least)
-        return pd.concat(out)
-
-    found = spread.groupBy("i", "j").applyInPandas(run, f"source {kind}, target {kind}, weight double")
-    # the k best by weight and then by id; a list of k per node and block, so groups are small
-    best = found.groupBy("source").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "target"))), 1, k).alias("near"))
+    spread = dealt.withColumn("at", F.explode(F.get(array(met), F.col("block")))).select("at", (F.col("block") != F.col("at")).alias("other"), "block", "cell", "id", "v")
+    # a block's own rows come first
+    led = spread.repartitionById(len(met), F.col("at")).sortWithinPartitions("at", "other", "block", "cell")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own, block = None, [], None
+        for here, other, part in parts_of(batches):
+            if here != at:
+                if at is not None:
+                    yield (block or Block(own, near, k, least)).listed()
+                at, own, block = here, [], None
+            if not other:
+                own.append(part)
+            elif own:
+                block = block or Block(own, near, k, least)
+                block.meet(*part)
+        if at is not None and own:
+            yield (block or Block(own, near, k, least)).listed()
+
+    found = led.mapInArrow(run, f"source {kind}, near array<struct<w double, target {kind}>>")
+    # a row per node, or more where its id is repeated
+    best = found.groupBy("source").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
     listed = best.select("source", F.explode("near").alias("n")).select("source", F.col("n.target").alias("target"), (-F.col("n.w")).alias("weight"))
     if symmetric:
         return listed.select(F.least("source", "target").alias("source"), F.greatest("source", "target").alias("target"), "weight").groupBy("source", "target").agg(F.max("weight").alias("weight"))
     return listed.where(F.col("source") < F.col("target"))
 
 
-def nearest(own: np.ndarray, ids: np.ndarray, others: np.ndarray, other_ids: np.ndarray, k: int, least: float) -> Iterator[pd.DataFrame]:
-    """Of each own row the k nearest others of at least `least`, of equals the earlier; a row is not its own neighbour."""
-    columns = others.T
-    for at in range(0, len(ids), SLAB):
-        mine = ids[at : at + SLAB]
-        m = own[at : at + SLAB] @ columns
-        m[mine[:, None] == other_ids[None, :]] = -np.inf
-        found = np.argsort(-m, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(mine)), found.shape[1])
-        weight = m[rows, found.ravel()]
-        keep = weight >= least
-        yield pd.DataFrame({"source": mine[rows][keep], "target": other_ids[found.ravel()][keep], "weight": weight[keep]})
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, tuple[pa.Array, np.ndarray, np.ndarray]]]:
+    """(block, whether of others, (ids, cells, unit vectors)) of rows in order of these, at most OTHERS at once; batches are put together."""
+
+    def done(held: list[pa.RecordBatch]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        columns = [pa.concat_arrays([b.column(n) for b in held]) for n in ("id", "cell", "v")]
+        return columns[0], columns[1].to_numpy(zero_copy_only=False), units_of(columns[2])
+
+    held, n, now = [], 0, None
+    for batch in batches:
+        place = batch.column("at").to_numpy() * 2 + batch.column("other").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
+        for start, end in zip(cuts, cuts[1:]):
+            for a in range(start, end, OTHERS):
+                rows = min(OTHERS, end - a)
+                if held and (now != place[a] or n + rows > OTHERS):
+                    yield int(now) // 2, bool(now % 2), done(held)
+                    held, n = [], 0
+                held.append(batch.slice(a, rows))
+                n, now = n + rows, place[a]
+    if held:
+        yield int(now) // 2, bool(now % 2), done(held)
+
+
+def plain(ids: pa.Array) -> np.ndarray:
+    if pa.types.is_integer(ids.type):
+        return ids.to_numpy(zero_copy_only=False)
+    found = np.empty(len(ids), object)
+    found[:] = ids.to_pylist()
+    return found
+
+
+class Block:
+    """The k nearest of each row of a block among all rows that it meets, of equals the smaller id; a row is not its own neighbour.
+
+    Similarities are found in single precision first. What that can be off by
+    never decides: pairs that may be among the nearest are worked out in double
+    precision, one by one, so that equal vectors are equally near wherever they
+    stand. They are held back and sorted in when there are as many as a row has
+    neighbours, or when the rows met have doubled.
+    """
+
+    def __init__(self, own: list[tuple[pa.Array, np.ndarray, np.ndarray]], near: np.ndarray, k: int, least: float):
+        self.kind, self.near, self.k, self.least = own[0][0].type, near, k, least
+        self.ids, self.cell, self.rows = (np.concatenate(x) for x in zip(*((plain(i), c, v) for i, c, v in own)))
+        self.single = self.rows.astype(np.float32)
+        # of a sum of so many products, and what both vectors lose
+        self.off = (self.rows.shape[1] + 4) * 2.0**-23
+        n = len(self.ids)
+        self.weight, self.other = np.full((n, k), -np.inf), np.repeat(self.ids[:, None], k, 1)
+        self.bound, self.begun = np.full(n, float(least)), np.zeros(n, bool)
+        self.held, self.n_held, self.met, self.sorted_at = [], 0, 0, 0
+        for part in own:
+            self.meet(*part)
+
+    def meet(self, ids: pa.Array, cell: np.ndarray, rows: np.ndarray) -> None:
+        ids, columns = plain(ids), rows.astype(np.float32).T
+        mine = np.flatnonzero(self.near[:, np.unique(cell)].any(1)[self.cell])
+        for at in range(0, len(mine), SLAB):
+            part = mine[at : at + SLAB]
+            m = self.single[part] @ columns
+            if m.shape[1] > self.k and not self.begun[part].all():
+                # one more than k, since a row may be among them
+                self.bound[part] = np.maximum(self.bound[part], np.partition(m, -self.k - 1, axis=1)[:, -self.k - 1] - self.off)
+                self.begun[part] = True
+            found = np.flatnonzero((m >= (self.bound[part] - self.off).astype(np.float32)[:, None]).ravel())
+            for a in range(0, len(found), PAIRS):
+                row, column = np.divmod(found[a : a + PAIRS], m.shape[1])
+                self.hold(part[row], ids[column], np.einsum("ij,ij->i", self.rows[part[row]], rows[column]))
+        self.met += len(ids)
+        if self.n_held and self.met >= 2 * self.sorted_at:
+            self.sort_in()
+
+    def hold(self, row: np.ndarray, other: np.ndarray, weight: np.ndarray) -> None:
+        last = self.weight[row, -1]
+        keep = (weight >= self.least) & (self.ids[row] != other) & ((weight > last) | ((weight == last) & (other < self.other[row, -1])))
+        self.held.append((row[keep], other[keep], weight[keep]))
+        self.n_held += int(keep.sum())
+        if self.n_held > max(PAIRS, self.k * len(self.ids)):
+            self.sort_in()
+
+    def sort_in(self) -> None:
+        row, other, weight = (np.concatenate(x) for x in zip(*self.held))
+        touched = np.unique(row)
+        row = np.concatenate([np.repeat(touched, self.k), row])
+        other = np.concatenate([self.other[touched].ravel(), other])
+        weight = np.concatenate([self.weight[touched].ravel(), weight])
+        place = np.unique(other, return_inverse=True)[1] if other.dtype == object else other
+        order = np.lexsort((place, -weight, row))
+        starts = np.searchsorted(row[order], touched)
+        best = order[starts[:, None] + np.arange(self.k)]
+        self.other[touched], self.weight[touched] = other[best], weight[best]
+        self.bound[touched] = np.maximum(self.bound[touched], self.weight[touched, -1])
+        self.held, self.n_held, self.sorted_at = [], 0, self.met
+
+    def listed(self) -> pa.RecordBatch:
+        """(source, near): the negative weights of its neighbours, and their ids."""
+        if self.n_held:
+            self.sort_in()
+        some = self.weight > -np.inf
+        ends = np.concatenate([[0], some.sum(1).cumsum()]).astype(np.int32)
+        near = pa.StructArray.from_arrays([pa.array(-self.weight[some]), pa.array(self.other[some].tolist(), self.kind)], names=["w", "target"])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids.tolist(), self.kind), pa.ListArray.from_arrays(pa.array(ends), near)], names=["source", "near"])
 
 
 def project_2d(vectors: DataFrame, key: str) -> DataFrame:

@@ -198,6 +198,23 @@ def test_similarity_edges(spark, block_rows, cells, symmetric, clusters):
     assert got == wanted
 
 
+def test_vectors_without_clusters_are_searched_by_several_tasks(spark, monkeypatch):
+    """Several blocks, each a task, at the sizes that are set; text as ids, equal vectors by the smaller id."""
+    plans, plan_cells = [], graph.plan_cells
+    monkeypatch.setattr(graph, "plan_cells", lambda *a: plans.append(plan_cells(*a)) or plans[-1])
+    m = np.random.default_rng(6).normal(size=(5000, 16))
+    m[::100] = m[0]
+    df = spark.createDataFrame([(f"{i:05}", v.tolist()) for i, v in enumerate(m)], "id string, embedding array<double>")
+    rows = graph.similarity_edges(df, "id", 3, 0.3).collect()
+    assert plans[0].blocks() >= 4
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    s[::100, ::100] = np.where(np.eye(50, dtype=bool), -2, 1)
+    best = np.argsort(-s, axis=1, kind="stable")[:, :3]
+    assert {(r["source"], r["target"]) for r in rows} == {(f"{i:05}", f"{j:05}") for i in range(5000) for j in best[i] if s[i, j] >= 0.3 and i < j}
+
+
 def test_cells_that_cannot_hold_an_edge_do_not_meet(spark):
     """2,000 vectors around 20 directions: most pairs of blocks are never formed; all are without clusters or a least similarity."""
     rng = np.random.default_rng(3)
