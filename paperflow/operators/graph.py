@@ -318,6 +318,8 @@ def spectral_layout(edges: DataFrame, key: str = "id", rounds: int = 24, width:
     cuts the lineage. Nodes without edges are in no row.
     """
     tables = Rounds(edges.sparkSession, folder)
+    # read four times below
+    edges = tables.written(edges.select("source", "target", "weight"))
     both = edges.select("source", "target", "weight").union(edges.select("target", "source", "weight")).where("source <> target").groupBy("source", "target").agg(F.max("weight").cast("double").alias("weight"))
     root = tables.written(both.groupBy(F.col("source").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root")))
     ends = lambda side: root.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))

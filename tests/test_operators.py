@@ -255,6 +255,19 @@ def test_spectral_layout(spark):
     assert apart(pairs_of) < apart(rng.integers(0, n, (2000, 2)).tolist()) / 3
 
 
+def test_spectral_layout_works_out_its_edges_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    edges = spark.range(40).selectExpr("id AS source", "(id * 7 + 1) % 40 AS target", "0.5 + id / 100 AS weight").where("source <> target")
+    assert graph.spectral_layout(edges.mapInArrow(counted, edges.schema), rounds=4).count() == 40
+    assert made.value == edges.count()
+
+
 @pytest.mark.parametrize("ranges", [1, 7, 64])
 def test_dense_ranks(spark, ranges):
     df = spark.range(500).select((F.col("id") % 90).cast("string").alias("c")).union(spark.createDataFrame([(None,)], "c string"))
