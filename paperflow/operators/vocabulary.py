@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import strip
 from ..functions.names import fresh
+from ..sources.buckets import Folder, shared_folder, written
 from .dedupe import keep_last
 from .patterns import Index, of_text, of_vocabulary
 
@@ -225,35 +226,49 @@ def pieces(text: Column, n: int) -> Column:
     return F.when(F.char_length(text) >= n, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
 
 
-def harmonized(terms: DataFrame, keywords: DataFrame) -> DataFrame:
+def harmonized(terms: DataFrame, keywords: DataFrame, folder: str) -> DataFrame:
     """(term, label) of the terms of (term) in which a keyword of (label, keyword, place) occurs, letters and digits only: the label of least place.
 
     Keywords meet only those terms that share their rarest run of three letters
     (shorter keywords: themselves), counted over the terms, and are then searched for. So
     neither the plan nor a task grows with the keywords, and no keyword meets
-    all terms.
+    all terms. Keywords and their pieces are written first: while they are small,
+    the pieces of terms, many times the terms, meet them without a shuffle.
     """
     bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
     words = keywords.select("label", "place", bare(F.col("keyword")).alias("keyword")).where("keyword <> ''")
-    distinct = terms.where("term is not null").select("term").distinct().select("term", bare(F.col("term")).alias("plain"))
+    distinct = written(terms.where("term is not null").select("term").distinct().select("term", bare(F.col("term")).alias("plain")), folder)
     plain, keyword = F.col("plain"), F.col("keyword")
     of_terms = distinct.select("term", "plain", F.explode(F.concat(*[pieces(plain, n) for n in range(1, PIECE + 1)])).alias("piece"))
     own = F.when(F.char_length(keyword) < PIECE, F.array(keyword)).otherwise(pieces(keyword, PIECE))
-    of_words = words.select("label", "place", "keyword", F.explode(own).alias("piece"))
-    counts = of_terms.join(of_words.select("piece").distinct(), "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("n"))
+    of_words = written(words.select("label", "place", "keyword", F.explode(own).alias("piece")), folder)
+    asked_for = written(of_words.select("piece").distinct(), folder)
+    counts = of_terms.join(asked_for, "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("n"))
     # a piece that no term has rules the keyword out
     rarest = of_words.join(counts, "piece", "left").groupBy("label", "place", "keyword").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
-    asked = rarest.where("best.n > 0").select("label", "place", "keyword", F.col("best.piece").alias("piece"))
+    asked = written(rarest.where("best.n > 0").select("label", "place", "keyword", F.col("best.piece").alias("piece")), folder)
     found = asked.join(of_terms, "piece").where(F.contains(plain, keyword)).select("term", "place", "label")
     return found.groupBy("term").agg(F.min(F.struct("place", "label")).alias("best")).select("term", "best.label")
 
 
 def harmonize_with_tables(df: DataFrame, terms: str, *maps: DataFrame) -> DataFrame:
-    """As `harmonize_term_table`, for maps that are tables (label, keyword, place), applied one after another; `df` needs a column `id`."""
-    long = df.select("id", F.explode(terms).alias("term")).distinct()
+    """As `harmonize_term_table`, for maps that are tables (label, keyword, place), applied one after another; `df` needs a column `id`.
+
+    Every distinct term is led through all maps before the terms of the rows
+    meet those that change, once; while these are few, without a shuffle. What
+    comes of that is written, so that the data shuffled for it go before the
+    rows are put together; tables made on the way go as well.
+    """
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, "terms")
+    long = df.select("id", F.explode(F.array_distinct(terms)).alias("term"))
+    known = written(long.where("term is not null").select("term").distinct().withColumn("label", F.col("term")), folder)
     for m in maps:
-        long = long.join(harmonized(long, m), "term", "left").select("id", F.coalesce("label", "term").alias("term")).distinct()
-    found = long.groupBy("id").agg(F.array_sort(F.collect_set("term")).alias(terms))
+        found = written(harmonized(known.select(F.col("label").alias("term")), m, folder), folder).select(F.col("term").alias("label"), F.col("label").alias("_next"))
+        known = written(known.join(found, "label", "left").select("term", F.coalesce("_next", "label").alias("label")), folder)
+    changed = written(known.where("label <> term"), folder)
+    named = written(long.join(changed, "term", "left").select("id", F.coalesce("label", "term").alias("term")), shared_folder(spark, "named"))
+    Folder(spark, folder).remove("")
+    found = named.groupBy("id").agg(F.array_sort(F.collect_set("term")).alias(terms))
     return df.drop(terms).join(found, "id", "left").withColumn(terms, F.coalesce(terms, F.array().cast("array<string>")))
 
 

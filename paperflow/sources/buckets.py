@@ -36,6 +36,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/paperflow-{name}-{uuid.uuid4().hex}"
 
 
+#: A setting under which shuffled data go when the table made from them is written.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """A table written to a new folder within this one and read back, so that its size is known and it is worked out once."""
+    spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    before = spark.conf.get(FILE_CLEANUP, None)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FILE_CLEANUP) if before is None else spark.conf.set(FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Folder:
     """Files of any Hadoop file system."""
 

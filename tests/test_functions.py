@@ -217,3 +217,18 @@ def test_large_maps_as_expressions(spark):
     tables = [spark.createDataFrame([(label, w, n) for n, (label, ws) in enumerate(m.items()) for w in ws], "label string, keyword string, place int") for m in maps]
     wanted = df.select("id", vocabulary.harmonize_terms(F.col("terms"), *maps).alias("terms")).orderBy("id").collect()
     assert vocabulary.harmonize_with_tables(df, "terms", *tables).orderBy("id").collect() == wanted
+
+
+def test_rows_meet_large_maps_once(spark):
+    """However many maps: the rows are read for their distinct terms, for what these become, and for their ids."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(i, [f"word {i % 7}", f"other {i}"]) for i in range(30)], "id int, terms array<string>")
+    maps = [spark.createDataFrame([(f"label {n}", f"{word}", n)], "label string, keyword string, place int") for n, word in enumerate(("word3", "label", "other1"))]
+    found = {r["id"]: r["terms"] for r in vocabulary.harmonize_with_tables(df.mapInArrow(counted, df.schema), "terms", *maps).collect()}
+    assert found[3] == ["label 1", "other 3"] and found[10] == ["label 1", "label 2"] and read.value <= 3 * 30
