@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_multi
+from ..sources.buckets import shared_folder, written
 from .dedupe import keep_first
 
 #: Thresholds of similarity, and the category that has pipelines.
@@ -72,7 +73,8 @@ def train_encoder(counts: DataFrame, dimensions: int = DIMENSIONS) -> Encoder:
 
 def learned_embeddings(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS, features: int = FEATURES) -> DataFrame:
     """(key, embedding): vectors of the texts by an encoder that is trained on them, so that texts on the same things are near each other; empty ones for blank texts."""
-    counts = hashed_words(df, key, text, features)
+    # gone over several times; texts are split into words once
+    counts = written(hashed_words(df, key, text, features), shared_folder(df.sparkSession, "counts"))
     none = F.array().cast("array<float>")
     if counts.where(F.exists(vector_to_array("counts"), lambda x: x > 0)).limit(2).count() < 2:
         # nothing to learn from

@@ -129,6 +129,19 @@ def test_learned_vectors_are_those_of_an_eigen_decomposition(spark):
     assert [r["embedding"] for r in vectors.learned_embeddings(df.where("k > 39"), "k", "t").collect()] == [[], [], []]
 
 
+def test_texts_are_split_into_words_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(i, f"a{i % 3} b{i % 5} c") for i in range(30)], "k int, t string")
+    assert len(vectors.embed_text(df.mapInArrow(counted, df.schema), "k", "t").collect()) == 30
+    assert read.value == 30
+
+
 def test_embed_text(spark, data):
     assert all(r["n"] == 64 and r["length"] == 1.0 for r in QUERIES["embed_text"](spark, data).collect())
 
